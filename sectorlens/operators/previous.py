@@ -11,29 +11,42 @@ from pyspark.sql import functions as F
 def with_previous(
     rows: DataFrame, keys: Sequence[str], time: str, value: str, out: str, bucket: str = "hour"
 ) -> DataFrame:
-    """Add ``out``: ``value`` of the row just before in ``time`` within ``keys``.
+    """``keys, time, value, copies`` and ``out``: ``value`` at the time just before.
+
+    Rows of one key and time count as one row with the greatest ``value``;
+    ``copies`` tells how many there were. They are merged map-side, so copies do
+    not gather in a task. Rows without a time have no place in the order and are
+    left out.
 
-    ``rows`` has one row per ``keys`` and ``time``, and ``time`` is not null.
     A plain window would put the whole history of a key into one task, and there
     are only a handful of sectors. Here a task gets one key and one calendar
-    bucket; the last value of the key's bucket before it is added as a carried
-    row, so that the first row of a bucket has its predecessor as well. Only one
-    row per key and bucket is ever ordered per key.
+    bucket (choose it so that this is a moderate number of distinct times); the
+    last value of the key's bucket before it is added as a carried row, so that
+    the first row of a bucket has its predecessor as well. Only one row per key
+    and bucket is ever ordered per key.
     """
     cell = "__bucket"
-    parts = rows.withColumn(cell, F.date_trunc(bucket, F.col(time)))
-    tails = parts.groupBy(*keys, cell).agg(F.max_by(value, time).alias("__tail"))
-    over_buckets = Window.partitionBy(*keys).orderBy(cell)
-    carried = tails.select(
-        *keys, cell, F.lag("__tail", 1).over(over_buckets).alias("__carried")
+    parts = rows.where(F.col(time).isNotNull()).select(
+        *keys,
+        F.date_trunc(bucket, F.col(time)).alias(cell),
+        F.col(time).alias("__time"),
+        F.col(value).alias("__value"),
     )
-    stacked = parts.withColumn("__is_row", F.lit(True)).unionByName(
-        carried.select(*keys, cell, F.col("__carried").alias(value), F.lit(False).alias("__is_row")),
-        allowMissingColumns=True,
+    merged = parts.groupBy(*keys, cell, "__time").agg(
+        F.max("__value").alias("__value"), F.count(F.lit(1)).alias("copies")
     )
-    in_bucket = Window.partitionBy(*keys, cell).orderBy("__is_row", time)
-    return (
-        stacked.withColumn(out, F.lag(value, 1).over(in_bucket))
-        .where("__is_row")
-        .drop(cell, "__is_row")
+    # Both branches read the same columns of ``rows``, so a shuffle below is reused.
+    last = (
+        F.max("__time") if value == time else F.max(F.struct("__time", "__value"))["__value"]
     )
+    tails = parts.groupBy(*keys, cell).agg(last.alias("__value"))
+    over_buckets = Window.partitionBy(*keys).orderBy(cell)
+    carried = tails.select(*keys, cell, F.lag("__value", 1).over(over_buckets).alias("__value"))
+    stacked = merged.unionByName(carried, allowMissingColumns=True)
+    # carried rows have no time and sort first
+    in_bucket = Window.partitionBy(*keys, cell).orderBy(F.asc_nulls_first("__time"))
+    paired = stacked.withColumn(out, F.lag("__value", 1).over(in_bucket))
+    columns = [*keys, F.col("__time").alias(time), "copies", out]
+    if value != time:
+        columns.append(F.col("__value").alias(value))
+    return paired.where(F.col("__time").isNotNull()).select(*columns)

@@ -102,16 +102,8 @@ def short_gaps(
     gap of zero to each other and are reported together. ``bucket`` is the piece
     of time one task orders; take a finer one for series denser than bars.
     """
-    distinct = (
-        bars.where(F.col(time).isNotNull())
-        .select(key, F.col(time).alias("curr"))
-        .groupBy(key, "curr")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    # The value carried along is the time itself.
-    paired = with_previous(
-        distinct.withColumn("at", F.col("curr")), [key], "curr", "at", "prev", bucket
-    )
+    series = bars.select(key, F.col(time).alias("curr"))
+    paired = with_previous(series, [key], "curr", "curr", "prev", bucket)
     gap = times.minute_gap(F.col("prev"), F.col("curr"))
     first = F.struct("prev", "curr", gap.alias("diff"), F.lit(1).cast("long").alias("n_rows"))
     copies = F.struct(
@@ -120,7 +112,5 @@ def short_gaps(
         F.lit(0).cast("long").alias("diff"),
         (F.col("copies") - 1).alias("n_rows"),
     )
-    found = F.filter(
-        F.array(first, copies), lambda v: (v["n_rows"] > 0) & (v["diff"] < minutes)
-    )
-    return paired.select(key, F.inline(found))
+    found = F.when(F.col("copies") > 1, F.array(first, copies)).otherwise(F.array(first))
+    return paired.select(key, F.inline(found)).where(F.col("diff") < minutes)

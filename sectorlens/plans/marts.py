@@ -51,11 +51,10 @@ def sector_change(stock_sector: DataFrame, since: datetime | str | None = None)
     in the order and are left out, as are bars whose previous high is unknown.
     ``since`` leaves older bars out of the scan.
     """
-    bars = stock_sector.where(F.col("datetime").isNotNull())
+    bars = stock_sector.select("sector", "datetime", "high")
     if since is not None:
         bars = bars.where(F.col("datetime") >= times.run_time(since))
-    highs = bars.groupBy("sector", "datetime").agg(F.max("high").alias("high"))
-    paired = with_previous(highs, ["sector"], "datetime", "high", "prev_high")
+    paired = with_previous(bars, ["sector"], "datetime", "high", "prev_high")
     return paired.where(F.col("prev_high").isNotNull()).select(
         "datetime",
         "sector",
