@@ -96,17 +96,15 @@ def sector_bars(
     partial bars. Otherwise ticks shrink to company bars first, which also
     spreads a hot company over its windows, and only those bars are joined.
     """
-    members = companies.select("company_symbol", "industry_key")
     parents = industries.select("industry_key", F.col("sector_key").alias("sector"))
-
-    def with_sector(df: DataFrame, side: DataFrame) -> DataFrame:
-        tagged = df.join(side, "company_symbol").join(parents, "industry_key")
-        return tagged.where(F.col("sector").isNotNull())
-
+    members = companies.select("company_symbol", "industry_key")
+    in_sector = members.join(parents.where(F.col("sector").isNotNull()), "industry_key").drop(
+        "industry_key"
+    )
     if lookup.fits_broadcast(members, limit):
-        return ohlcv(with_sector(ticks, F.broadcast(members)), ["sector"], width)
+        return ohlcv(ticks.join(F.broadcast(in_sector), "company_symbol"), ["sector"], width)
     company_bars = _grouped(ticks, ["company_symbol"], width)
-    return widen(with_sector(company_bars, members), ["sector"])
+    return widen(company_bars.join(in_sector, "company_symbol"), ["sector"])
 
 
 def last_bar(bars: DataFrame, key: str) -> DataFrame:

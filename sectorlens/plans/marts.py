@@ -181,9 +181,19 @@ def stock_with_industry(
     sectors: DataFrame,
     limit: int = lookup.BROADCAST_BYTES,
 ) -> DataFrame:
-    """Company bars with company, industry and sector; unknown symbols drop out."""
-    named = lookup.lookup_join(stock_company, companies, "company_symbol", limit=limit)
-    return with_industry(named, industries, sectors).select(
+    """Company bars with company, industry and sector; unknown symbols drop out.
+
+    One broadcast lookup when the companies measure small. Otherwise bars and
+    companies are shuffled on the symbol, where adaptive execution splits a hot
+    symbol, and the few industries and sectors are joined to the result.
+    """
+    if lookup.fits_broadcast(companies, limit):
+        detail = F.broadcast(company_detail(companies, industries, sectors))
+        named = stock_company.join(detail, "company_symbol")
+    else:
+        known = stock_company.join(companies, "company_symbol")
+        named = with_industry(known, industries, sectors)
+    return named.select(
         "datetime",
         "open",
         "high",

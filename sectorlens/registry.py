@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sectorlens import schemas, session
 from sectorlens.functions import columns, times
 from sectorlens.operators import bars as bar_ops
-from sectorlens.operators import dedupe, quality, sinks
+from sectorlens.operators import dedupe, lookup, quality, sinks
 from sectorlens.plans import ingest, marts
 from sectorlens.sources import landing, masterdata, panels
 from sectorlens.sources import testtables as tables
@@ -763,15 +763,14 @@ def _(spark, folder):
 )
 def _(spark, folder):
     """The same check on raw ticks, which are far closer together than bars."""
-    symbols = tables.company_info(spark, folder)
-    tagged = marts.with_industry(
-        marts.lookup.lookup_join(tables.ticks(spark, folder), symbols, "company_symbol"),
+    detail = marts.company_detail(
+        tables.company_info(spark, folder),
         tables.industry_keys(spark, folder),
         tables.sector_info(spark, folder),
     )
-    series = tagged.where(F.col("sector_key").isNotNull()).select(
-        F.col("sector_key").alias("sector"), "ts"
-    )
+    sector_of = detail.select("company_symbol", F.col("sector_key").alias("sector")).dropna()
+    ticks = tables.ticks(spark, folder)
+    series = lookup.lookup_join(ticks, sector_of, "company_symbol").select("sector", "ts")
     return quality.short_gaps(series, "sector", "ts", bucket="minute")
 
 
@@ -923,6 +922,20 @@ def _(spark, folder):
     return spark.read.parquet(f"{path}/news").select(*schemas.NEWS_KEYS)
 
 
+@_register(
+    "stream_news_ingest",
+    f"""SELECT * FROM ({_MENTIONS}) QUALIFY row_number() OVER (
+    PARTITION BY content_id, company_key ORDER BY pubdate DESC) = 1""",
+)
+def _(spark, folder):
+    """The newest mention per key, without a limit on how late copies come."""
+    path = session.scratch_dir(spark, "stream")
+    for _ in range(2):
+        mentions = _mentions(_event_stream(spark, folder))
+        jobs.ingest_new_news(mentions, f"{path}/news", f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/news").drop("batch")
+
+
 @_register("stream_bars_15m", _company_bars())
 def _(spark, folder):
     path = session.scratch_dir(spark, "stream")

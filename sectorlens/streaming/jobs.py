@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from sectorlens import schemas
 from sectorlens.functions import columns, times
 from sectorlens.operators import bars as bar_ops
+from sectorlens.operators import dedupe
 from sectorlens.plans import marts
 from sectorlens.sources import landing
 
@@ -35,6 +36,14 @@ def file_stream(
     return reader.parquet(path)
 
 
+def _keep_state_on_disk(spark: SparkSession) -> None:
+    """Hold streaming state in RocksDB instead of the executors' heap."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
+
 def _append(df: DataFrame, path: str, checkpoint: str, partition_cols: tuple = ()) -> None:
     writer = (
         df.writeStream.outputMode("append")
@@ -61,14 +70,43 @@ def append_new_news(news: DataFrame, path: str, checkpoint: str, delay: str = "2
 
     State is bounded by ``delay``: a copy that comes later than that is stored
     again, and news older than the watermark is dropped. Choose it longer than
-    the vendor repeats an article. News without a time cannot be tracked; it is
-    left to the batch job.
+    the vendor repeats an article; :func:`ingest_new_news` has no such limit.
+    News without a time cannot be tracked and is left to that job as well.
+
+    Copies are first removed per input partition, so that an article repeated in
+    a third of all rows reaches the task of its key once per partition.
     """
-    timed = news.where(F.col("pubdate").isNotNull())
-    fresh = timed.withWatermark("pubdate", delay).dropDuplicatesWithinWatermark(
-        list(schemas.NEWS_KEYS)
+    _keep_state_on_disk(news.sparkSession)
+    keys, part = list(schemas.NEWS_KEYS), "__partition"
+    timed = news.where(F.col("pubdate").isNotNull()).withColumn(part, F.spark_partition_id())
+    once_per_part = timed.withWatermark("pubdate", delay).dropDuplicatesWithinWatermark(
+        [*keys, part]
+    )
+    _append(once_per_part.drop(part).dropDuplicatesWithinWatermark(keys), path, checkpoint)
+
+
+def ingest_new_news(news: DataFrame, path: str, checkpoint: str) -> None:
+    """Append news whose key is not stored yet, whenever it was published.
+
+    Each batch is reduced to one row per key (map-side first) and compared with
+    the keys of all earlier batches. A repeated batch replaces its own folder.
+    """
+    spark = news.sparkSession
+    stored_schema = T.StructType([*news.schema.fields, T.StructField("batch", T.LongType())])
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        stored = landing.read_or_empty(spark, f"{path}", stored_schema)
+        seen = stored.where(F.col("batch") < batch_id).select(*schemas.NEWS_KEYS)
+        fresh = dedupe.new_unique(batch, seen, schemas.NEWS_KEYS, "pubdate")
+        fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    (
+        news.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(add)
+        .start()
+        .awaitTermination()
     )
-    _append(fresh, path, checkpoint)
 
 
 def tick_bars(
@@ -89,6 +127,7 @@ def tick_bars(
     def write_changed(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
+    _keep_state_on_disk(ticks.sparkSession)
     bars = bar_ops.ohlcv(ticks.withWatermark("ts", delay), [key], width)
     (
         bars.writeStream.outputMode("update")

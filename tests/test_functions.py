@@ -1,0 +1,128 @@
+import pytest
+from pyspark.sql import functions as F
+
+from sectorlens import schemas
+from sectorlens.functions import columns, times
+from tests.helpers import at, rows
+
+
+def one(spark, column, **values):
+    df = spark.createDataFrame([tuple(values.values())], list(values)) if values else spark.range(1)
+    return df.select(column.alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize(
+    "text, iso",
+    [
+        ("2025-11-01 09:30:00-05:00", "2025-11-01T14:30:00+00:00"),
+        ("2025-11-01T09:30:00Z", "2025-11-01T09:30:00+00:00"),
+        ("2025-11-01 09:30:00", "2025-11-01T09:30:00+00:00"),
+        ("oops", None),
+        ("", None),
+    ],
+)
+def test_parse_and_iso_text(spark, text, iso):
+    assert one(spark, times.iso_offset(times.parse_instant(F.col("t"))), t=text) == iso
+
+
+@pytest.mark.parametrize(
+    "text, fixed",
+    [("T09:30:00-0500", "T09:30:00-05:00"), ("T09:30:00Z", "T09:30:00Z"), ("x", "x")],
+)
+def test_colon_offset(spark, text, fixed):
+    assert one(spark, times.colon_offset(F.col("t")), t=text) == fixed
+
+
+def test_minute_gap_counts_boundaries(spark):
+    gap = times.minute_gap(F.col("a"), F.col("b"))
+    assert one(spark, gap, a=at("2025-01-01 10:00:59"), b=at("2025-01-01 10:15:01")) == 15
+    assert one(spark, gap, a=at("2025-01-01 10:00:01"), b=at("2025-01-01 10:00:59")) == 0
+
+
+def test_relative_change_of_zero_is_null(spark):
+    change = times.relative_change(F.col("a"), F.col("b"))
+    assert one(spark, change, a=5.0, b=0.0) is None
+    assert one(spark, change, a=5.0, b=4.0) == 0.25
+
+
+def test_slot_is_the_minute_19_minutes_ago(spark):
+    now = at("2025-01-02 10:04:30")
+    bars = spark.createDataFrame(
+        [(at(f"2025-01-02 09:{m}"),) for m in ("30:00", "45:00", "45:59", "46:00")], ["t"]
+    )
+    kept = bars.where(times.in_slot(F.col("t"), now))
+    assert [r["t"].minute for r in kept.collect()] == [45, 45]
+
+
+def test_slot_reaches_the_scan(spark, tmp_path):
+    bars = spark.createDataFrame([(at("2025-01-02 09:45:00"),)], ["t"])
+    bars.write.parquet(f"{tmp_path}/bars")
+    kept = spark.read.parquet(f"{tmp_path}/bars").where(
+        times.in_slot(F.col("t"), "2025-01-02 10:04:30")
+    )
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(t,2025-01-02 09:45:00.0)" in plan
+    assert kept.count() == 1
+
+
+def test_exchange_clock_and_folder_keys(spark):
+    ts = F.col("t")
+    t = at("2025-07-01 13:45:00")
+    assert one(spark, times.exchange_clock(ts), t=t) == at("2025-07-01 09:45:00")
+    assert one(spark, times.hhmm_text(ts), t=t) == "1345"
+    assert one(spark, times.day_text(ts), t=t) == "2025-07-01"
+    assert one(spark, times.day_text(ts, "yyyyMM"), t=t) == "202507"
+
+
+def test_column_steps(spark):
+    df = spark.createDataFrame([(1, 2, 3)], ["a", "b", "c"])
+    renamed = columns.rename_columns(df, {"a": "x", "missing": "y"})
+    assert renamed.columns == ["x", "b", "c"]
+    assert columns.select_columns(df, ["c", "a"]).columns == ["c", "a"]
+    assert columns.select_columns(df).columns == ["a", "b", "c"]
+    assert columns.drop_columns(df, ["a", "missing"]).columns == ["b", "c"]
+    assert columns.upper_names(df).columns == ["A", "B", "C"]
+    assert columns.tag(df, "k", "energy").first()["k"] == "energy"
+
+
+def test_set_date(spark):
+    df = spark.createDataFrame([("2025-11-01 22:00:00-05:00",), ("oops",)], ["pubdate"])
+    assert rows(df.transform(columns.set_date, "pubdate")) == [
+        ("2025-11-01 22:00:00-05:00", "2025-11-02"),
+        ("oops", None),
+    ]
+    assert df.transform(columns.set_date, "pubdate", "yyyy").first()["date"] == "2025"
+
+
+def landed(spark, kind):
+    key = {"sector": "Sector", "company": "Company_symbol"}[kind]
+    names = ["Datetime", "Open", "High", "Low", "Close", "Volume", "Dividends", "Stock Splits", key]
+    data = [
+        ("2025-01-02 09:30:00-05:00", 1.0, 2.0, 0.5, 1.5, 10.0, 0.0, 0.0, "k"),
+        ("oops", 1.0, 2.0, 0.5, 1.5, None, 0.0, 0.0, "k"),
+    ]
+    return spark.createDataFrame(data, ", ".join(
+        f"`{n}` {'string' if n in ('Datetime', key) else 'double'}" for n in names
+    ))
+
+
+def test_clean_bars(spark):
+    sector = columns.clean_bars(landed(spark, "sector"), "SECTOR")
+    assert sector.columns == ["datetime", "sector", "open", "high", "low", "close"]
+    company = columns.clean_bars(landed(spark, "company"), "company")
+    assert company.schema.simpleString() == schemas.STOCK_COMPANY.simpleString()
+    assert rows(company) == [
+        (None, "k", 1.0, 2.0, 0.5, 1.5, None),
+        (at("2025-01-02 14:30:00"), "k", 1.0, 2.0, 0.5, 1.5, 10),
+    ]
+
+
+def test_wrong_kind_is_a_key_error(spark):
+    with pytest.raises(KeyError):
+        columns.clean_bars(landed(spark, "sector"), "industry")
+
+
+def test_layer_databases():
+    assert schemas.database_for("raw") == "raw_data"
+    assert schemas.database_for(" custom ") == "custom"
+    assert schemas.database_for("") == schemas.database_for(None) == "default"
