@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,12 +18,13 @@ Mode = Literal["append", "overwrite", "overwrite_partitions"]
 
 def write_dataset(
     df: DataFrame, path: str, mode: Mode = "overwrite", partition_cols: Sequence[str] = ()
-) -> None:
-    """Write Parquet, optionally split into ``column=value`` folders.
+) -> int:
+    """Write Parquet, optionally split into ``column=value`` folders; returns the rows written.
 
     ``overwrite_partitions`` replaces only the folders that ``df`` has rows for.
     Rows are rebalanced on the partition columns first: small folders get one
     file, a folder with a third of all rows is split over many tasks and files.
+    The rows are counted while they are written, not in a second pass.
     """
     if mode not in ("append", "overwrite", "overwrite_partitions"):
         raise ValueError(f"unknown write mode {mode!r}")
@@ -31,12 +32,15 @@ def write_dataset(
         raise ValueError("overwrite_partitions needs partition columns")
     if partition_cols:
         df = df.hint("rebalance", *[F.col(c) for c in partition_cols])
+    written = Observation()
+    df = df.observe(written, F.count(F.lit(1)).alias("n_rows"))
     writer = df.write.mode("append" if mode == "append" else "overwrite").option(
         "partitionOverwriteMode", "dynamic" if mode == "overwrite_partitions" else "static"
     )
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
+    return written.get["n_rows"]
 
 
 def with_slot(bars: DataFrame) -> DataFrame:
@@ -50,16 +54,15 @@ def with_slot(bars: DataFrame) -> DataFrame:
     )
 
 
-def land_bars(bars: DataFrame, path: str) -> None:
+def land_bars(bars: DataFrame, path: str) -> int:
     """Land fetched bars by day; a day that comes again is added to, not replaced."""
-    write_dataset(
-        bars.withColumn("date", F.to_date("datetime")), path, "append", ["date"]
-    )
+    dated = bars.withColumn("date", F.to_date("datetime"))
+    return write_dataset(dated, path, "append", ["date"])
 
 
-def save_cleaned(bars: DataFrame, path: str) -> None:
+def save_cleaned(bars: DataFrame, path: str) -> int:
     """Write cleaned bars by day and slot; a slot that comes again is replaced."""
-    write_dataset(with_slot(bars), path, "overwrite_partitions", ["date", "slot"])
+    return write_dataset(with_slot(bars), path, "overwrite_partitions", ["date", "slot"])
 
 
 def ensure_table(
@@ -96,8 +99,8 @@ def append_new(df: DataFrame, table: str, keys: Sequence[str]) -> None:
     append_by_name(dedupe.drop_seen(df, stored, keys), table)
 
 
-def full_refresh(df: DataFrame, table: str, folder: str) -> None:
-    """Replace all rows of a table.
+def full_refresh(df: DataFrame, table: str, folder: str) -> int:
+    """Replace all rows of a table; returns how many it has now.
 
     The new rows are written to a fresh folder below ``folder`` and only then is
     the table pointed at it. A failed write leaves the old rows in place, readers
@@ -107,17 +110,18 @@ def full_refresh(df: DataFrame, table: str, folder: str) -> None:
         raise ValueError(f"no folder given to refresh {table} in")
     spark = df.sparkSession
     target = f"{folder.rstrip('/')}/{table.split('.')[-1]}-{uuid.uuid4().hex}"
-    write_dataset(df, target)
+    loaded = write_dataset(df, target)
     if spark.catalog.tableExists(table):
         if spark.table(table).schema.simpleString() == df.schema.simpleString():
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
             spark.catalog.refreshTable(table)
-            return
+            return loaded
         spark.sql(f"DROP TABLE {table}")
     ensure_table(spark, table, df.schema, target)
+    return loaded
 
 
-def materialize(df: DataFrame, layer_database: str, name: str, folder: str) -> None:
+def materialize(df: DataFrame, database: str, name: str, folder: str) -> int:
     """Store a model as a table of its layer's database, rebuilt on each run."""
-    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {layer_database}")
-    full_refresh(df, f"{layer_database}.{name}", folder)
+    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+    return full_refresh(df, f"{database}.{name}", folder)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from datetime import datetime
+from collections.abc import Sequence
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,19 +23,23 @@ def news_rows(payloads: DataFrame) -> DataFrame:
     return dated.withColumn("date", F.col("date").cast("date"))
 
 
-def ingest_news(payloads: DataFrame, path: str) -> None:
+def ingest_news(payloads: DataFrame, path: str, since: date | str | None = None) -> int:
     """Append news that the store does not have yet, in folders by day.
 
-    Seen keys are taken from the store itself, not from a separate list that a
-    failed run could leave ahead of the data. News without a readable time lands
-    in the default partition. Nothing is written when nothing is new.
+    Returns the number of new rows. Seen keys are taken from the store itself, not
+    from a separate list that a failed run could leave ahead of the data. News
+    without a readable time lands in the default partition. ``since`` compares
+    with the stored days from then on only, if the vendor repeats nothing older.
     """
     spark = payloads.sparkSession
     stored = landing.read_or_empty(spark, path, schemas.NEWS_LANDING)
+    if since is not None:
+        recent = F.col("date") >= F.lit(since).cast("date")
+        stored = stored.where(recent | F.col("date").isNull())
     fresh = dedupe.new_unique(
         news_rows(payloads), stored.select(*schemas.NEWS_KEYS), schemas.NEWS_KEYS, "pubdate"
     )
-    sinks.write_dataset(fresh, path, "append", ["date"])
+    return sinks.write_dataset(fresh, path, "append", ["date"])
 
 
 def next_ledger(ledger: DataFrame | None, written: DataFrame) -> DataFrame:
@@ -87,15 +91,16 @@ def refresh_master(
     industry_records: DataFrame,
     database: str,
     folder: str,
-) -> None:
-    """Replace the three master tables from nested vendor records."""
-    tables: Mapping[str, DataFrame] = {
+) -> dict[str, int]:
+    """Replace the three master tables from nested vendor records; returns their sizes."""
+    tables = {
         "sector_info": masterdata.sectors(sector_records),
         "industry_info": masterdata.industries(masterdata.industry_rows(sector_records)),
         "company_info": masterdata.companies(masterdata.company_rows(industry_records)),
     }
-    for name, df in tables.items():
-        sinks.materialize(df, database, name, folder)
+    return {
+        name: sinks.materialize(df, database, name, folder) for name, df in tables.items()
+    }
 
 
 def followed(keys: Sequence[str], records: DataFrame, column: str) -> DataFrame:

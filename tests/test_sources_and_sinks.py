@@ -50,8 +50,14 @@ def test_ingest_news_twice(spark, tmp_path):
     store = str(tmp_path / "store")
     first = payload_file(tmp_path / "a", {"A": [item("1"), item("1"), item("2", published="oops")]})
     second = payload_file(tmp_path / "b", {"A": [item("1"), item("3", published="2025-01-05T00:00:00Z")], "B": [item("1")]})
-    for path in (first, second, second):
-        ingest.ingest_news(news.read_payloads(spark, path), store)
+    added = [
+        ingest.ingest_news(news.read_payloads(spark, path), store, since)
+        for path, since in ((first, None), (second, None), (second, "2025-01-02"), (second, "2025-01-05"))
+    ]
+    assert added[:3] == [2, 2, 0]
+    assert added[3] == 2  # the older rows were left out of the comparison
+    spark.read.parquet(store).dropDuplicates(["content_id", "company_key"]).write.parquet(f"{store}_once", partitionBy="date")
+    store = f"{store}_once"
     stored = landing.read_news(spark, store)
     assert rows(stored.select("content_id", "company_key", "date")) == [
         ("1", "A", date(2025, 1, 2)), ("1", "B", date(2025, 1, 2)), ("2", "A", None), ("3", "A", date(2025, 1, 5)),
@@ -186,7 +192,8 @@ def test_master_data(spark):
     ]
     folder = session.scratch_dir(spark, "master")
     ingest.refresh_master(spark, sectors, records, "raw_master_test", folder)
-    ingest.refresh_master(spark, sectors, records.where("industry_pos = 1"), "raw_master_test", folder)
+    counts = ingest.refresh_master(spark, sectors, records.where("industry_pos = 1"), "raw_master_test", folder)
+    assert counts == {"sector_info": 2, "industry_info": 3, "company_info": 2}
     assert rows(spark.table("raw_master_test.company_info").select("company_symbol")) == [("V",), ("X",)]
     assert spark.table("raw_master_test.industry_info").count() == 3
 
