@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,16 +11,16 @@ from pyspark.sql import functions as F
 def drop_seen(new: DataFrame, seen: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose keys are not in ``seen``; null keys equal each other.
 
-    Repeats inside ``new`` stay. Adaptive execution splits a hot key of ``new``;
-    ``seen`` sends each key once.
+    Repeats inside ``new`` stay. The keys are compared as one struct, whose null
+    fields match. ``seen`` is reduced to distinct columns first and shuffled again
+    as a struct: with nothing but a shuffle below the join on either side,
+    adaptive execution can split a hot key of ``new``.
     """
     if seen is None:
         return new
-    ledger = seen.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-    same = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    )
-    return new.join(ledger, same, "left_anti")
+    key = F.struct(*keys)
+    ledger = seen.select(*keys).distinct().select(key.alias("__key"))
+    return new.withColumn("__key", key).join(ledger, "__key", "left_anti").drop("__key")
 
 
 def new_unique(

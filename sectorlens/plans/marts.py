@@ -49,11 +49,15 @@ def sector_change(stock_sector: DataFrame, since: datetime | str | None = None)
 
     A bar that was loaded twice counts once. Bars without a time have no place
     in the order and are left out, as are bars whose previous high is unknown.
-    ``since`` leaves older bars out of the scan.
+    ``since`` leaves older bars out of the scan; of a table kept by ``date``, whole
+    folders.
     """
-    bars = stock_sector.select("sector", "datetime", "high")
+    bars = stock_sector
     if since is not None:
-        bars = bars.where(F.col("datetime") >= times.run_time(since))
+        start = times.run_time(since)
+        bars = bars.where(F.col("datetime") >= start)
+        if "date" in bars.columns:
+            bars = bars.where(F.col("date") >= F.to_date(start))
     paired = with_previous(bars, ["sector"], "datetime", "high", "prev_high")
     return paired.where(F.col("prev_high").isNotNull()).select(
         "datetime",

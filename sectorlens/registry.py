@@ -379,7 +379,8 @@ def _(spark, folder):
 
 
 def _payloads(news):
-    """News as the vendor sends it: JSON, ticker -> items."""
+    """News as the vendor sends it: JSON, ticker -> items; there is none without a ticker."""
+    news = news.where(F.col("company_key").isNotNull())
     content = F.struct(
         F.col("content_id").alias("id"),
         "title",
@@ -395,7 +396,7 @@ def _payloads(news):
     "news_flatten",
     f"""SELECT content_id, title, summary, url, company_key,
     strftime(pubdate, '%Y-%m-%dT%H:%M:%SZ') AS pubdate, CAST(pubdate AS DATE) AS date
-  FROM ({_NEWS})""",
+  FROM ({_NEWS}) WHERE company_key IS NOT NULL""",
 )
 def _(spark, folder):
     return ingest.news_rows(_payloads(tables.news(spark, folder)))
@@ -556,7 +557,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     news = _keyed_news(spark, folder)
-    known = F.col("pubdate") < KEPT_UNTIL
+    known = F.coalesce(F.col("pubdate") < KEPT_UNTIL, F.lit(False))
     return ingest.next_ledger(news.where(known), news.where(~known))
 
 
@@ -638,6 +639,41 @@ def _(spark, folder):
     return masterdata.industries(masterdata.industry_rows(_sector_records(spark, folder)))
 
 
+@_register(
+    "master_companies",
+    """SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN 'M' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END
+      AS company_symbol, c_name AS company_name, CAST(c_nationkey AS VARCHAR) AS industry_key
+  FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey
+      ORDER BY c_acctbal NULLS FIRST, c_custkey) AS rn FROM customer)
+  WHERE rn <= 5""",
+)
+def _(spark, folder):
+    """Industry records that list one company more than is taken."""
+    symbol = F.when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("M"), "c_custkey"))
+    rows = tables.table(spark, folder, "customer").select(
+        F.col("c_nationkey").alias("industry_pos"),
+        F.col("c_nationkey").cast("string").alias("industry_key"),
+        F.coalesce(symbol, F.col("c_custkey").cast("string")).alias("company_symbol"),
+        F.col("c_name").alias("company_name"),
+        "c_acctbal",
+        "c_custkey",
+    )
+    listed = masterdata.with_positions(
+        rows,
+        "industry_key",
+        [F.asc_nulls_first("c_acctbal"), F.asc("c_custkey")],
+        masterdata.COMPANIES_PER_INDUSTRY + 1,
+    )
+    # at most six entries per list
+    entries = F.sort_array(F.collect_list(F.struct("pos", "company_symbol", "company_name")))
+    records = listed.groupBy("industry_pos", "industry_key").agg(
+        F.transform(entries, lambda e: F.struct(e["company_symbol"], e["company_name"])).alias(
+            "companies"
+        )
+    )
+    return masterdata.companies(masterdata.company_rows(records))
+
+
 # ---------------------------------------------------------------- data checks
 
 
@@ -797,7 +833,7 @@ def _(spark, folder):
 @_register(
     "partitioned_roundtrip",
     f"""SELECT * REPLACE (date_trunc('second', pubdate) AS pubdate),
-    CAST(pubdate AS DATE) AS date FROM ({_NEWS})""",
+    CAST(pubdate AS DATE) AS date FROM ({_NEWS}) WHERE company_key IS NOT NULL""",
 )
 def _(spark, folder):
     """News stored by day; half of it was stored before, so only the rest is added."""
@@ -825,6 +861,42 @@ def _(spark, folder):
     return spark.read.parquet(path)
 
 
+@_register(
+    "land_bars_roundtrip",
+    f"""SELECT *, CAST(datetime AS DATE) AS date FROM ({_company_bars()})
+  UNION ALL SELECT *, CAST(datetime AS DATE) FROM ({_company_bars()})
+    WHERE datetime = TIMESTAMP '2024-01-30 23:45:00'""",
+)
+def _(spark, folder):
+    """A first run lands a month of bars, the next run adds its slot."""
+    path = session.scratch_dir(spark, "stock")
+    bars = tables.stock_company(spark, folder)
+    keys = masterdata.company_symbols(tables.company_info(spark, folder))
+    for _ in range(2):
+        landed = landing.read_or_empty(spark, path, schemas.STOCK_COMPANY)
+        sinks.land_bars(
+            ingest.fetch_bars(bars, landed, keys, "company", NOW, strict=False), path
+        )
+    return spark.read.parquet(path)
+
+
+@_register(
+    "cleaned_slots_roundtrip",
+    f"""SELECT datetime, sector, open, high, low,
+    CASE WHEN datetime >= TIMESTAMP '{KEPT_UNTIL}' THEN close ELSE open END AS close,
+    CAST(datetime AS DATE) AS date, strftime(datetime, '%H%M') AS slot
+  FROM ({_sector_bars("6 hours")})""",
+)
+def _(spark, folder):
+    """Cleaned sector bars by day and slot; slots that come again are replaced."""
+    path = session.scratch_dir(spark, "cleaned")
+    bars = tables.stock_sector(spark, folder, "6 hours")
+    sinks.save_cleaned(bars.withColumn("close", F.col("open")), path)
+    sinks.save_cleaned(bars.where(F.col("datetime") >= KEPT_UNTIL), path)
+    stored = sinks.with_slot(bars).schema
+    return spark.read.schema(stored).parquet(path)
+
+
 @_register("load_bars_roundtrip", _company_bars())
 def _(spark, folder):
     """Landed bars appended by name, twice; the second load finds nothing new."""

@@ -23,13 +23,19 @@ from sectorlens.schemas import landing_schema
 PARQUET_FILES = "*.parquet"
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(
+    spark: SparkSession, path: str, schema: T.StructType, nested: bool = False
+) -> DataFrame:
     """Read a Parquet dataset; one that does not exist yet has no rows.
 
-    Only a missing path counts as empty. Any other error is raised.
+    Only a missing path counts as empty. Any other error is raised. ``nested``
+    reads all folders below ``path`` without taking their names for partitions.
     """
+    reader = spark.read.schema(schema).option("pathGlobFilter", PARQUET_FILES)
+    if nested:
+        reader = reader.option("recursiveFileLookup", "true")
     try:
-        return spark.read.schema(schema).option("pathGlobFilter", PARQUET_FILES).parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -37,13 +43,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def read_landed_bars(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """All landed bars of a kind below ``path``, with the vendor's column names."""
-    return (
-        spark.read.schema(landing_schema(kind))
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", PARQUET_FILES)
-        .parquet(path)
-    )
+    """All landed bars of a kind below ``path``, with the vendor's column names.
+
+    Where nothing was landed there are no rows, and loading them does nothing.
+    """
+    return read_or_empty(spark, path, landing_schema(kind), nested=True)
 
 
 def read_news(spark: SparkSession, path: str, since: date | str | None = None) -> DataFrame:

@@ -88,6 +88,15 @@ def test_bar_loaded_twice_counts_once(spark):
     assert marts.sector_change(bars, since=T1).count() == 0
 
 
+def test_since_prunes_folders(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    bars = sector_frame(spark, (at("2025-01-01 10:00:00"), "S", 1.0), (T0, "S", 10.0), (T1, "S", 12.0))
+    bars.withColumn("date", F.to_date("datetime")).write.partitionBy("date").parquet(path)
+    recent = marts.sector_change(spark.read.parquet(path), since="2025-01-02 00:00:00")
+    assert rows(recent.select("high", "prev_high")) == [(12.0, 10.0)]
+    assert "PartitionFilters: [isnotnull(date" in plan_of(recent)
+
+
 def test_company_detail_keeps_unmatched(spark, dims):
     got = {r["company_symbol"]: (r["industry_name"], r["sector_name"]) for r in marts.company_detail(*dims).collect()}
     assert got["A"] == ("Ind 1", "Sector S") and got["E"] == (None, None) and len(got) == 5

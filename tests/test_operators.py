@@ -145,6 +145,13 @@ def test_drop_seen_matches_null_keys(spark):
     seen = pair_frame(spark, (None, "A"), ("x", "A"), ("x", "A"))
     assert rows(dedupe.drop_seen(news, seen, keys)) == [("y", "B"), ("z", "A"), ("z", "A")]
     assert dedupe.drop_seen(news, None, keys) is news
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    shuffled = dedupe.drop_seen(news, seen, keys)
+    assert shuffled.count() == 3 and "SortMergeJoin" in plan_of(shuffled)
+    assert plan_of(shuffled).split("Initial Plan")[-1].count("Exchange hashpartitioning") == 3
+    spark.conf.set(threshold, before)
     empty = spark.createDataFrame([], news.schema)
     assert dedupe.drop_seen(news, empty, keys).count() == 5
 

@@ -282,6 +282,12 @@ def test_load_bars_and_read_landed(spark, tmp_path):
     assert spark.table("loaded_bars").count() == 2
 
 
+def test_nothing_landed_loads_nothing(spark, tmp_path):
+    found = landing.read_landed_bars(spark, str(tmp_path / "none"), "sector")
+    ingest.load_bars(found, "sector", "no_bars", str(tmp_path / "table"))
+    assert spark.table("no_bars").count() == 0
+
+
 def test_scratch_follows_the_cluster_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert session.scratch_dir(spark, "x").startswith(f"{base}/x-")
