@@ -43,8 +43,14 @@ def exchange_clock(ts: Column, zone: str = EXCHANGE_ZONE) -> Column:
 
 
 def run_time(now: datetime | str | Column) -> Column:
-    """The run's time as a timestamp literal, from a datetime or ISO text."""
-    return now if isinstance(now, Column) else F.lit(now).cast("timestamp")
+    """The run's time as a timestamp literal, from a datetime or ISO text.
+
+    Without a zone it is UTC, whatever zone the driver's machine is in.
+    """
+    if isinstance(now, Column):
+        return now
+    text = now.isoformat(sep=" ") if isinstance(now, datetime) else now
+    return F.lit(text).cast("timestamp")
 
 
 def target_slot(now: datetime | str | Column, lag_minutes: int = BAR_LAG_MINUTES) -> Column:

@@ -64,12 +64,10 @@ def fetch_bars(
     the target slot. ``strict`` raises if a key has no bar in that slot.
     """
     key = schemas.BAR_KEY[schemas.bar_kind(kind)]
-    window = landing.fetch_window(landed, now).first()
-    if window["mode"] == "bootstrap":
-        since = times.run_time(window["since"])
-        fetched = bars.where(F.col("datetime") >= since)
+    if landing.fetch_window(landed, now).first()["mode"] == "bootstrap":
+        fetched = bars.where(F.col("datetime") >= landing.bootstrap_start(now))
         if strict and fetched.isEmpty():
-            raise bar_ops.DataNotFound(f"no {kind} bars since {window['since']}")
+            raise bar_ops.DataNotFound(f"no {kind} bars in the month before {now}")
         return fetched
     fetched = bars.where(times.in_slot(F.col("datetime"), now))
     if strict:

@@ -97,13 +97,17 @@ def fetch_window(landed: DataFrame, now: datetime | str | Column) -> DataFrame:
     continues after the newest landed bar.
     """
     newest = landed.agg(F.max("datetime").alias("newest"))
-    month_ago = times.run_time(now) - F.expr("INTERVAL 1 MONTH")
     return newest.select(
         F.when(F.col("newest").isNull(), "bootstrap").otherwise("incremental").alias("mode"),
-        F.coalesce("newest", month_ago).alias("since"),
+        F.coalesce("newest", bootstrap_start(now)).alias("since"),
     )
 
 
+def bootstrap_start(now: datetime | str | Column) -> Column:
+    """Where the history of a first load begins."""
+    return times.run_time(now) - F.expr("INTERVAL 1 MONTH")
+
+
 def _row_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path in batch["path"]:

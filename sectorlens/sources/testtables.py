@@ -8,13 +8,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sectorlens.functions import times
 from sectorlens.operators import bars
 
 
+_known_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table; its schema is read from the files only the first time."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _known_schemas:
+        _known_schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_known_schemas[path]).parquet(path)
 
 
 def sector_info(spark: SparkSession, folder: str) -> DataFrame:
