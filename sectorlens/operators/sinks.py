@@ -90,13 +90,23 @@ def append_by_name(df: DataFrame, table: str) -> None:
         spark.catalog.dropTempView(view)
 
 
-def append_new(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+def append_new(
+    df: DataFrame, table: str, keys: Sequence[str], time: str = "datetime"
+) -> None:
     """Append the rows whose keys the table lacks, so a repeated load adds nothing.
 
-    Safe against reruns, not against two loads of the same keys at the same time.
+    ``time`` is one of the keys. Stored rows outside the span of times in ``df``
+    cannot match and are left out of the scan, so a load costs as much as its
+    batch, not as the table. Safe against reruns, not against two loads of the
+    same keys at the same time.
     """
+    first, last = df.agg(
+        F.min(time).cast("string").alias("first"), F.max(time).cast("string").alias("last")
+    ).first()
+    in_span = F.col(time).between(times.run_time(first), times.run_time(last))
     stored = df.sparkSession.table(table).select(*keys)
-    append_by_name(dedupe.drop_seen(df, stored, keys), table)
+    near = stored.where(in_span | F.col(time).isNull())
+    append_by_name(dedupe.drop_seen(df, near, keys), table)
 
 
 def full_refresh(df: DataFrame, table: str, folder: str) -> int:

@@ -223,14 +223,20 @@ def in_read_order(df: DataFrame, model: str) -> DataFrame:
     return df.orderBy(*order[model])
 
 
-def refresh(raw: Mapping[str, DataFrame], database: str, folder: str) -> dict[str, DataFrame]:
+def refresh(
+    raw: Mapping[str, DataFrame],
+    database: str,
+    folder: str,
+    since: datetime | str | None = None,
+) -> dict[str, DataFrame]:
     """Rebuild the four stored models from the raw tables; returns what was stored.
 
     The top sector is determined once and pinned, so that all tables agree on it
-    even if bars are loaded meanwhile.
+    even if bars are loaded meanwhile. With ``since`` it is looked for in the bars
+    from then on.
     """
     companies, industries = raw["company_info"], raw["industry_info"]
-    top = session.pinned(stock_top_sector(raw["stock_sector"]))
+    top = session.pinned(stock_top_sector(raw["stock_sector"], since))
     models = {
         "top_sector": top_sector(industries, top),
         "top_sector_news": top_sector_news(raw["news"], companies, industries, top),
