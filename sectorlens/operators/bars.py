@@ -35,10 +35,13 @@ def _trades(ticks: DataFrame) -> DataFrame:
 
 def _grouped(ticks: DataFrame, keys: Sequence[str], width: str) -> DataFrame:
     order = tick_order(F.col("ts"), F.col("seq"))
+    slot = F.window("ts", width)
+    # A stream drops old state by the whole window; its start alone is a smaller key.
+    slot = slot if ticks.isStreaming else slot["start"]
     return (
         _trades(ticks)
         .select(*keys, "ts", "price", order.alias("at"))
-        .groupBy(*keys, F.window("ts", width).alias("slot"))
+        .groupBy(*keys, slot.alias("slot"))
         .agg(
             F.min_by("price", "at").alias("open"),
             F.max("price").alias("high"),
@@ -49,7 +52,7 @@ def _grouped(ticks: DataFrame, keys: Sequence[str], width: str) -> DataFrame:
             F.max("at").alias("last_at"),
         )
         .select(
-            F.col("slot.start").alias("datetime"),
+            F.col("slot.start" if ticks.isStreaming else "slot").alias("datetime"),
             *keys,
             "open",
             "high",

@@ -22,8 +22,8 @@ def write_dataset(
     """Write Parquet, optionally split into ``column=value`` folders; returns the rows written.
 
     ``overwrite_partitions`` replaces only the folders that ``df`` has rows for.
-    Rows are rebalanced on the partition columns first: small folders get one
-    file, a folder with a third of all rows is split over many tasks and files.
+    Rows are rebalanced on the partition columns first: small folders get few
+    files, a folder with a third of all rows is split over many tasks and files.
     The rows are counted while they are written, not in a second pass.
     """
     if mode not in ("append", "overwrite", "overwrite_partitions"):
