@@ -75,6 +75,23 @@ def ohlcv(ticks: DataFrame, keys: Sequence[str], width: str = times.BAR_WIDTH) -
     return _grouped(ticks, keys, width).drop("first_at", "last_at")
 
 
+def slot_bars(
+    ticks: DataFrame,
+    keys: Sequence[str],
+    now: datetime | str | Column,
+    width: str = times.BAR_WIDTH,
+) -> DataFrame:
+    """Only the bars of the slot a run at ``now`` expects.
+
+    Ticks outside the slot are left out by a range on their time, which reaches
+    the scan; a filter on the finished bars would not.
+    """
+    start = times.target_slot(now)
+    end = start + F.expr(f"INTERVAL {width}")
+    found = ohlcv(ticks.where((F.col("ts") >= start) & (F.col("ts") < end)), keys, width)
+    return found.where(F.col("datetime") == start)
+
+
 def widen(bars: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Merge bars with ``first_at``/``last_at`` into bars per ``keys``."""
     return bars.groupBy("datetime", *keys).agg(

@@ -158,8 +158,7 @@ def _(spark, folder):
     f"SELECT * FROM ({_company_bars()}) WHERE datetime = TIMESTAMP '2024-01-30 23:45:00'",
 )
 def _(spark, folder):
-    bars = tables.stock_company(spark, folder)
-    return bars.where(times.in_slot(F.col("datetime"), NOW))
+    return bar_ops.slot_bars(tables.ticks(spark, folder), ["company_symbol"], NOW)
 
 
 @_register(
@@ -446,7 +445,7 @@ def _(spark, folder):
     )
     return tables.table(spark, folder, "events").select(
         "event_id",
-        times.iso_offset(F.col("ts").cast("timestamp")).alias("iso"),
+        times.iso_offset(F.col("ts")).alias("iso"),
         times.colon_offset(F.concat(clock, offset)).alias("colon"),
     )
 
@@ -461,7 +460,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     """Folder keys, exchange time, target slot and minute distance of every tick."""
-    ts = F.col("ts").cast("timestamp")
+    ts = F.col("ts")
     return tables.table(spark, folder, "events").select(
         "event_id",
         times.day_text(ts).alias("day"),
@@ -762,7 +761,7 @@ def _mentions(events):
     return events.select(
         F.get_json_object("props", "$.k").alias("content_id"),
         F.col("user_id").cast("string").alias("company_key"),
-        F.col("ts").cast("timestamp").alias("pubdate"),
+        F.col("ts").alias("pubdate"),
     )
 
 
@@ -915,6 +914,34 @@ def _(spark, folder):
     return spark.read.schema(schemas.STOCK_COMPANY).parquet(location)
 
 
+@_register(
+    "append_by_name_roundtrip",
+    f"""SELECT datetime, sector AS company_symbol, NULL::DOUBLE AS open, high, low, close,
+    NULL::BIGINT AS volume FROM ({_sector_bars("1 hour")})
+  UNION ALL SELECT datetime, company_symbol, open, high, low, close, volume
+    FROM ({_company_bars("1 day")})""",
+)
+def _(spark, folder):
+    """Two loads of one table: other order, case and columns, then the exact ones."""
+    location = session.scratch_dir(spark, "table")
+    table = f"by_name_{location[-32:]}"
+    odd = tables.stock_sector(spark, folder, "1 hour").select(
+        F.col("close").alias("CLOSE"),
+        F.col("sector").alias("Company_Symbol"),
+        F.lit("not in the table").alias("comment"),
+        F.col("low").alias("Low"),
+        "high",
+        F.col("datetime").alias("DateTime"),
+    )
+    sinks.ensure_table(spark, table, schemas.STOCK_COMPANY, location)
+    try:
+        sinks.append_by_name(odd, table)
+        sinks.append_by_name(tables.stock_company(spark, folder, "1 day"), table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return spark.read.schema(schemas.STOCK_COMPANY).parquet(location)
+
+
 @_register(
     "full_refresh_roundtrip",
     "SELECT CAST(c_custkey AS VARCHAR) AS company_symbol, upper(c_name) AS company_name,"
@@ -1013,7 +1040,7 @@ def _(spark, folder):
     path = session.scratch_dir(spark, "stream")
     ticks = _event_stream(spark, folder).select(
         F.col("user_id").cast("string").alias("company_symbol"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts",
         F.col("value").alias("price"),
         F.col("event_id").alias("seq"),
     )

@@ -18,10 +18,19 @@ _known_schemas: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A test table; its schema is read from the files only the first time."""
+    """A test table; its schema is read from the files only the first time.
+
+    The files hold UTC times without a zone. They are read as instants, which
+    needs no conversion per row.
+    """
     path = f"{folder}/{name}.parquet"
     if path not in _known_schemas:
-        _known_schemas[path] = spark.read.parquet(path).schema
+        found = spark.read.parquet(path).schema
+        instants = [
+            T.StructField(f.name, T.TimestampType() if f.dataType == T.TimestampNTZType() else f.dataType)
+            for f in found
+        ]
+        _known_schemas[path] = T.StructType(instants)
     return spark.read.schema(_known_schemas[path]).parquet(path)
 
 
@@ -72,7 +81,7 @@ def company_info(spark: SparkSession, folder: str) -> DataFrame:
 def ticks(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("user_id").cast("string").alias("company_symbol"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts",
         F.col("value").alias("price"),
         F.col("event_id").alias("seq"),
     )
@@ -94,7 +103,7 @@ def news(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
         F.col("event_id").alias("doc_id"),
         F.col("user_id").cast("string").alias("company_key"),
-        F.col("ts").cast("timestamp").alias("pubdate"),
+        F.col("ts").alias("pubdate"),
     )
     documents = table(spark, folder, "documents")
     return documents.join(events, "doc_id").select(

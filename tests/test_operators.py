@@ -70,6 +70,19 @@ def test_bars_are_hash_aggregated_before_the_shuffle(spark):
     assert "SortAggregate" not in plan and "partial_min_by" in plan
 
 
+def test_slot_bars_read_only_their_slot(spark, tmp_path):
+    data, ticks = ticks_of(spark)
+    ticks.write.parquet(f"{tmp_path}/ticks")
+    stored = spark.read.parquet(f"{tmp_path}/ticks")
+    now = NOON + timedelta(minutes=34, seconds=7)  # expects the bar of 12:15
+    got = bar_ops.slot_bars(stored, ["company_symbol"], now)
+    slot = NOON + timedelta(minutes=15)
+    assert rows(got) == [b for b in expected_bars(data, lambda s: s) if b[0] == slot]
+    assert "LessThan(ts,2025-01-02 12:30:00.0)" in plan_of(got)
+    # no bar starts at 12:16
+    assert bar_ops.slot_bars(stored, ["company_symbol"], now + timedelta(minutes=1)).count() == 0
+
+
 def test_last_bar_and_freshness(spark):
     _, ticks = ticks_of(spark)
     bars = bar_ops.ohlcv(ticks, ["company_symbol"])
