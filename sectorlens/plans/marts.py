@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from datetime import datetime
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sectorlens import schemas, session
@@ -44,7 +44,9 @@ def company_detail(
     )
 
 
-def sector_change(stock_sector: DataFrame, since: datetime | str | None = None) -> DataFrame:
+def sector_change(
+    stock_sector: DataFrame, since: datetime | str | Column | None = None
+) -> DataFrame:
     """Relative change of each sector's high against its previous bar.
 
     A bar that was loaded twice counts once. Bars without a time have no place
@@ -70,7 +72,7 @@ def sector_change(stock_sector: DataFrame, since: datetime | str | None = None)
 
 def stock_top_sector(
     stock_sector: DataFrame,
-    since: datetime | str | None = None,
+    since: datetime | str | Column | None = None,
     direction: Literal["signed", "abs"] = "signed",
     null_first: bool = False,
 ) -> DataFrame:

@@ -68,11 +68,13 @@ def industries(rows: DataFrame) -> DataFrame:
     return firsts.select(*schemas.INDUSTRY_INFO.names)
 
 
-def company_rows(records: DataFrame) -> DataFrame:
-    """One row per industry and listed company; industries without a list give none."""
-    listed = records.select(
-        "industry_pos", "industry_key", F.posexplode("companies").alias("pos", "company")
-    )
+def company_rows(records: DataFrame, k: int = COMPANIES_PER_INDUSTRY) -> DataFrame:
+    """One row per industry and company among the first ``k`` of its list.
+
+    Industries without a list give none.
+    """
+    head = F.posexplode(F.slice("companies", 1, k)).alias("pos", "company")
+    listed = records.select("industry_pos", "industry_key", head)
     return listed.select("industry_pos", "pos", "company.*", "industry_key")
 
 

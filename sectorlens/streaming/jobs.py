@@ -147,19 +147,27 @@ def read_tick_bars(spark: SparkSession, path: str, key: str) -> DataFrame:
     return newest.select("datetime", key, *[f"bar.{c}" for c in rest])
 
 
-def follow_top_sector(stock_sector: DataFrame, path: str, checkpoint: str) -> None:
+def follow_top_sector(
+    stock_sector: DataFrame, path: str, checkpoint: str, history: str | None = None
+) -> None:
     """After each batch of new sector bars, store which sector leads.
 
     ``lead``/``lag`` over a stream is not supported, and late bars may change an
     earlier bar's predecessor. So each batch adds its bars below ``path/bars`` and
-    asks the question of all bars stored so far; the answer is kept per batch.
+    asks the question of the stored bars; the answer is kept per batch. With
+    ``history``, for example ``7 days``, only bars that far back from the newest
+    are read; a sector without an earlier bar in that time does not compete.
     """
     spark = stock_sector.sparkSession
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/bars/batch={batch_id}")
         stored = spark.read.schema(schemas.STOCK_SECTOR).parquet(f"{path}/bars")
-        top = marts.stock_top_sector(stored)
+        since = None
+        if history:
+            newest = stored.agg(F.max("datetime").cast("string")).first()[0]
+            since = times.run_time(newest) - F.expr(f"INTERVAL {history}")
+        top = marts.stock_top_sector(stored, since)
         top.write.mode("overwrite").parquet(f"{path}/top/batch={batch_id}")
 
     (

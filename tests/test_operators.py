@@ -134,6 +134,18 @@ def test_with_previous_equals_one_window(spark, bucket):
     )
 
 
+def test_no_task_orders_all_rows_of_a_key(spark):
+    df = spark.range(100).select(
+        F.lit("a").alias("k"), F.timestamp_seconds(F.col("id") * 60).alias("t"), F.col("id").alias("v")
+    ).where("rand() >= 0")
+    plan = plan_of(with_previous(df, ["k"], "t", "v", "prev"))
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2
+    # rows by key and bucket, and one carried value per bucket by key
+    assert "__time" in windows[0] and "__bucket" in windows[0].split("ASC")[0]
+    assert "__time" not in windows[1]
+
+
 def test_newest_per_cuts_before_the_shuffle(spark):
     news = spark.createDataFrame(
         [("A", str(i), NOON + timedelta(minutes=i % 7)) for i in range(50)] + [("A", "n", None)],

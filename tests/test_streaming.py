@@ -84,11 +84,11 @@ def test_tick_bars_equal_batch_bars(spark, tmp_path):
 
 
 def test_top_sector_follows_late_bars(spark, tmp_path):
-    def land(*bars):
+    def land(*bars, history=None):
         data = [(T0 + timedelta(minutes=m), s, 0.0, h, 0.0, 0.0) for m, s, h in bars]
         spark.createDataFrame(data, schemas.STOCK_SECTOR).write.mode("append").parquet(f"{tmp_path}/landed")
         stream = jobs.file_stream(spark, f"{tmp_path}/landed", schemas.STOCK_SECTOR)
-        jobs.follow_top_sector(stream, f"{tmp_path}/lead", f"{tmp_path}/cp")
+        jobs.follow_top_sector(stream, f"{tmp_path}/lead", f"{tmp_path}/cp", history)
         return tuple(jobs.read_top_sector(spark, f"{tmp_path}/lead").first())[1:4]
 
     assert land((0, "S", 10.0), (30, "S", 12.0), (0, "T", 10.0), (30, "T", 11.0)) == ("S", 12.0, 10.0)
@@ -96,3 +96,9 @@ def test_top_sector_follows_late_bars(spark, tmp_path):
     assert rows(jobs.read_top_sector(spark, f"{tmp_path}/lead")) == rows(
         marts.stock_top_sector(spark.read.schema(schemas.STOCK_SECTOR).parquet(f"{tmp_path}/landed"))
     )
+    # two days later only T has two bars in the last day
+    day2 = 2 * 24 * 60
+    assert land((day2, "S", 99.0), (day2, "T", 11.0), (day2 - 15, "T", 10.0), history="1 day") == (
+        "T", 11.0, 10.0,
+    )
+    assert land((day2 + 15, "T", 1.0), (day2 + 15, "S", 9.9)) == ("S", 9.9, 99.0)
