@@ -38,16 +38,18 @@ def _grouped(ticks: DataFrame, keys: Sequence[str], width: str) -> DataFrame:
     slot = F.window("ts", width)
     # A stream drops old state by the whole window; its start alone is a smaller key.
     slot = slot if ticks.isStreaming else slot["start"]
+    sizes = ["size"] if "size" in ticks.columns else []
+    volume = F.sum("size") if sizes else F.count(F.lit(1))
     return (
         _trades(ticks)
-        .select(*keys, "ts", "price", order.alias("at"))
+        .select(*keys, "ts", "price", *sizes, order.alias("at"))
         .groupBy(*keys, slot.alias("slot"))
         .agg(
             F.min_by("price", "at").alias("open"),
             F.max("price").alias("high"),
             F.min("price").alias("low"),
             F.max_by("price", "at").alias("close"),
-            F.count(F.lit(1)).alias("volume"),
+            volume.alias("volume"),
             F.min("at").alias("first_at"),
             F.max("at").alias("last_at"),
         )
@@ -66,10 +68,11 @@ def _grouped(ticks: DataFrame, keys: Sequence[str], width: str) -> DataFrame:
 
 
 def ohlcv(ticks: DataFrame, keys: Sequence[str], width: str = times.BAR_WIDTH) -> DataFrame:
-    """Open, high, low, close and tick count per key and time window.
+    """Open, high, low, close and volume per key and time window.
 
     ``ticks`` has ``ts``, ``price`` and ``seq`` (the order of ticks with equal
-    time). All aggregates combine map-side, so a hot key sends one row per
+    time). Volume is the sum of ``size``, or the number of ticks if they have
+    none. All aggregates combine map-side, so a hot key sends one row per
     window and task. Works on batch and streaming frames.
     """
     return _grouped(ticks, keys, width).drop("first_at", "last_at")
@@ -112,8 +115,8 @@ def sector_bars(
 ) -> DataFrame:
     """Bars per sector from ticks per company.
 
-    Companies that measure small are broadcast: one pass, one shuffle of
-    partial bars. Otherwise ticks shrink to company bars first, which also
+    If the sectors of all companies measure small, they are broadcast: one pass,
+    one shuffle of partial bars. Otherwise ticks shrink to company bars first, which also
     spreads a hot company over its windows, and only those bars are joined.
     """
     parents = industries.select("industry_key", F.col("sector_key").alias("sector"))
@@ -121,7 +124,7 @@ def sector_bars(
     in_sector = members.join(parents.where(F.col("sector").isNotNull()), "industry_key").drop(
         "industry_key"
     )
-    if lookup.fits_broadcast(members, limit):
+    if lookup.fits_broadcast(in_sector, limit):
         return ohlcv(ticks.join(F.broadcast(in_sector), "company_symbol"), ["sector"], width)
     company_bars = _grouped(ticks, ["company_symbol"], width)
     return widen(company_bars.join(in_sector, "company_symbol"), ["sector"])

@@ -118,8 +118,8 @@ def _member_news(
 ) -> DataFrame:
     """News of the top sector's companies, at least the ``k`` newest of each.
 
-    Members are a subset of the companies, so measuring those bounds the
-    broadcast. If they are too many, news is first cut to ``k`` rows per company;
+    The companies of all sectors are measured, which bounds those of the top one
+    without finding it first. If they are too many, news is first cut to ``k`` rows per company;
     no later ranking can need more, and no company's news is moved as a whole.
     """
     columns = [*schemas.NEWS_KEYS, "title", "summary", "pubdate"]
@@ -127,7 +127,8 @@ def _member_news(
         "company_symbol", "company_key"
     )
     articles = news.select(*columns)
-    if lookup.fits_broadcast(companies, limit):
+    everyone = companies.join(industries.select("industry_key", "sector_key"), "industry_key")
+    if lookup.fits_broadcast(everyone, limit):
         return articles.join(F.broadcast(members), "company_key")
     newest = topk.newest_per(
         articles, ["company_key"], k, ties=NEWS_TIES, null_first=null_first
@@ -189,13 +190,13 @@ def stock_with_industry(
 ) -> DataFrame:
     """Company bars with company, industry and sector; unknown symbols drop out.
 
-    One broadcast lookup when the companies measure small. Otherwise bars and
+    One broadcast lookup when the company details measure small. Otherwise bars and
     companies are shuffled on the symbol, where adaptive execution splits a hot
     symbol, and the few industries and sectors are joined to the result.
     """
-    if lookup.fits_broadcast(companies, limit):
-        detail = F.broadcast(company_detail(companies, industries, sectors))
-        named = stock_company.join(detail, "company_symbol")
+    detail = company_detail(companies, industries, sectors)
+    if lookup.fits_broadcast(detail, limit):
+        named = stock_company.join(F.broadcast(detail), "company_symbol")
     else:
         known = stock_company.join(companies, "company_symbol")
         named = with_industry(known, industries, sectors)

@@ -47,6 +47,21 @@ def test_ohlcv_equals_brute_force(spark):
     assert rows(bar_ops.ohlcv(ticks, ["company_symbol"])) == expected_bars(data, lambda s: s)
 
 
+def test_volume_is_the_sum_of_sizes(spark):
+    _, ticks = ticks_of(spark)
+    sized = ticks.withColumn("size", F.lit(3).cast("long"))
+    plain = bar_ops.ohlcv(ticks, ["company_symbol"]).withColumn("volume", F.col("volume") * 3)
+    assert rows(bar_ops.ohlcv(sized, ["company_symbol"])) == rows(plain)
+
+
+def test_tick_order_is_exact_at_the_ends(spark):
+    times_ = [at("1969-01-01 00:00:00"), at("2025-01-01 00:00:00"), at("9999-12-31 23:59:59")]
+    data = [(t, s) for t in times_ for s in (0, 1, 2**63 - 1)]
+    df = spark.createDataFrame(data[::-1], "ts timestamp, seq long")
+    ordered = df.orderBy(bar_ops.tick_order(F.col("ts"), F.col("seq"))).collect()
+    assert [tuple(r) for r in ordered] == data
+
+
 @pytest.mark.parametrize("limit", [0, lookup.BROADCAST_BYTES])
 def test_sector_bars_alike_with_and_without_broadcast(spark, limit):
     data, ticks = ticks_of(spark)
