@@ -37,11 +37,14 @@ def file_stream(
 
 
 def _keep_state_on_disk(spark: SparkSession) -> None:
-    """Hold streaming state in RocksDB instead of the executors' heap."""
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
+    """Hold streaming state in RocksDB instead of the executors' heap.
+
+    A batch then uploads its changes only, not a snapshot of all state.
+    """
+    store = "spark.sql.streaming.stateStore"
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set(f"{store}.providerClass", provider)
+    spark.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def _append(df: DataFrame, path: str, checkpoint: str, partition_cols: tuple = ()) -> None:
