@@ -197,3 +197,9 @@ def test_refresh_stores_all_models(spark, dims):
     failed = checks.where("failures > 0").collect()
     # the article without a time is the only finding
     assert [(r["table"], r["column"], r["failures"]) for r in failed] == [("top_sector_company_news", "pubdate", 1)]
+
+
+def test_empty_tables_give_empty_models(spark):
+    raw = {name: spark.createDataFrame([], schema) for name, schema in schemas.RAW_TABLES.items()}
+    stored = marts.refresh(raw, "analytics_empty", session.scratch_dir(spark, "empty"))
+    assert {name: df.count() for name, df in stored.items()} == dict.fromkeys(stored, 0)

@@ -311,3 +311,11 @@ def test_nothing_landed_loads_nothing(spark, tmp_path):
 def test_scratch_follows_the_cluster_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert session.scratch_dir(spark, "x").startswith(f"{base}/x-")
+
+
+def test_empty_writes_count_zero(spark, tmp_path):
+    none = spark.createDataFrame([], schemas.STOCK_COMPANY)
+    assert sinks.write_dataset(none, str(tmp_path / "a")) == 0
+    assert sinks.land_bars(none, str(tmp_path / "b")) == 0
+    assert sinks.full_refresh(none, "refreshed_empty", str(tmp_path / "c")) == 0
+    assert spark.table("refreshed_empty").count() == 0
