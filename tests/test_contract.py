@@ -1,10 +1,11 @@
 import pytest
 
 import __spark_entry__ as contract
+from sectorlens import registry
 from tests.helpers import TINY
 from tests.oracle import compare
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registry.QUERIES, registry.SQL
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -16,6 +17,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_contract_has_them_all():
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["sector", "industry_key", "industry_name", "market_weight"]
