@@ -83,7 +83,7 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def fit(docs: DataFrame) -> LanguageModel | None:
     """Learns from rows whose id falls in fold 0 or 2 and whose language and text are given."""
-    given = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 1))
+    given = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 1))
     sizes = {r["lang"]: r["n"] for r in given.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_CLASSES + 1).collect()}
     if not sizes:
         return None

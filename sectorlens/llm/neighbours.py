@@ -89,7 +89,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality") -> Voters |
     nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(F.lit(31), "doc_id"), "doc_id"))
     chosen = marked.withColumn("nth", nth).filter(F.col("nth") <= SAMPLE_PER_LABEL)
     # 2 x SAMPLE_PER_LABEL ids at most
-    found = docs.join(F.broadcast(chosen), "doc_id").filter(F.col("text").isNotNull())
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter(F.col("text").isNotNull())
     tie = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
     found = found.withColumn("tie", tie).filter("tie = 1")
 

@@ -172,11 +172,11 @@ SELECT doc_id, size, source_size, target, source, (CASE WHEN source_size = 0 THE
 FROM laid""",
     "op7_topk": """
 WITH vecs AS (
-  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, x -> floor(x::DOUBLE * 256)::BIGINT) AS v
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, q.r AS qr, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::BIGINT AS score
+  SELECT q.vec_id AS query_id, q.r AS qr, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
   FROM vecs q JOIN vecs c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id) AS rank FROM scored)
