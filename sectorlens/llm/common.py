@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,9 +58,6 @@ class WordMemory:
 
 def text_slices(batches, column: int = 1, most: int = 4 * 1024 * 1024):
     """Arrow batches cut into runs of rows whose texts are about ``most`` bytes together."""
-    import numpy as np
-    import pyarrow.compute as pc
-
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -67,3 +66,18 @@ def text_slices(batches, column: int = 1, most: int = 4 * 1024 * 1024):
         cuts = np.flatnonzero(np.diff(piece)) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
             yield batch.slice(a, b - a)
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest node each of ``n`` nodes is connected to."""
+    label = np.arange(n)
+    while a.size:
+        low = np.minimum(label[a], label[b])
+        before = label.copy()
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        label = label[label]
+        label = label[label]
+        if np.array_equal(label, before):
+            break
+    return label

@@ -9,10 +9,11 @@ are outside by construction, which cuts the chain there. Neighbouring tokens sha
 chain potential; tokens that are equal, or alike (same letters and digits, same local
 part, same last digits), share a skip potential however far apart they stand (each
 occurrence is linked to the one before it, so links grow with the tokens). Weights are
-learnt by pseudo-likelihood from base spans of at most ``SAMPLE_DOCS`` documents; token shapes are hidden at random while
-learning, so that context counts. Skip weights have a Gaussian prior around ``SKIP_PRIOR``: where a
+learnt by pseudo-likelihood from base spans of at most ``SAMPLE_DOCS`` documents; token shapes and
+neighbours' labels are hidden at random while learning, so that neither stands in for the other. Skip weights have a Gaussian prior around ``SKIP_PRIOR``: where a
 sample repeats no token, there is nothing else to learn them from. Inference is damped loopy sum-product. A token
-whose label is surer than ``SURE`` and that touches no base span becomes a span of its own.
+that touches no base span, whose label is surer than ``SURE`` and that is linked, over any number of
+skip links, to a token under a base span of that kind becomes a span of its own.
 
 A null text is empty and has no span. An empty table gives an empty result; null ids
 and repeated rows are kept; other columns are not read (or travel in a struct).
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sectorlens.llm.common import text_slices, whole_text
+from sectorlens.llm.common import forest, text_slices, whole_text
 
 KINDS = ["email", "ip", "card", "phone"]
 SAMPLE_DOCS, SURE = 1500, 0.9
@@ -157,7 +158,7 @@ class Graph:
                 reached += 1
             label = next((k for x, y, k in taken[reached : reached + 4] if x < b and a < y), 0)
             self.spans.append((a, b))
-            self.places.append(shape(token))
+            self.places.append(shape(token) + [FEATURES - 1] * (text[max(0, a - 1) : a] == "("))
             self.docs.append(doc)
             self.gold.append(label)
             if before is not None and a - before[1] <= 3 and text[before[1] : a].strip(" ()-,.;:") == "":
@@ -193,7 +194,7 @@ def learn(graph: Graph, rounds: int = 300, rate: float = 0.5, l2: float = 1e-3)
         return w
     random = np.random.default_rng(3)
     one = np.eye(LABELS)[y]
-    chain, skips = graph.links("chain"), [graph.links("equal"), graph.links("alike")]
+    linked, skips = graph.links("chain"), [graph.links("equal"), graph.links("alike")]
     votes = []
     for link in skips:
         v = np.zeros((len(y), LABELS))
@@ -202,8 +203,10 @@ def learn(graph: Graph, rounds: int = 300, rate: float = 0.5, l2: float = 1e-3)
         votes.append(v)
     speed = {k: np.full_like(v, 1e-8) for k, v in w.items()}
     for _ in range(rounds):
-        shown = x * (random.random(x.shape[0]) > 0.3)[:, None]
+        shown = x * (random.random(x.shape[0]) > 0.1)[:, None]
         shown[:, 0] = 1
+        # neighbours' labels are shown now and then only: a token's own shape must do for most of it
+        chain = linked[random.random(len(linked)) > 0.7]
         logits = shown @ w["unary"] + w["skip"][0] * votes[0] + w["skip"][1] * votes[1]
         np.add.at(logits, chain[:, 1], w["chain"][y[chain[:, 0]]])
         np.add.at(logits, chain[:, 0], w["chain"][:, y[chain[:, 1]]].T)
@@ -264,10 +267,15 @@ def find_spans(texts: list[str], w: dict[str, np.ndarray]) -> list[tuple[list, l
             graph.add(i, text, spans)
     added = defaultdict(list)
     if graph.spans:
-        p = marginals(graph, w)
+        p, gold = marginals(graph, w), np.array(graph.gold)
         best = p.argmax(axis=1)
+        links = np.concatenate([graph.links("equal"), graph.links("alike")])
+        group = forest(len(gold), links[:, 0], links[:, 1])
+        proof = set(zip(group[gold > 0].tolist(), gold[gold > 0].tolist()))
         # a token under a base span is settled; only others can become spans
-        for i in np.flatnonzero((best > 0) & (np.array(graph.gold) == 0) & (p.max(axis=1) > SURE)):
+        for i in np.flatnonzero((best > 0) & (gold == 0) & (p.max(axis=1) > SURE)):
+            if (int(group[i]), int(best[i])) not in proof:
+                continue
             added[graph.docs[i]].append((KINDS[best[i] - 1], *graph.spans[i]))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     return [(b, sorted([*b, *added[i]], key=order)) for i, b in enumerate(base)]

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sectorlens.llm.common import text_slices
+from sectorlens.llm.common import forest, text_slices
 from sectorlens.operators.lookup import lookup_join
 from sectorlens.session import pinned
 
@@ -101,21 +101,6 @@ def _blocks(cells: DataFrame, cell_rows: int) -> DataFrame:
     return spread.select("cell", block.cast("long").alias("block"), "ones", "fp")
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest node each of ``n`` nodes is connected to."""
-    label = np.arange(n)
-    while a.size:
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, label[a], low)
-        np.minimum.at(label, label[b], low)
-        label = label[label]
-        label = label[label]
-        if np.array_equal(label, before):
-            break
-    return label
-
-
 def _linked(key: np.ndarray, ones: np.ndarray, fp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links among rows sorted by cell and bit count."""
     found_a, found_b, held = [], [], 0
