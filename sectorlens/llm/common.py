@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,28 +34,41 @@ def held_out() -> Column:
 
 
 class WordMemory:
-    """Serialized ids of words an encoder has met in this task.
+    """Serialized ids (of numpy type ``kind``) of words an encoder has met in this task.
 
     ``encode`` turns a list of words into a list of ``bytes``. Memory is bounded:
     beyond ``most`` words, new ones are encoded but not kept.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 400_000):
-        self.encode, self.most, self.known = encode, most, {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], kind: str, most: int = 1_000_000):
+        self.encode, self.kind, self.most, self.known = encode, np.dtype(kind), most, {"": b""}
 
-    def look_up(self, texts: list[list[str]]) -> list[bytes]:
-        """One joined ``bytes`` for each list of words."""
+    def look_up(self, texts: list[str]) -> list[bytes]:
+        """For each text the joined ids of what its spaces separate; each distinct word is looked up once."""
+        if not texts:
+            return []
+        words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = words.values.dictionary_encode()
+        distinct, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         known = self.known
-        new = {word for words in texts for word in words if word not in known}
-        if new:
-            words = list(new)
-            fresh = dict(zip(words, self.encode(words)))
-            if len(known) + len(fresh) <= self.most:
-                known.update(fresh)
-            else:
-                known = {**{w: known[w] for words in texts for w in words if w in known}, **fresh}
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in texts]
+        ids = list(map(known.get, distinct))
+        missing = [i for i, found in enumerate(ids) if found is None]
+        if missing:
+            new = [distinct[i] for i in missing]
+            fresh = self.encode(new)
+            for i, found in zip(missing, fresh):
+                ids[i] = found
+            known.update(islice(zip(new, fresh), max(0, self.most - len(known))))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        every = np.frombuffer(b"".join(ids), self.kind)
+        start = np.cumsum(size) - size
+        per_word = size[at]
+        ends = np.concatenate([[0], np.cumsum(per_word)])
+        places = np.repeat((start[at] - ends[:-1]).astype(np.int32), per_word)
+        places += np.arange(ends[-1], dtype=np.int32)
+        laid = every[places]
+        cuts = ends[words.offsets.to_numpy()]
+        return [laid[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
 
 def text_slices(batches, column: int = 1, most: int = 4 * 1024 * 1024):

@@ -25,7 +25,7 @@ from sectorlens.operators.lookup import lookup_join
 from sectorlens.session import pinned
 
 #: Rows that one range of one source should hold at most.
-RANGE_ROWS = 65_536
+RANGE_ROWS = 4096
 
 
 def word_count(text: Column) -> Column:

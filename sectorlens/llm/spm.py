@@ -22,6 +22,7 @@ empty table gives an empty result; all columns travel along in a struct, so that
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -51,7 +52,7 @@ class Pieces:
         self.byte = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(sp.get_piece_size()) if sp.is_byte(i)}
         self.longest = max(map(len, self.id), default=1)
         self.fits, self.stable = {}, {}
-        self.memory = WordMemory(lambda words: [np.array(x, "<i4").tobytes() for x in sp.encode(words, num_threads=1)])
+        self.memory = WordMemory(lambda words: [array("i", x).tobytes() for x in sp.encode(words, num_threads=1)], "<i4")
 
     def merged(self, text: str) -> list[str]:
         """Pairs merged best score first, leftmost among equals; for short texts."""
@@ -93,12 +94,11 @@ class Pieces:
         out: list[bytes] = [b""] * len(texts)
         easy, whole = [], []
         for i, text in enumerate(texts):
-            words = text.split(" ")
-            if MARK not in text and all(words):
-                easy.append((i, words))
-            elif text:
-                whole.append(i)
-        for (i, _), ids in zip(easy, self.memory.look_up([w for _, w in easy])):
+            if not text:
+                continue
+            alone = MARK not in text and "  " not in text and text[0] != " " and text[-1] != " "
+            (easy if alone else whole).append(i)
+        for i, ids in zip(easy, self.memory.look_up([texts[i] for i in easy])):
             out[i] = ids
         for i in whole:
             out[i] = np.array(self.sp.encode(texts[i]), "<i4").tobytes()
@@ -342,7 +342,7 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK_CHARS) -> DataFrame:
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        for batch in text_slices(batches, column=0):
+        for batch in text_slices(batches, column=0, most=8 * 1024 * 1024):
             found = model.encode_whole([t or "" for t in batch.column(0).to_pylist()])
             offsets = np.cumsum([0, *[len(x) // 4 for x in found]], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))

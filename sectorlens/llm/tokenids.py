@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,51 +38,95 @@ SEGMENT_BYTES = 8 * 1024 * 1024
 DICTIONARY_DOCS, DICTIONARY_DOC_BYTES, DICTIONARY_BYTES = 1500, 16 * 1024, 64 * 1024
 
 
-@lru_cache(maxsize=2)
-def word_encoder(path: str, width: int):
-    """Encoder of whole texts to serialized ids (``width`` bytes each), which remembers words.
+#: White space of the pre-tokenizer other than the space itself.
+_BLANKS = [chr(c) for c in (*range(9, 14), *range(28, 32), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
-    The pre-tokenizer never joins a space to what stands before it unless that is
-    white space as well, so a text whose spaces all stand alone is the sequence of
-    its first word and, for each further word, a space and the word. Any other text
-    is encoded whole.
-    """
-    import os
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+def _printable_bytes() -> dict[int, int]:
+    """The letter that stands for each byte in the vocabulary: itself if printable, else one from 256 up."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(others)}
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    kind = np.dtype(f"<u{width}")
 
-    def encode(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, kind).tobytes() for x in found]
+class Encoder:
+    """Whole texts to serialized ids (``width`` bytes each), with a memory for words.
 
-    return encode, WordMemory(encode)
+    The pre-tokenizer never joins a space to what stands before it unless that is
+    white space as well, so a text whose spaces all stand alone is its first word and then,
+    for each further word, a space and the word. Any other text is encoded whole. A word of Latin
+    letters is one piece of the pre-tokenizer, and a single mark after it is another; such
+    words go straight to the library's model.
+    """
+
+    def __init__(self, path: str, width: int):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.kind, self.letters = np.dtype(f"<u{width}"), _printable_bytes()
+        self.feed = self.whole(["\n"])[0]
+        self.marks = dict(zip(".,;:!?", self.whole(list(".,;:!?"))))
+        self.memory = WordMemory(self._words, self.kind)
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, self.kind).tobytes() for x in found]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words that follow a space, or of a line feed and the word that follows it."""
+        out, others = [], []
+        tokenize, code, known = self.tokenizer.model.tokenize, self.kind.char, self.memory.known.get
+        for i, word in enumerate(words):
+            mark = self.marks.get(word[-1], b"")
+            feed = word[0] == "\n"
+            core = word[feed : -1 if mark else None]
+            if mark and not feed and core[-1:].isalnum() and (ids := known(core)):
+                out.append(ids + mark)
+            elif core.isalpha() and (core.isascii() or max(core) < "\u0250"):
+                spelled = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
+                ids = array(code, [t.id for t in tokenize(spelled if feed else "\u0120" + spelled)]).tobytes()
+                out.append(self.feed + ids + mark if feed else ids + mark)
+            else:
+                out.append(b"")
+                others.append(i)
+        for i, ids in zip(others, self.whole([w if (w := words[i])[0] == "\n" else " " + w for i in others])):
+            out[i] = ids
+        return out
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
+        easy, whole = [], []
+        for i, text in enumerate(texts):
+            (easy if _single_spaced(text) else whole).append(i)
+        split = [texts[i].partition(" ") for i in easy]
+        firsts = self.whole([x[0] for x in split])
+        # a line feed between words is a piece of its own, so the word after it can stand apart
+        rests = [x[2] if "\n\n" in x[2] else x[2].replace("\n", " \n") for x in split]
+        for i, first, rest in zip(easy, firsts, self.memory.look_up(rests)):
+            out[i] = first + rest
+        for i, ids in zip(whole, self.whole([texts[i] for i in whole])):
+            out[i] = ids
+        return out
+
+
+def _single_spaced(text: str) -> bool:
+    """Whether no space stands at an end or beside white space."""
+    if not text or text[0] == " " or text[-1] == " " or "  " in text:
+        return False
+    return not any(c in text and (" " + c in text or c + " " in text) for c in _BLANKS)
 
 
-def _single_spaced(text: str, words: list[str]) -> bool:
-    # a word that begins or ends in white space would stand beside a space
-    return bool(words[0]) and all(w and not w[0].isspace() and not w[-1].isspace() for w in words)
+@lru_cache(maxsize=2)
+def encoder(path: str, width: int) -> Encoder:
+    return Encoder(path, width)
 
 
 def encode_texts(texts: list[str], path: str, width: int) -> list[bytes]:
-    encode, memory = word_encoder(path, width)
-    out: list[bytes | None] = [None] * len(texts)
-    easy, whole = [], []
-    for i, text in enumerate(texts):
-        words = text.split(" ")
-        if _single_spaced(text, words):
-            easy.append((i, [words[0], *[" " + w for w in words[1:]]]))
-        else:
-            whole.append(i)
-    for (i, _), ids in zip(easy, memory.look_up([w for _, w in easy])):
-        out[i] = ids
-    for i, ids in zip(whole, encode([texts[i] for i in whole]) if whole else []):
-        out[i] = ids
-    return out
+    return encoder(path, width).texts(texts)
 
 
 def pack(doc_ids: list[int | None], frames: list[bytes], width: int, digest: bytes) -> bytes:
@@ -154,7 +199,10 @@ def write_token_ids(docs: DataFrame, out: str, tokenizer: str, end_id: int, widt
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, nth = TaskContext.get().partitionId(), 0
-        press = zstandard.ZstdCompressor(level=1, dict_data=_dictionary(dictionary), write_content_size=True)
+        shared = _dictionary(dictionary)
+        if shared:
+            shared.precompute_compress(level=1)
+        press = zstandard.ZstdCompressor(level=1, dict_data=shared, write_content_size=True)
         ids, frames, size = [], [], 0
 
         def packed():
@@ -163,7 +211,7 @@ def write_token_ids(docs: DataFrame, out: str, tokenizer: str, end_id: int, widt
                 row, pa.schema([("part", pa.int32()), ("nth", pa.int32()), ("tokens", pa.int64()), ("data", pa.binary())])
             )
 
-        for piece in text_slices(batches):
+        for piece in text_slices(batches, most=16 * 1024 * 1024):
             for doc_id, raw in zip(piece.column(0).to_pylist(), encode_texts(piece.column(1).to_pylist(), tokenizer, width)):
                 raw += end
                 ids.append(doc_id)
