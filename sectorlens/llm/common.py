@@ -40,7 +40,7 @@ class WordMemory:
     beyond ``most`` words, new ones are encoded but not kept.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], kind: str, most: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], kind: str, most: int = 600_000):
         self.encode, self.kind, self.most, self.known = encode, np.dtype(kind), most, {"": b""}
 
     def look_up(self, texts: list[str]) -> list[bytes]:
