@@ -5,7 +5,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,22 +49,20 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                doc_ids, ids, texts = part.column(0), part.column(1), part.column(2).to_pylist()
-                found = [x.values.to_numpy() for x in ids]
-                decoded = [spm.decode_ids(x, path) for x in found]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        doc_ids,
-                        pa.array([len(t or "") for t in texts], pa.int64()),
-                        pa.array([len(x) for x in found], pa.int64()),
-                        pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64()),
-                        pa.array([d == (t or "") for d, t in zip(decoded, texts)]),
-                    ],
-                    ["doc_id", "n_chars", "n_pieces", "ids_crc32", "round_trip"],
-                )
+        for part in spm.id_slices(batches, column=1):
+            doc_ids, ids, texts = part.column(0), part.column(1), part.column(2).to_pylist()
+            found = [x.values.to_numpy() for x in ids]
+            decoded = [spm.decode_ids(x, path) for x in found]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    doc_ids,
+                    pa.array([len(t or "") for t in texts], pa.int64()),
+                    pa.array([len(x) for x in found], pa.int64()),
+                    pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64()),
+                    pa.array([d == (t or "") for d, t in zip(decoded, texts)]),
+                ],
+                ["doc_id", "n_chars", "n_pieces", "ids_crc32", "round_trip"],
+            )
 
     encoded = spm.encode(docs, path).select("row.doc_id", "ids", "row.text")
     return encoded.mapInArrow(digest, "doc_id long, n_chars long, n_pieces long, ids_crc32 long, round_trip boolean")

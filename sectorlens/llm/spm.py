@@ -29,6 +29,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ class Pieces:
         self.byte = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(sp.get_piece_size()) if sp.is_byte(i)}
         self.longest = max(map(len, self.id), default=1)
         self.fits, self.stable = {}, {}
-        self.memory = WordMemory(lambda words: [array("i", x).tobytes() for x in sp.encode(words, num_threads=1)], "<i4")
+        self.memory = WordMemory(lambda words: [array("i", x).tobytes() for x in sp.encode(words, num_threads=1)], "<i4", most=200_000)
 
     def merged(self, text: str) -> list[str]:
         """Pairs merged best score first, leftmost among equals; for short texts."""
@@ -78,7 +79,7 @@ class Pieces:
     def fit(self, a: str, b: str) -> bool:
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) > 1_000_000:
+            if len(self.fits) > 200_000:
                 self.fits.clear()
             known = self.fits[a, b] = self.merged(a + b) == [a, b]
         return known
@@ -342,7 +343,7 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK_CHARS) -> DataFrame:
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        for batch in text_slices(batches, column=0, most=8 * 1024 * 1024):
+        for batch in text_slices(batches, column=0):
             found = model.encode_whole([t or "" for t in batch.column(0).to_pylist()])
             offsets = np.cumsum([0, *[len(x) // 4 for x in found]], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))
@@ -356,6 +357,17 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK_CHARS) -> DataFrame:
     return short.unionByName(giants.join(_giant_ids(distinct, path, chunk), "mark").select("row", "ids"))
 
 
+def id_slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 500_000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into runs of rows whose ids are about ``most`` together."""
+    for batch in batches:
+        count = np.asarray(pc.fill_null(pc.list_value_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        piece = (np.cumsum(count) - count) // most
+        cuts = np.flatnonzero(np.diff(piece)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def decode_ids(ids: np.ndarray, path: str) -> str:
     return pieces(path).sp.decode(ids.tolist())
 
@@ -364,10 +376,8 @@ def decode(encoded: DataFrame, path: str, kept: list, types: str) -> DataFrame:
     """The columns ``kept`` of ``encoded`` with decoded, the text its ids stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [decode_ids(x.values.to_numpy(), path) for x in part.column(0)]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(texts, pa.string())], [*part.schema.names[1:], "decoded"])
+        for part in id_slices(batches, column=0):
+            texts = [decode_ids(x.values.to_numpy(), path) for x in part.column(0)]
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(texts, pa.string())], [*part.schema.names[1:], "decoded"])
 
     return encoded.select("ids", *kept).mapInArrow(run, f"{types}, decoded string")
