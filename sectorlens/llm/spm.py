@@ -71,9 +71,11 @@ class Pieces:
     def is_stable(self, piece: str) -> bool:
         if len(piece) == 1:
             return True
+        if piece not in self.id:
+            return False
         known = self.stable.get(piece)
         if known is None:
-            known = self.stable[piece] = piece in self.id and self.merged(piece) == [piece]
+            known = self.stable[piece] = self.merged(piece) == [piece]
         return known
 
     def fit(self, a: str, b: str) -> bool:
