@@ -53,7 +53,7 @@ class Pieces:
         self.byte = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(sp.get_piece_size()) if sp.is_byte(i)}
         self.longest = max(map(len, self.id), default=1)
         self.fits, self.stable = {}, {}
-        self.memory = WordMemory(lambda words: [array("i", x).tobytes() for x in sp.encode(words, num_threads=1)], "<i4", most=200_000)
+        self.memory = WordMemory(lambda words: [array("i", x).tobytes() for x in sp.encode(words, num_threads=1)], "<i4", most=100_000)
 
     def merged(self, text: str) -> list[str]:
         """Pairs merged best score first, leftmost among equals; for short texts."""
@@ -81,7 +81,7 @@ class Pieces:
     def fit(self, a: str, b: str) -> bool:
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) > 200_000:
+            if len(self.fits) > 50_000:
                 self.fits.clear()
             known = self.fits[a, b] = self.merged(a + b) == [a, b]
         return known
