@@ -29,18 +29,18 @@ def new_unique(
     """One row per key of ``batch`` that is not in ``seen``.
 
     Among repeats the row with the greatest ``newest`` wins (then the greatest
-    remaining columns, so that a rerun gives the same row). Batch and ledger are
-    grouped together in one shuffle; copies shrink to one row per task before it,
-    and grouping treats null keys as equal.
+    remaining columns, so that a rerun gives the same row). Rows without a full key
+    are no repeats of each other unless they are equal throughout. The batch is
+    reduced before it meets the stored keys, which are never sorted with it.
     """
     rest = [newest, *[c for c in batch.columns if c not in (*keys, newest)]]
-    rows = batch.select(*keys, F.struct(*rest).alias("row"), F.lit(False).alias("known"))
-    if seen is not None:
-        rows = rows.unionByName(
-            seen.select(*keys, F.lit(True).alias("known")), allowMissingColumns=True
-        )
-    kept = rows.groupBy(*keys).agg(F.max("known").alias("known"), F.max("row").alias("row"))
-    return kept.where(~F.col("known")).select(*keys, "row.*").select(*batch.columns)
+    keyless = F.lit(False)
+    for key in keys:
+        keyless = keyless | F.col(key).isNull()
+    apart = F.when(keyless, F.xxhash64(*rest)).alias("__apart")
+    rows = batch.select(*keys, apart, F.struct(*rest).alias("row"))
+    single = rows.groupBy(*keys, "__apart").agg(F.max("row").alias("row"))
+    return drop_seen(single.select(*keys, "row.*").select(*batch.columns), seen, keys)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

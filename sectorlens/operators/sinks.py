@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sectorlens import schemas
 from sectorlens.functions import times
 from sectorlens.operators import dedupe
+from sectorlens.sources import landing
 
 Mode = Literal["append", "overwrite", "overwrite_partitions"]
 
@@ -55,9 +57,23 @@ def with_slot(bars: DataFrame) -> DataFrame:
 
 
 def land_bars(bars: DataFrame, path: str) -> int:
-    """Land fetched bars by day; a day that comes again is added to, not replaced."""
-    dated = bars.withColumn("date", F.to_date("datetime"))
-    return write_dataset(dated, path, "append", ["date"])
+    """Land fetched bars by day, each bar once; returns how many were new.
+
+    A bar whose time and key are landed already, or that comes twice in the batch,
+    is not added again, so a retried run changes nothing. Only the batch's days are read.
+    """
+    keys = ["datetime", *[k for k in schemas.BAR_KEY.values() if k in bars.columns]]
+    dated = _one_per_key(bars, keys).withColumn("date", F.to_date("datetime"))
+    first, last = dated.agg(F.min("date"), F.max("date")).first()
+    stored = landing.read_or_empty(bars.sparkSession, path, dated.schema)
+    near = stored.where(F.col("date").between(F.lit(first), F.lit(last)) | F.col("date").isNull())
+    return write_dataset(dedupe.drop_seen(dated, near, keys), path, "append", ["date"])
+
+
+def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Copies of a key reduced to the smallest remaining row, so that reruns agree."""
+    rest = [c for c in df.columns if c not in keys]
+    return dedupe.keep_first(df, keys, rest) if rest else df.distinct()
 
 
 def save_cleaned(bars: DataFrame, path: str) -> int:
@@ -93,7 +109,7 @@ def append_by_name(df: DataFrame, table: str) -> None:
 def append_new(
     df: DataFrame, table: str, keys: Sequence[str], time: str = "datetime"
 ) -> None:
-    """Append the rows whose keys the table lacks, so a repeated load adds nothing.
+    """Append the rows whose keys the table lacks, one per key, so a repeated load adds nothing.
 
     ``time`` is one of the keys. Stored rows outside the span of times in ``df``
     cannot match and are left out of the scan, so a load costs as much as its
@@ -106,7 +122,7 @@ def append_new(
     in_span = F.col(time).between(times.run_time(first), times.run_time(last))
     stored = df.sparkSession.table(table).select(*keys)
     near = stored.where(in_span | F.col(time).isNull())
-    append_by_name(dedupe.drop_seen(df, near, keys), table)
+    append_by_name(dedupe.drop_seen(_one_per_key(df, keys), near, keys), table)
 
 
 def full_refresh(df: DataFrame, table: str, folder: str) -> int:

@@ -115,8 +115,9 @@ def _member_news(
     k: int,
     null_first: bool,
     limit: int,
+    cut: bool = True,
 ) -> DataFrame:
-    """News of the top sector's companies, at least the ``k`` newest of each.
+    """News of the top sector's companies, at least the ``k`` newest of each (all without ``cut``).
 
     The companies of all sectors are measured, which bounds those of the top one
     without finding it first. If they are too many, news is first cut to ``k`` rows per company;
@@ -130,6 +131,8 @@ def _member_news(
     everyone = companies.join(industries.select("industry_key", "sector_key"), "industry_key")
     if lookup.fits_broadcast(everyone, limit):
         return articles.join(F.broadcast(members), "company_key")
+    if not cut:
+        return articles.join(members, "company_key")
     newest = topk.newest_per(
         articles, ["company_key"], k, ties=NEWS_TIES, null_first=null_first
     )
@@ -149,17 +152,26 @@ def top_sector_news(
     """The ``k`` newest news rows of the top sector.
 
     An article about three of its companies takes three places, unless
-    ``distinct_articles`` keeps only its first company.
+    ``distinct_articles`` keeps only its first company. Articles without an id are
+    never taken for one another.
     """
     if distinct_articles:
         # one row per article and company, so that copies take no place either
         keep = F.max(F.struct("pubdate", "title", "summary")).alias("row")
-        news = news.groupBy(*schemas.NEWS_KEYS).agg(keep).select(*schemas.NEWS_KEYS, "row.*")
-    found = _member_news(news, companies, industries, top, k, null_first, limit)
+        plain = [*schemas.NEWS_KEYS, "pubdate", "title", "summary"]
+        known = news.where(F.col("content_id").isNotNull()).groupBy(*schemas.NEWS_KEYS).agg(keep)
+        nameless = news.where(F.col("content_id").isNull()).select(*plain)
+        news = known.select(*schemas.NEWS_KEYS, "row.*").select(*plain).unionByName(nameless)
+    # which company an article counts for is settled before any cut, whatever the plan
+    found = _member_news(
+        news, companies, industries, top, k, null_first, limit, cut=not distinct_articles
+    )
     if distinct_articles:
         rest = [c for c in found.columns if c not in ("content_id", "company_key")]
         one = F.min(F.struct("company_key", *rest)).alias("row")
-        found = found.groupBy("content_id").agg(one).select("content_id", "row.*")
+        named = found.where(F.col("content_id").isNotNull()).groupBy("content_id").agg(one)
+        nameless = found.where(F.col("content_id").isNull())
+        found = named.select("content_id", "row.*").unionByName(nameless)
     ranked = topk.newest_per(found, ["sector"], k, ties=NEWS_TIES, null_first=null_first)
     return ranked.select("pubdate", "title", "summary", "company_name", "sector")
 

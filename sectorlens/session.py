@@ -17,11 +17,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only where
-    that is unset (a local test session) is a temporary folder made.
+    The cluster names its shared folder in ``spark.checkpoint.dir``. Only a local
+    session, whose tasks share the driver's disk, may leave it unset; a cluster
+    without it is an error, since executors could not see each other's files.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="sectorlens-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 

@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
@@ -116,6 +117,17 @@ def _row_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"path": path, "row_group": range(groups)})
 
 
+def _typed(rows: pa.RecordBatch, field: pa.Field) -> pa.Array:
+    """A column in its wanted type: absent means null, and a number that is none means null where whole numbers go."""
+    if field.name not in rows.schema.names:
+        return pa.nulls(rows.num_rows, field.type)
+    column = rows.column(field.name)
+    if pa.types.is_floating(column.type) and pa.types.is_integer(field.type):
+        column = pc.if_else(pc.is_nan(column), pa.scalar(None, column.type), column)
+    # times only are cast unsafely: nanoseconds are cut to microseconds
+    return column.cast(field.type, safe=not pa.types.is_timestamp(field.type))
+
+
 def _typed_reader(schema: T.StructType):
     wanted = to_arrow_schema(schema)
 
@@ -124,14 +136,9 @@ def _typed_reader(schema: T.StructType):
             for piece in batch.to_pylist():
                 filesystem, place = pafs.FileSystem.from_uri(piece["path"])
                 with pq.ParquetFile(place, filesystem=filesystem) as file:
-                    for rows in file.iter_batches(
-                        row_groups=[piece["row_group"]], columns=wanted.names
-                    ):
-                        # unsafe: nanoseconds are cut to microseconds
-                        columns_ = [
-                            rows.column(field.name).cast(field.type, safe=False)
-                            for field in wanted
-                        ]
+                    there = [name for name in wanted.names if name in file.schema_arrow.names]
+                    for rows in file.iter_batches(row_groups=[piece["row_group"]], columns=there):
+                        columns_ = [_typed(rows, field) for field in wanted]
                         yield pa.RecordBatch.from_arrays(columns_, schema=wanted)
 
     return read

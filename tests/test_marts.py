@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sectorlens import schemas, session
-from sectorlens.operators import quality
+from sectorlens.operators import lookup, quality
 from sectorlens.plans import marts
 from tests.helpers import at, plan_of, rows
 
@@ -203,3 +203,19 @@ def test_empty_tables_give_empty_models(spark):
     raw = {name: spark.createDataFrame([], schema) for name, schema in schemas.RAW_TABLES.items()}
     stored = marts.refresh(raw, "analytics_empty", session.scratch_dir(spark, "empty"))
     assert {name: df.count() for name, df in stored.items()} == dict.fromkeys(stored, 0)
+
+
+@pytest.mark.parametrize("limit", [0, lookup.BROADCAST_BYTES])
+def test_distinct_articles_do_not_depend_on_the_plan(spark, limit):
+    companies = spark.createDataFrame([("A", "Co A", "i"), ("B", "Co B", "i")], "company_symbol string, company_name string, industry_key string")
+    industries = spark.createDataFrame([("i", "I", "", 1.0, "s")], schemas.INDUSTRY_INFO)
+    top = spark.createDataFrame([("s",)], "sector string")
+    news = spark.createDataFrame(
+        [("x", "A", "x", "", "", at("2025-01-01T00:00:00")), ("x", "B", "x", "", "", at("2025-01-03T00:00:00")), ("y", "A", "y", "", "", at("2025-01-02T00:00:00"))],
+        "content_id string, company_key string, title string, summary string, url string, pubdate timestamp",
+    )
+    args = (companies, industries, top)
+    got = marts.top_sector_news(news, *args, k=1, distinct_articles=True, limit=limit)
+    assert rows(got.select("title", "company_name")) == [("y", "Co A")]
+    nameless = news.withColumn("content_id", F.lit(None).cast("string"))
+    assert marts.top_sector_news(nameless, *args, k=9, distinct_articles=True, limit=limit).count() == 3

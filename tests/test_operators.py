@@ -208,6 +208,10 @@ def test_new_unique_keeps_the_newest_copy(spark):
         (None, "A", 1, "n"),
     ]
     assert dedupe.new_unique(news, None, keys, "pubdate").count() == 3
+    # two articles without an id are two articles, fetched twice they are still two
+    other = spark.createDataFrame([(None, "A", 1, "another"), (None, "A", 1, "n")], news.schema)
+    assert dedupe.new_unique(news.unionByName(other), None, keys, "pubdate").count() == 4
+    assert dedupe.new_unique(other, pair_frame(spark, (None, "A")), keys, "pubdate").count() == 0
 
 
 def test_keep_first(spark):

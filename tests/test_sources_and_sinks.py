@@ -252,6 +252,10 @@ def test_land_and_save_cleaned(spark, tmp_path):
     bars = bars_frame(spark, T0, T0 + timedelta(minutes=15))
     sinks.land_bars(bars, landed)
     assert (tmp_path / "landed" / "date=2025-01-02").is_dir()
+    more = bars_frame(spark, T0, T0 + timedelta(minutes=30))
+    assert sinks.land_bars(more.unionByName(more), landed) == 1  # copies and a retried bar are not added
+    assert sinks.land_bars(more, landed) == 0
+    assert spark.read.parquet(landed).count() == 3
     for close in (1.0, 2.0):
         sinks.save_cleaned(bars_frame(spark, T0, close=close), cleaned)
     sinks.save_cleaned(bars_frame(spark, T0 + timedelta(minutes=15)), cleaned)
@@ -268,7 +272,7 @@ def test_append_by_name(spark, tmp_path):
     assert rows(spark.table("by_name")) == [(T0, "A", None, None, None, 2.5, None)]
     more = bars_frame(spark, T0, T0 + timedelta(minutes=15))
     for _ in range(2):
-        sinks.append_new(more, "by_name", ["datetime", "company_symbol"])
+        sinks.append_new(more.unionByName(more), "by_name", ["datetime", "company_symbol"])
     assert spark.table("by_name").count() == 2
     untimed = more.withColumn("datetime", F.lit(None).cast("timestamp")).limit(1)
     for _ in range(2):
@@ -319,3 +323,29 @@ def test_empty_writes_count_zero(spark, tmp_path):
     assert sinks.land_bars(none, str(tmp_path / "b")) == 0
     assert sinks.full_refresh(none, "refreshed_empty", str(tmp_path / "c")) == 0
     assert spark.table("refreshed_empty").count() == 0
+
+
+def test_foreign_reader_takes_gaps_and_absent_columns(spark, tmp_path):
+    table = pa.table(
+        {
+            "Datetime": pa.array([T0, T0 + timedelta(minutes=15)], pa.timestamp("ns", "UTC")),
+            **{name: [1.0, 2.0] for name in ("Open", "High", "Low", "Close")},
+            "Volume": [float("nan"), 7.0],
+            "Company_symbol": ["A", "A"],
+        }
+    )
+    pq.write_table(table, tmp_path / "odd.parquet")
+    got = landing.read_foreign_bars(spark, str(tmp_path), "company")
+    assert rows(got.select("volume")) == [(7,), (None,)]
+
+
+def test_scratch_folder_must_be_shared_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://somewhere:7077"
+
+    with pytest.raises(ValueError):
+        session.scratch_dir(Session, "x")
