@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,25 +49,22 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer_path("piece_bpe_32k.model")
     docs = table(spark, folder, "documents").select("doc_id", "text")
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in spm.id_slices(batches, column=1):
-            doc_ids, ids, n_chars, marks = part.columns
-            found = [x.values.to_numpy() for x in ids]
-            decoded = [spm.decode_ids(x, path) for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    doc_ids,
-                    n_chars,
-                    pa.array([len(x) for x in found], pa.int64()),
-                    pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64()),
-                    pa.array([hashlib.sha256(d.encode()).hexdigest() == m for d, m in zip(decoded, marks.to_pylist())]),
-                ],
-                ["doc_id", "n_chars", "n_pieces", "ids_crc32", "round_trip"],
-            )
-
-    text = F.coalesce(F.col("row.text"), F.lit(""))
-    encoded = spm.encode(docs, path).select("row.doc_id", "ids", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("mark"))
-    return encoded.mapInArrow(digest, "doc_id long, n_chars long, n_pieces long, ids_crc32 long, round_trip boolean")
+    def digest(rows: pa.Array, ids: pa.Array) -> pa.RecordBatch:
+        texts = [t or "" for t in pc.struct_field(rows, 1).to_pylist()]
+        found = [x.values.to_numpy() for x in ids]
+        return pa.RecordBatch.from_arrays(
+            [
+                pc.struct_field(rows, 0),
+                pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([len(x) for x in found], pa.int64()),
+                pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64()),
+                pa.array([spm.decode_ids(x, path) == t for x, t in zip(found, texts)]),
+            ],
+            ["doc_id", "n_chars", "n_pieces", "ids_crc32", "round_trip"],
+        )
+
+    types = "doc_id long, n_chars long, n_pieces long, ids_crc32 long, round_trip boolean"
+    return spm.encode(docs, path, finish=digest, types=types)
 
 
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,7 +23,7 @@ empty table gives an empty result; all columns travel along in a struct, so that
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -38,6 +38,8 @@ from sectorlens.session import pinned
 
 MARK = "▁"
 CHUNK_CHARS = 32_768
+#: Rows and their lists of ids to a record batch.
+Finish = Callable[[pa.Array, pa.Array], pa.RecordBatch]
 
 
 class Pieces:
@@ -304,7 +306,7 @@ def _giant_ids(texts: DataFrame, path: str, chunk: int) -> DataFrame:
 
     def transfers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        for batch in text_slices(batches, column=2):
+        for batch in text_slices(batches, column=2, most=1024 * 1024):
             rows = batch.to_pylist()
             found = [Chunk(model, r["text"], r["low"], r["high"], r["last"]).transfer() for r in rows]
             kinds = pa.schema([("mark", pa.string()), ("nth", pa.int64()), ("entries", pa.int64()), ("open", pa.binary())])
@@ -320,9 +322,9 @@ def _giant_ids(texts: DataFrame, path: str, chunk: int) -> DataFrame:
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        for batch in text_slices(batches, column=2):
+        for batch in text_slices(batches, column=2, most=1024 * 1024):
             rows = batch.to_pylist()
-            found = [Chunk(model, r["text"], r["low"], r["high"], r["last"]).ids(r["a"], r["b"]) for r in rows]
+            found = [np.array(Chunk(model, r["text"], r["low"], r["high"], r["last"]).ids(r["a"], r["b"]), np.int32) for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["mark"] for r in rows]), pa.array([r["nth"] for r in rows], pa.int64()), pa.array(found, pa.list_(pa.int32()))],
                 ["mark", "nth", "part"],
@@ -338,25 +340,40 @@ def _giant_ids(texts: DataFrame, path: str, chunk: int) -> DataFrame:
     return whole.select("mark", F.flatten("parts.part").alias("ids"))
 
 
-def encode(docs: DataFrame, path: str, chunk: int = CHUNK_CHARS) -> DataFrame:
-    """row (a struct of the columns of ``docs``) and ids, the piece ids of its text."""
+def encode(docs: DataFrame, path: str, chunk: int = CHUNK_CHARS, finish: Finish | None = None, types: str = "") -> DataFrame:
+    """row (a struct of the columns of ``docs``) and ids, the piece ids of its text.
+
+    ``finish`` turns rows and ids into other columns (``types``) in the task that has
+    them, so that ids need not travel on when only something derived from them is wanted.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    types = f"row struct<{', '.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in docs.schema)}>, ids array<int>"
+    types = types or f"row struct<{', '.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in docs.schema)}>, ids array<int>"
+    at = docs.columns.index("text")
+
+    def finished(rows: pa.Array, ids: pa.Array) -> pa.RecordBatch:
+        return finish(rows, ids) if finish else pa.RecordBatch.from_arrays([rows, ids], ["row", "ids"])
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        for batch in text_slices(batches, column=0):
-            found = model.encode_whole([t or "" for t in batch.column(0).to_pylist()])
-            offsets = np.cumsum([0, *[len(x) // 4 for x in found]], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column(1), ids], ["row", "ids"])
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([pc.struct_field(batch.column(0), at), batch.column(0)], ["text", "row"])
+            for part in text_slices([texts], column=0, most=2 * 1024 * 1024):
+                found = model.encode_whole([t or "" for t in part.column(0).to_pylist()])
+                offsets = np.cumsum([0, *[len(x) // 4 for x in found]], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))
+                yield finished(part.column(1), ids)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in id_slices(batches, column=1):
+            yield finished(part.column(0), part.column(1))
 
     long = F.coalesce(F.length("text") > chunk, F.lit(False))
-    short = docs.filter(~long).select(F.col("text"), row).mapInArrow(plain, types)
+    short = docs.filter(~long).select(row).mapInArrow(plain, types)
     mark = F.sha2("text", 256)
     giants = docs.filter(long).select(mark.alias("mark"), row)
     distinct = giants.select("mark", F.col("row.text").alias("text")).dropDuplicates(["mark"])
-    return short.unionByName(giants.join(_giant_ids(distinct, path, chunk), "mark").select("row", "ids"))
+    joined = giants.join(_giant_ids(distinct, path, chunk), "mark").select("row", "ids")
+    return short.unionByName(joined.mapInArrow(whole, types) if finish else joined)
 
 
 def id_slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 500_000) -> Iterator[pa.RecordBatch]:
