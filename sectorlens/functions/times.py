@@ -14,14 +14,43 @@ BAR_WIDTH = "15 minutes"
 BAR_GAP_MINUTES = 15
 
 
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def utc_clock(ts: Column) -> Column:
+    """The UTC wall clock of an instant as a zoneless timestamp, whatever the session's zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.expr(_EPOCH))
+
+
+def from_utc_clock(clock: Column) -> Column:
+    """The instant at which clocks in UTC show ``clock``."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), clock))
+
+
 def parse_instant(text: Column) -> Column:
-    """Text or timestamp to a UTC instant; what cannot be parsed becomes null."""
-    return F.try_to_timestamp(text)
+    """Text or timestamp to an instant; what cannot be parsed becomes null.
+
+    Text without a zone means UTC, whatever the session's zone: it is read with a
+    ``Z`` behind it first, which text with a zone of its own does not allow.
+    """
+    # a bare time of day would be read as today's
+    plain = F.when(text.cast("string").rlike(r"^\s*[+-]?\d{4}"), text.cast("string"))
+    read = F.coalesce(
+        F.try_to_timestamp(F.concat(plain, F.lit("Z"))),
+        F.try_to_timestamp(F.concat(plain, F.lit("T00:00:00Z"))),
+        F.try_to_timestamp(plain),
+    )
+    return F.when(F.typeof(text) == "timestamp", text.try_cast("timestamp")).otherwise(read)
+
+
+def utc_day(ts: Column) -> Column:
+    return utc_clock(ts).cast("date")
 
 
 def iso_offset(ts: Column) -> Column:
-    """``2025-11-01T14:30:00+00:00``: seconds precision, offset with a colon."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")
+    """``2025-11-01T14:30:00+00:00``: UTC, seconds precision, offset with a colon."""
+    seconds = F.timestamp_add("SECOND", F.unix_seconds(ts), F.expr(_EPOCH)).cast("string")
+    return F.concat(F.translate(seconds, " ", "T"), F.lit("+00:00"))
 
 
 def colon_offset(text: Column) -> Column:
@@ -30,27 +59,30 @@ def colon_offset(text: Column) -> Column:
 
 
 def day_text(ts: Column, pattern: str = "yyyy-MM-dd") -> Column:
-    return F.date_format(ts, pattern)
+    """The UTC day as text; the pattern may use fields of the date only."""
+    return F.date_format(utc_day(ts), pattern)
 
 
 def hhmm_text(ts: Column) -> Column:
-    return F.date_format(ts, "HHmm")
+    """Hour and minute in UTC."""
+    clock = utc_clock(ts)
+    return F.concat(*[F.lpad(part(clock).cast("string"), 2, "0") for part in (F.hour, F.minute)])
 
 
 def exchange_clock(ts: Column, zone: str = EXCHANGE_ZONE) -> Column:
-    """Wall-clock reading at the exchange, for display; instants carry no zone."""
-    return F.from_utc_timestamp(ts, zone)
+    """Wall-clock reading at the exchange, for display: a timestamp without a zone."""
+    return utc_clock(F.from_utc_timestamp(ts, zone))
 
 
 def run_time(now: datetime | str | Column) -> Column:
     """The run's time as a timestamp literal, from a datetime or ISO text.
 
-    Without a zone it is UTC, whatever zone the driver's machine is in.
+    Without a zone it is UTC, whatever zone the session or the driver's machine is in.
     """
     if isinstance(now, Column):
         return now
     text = now.isoformat(sep=" ") if isinstance(now, datetime) else now
-    return F.lit(text).cast("timestamp")
+    return parse_instant(F.lit(text))
 
 
 def target_slot(now: datetime | str | Column, lag_minutes: int = BAR_LAG_MINUTES) -> Column:

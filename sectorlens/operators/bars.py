@@ -33,7 +33,8 @@ def _trades(ticks: DataFrame) -> DataFrame:
     return ticks.where(F.col("ts").isNotNull() & F.col("price").isNotNull())
 
 
-def _grouped(ticks: DataFrame, keys: Sequence[str], width: str) -> DataFrame:
+def partial_bars(ticks: DataFrame, keys: Sequence[str], width: str = times.BAR_WIDTH) -> DataFrame:
+    """Bars with ``first_at`` and ``last_at``, from which :func:`widen` merges bars of the same window."""
     order = tick_order(F.col("ts"), F.col("seq"))
     slot = F.window("ts", width)
     # A stream drops old state by the whole window; its start alone is a smaller key.
@@ -75,7 +76,7 @@ def ohlcv(ticks: DataFrame, keys: Sequence[str], width: str = times.BAR_WIDTH) -
     none. All aggregates combine map-side, so a hot key sends one row per
     window and task. Works on batch and streaming frames.
     """
-    return _grouped(ticks, keys, width).drop("first_at", "last_at")
+    return partial_bars(ticks, keys, width).drop("first_at", "last_at")
 
 
 def slot_bars(
@@ -126,15 +127,21 @@ def sector_bars(
     )
     if lookup.fits_broadcast(in_sector, limit):
         return ohlcv(ticks.join(F.broadcast(in_sector), "company_symbol"), ["sector"], width)
-    company_bars = _grouped(ticks, ["company_symbol"], width)
+    company_bars = partial_bars(ticks, ["company_symbol"], width)
     return widen(company_bars.join(in_sector, "company_symbol"), ["sector"])
 
 
 def last_bar(bars: DataFrame, key: str) -> DataFrame:
-    """Newest bar of each key. Only a running maximum per key and task is shuffled."""
+    """Newest bar of each key. Only a running maximum per key and task is shuffled.
+
+    The fields of a bar have a fixed width, so they are hash-aggregated one by one.
+    Of several bars with the newest time one is taken whole, the same in every run.
+    """
     rest = [name for name in bars.columns if name not in (key, "datetime")]
-    newest = bars.groupBy(key).agg(F.max(F.struct("datetime", *rest)).alias("bar"))
-    return newest.select(key, "bar.*")
+    place = tick_order(F.col("datetime"), F.xxhash64(*rest) if rest else F.lit(0)).alias("__place")
+    placed = bars.select(key, "datetime", *rest, place)
+    fields = [F.max_by(name, "__place").alias(name) for name in rest]
+    return placed.groupBy(key).agg(F.max("datetime").alias("datetime"), *fields)
 
 
 def stale_keys(

@@ -35,11 +35,10 @@ def with_previous(
     merged = parts.groupBy(*keys, cell, "__time").agg(
         F.max("__value").alias("__value"), F.count(F.lit(1)).alias("copies")
     )
-    # Both branches read the same columns of ``rows``, so a shuffle below is reused.
-    last = (
-        F.max("__time") if value == time else F.max(F.struct("__time", "__value"))["__value"]
-    )
-    tails = parts.groupBy(*keys, cell).agg(last.alias("__value"))
+    # The tails come from the merged rows, whose shuffle both branches share, so ``rows`` is
+    # read once. Fixed-width values are hash-aggregated.
+    last = F.max("__time") if value == time else F.max_by("__value", "__time")
+    tails = merged.groupBy(*keys, cell).agg(last.alias("__value"))
     over_buckets = Window.partitionBy(*keys).orderBy(cell)
     carried = tails.select(*keys, cell, F.lag("__value", 1).over(over_buckets).alias("__value"))
     stacked = merged.unionByName(carried, allowMissingColumns=True)

@@ -51,7 +51,7 @@ def with_slot(bars: DataFrame) -> DataFrame:
     Taken from the row, not from the run, so that a first load of a month lands
     under the right days and a reload replaces exactly its own slots.
     """
-    return bars.withColumn("date", F.to_date("datetime")).withColumn(
+    return bars.withColumn("date", times.utc_day(F.col("datetime"))).withColumn(
         "slot", times.hhmm_text(F.col("datetime"))
     )
 
@@ -63,7 +63,7 @@ def land_bars(bars: DataFrame, path: str) -> int:
     is not added again, so a retried run changes nothing. Only the batch's days are read.
     """
     keys = ["datetime", *[k for k in schemas.BAR_KEY.values() if k in bars.columns]]
-    dated = _one_per_key(bars, keys).withColumn("date", F.to_date("datetime"))
+    dated = _one_per_key(bars, keys).withColumn("date", times.utc_day(F.col("datetime")))
     first, last = dated.agg(F.min("date"), F.max("date")).first()
     stored = landing.read_or_empty(bars.sparkSession, path, dated.schema)
     near = stored.where(F.col("date").between(F.lit(first), F.lit(last)) | F.col("date").isNull())
@@ -116,10 +116,12 @@ def append_new(
     batch, not as the table. Safe against reruns, not against two loads of the
     same keys at the same time.
     """
-    first, last = df.agg(
-        F.min(time).cast("string").alias("first"), F.max(time).cast("string").alias("last")
-    ).first()
-    in_span = F.col(time).between(times.run_time(first), times.run_time(last))
+    micros = F.unix_micros(time)
+    first, last = (
+        F.timestamp_micros(F.lit(end).cast("long"))
+        for end in df.agg(F.min(micros), F.max(micros)).first()
+    )
+    in_span = F.col(time).between(first, last)
     stored = df.sparkSession.table(table).select(*keys)
     near = stored.where(in_span | F.col(time).isNull())
     append_by_name(dedupe.drop_seen(_one_per_key(df, keys), near, keys), table)

@@ -23,15 +23,30 @@ def news_rows(payloads: DataFrame) -> DataFrame:
     return dated.withColumn("date", F.col("date").cast("date"))
 
 
-def ingest_news(payloads: DataFrame, path: str, since: date | str | None = None) -> int:
+def ingest_news(
+    payloads: DataFrame,
+    path: str,
+    since: date | str | None = None,
+    quarantine: str | None = None,
+) -> int:
     """Append news that the store does not have yet, in folders by day.
 
     Returns the number of new rows. Seen keys are taken from the store itself, not
     from a separate list that a failed run could leave ahead of the data. News
     without a readable time lands in the default partition. ``since`` compares
-    with the stored days from then on only, if the vendor repeats nothing older.
+    with the stored days from then on only; use it if the vendor repeats nothing older.
+
+    Payload lines that cannot be read are kept below ``quarantine``, each once. Without
+    such a folder they are an error, and nothing is stored.
     """
     spark = payloads.sparkSession
+    unreadable = news_source.unreadable_payloads(payloads)
+    if quarantine is not None:
+        kept = landing.read_or_empty(spark, quarantine, unreadable.schema)
+        new_lines = dedupe.drop_seen(unreadable.distinct(), kept, ["payload"])
+        sinks.write_dataset(new_lines, quarantine, "append")
+    elif not unreadable.isEmpty():
+        raise ValueError("there are payloads that cannot be read, and no folder to keep them in")
     stored = landing.read_or_empty(spark, path, schemas.NEWS_LANDING)
     if since is not None:
         recent = F.col("date") >= F.lit(since).cast("date")
@@ -60,16 +75,29 @@ def fetch_bars(
 ) -> DataFrame:
     """The bars a run at ``now`` has to land.
 
-    With nothing landed yet that is one month of history, otherwise the bar of
-    the target slot. ``strict`` raises if a key has no bar in that slot.
+    With nothing landed yet that is one month of history, otherwise the bars after
+    the newest landed one up to the target slot, so that runs which did not take
+    place leave no gap, and that slot itself. ``strict`` raises if a key has no bar
+    in that slot, or in the month of a first load. If ``landed`` is kept by ``date``,
+    only its newest folder is read.
     """
     key = schemas.BAR_KEY[schemas.bar_kind(kind)]
-    if landing.fetch_window(landed, now).first()["mode"] == "bootstrap":
-        fetched = bars.where(F.col("datetime") >= landing.bootstrap_start(now))
-        if strict and fetched.isEmpty():
-            raise bar_ops.DataNotFound(f"no {kind} bars in the month before {now}")
+    time = F.col("datetime")
+    window = landing.fetch_window(landing.newest_day(landed), now)
+    mode, since = window.select("mode", F.unix_micros("since")).first()
+    if mode == "bootstrap":
+        fetched = bars.where(time >= landing.bootstrap_start(now))
+        if strict:
+            arrived = fetched.select(key, "datetime")
+            absent = bar_ops.stale_keys(keys, arrived, key, now).where("status = 'missing'")
+            bar_ops.require_fresh(absent, key)
+            if fetched.isEmpty():
+                raise bar_ops.DataNotFound(f"no {kind} bars in the month before {now}")
         return fetched
-    fetched = bars.where(times.in_slot(F.col("datetime"), now))
+    newer = time > F.timestamp_micros(F.lit(since).cast("long"))
+    slot = times.in_slot(time, now)
+    before_end = time < times.target_slot(now) + F.expr("INTERVAL 1 MINUTE")
+    fetched = bars.where(slot | (newer & before_end))
     if strict:
         bar_ops.require_fresh(bar_ops.stale_keys(keys, fetched, key, now), key)
     return fetched

@@ -6,7 +6,7 @@ to be small, or are cut to a few rows per company before they are joined.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import Literal
 
@@ -44,6 +44,14 @@ def company_detail(
     )
 
 
+def _from(bars: DataFrame, start: Column) -> DataFrame:
+    """Bars from ``start`` on; of a table kept by ``date``, older folders are not listed."""
+    recent = bars.where(F.col("datetime") >= start)
+    if "date" in bars.columns:
+        recent = recent.where(F.col("date") >= times.utc_day(start))
+    return recent
+
+
 def sector_change(
     stock_sector: DataFrame, since: datetime | str | Column | None = None
 ) -> DataFrame:
@@ -54,12 +62,7 @@ def sector_change(
     ``since`` leaves older bars out of the scan; of a table kept by ``date``, whole
     folders.
     """
-    bars = stock_sector
-    if since is not None:
-        start = times.run_time(since)
-        bars = bars.where(F.col("datetime") >= start)
-        if "date" in bars.columns:
-            bars = bars.where(F.col("date") >= F.to_date(start))
+    bars = stock_sector if since is None else _from(stock_sector, times.run_time(since))
     paired = with_previous(bars, ["sector"], "datetime", "high", "prev_high")
     return paired.where(F.col("prev_high").isNotNull()).select(
         "datetime",
@@ -72,7 +75,6 @@ def sector_change(
 
 def stock_top_sector(
     stock_sector: DataFrame,
-    since: datetime | str | Column | None = None,
     direction: Literal["signed", "abs"] = "signed",
     null_first: bool = False,
 ) -> DataFrame:
@@ -83,10 +85,38 @@ def stock_top_sector(
     """
     change = F.col("diff_percent") if direction == "signed" else F.abs("diff_percent")
     largest = change.desc_nulls_first() if null_first else change.desc_nulls_last()
-    moved = sector_change(stock_sector, since)
+    moved = sector_change(stock_sector)
     return moved.orderBy(F.col("datetime").desc_nulls_last(), largest, "sector").limit(1)
 
 
+def settled_top_sector(
+    stock_sector: DataFrame, days: Sequence[int] = (1, 7, 60), **options
+) -> DataFrame:
+    """The row of :func:`stock_top_sector`, pinned, from as few of the newest bars as settle it.
+
+    The last day is tried first, then longer spans, then all bars. A span settles the
+    answer if each sector with a bar at the newest time has an earlier one within the
+    span, since no older bar can then be its predecessor, and one of them competes. So
+    the answer never depends on ``days``, only the number of bars read does.
+    """
+    micros = F.unix_micros("datetime")
+    newest = stock_sector.agg(F.max(micros)).first()[0]
+    if newest is not None:
+        for n in days:
+            start = F.timestamp_micros(F.lit(newest - n * 86_400_000_000).cast("long"))
+            recent = _from(stock_sector, start)
+            spans = recent.groupBy("sector").agg(
+                F.min(micros).alias("first"), F.max(micros).alias("last")
+            )
+            latest_first = spans.where(F.col("last") == newest).agg(F.max("first")).first()[0]
+            if latest_first == newest:
+                continue
+            top = session.pinned(stock_top_sector(recent, **options))
+            if not top.where(micros == newest).isEmpty():
+                return top
+    return session.pinned(stock_top_sector(stock_sector, **options))
+
+
 def top_sector_companies(
     companies: DataFrame, industries: DataFrame, top: DataFrame
 ) -> DataFrame:
@@ -242,16 +272,14 @@ def refresh(
     raw: Mapping[str, DataFrame],
     database: str,
     folder: str,
-    since: datetime | str | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuild the four stored models from the raw tables; returns what was stored.
 
     The top sector is determined once and pinned, so that all tables agree on it
-    even if bars are loaded meanwhile. With ``since`` it is looked for in the bars
-    from then on.
+    even if bars are loaded meanwhile.
     """
     companies, industries = raw["company_info"], raw["industry_info"]
-    top = session.pinned(stock_top_sector(raw["stock_sector"], since))
+    top = settled_top_sector(raw["stock_sector"])
     models = {
         "top_sector": top_sector(industries, top),
         "top_sector_news": top_sector_news(raw["news"], companies, industries, top),

@@ -182,6 +182,41 @@ def _(spark, folder):
     )
 
 
+@_register(
+    "bars_after_outage",
+    f"""SELECT * FROM ({_company_bars()}) WHERE datetime > TIMESTAMP '{KEPT_UNTIL}'
+    AND datetime <= TIMESTAMP '2024-01-30 23:45:00'""",
+)
+def _(spark, folder):
+    """Runs between the newest landed bar and this one did not take place; their bars are fetched now."""
+    bars = tables.stock_company(spark, folder)
+    keys = masterdata.company_symbols(tables.company_info(spark, folder))
+    landed = bars.where(F.col("datetime") <= times.run_time(KEPT_UNTIL))
+    upto = landed.unionByName(bars.limit(1).withColumn("datetime", times.run_time(KEPT_UNTIL)))
+    return ingest.fetch_bars(bars, upto, keys, "company", NOW, strict=False)
+
+
+@_register(
+    "bars_missing_at_slot",
+    f"""SELECT company_symbol, max(datetime) AS last_datetime,
+    CASE WHEN max(datetime) IS NULL THEN 'missing' ELSE 'stale' END AS status
+  FROM (SELECT CAST(c_custkey AS VARCHAR) AS company_symbol FROM customer)
+    LEFT JOIN ({_company_bars()}) USING (company_symbol)
+  GROUP BY 1 HAVING max(datetime) IS NULL
+    OR date_trunc('minute', max(datetime)) <> TIMESTAMP '2024-01-30 23:45:00'""",
+)
+def _(spark, folder):
+    """The keys a strict run names in its error; the error itself is raised and caught here."""
+    bars = tables.stock_company(spark, folder)
+    keys = masterdata.company_symbols(tables.company_info(spark, folder))
+    stale = bar_ops.stale_keys(keys, bars, "company_symbol", NOW)
+    try:
+        bar_ops.require_fresh(stale, "company_symbol")
+    except bar_ops.DataNotFound:
+        return stale
+    return stale.where("false")
+
+
 @_register(
     "bootstrap_or_incremental",
     f"""SELECT 'stock_company' AS target, 'incremental' AS mode, max(datetime) AS since
@@ -219,6 +254,35 @@ def _(spark, folder):
     return panels.panel_to_long(panel, fields, "sector")
 
 
+_PANEL_FIELDS = ("open", "high", "low", "close", "volume", "dividends", "stock_splits")
+
+
+@_register(
+    "seven_field_panel_to_long",
+    f"""WITH bars AS (SELECT time_bucket(INTERVAL '15 minutes', ts) AS datetime,
+      CAST(c_nationkey AS VARCHAR) AS industry_key, {_OHLC}
+    FROM events JOIN customer ON user_id = c_custkey
+    WHERE ts IS NOT NULL AND value IS NOT NULL GROUP BY 1, 2)
+  SELECT t.datetime, s.industry_key, open, high, low, close, volume,
+    close / 100 AS dividends, CASE WHEN close IS NOT NULL THEN 0.0::DOUBLE END AS stock_splits
+  FROM (SELECT DISTINCT datetime FROM bars) t
+    CROSS JOIN (SELECT CAST(n_nationkey AS VARCHAR) AS industry_key FROM nation) s
+    LEFT JOIN bars b ON b.datetime = t.datetime AND b.industry_key = s.industry_key""",
+)
+def _(spark, folder):
+    """All seven fields of the vendor's panel, one column per field and industry, and back."""
+    companies = tables.company_info(spark, folder).select("company_symbol", "industry_key")
+    ticks = tables.ticks(spark, folder).join(companies, "company_symbol")
+    bars = bar_ops.ohlcv(ticks, ["industry_key"]).withColumns(
+        {"dividends": F.col("close") / 100, "stock_splits": F.lit(0.0)}
+    )
+    # a panel has one column per ticker, so their list is short by definition
+    industries = tables.industry_keys(spark, folder).select("industry_key")
+    tickers = sorted(r[0] for r in industries.collect())
+    panel = panels.long_to_panel(bars, _PANEL_FIELDS, "industry_key", tickers)
+    return panels.panel_to_long(panel, _PANEL_FIELDS, "industry_key")
+
+
 # ---------------------------------------------------------------- models
 
 
@@ -245,6 +309,12 @@ def _(spark, folder):
     return _top_of(spark, folder)
 
 
+@_register("top_sector_now_settled", _top())
+def _(spark, folder):
+    """The same row, from no more of the newest bars than settle it."""
+    return marts.settled_top_sector(tables.stock_sector(spark, folder))
+
+
 @_register("top_sector_now_either_direction", _top("abs(diff_percent)"))
 def _(spark, folder):
     return _top_of(spark, folder, direction="abs")
@@ -306,6 +376,45 @@ def _(spark, folder):
     return marts.top_sector_news(*_news_inputs(spark, folder), distinct_articles=True)
 
 
+@_register(
+    "top_sector_news_distinct_copies",
+    f"""WITH copies AS (
+    SELECT doc_id, CAST(user_id AS VARCHAR) AS company_key, ts AS pubdate
+      FROM documents JOIN events ON doc_id // 3 = event_id),
+  found AS (SELECT CAST(doc_id // 3 AS VARCHAR) AS content_id, CAST(doc_id AS VARCHAR) AS title,
+      doc_id, pubdate + INTERVAL 1 MINUTE * (doc_id % 3) AS pubdate, m.company_name, m.sector, m.company_symbol
+    FROM copies JOIN ({_MEMBERS}) m
+      ON m.company_symbol = CAST(CAST(company_key AS BIGINT) + doc_id % 3 AS VARCHAR)),
+  one AS (SELECT * FROM found
+    QUALIFY row_number() OVER (PARTITION BY content_id ORDER BY company_symbol, pubdate, title) = 1)
+  SELECT pubdate, title, title AS summary, company_name, sector FROM one
+  QUALIFY row_number() OVER (PARTITION BY sector
+    ORDER BY pubdate DESC NULLS LAST, content_id, company_symbol, title) <= 5""",
+)
+def _(spark, folder):
+    """Articles under several companies at different times, by the plan for many companies."""
+    events = tables.table(spark, folder, "events").select(
+        F.col("event_id").alias("article"), F.col("user_id"), "ts"
+    )
+    third = F.col("doc_id") % 3
+    copies = (
+        tables.table(spark, folder, "documents")
+        .select("doc_id", F.floor(F.col("doc_id") / 3).alias("article"))
+        .join(events, "article")
+        .select(
+            F.col("article").cast("string").alias("content_id"),
+            (F.col("user_id") + third).cast("string").alias("company_key"),
+            F.col("doc_id").cast("string").alias("title"),
+            F.col("doc_id").cast("string").alias("summary"),
+            F.timestamp_add("MINUTE", third, F.col("ts")).alias("pubdate"),
+        )
+    )
+    _, companies, industries, top = _news_inputs(spark, folder)
+    return marts.top_sector_news(
+        copies, companies, industries, top, distinct_articles=True, limit=0
+    )
+
+
 _COMPANY_NEWS = f"""SELECT pubdate, company_name, sector, industry_key, title, summary
   FROM ({_MEMBERS}) JOIN
     (SELECT *, row_number() OVER (PARTITION BY company_key ORDER BY {_NEWEST}) AS rn
@@ -736,6 +845,21 @@ def _(spark, folder):
     return quality.check_tables(_checked_tables(spark, folder))
 
 
+@_register(
+    "dq_declared_failing",
+    """SELECT 'company_info' AS "table", 'company_symbol' AS "column", 'not_null' AS test,
+    count(*) - count(symbol) AS failures FROM (%s)
+  UNION ALL SELECT 'company_info', 'company_symbol', 'unique', count(*)
+    FROM (SELECT symbol FROM (%s) WHERE symbol IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"""
+    % (("SELECT CASE WHEN c_custkey % 10 > 0 THEN CAST(c_custkey // 2 AS VARCHAR) END AS symbol FROM customer",) * 2),
+)
+def _(spark, folder):
+    """The checks of a table with missing and repeated keys."""
+    customer = tables.table(spark, folder, "customer")
+    symbol = F.when(F.col("c_custkey") % 10 > 0, F.floor(F.col("c_custkey") / 2).cast("string"))
+    return quality.check_tables({"company_info": customer.select(symbol.alias("company_symbol"))})
+
+
 @_register(
     "dq_not_null",
     """SELECT 'content_id' AS "column", count(*) - count(content_id) AS failures FROM (%s)
@@ -885,12 +1009,12 @@ def _(spark, folder):
     f"""SELECT datetime, sector, open, high, low,
     CASE WHEN datetime >= TIMESTAMP '{KEPT_UNTIL}' THEN close ELSE open END AS close,
     CAST(datetime AS DATE) AS date, strftime(datetime, '%H%M') AS slot
-  FROM ({_sector_bars("6 hours")})""",
+  FROM ({_sector_bars()})""",
 )
 def _(spark, folder):
     """Cleaned sector bars by day and slot; slots that come again are replaced."""
     path = session.scratch_dir(spark, "cleaned")
-    bars = tables.stock_sector(spark, folder, "6 hours")
+    bars = tables.stock_sector(spark, folder)
     sinks.save_cleaned(bars.withColumn("close", F.col("open")), path)
     sinks.save_cleaned(bars.where(F.col("datetime") >= KEPT_UNTIL), path)
     stored = sinks.with_slot(bars).schema
@@ -915,6 +1039,67 @@ def _(spark, folder):
     return spark.read.schema(schemas.STOCK_COMPANY).parquet(location)
 
 
+@_register("load_one_kind_roundtrip", f"SELECT * EXCLUDE (volume) FROM ({_sector_bars()})")
+def _(spark, folder):
+    """Both kinds of bars are landed under one root, and one of them is loaded."""
+    root, location = session.scratch_dir(spark, "landed"), session.scratch_dir(spark, "table")
+    vendor = {ours: theirs for theirs, ours in schemas.LANDING_FIELDS.items()}
+    extra = {"dividends": F.lit(0.0), "stock_splits": F.lit(0.0)}
+    for kind, bars in [
+        ("Company", tables.stock_company(spark, folder)),
+        ("Sector", tables.stock_sector(spark, folder).withColumn("volume", F.lit(0).cast("long"))),
+    ]:
+        dated = columns.rename_columns(bars.withColumns(extra), vendor)
+        sinks.write_dataset(dated, f"{root}/2024-01-31/0004/{kind}")
+    table = f"stock_sector_{location[-32:]}"
+    landed = landing.read_landed_bars(spark, root, "sector", "2024-01-31", "0004")
+    try:
+        ingest.load_bars(landed, "sector", table, location)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return spark.read.schema(schemas.STOCK_SECTOR).parquet(location)
+
+
+@_register(
+    "foreign_bars_roundtrip",
+    f"""SELECT datetime, company_symbol, open, high, low, close,
+    CASE WHEN CAST(company_symbol AS BIGINT) % 5 > 0 THEN volume END AS volume
+  FROM ({_company_bars()})""",
+)
+def _(spark, folder):
+    """Files with volume as a number that may be none, and without the columns the table does not need."""
+    path = session.scratch_dir(spark, "foreign")
+    none = F.when(F.col("company_symbol").cast("long") % 5 == 0, F.lit(float("nan")))
+    bars = tables.stock_company(spark, folder).withColumn(
+        "volume", F.coalesce(none, F.col("volume").cast("double"))
+    )
+    vendor = {ours: theirs for theirs, ours in schemas.LANDING_FIELDS.items()}
+    sinks.write_dataset(columns.rename_columns(bars, vendor), path)
+    return landing.read_foreign_bars(spark, path, "company")
+
+
+@_register(
+    "unreadable_payloads_kept",
+    """SELECT payload, news FROM (SELECT '{"' || user_id || '": [' || event_id AS payload
+    FROM events WHERE event_type = 'error'), (SELECT count(*) AS news
+      FROM (SELECT DISTINCT event_id, user_id FROM events WHERE event_type <> 'error'))""",
+)
+def _(spark, folder):
+    """Cut lines go to the quarantine folder, once in two runs; the other payloads are stored."""
+    path = session.scratch_dir(spark, "payloads")
+    events = tables.table(spark, folder, "events")
+    item = F.struct(F.struct(F.col("event_id").cast("string").alias("id")).alias("content"))
+    good = F.to_json(F.create_map(F.col("user_id").cast("string"), F.array(item)))
+    cut = F.concat(F.lit('{"'), "user_id", F.lit('": ['), "event_id")
+    payloads = events.select(
+        F.when(F.col("event_type") == "error", cut).otherwise(good).alias("payload")
+    )
+    for _ in range(2):
+        ingest.ingest_news(payloads, f"{path}/news", quarantine=f"{path}/unreadable")
+    stored = landing.read_news(spark, f"{path}/news").agg(F.count(F.lit(1)).alias("news"))
+    return spark.read.parquet(f"{path}/unreadable").join(F.broadcast(stored))
+
+
 @_register(
     "append_by_name_roundtrip",
     f"""SELECT datetime, sector AS company_symbol, NULL::DOUBLE AS open, high, low, close,
@@ -1049,9 +1234,21 @@ def _(spark, folder):
     return jobs.read_tick_bars(spark, f"{path}/bars", "company_symbol")
 
 
+@_register("stream_bars_15m_late", _company_bars())
+def _(spark, folder):
+    """Ticks in four batches, each with ticks of all times, and the job started twice."""
+    path = session.scratch_dir(spark, "stream")
+    ticks = tables.ticks(spark, folder)
+    ticks.repartition(4, "seq").write.parquet(f"{path}/ticks")
+    for _ in range(2):
+        landed = jobs.file_stream(spark, f"{path}/ticks", ticks.schema, files_per_batch=1)
+        jobs.tick_bars(landed, "company_symbol", f"{path}/bars", f"{path}/checkpoint")
+    return jobs.read_tick_bars(spark, f"{path}/bars", "company_symbol")
+
+
 @_register("stream_top_sector", _top())
 def _(spark, folder):
-    """Sector bars arriving day by day; the answer after the last of them."""
+    """Sector bars in two batches, each with bars of all times; the answer after the last of them."""
     path = session.scratch_dir(spark, "stream")
     tables.stock_sector(spark, folder).repartition(4).write.parquet(f"{path}/landed")
     landed = jobs.file_stream(spark, f"{path}/landed", schemas.STOCK_SECTOR, files_per_batch=2)

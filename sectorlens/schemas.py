@@ -23,7 +23,6 @@ NEWS = _struct(content_id=_S, title=_S, summary=_S, url=_S, company_key=_S, pubd
 NEWS_LANDING = _struct(
     content_id=_S, title=_S, summary=_S, url=_S, company_key=_S, pubdate=_S, date=T.DateType()
 )
-NEWS_LEDGER = _struct(content_id=_S, company_key=_S)
 
 RAW_TABLES = {
     "sector_info": SECTOR_INFO,

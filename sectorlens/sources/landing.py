@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import date, datetime
+from urllib.parse import quote
 
 import pandas as pd
 import pyarrow as pa
@@ -25,30 +26,66 @@ PARQUET_FILES = "*.parquet"
 
 
 def read_or_empty(
-    spark: SparkSession, path: str, schema: T.StructType, nested: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    nested: bool = False,
+    files: Column | None = None,
 ) -> DataFrame:
     """Read a Parquet dataset; one that does not exist yet has no rows.
 
     Only a missing path counts as empty. Any other error is raised. ``nested``
     reads all folders below ``path`` without taking their names for partitions.
+    ``files`` is a condition on ``_metadata.file_path``; other files are not opened.
     """
     reader = spark.read.schema(schema).option("pathGlobFilter", PARQUET_FILES)
     if nested:
         reader = reader.option("recursiveFileLookup", "true")
     try:
-        return reader.parquet(path)
+        found = reader.parquet(path)
+        return found if files is None else found.where(files)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-def read_landed_bars(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def in_kind_folder(path: str, kind: str) -> Column:
+    """Condition on files: the last folder below ``path`` that is named for a kind of bars names ``kind``.
+
+    ``Sector``, ``Company`` and ``kind=Sector`` in any case are such names. Files below
+    none of them belong to whoever reads ``path``.
+    """
+    root = quote(path.split("://", 1)[-1].rstrip("/") + "/", safe="/=:,@+-_.~!*'()&$;")
+    below = F.lower(F.substring_index(F.col("_metadata.file_path"), root, -1))
+    names = "|".join(schemas.BAR_KEY)
+    named = F.regexp_extract(F.concat(F.lit("/"), below), rf".*/(?:\w+=)?({names})/", 1)
+    return named.isin("", schemas.bar_kind(kind))
+
+
+def read_landed_bars(
+    spark: SparkSession, path: str, kind: str, day: str | None = None, slot: str | None = None
+) -> DataFrame:
     """All landed bars of a kind below ``path``, with the vendor's column names.
 
+    Both kinds may lie below one ``path``, see :func:`in_kind_folder`. With ``day``, and
+    ``slot`` if given, only the folder ``path/day/slot`` of one run is listed and read.
     Where nothing was landed there are no rows, and loading them does nothing.
     """
-    return read_or_empty(spark, path, landing_schema(kind), nested=True)
+    folder = "/".join([path.rstrip("/"), *[part for part in (day, slot) if part]])
+    mine = in_kind_folder(folder, kind)
+    return read_or_empty(spark, folder, landing_schema(kind), nested=True, files=mine)
+
+
+def newest_day(landed: DataFrame) -> DataFrame:
+    """Rows of the newest ``date`` folder; everything where there are no such folders.
+
+    The day is found from folder names; no column of the files is read for it.
+    """
+    if "date" not in landed.columns:
+        return landed
+    day = landed.agg(F.max("date")).first()[0]
+    return landed if day is None else landed.where(F.col("date") == F.lit(day))
 
 
 def read_news(spark: SparkSession, path: str, since: date | str | None = None) -> DataFrame:
@@ -57,10 +94,8 @@ def read_news(spark: SparkSession, path: str, since: date | str | None = None) -
     if since is not None:
         landed = landed.where(F.col("date") >= F.lit(since).cast("date"))
     return landed.select(
-        *[
-            F.col(f.name).try_cast(f.dataType).alias(f.name)
-            for f in schemas.NEWS.fields
-        ],
+        *[c for c in schemas.NEWS.names if c != "pubdate"],
+        times.parse_instant(F.col("pubdate")).alias("pubdate"),
         "date",
     )
 
@@ -106,7 +141,8 @@ def fetch_window(landed: DataFrame, now: datetime | str | Column) -> DataFrame:
 
 def bootstrap_start(now: datetime | str | Column) -> Column:
     """Where the history of a first load begins."""
-    return times.run_time(now) - F.expr("INTERVAL 1 MONTH")
+    # months are counted in UTC, not in the session's zone
+    return times.from_utc_clock(times.utc_clock(times.run_time(now)) - F.expr("INTERVAL 1 MONTH"))
 
 
 def _row_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

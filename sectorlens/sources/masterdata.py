@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sectorlens import schemas
 from sectorlens.operators import dedupe, topk
 
-# The sectors that are followed, and the symbols used in tests.
+# The sectors that are followed.
 SECTOR_KEYS = [
     "basic-materials",
     "communication-services",
@@ -22,7 +22,6 @@ SECTOR_KEYS = [
     "technology",
     "utilities",
 ]
-TEST_SYMBOLS = ["AAPL", "MSFT", "GOOGL", "AMZN", "TSLA"]
 COMPANIES_PER_INDUSTRY = 5
 
 SECTOR_RECORDS = (

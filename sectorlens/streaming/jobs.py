@@ -24,8 +24,12 @@ def file_stream(
     schema: T.StructType,
     pattern: str = landing.PARQUET_FILES,
     files_per_batch: int | None = None,
+    kind: str | None = None,
 ) -> DataFrame:
-    """New Parquet files below ``path``. Bound the batch size for a large backlog."""
+    """New Parquet files below ``path``. Bound the batch size for a large backlog.
+
+    ``kind`` leaves files out that lie in a folder of the other kind of bars.
+    """
     reader = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", pattern)
@@ -33,7 +37,8 @@ def file_stream(
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    stream = reader.parquet(path)
+    return stream if kind is None else stream.where(landing.in_kind_folder(path, kind))
 
 
 def _keep_state_on_disk(spark: SparkSession) -> None:
@@ -64,7 +69,7 @@ def clean_and_append(landed: DataFrame, kind: str, path: str, checkpoint: str) -
     Bars whose time cannot be read go to the default partition, where the
     not-null check finds them.
     """
-    cleaned = columns.clean_bars(landed, kind).withColumn("date", F.to_date("datetime"))
+    cleaned = columns.clean_bars(landed, kind).withColumn("date", times.utc_day(F.col("datetime")))
     _append(cleaned, path, checkpoint, ("date",))
 
 
@@ -118,59 +123,49 @@ def tick_bars(
     path: str,
     checkpoint: str,
     width: str = times.BAR_WIDTH,
-    delay: str = "1 hour",
 ) -> None:
     """Keep bars per key and window up to date from a tick stream.
 
-    Every batch writes the bars it changed to its own folder, so a batch that is
-    repeated after a failure replaces itself; open windows are stored as they
-    stand. :func:`read_tick_bars` gives the newest state of each bar.
+    Every batch writes the partial bars of its own ticks to its own folder, so a batch
+    that is repeated after a failure replaces itself. :func:`read_tick_bars` merges the
+    parts of each bar. A tick may come as late as it likes: there is no watermark behind
+    which ticks are dropped, and no state that grows with the number of windows.
     """
 
-    def write_changed(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    def write_parts(batch: DataFrame, batch_id: int) -> None:
+        parts = bar_ops.partial_bars(batch, [key], width)
+        parts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    _keep_state_on_disk(ticks.sparkSession)
-    bars = bar_ops.ohlcv(ticks.withWatermark("ts", delay), [key], width)
     (
-        bars.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        ticks.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(write_changed)
+        .foreachBatch(write_parts)
         .start()
         .awaitTermination()
     )
 
 
 def read_tick_bars(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """The last written state of each bar."""
-    stored = spark.read.parquet(path)
-    rest = [c for c in stored.columns if c not in ("datetime", key, "batch")]
-    newest = stored.groupBy("datetime", key).agg(F.max(F.struct("batch", *rest)).alias("bar"))
-    return newest.select("datetime", key, *[f"bar.{c}" for c in rest])
+    """Each bar of all its ticks so far, merged from the parts of the batches."""
+    return bar_ops.widen(spark.read.parquet(path), [key])
 
 
 def follow_top_sector(
-    stock_sector: DataFrame, path: str, checkpoint: str, history: str | None = None
+    stock_sector: DataFrame, path: str, checkpoint: str
 ) -> None:
     """After each batch of new sector bars, store which sector leads.
 
     ``lead``/``lag`` over a stream is not supported, and late bars may change an
     earlier bar's predecessor. So each batch adds its bars below ``path/bars`` and
-    asks the question of the stored bars; the answer is kept per batch. With
-    ``history``, for example ``7 days``, only bars that far back from the newest
-    are read; a sector without an earlier bar in that time does not compete.
+    asks the question of the stored bars, reading only as far back as the answer
+    needs; the answer is kept per batch.
     """
     spark = stock_sector.sparkSession
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/bars/batch={batch_id}")
         stored = spark.read.schema(schemas.STOCK_SECTOR).parquet(f"{path}/bars")
-        since = None
-        if history:
-            newest = stored.agg(F.max("datetime").cast("string")).first()[0]
-            since = times.run_time(newest) - F.expr(f"INTERVAL {history}")
-        top = marts.stock_top_sector(stored, since)
+        top = marts.settled_top_sector(stored)
         top.write.mode("overwrite").parquet(f"{path}/top/batch={batch_id}")
 
     (

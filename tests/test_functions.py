@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from sectorlens import schemas
 from sectorlens.functions import columns, times
+from sectorlens.sources import landing
 from tests.helpers import at, rows
 
 
@@ -126,3 +127,39 @@ def test_layer_databases():
     assert schemas.database_for("raw") == "raw_data"
     assert schemas.database_for(" custom ") == "custom"
     assert schemas.database_for("") == schemas.database_for(None) == "default"
+
+
+@pytest.fixture(params=["America/New_York", "Asia/Kolkata"])
+def other_zone(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize(
+    "text, iso, day, hhmm",
+    [
+        ("2025-11-02T01:00:00Z", "2025-11-02T01:00:00+00:00", "2025-11-02", "0100"),
+        ("2025-03-09 02:30:00", "2025-03-09T02:30:00+00:00", "2025-03-09", "0230"),
+        ("2025-03-09", "2025-03-09T00:00:00+00:00", "2025-03-09", "0000"),
+        ("2025-11-02 01:30:00-05:00", "2025-11-02T06:30:00+00:00", "2025-11-02", "0630"),
+        ("10:00:00", None, None, None),
+    ],
+)
+def test_times_do_not_follow_the_session_zone(spark, other_zone, text, iso, day, hhmm):
+    at_ = times.parse_instant(F.col("t"))
+    df = spark.createDataFrame([(text,)], "t string")
+    found = df.select(times.iso_offset(at_), times.day_text(at_), times.hhmm_text(at_))
+    assert tuple(found.first()) == (iso, day, hhmm)
+    again = df.select(at_.alias("t")).select(times.iso_offset(times.parse_instant(F.col("t"))))
+    assert again.first()[0] == iso
+    assert df.transform(columns.set_date, "t").first()["date"] == day
+
+
+def test_slots_do_not_follow_the_session_zone(spark, other_zone):
+    slot = times.iso_offset(times.target_slot("2025-01-02 10:04:00"))
+    assert one(spark, slot) == "2025-01-02T09:45:00+00:00"
+    start = times.iso_offset(landing.bootstrap_start("2025-03-01 02:00:00"))
+    assert one(spark, start) == "2025-02-01T02:00:00+00:00"
+    clock = times.exchange_clock(times.run_time("2025-07-01 13:45:00")).cast("string")
+    assert one(spark, clock) == "2025-07-01 09:45:00"

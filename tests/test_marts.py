@@ -1,3 +1,5 @@
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -219,3 +221,30 @@ def test_distinct_articles_do_not_depend_on_the_plan(spark, limit):
     assert rows(got.select("title", "company_name")) == [("y", "Co A")]
     nameless = news.withColumn("content_id", F.lit(None).cast("string"))
     assert marts.top_sector_news(nameless, *args, k=9, distinct_articles=True, limit=limit).count() == 3
+
+
+def test_settled_top_sector_is_the_top_sector(spark):
+    day = timedelta(days=1)
+    cases = [
+        sector_frame(spark),
+        sector_frame(spark, (T0, "S", 1.0)),
+        sector_frame(spark, (T0, "S", 1.0), (T1, "S", 2.0), (T1, "T", 9.0)),  # T has no earlier bar
+        sector_frame(spark, (T0 - 30 * day, "S", 1.0), (T0 - day / 2, "T", 1.0), (T0, "S", 3.0), (T0, "T", 2.0)),
+        sector_frame(spark, (T0 - 300 * day, "S", 1.0), (T0, "S", 3.0), (T0, None, 2.0)),
+        # the high before the newest bar is unknown, so an older time leads
+        sector_frame(spark, (T0, "S", 1.0), (T1, "S", None), (T2, "S", 3.0)),
+        sector_frame(spark, (T0, "S", 1.0), (T1, "S", 2.0), (T2, "S", None), (T2, "T", None)),
+    ]
+    for bars in cases:
+        assert rows(marts.settled_top_sector(bars)) == rows(marts.stock_top_sector(bars))
+
+
+def test_previous_bar_reads_its_input_once(spark, tmp_path):
+    bars = sector_frame(spark, (T0, "S", 10.0), (T1, "S", 5.0))
+    bars.write.parquet(f"{tmp_path}/bars")
+    change = marts.sector_change(spark.read.parquet(f"{tmp_path}/bars"))
+    change.collect()
+    plan = plan_of(change)
+    final = plan[: plan.find("Initial Plan")]
+    assert final.count("FileScan") == 1 or "ReusedExchange" in final
+    assert "SortAggregate" not in plan

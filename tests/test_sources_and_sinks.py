@@ -306,6 +306,46 @@ def test_load_bars_and_read_landed(spark, tmp_path):
     assert spark.table("loaded_bars").count() == 2
 
 
+def test_kinds_under_one_root(spark, tmp_path):
+    root = tmp_path / "company" / "stock"  # a folder above the root does not count
+    frame = spark.createDataFrame([(T0, 1.0)], "Datetime timestamp, Open double")
+    for place in ("2025-01-02/1430/Company", "2025-01-02/1430/Sector", "2025-01-02/1445/Sector", "kind=sector", "plain"):
+        frame.write.parquet(f"{root}/{place}")
+    count = lambda kind, *where: landing.read_landed_bars(spark, str(root), kind, *where).count()
+    assert count("sector") == 4 and count("company") == 2
+    assert count("sector", "2025-01-02") == 2 and count("sector", "2025-01-02", "1430") == 1
+    assert count("company", "2025-01-02", "1445") == 0 and count("company", "2025-01-09") == 0
+    plan = landing.read_landed_bars(spark, str(root), "company")._jdf.queryExecution().executedPlan()
+    assert "Sector" not in str(plan.execute().toDebugString()) and plan.toString()
+
+
+def test_unreadable_payloads(spark, tmp_path):
+    good = '{"A": [{"content": {"id": "x", "pubDate": "2025-01-02T10:00:00Z"}}]}'
+    payloads = spark.createDataFrame([(good,), ('{"A": [',), ('{"A": [',), ("",), (None,)], "payload string")
+    store, kept = f"{tmp_path}/news", f"{tmp_path}/bad"
+    with pytest.raises(ValueError):
+        ingest.ingest_news(payloads, store)
+    assert landing.read_news(spark, store).count() == 0
+    assert [ingest.ingest_news(payloads, store, quarantine=kept) for _ in range(2)] == [1, 0]
+    assert rows(spark.read.parquet(kept)) == [('{"A": [',)]
+
+
+def test_bars_of_missed_runs_are_fetched(spark):
+    bars = spark.createDataFrame(
+        [(T0 + timedelta(minutes=15 * i), s, 1.0, 1.0, 1.0, 1.0, 1) for i in range(5) for s in ("A", "B")],
+        schemas.STOCK_COMPANY,
+    )
+    keys = bars.select("company_symbol").distinct()
+    landed = bars.where(F.col("datetime") == T0).withColumn("date", F.to_date("datetime"))
+    now = T0 + timedelta(minutes=45 + 19)
+    found = ingest.fetch_bars(bars, landed, keys, "company", now)
+    assert found.count() == 6 and found.agg(F.max("datetime")).first()[0] == T0 + timedelta(minutes=45)
+    # a first load names keys without any bar
+    more = keys.unionByName(spark.createDataFrame([("C",)], keys.schema))
+    with pytest.raises(bar_ops.DataNotFound, match="C: missing"):
+        ingest.fetch_bars(bars, landed.where("false"), more, "company", now)
+
+
 def test_nothing_landed_loads_nothing(spark, tmp_path):
     found = landing.read_landed_bars(spark, str(tmp_path / "none"), "sector")
     ingest.load_bars(found, "sector", "no_bars", str(tmp_path / "table"))

@@ -77,18 +77,18 @@ def test_tick_bars_equal_batch_bars(spark, tmp_path):
     timed.repartitionByRange(4, "ts").write.parquet(f"{tmp_path}/ticks")
     for _ in range(2):
         stream = jobs.file_stream(spark, f"{tmp_path}/ticks", ticks.schema, files_per_batch=2)
-        jobs.tick_bars(stream, "company_symbol", f"{tmp_path}/bars", f"{tmp_path}/cp", delay="3 hours")
+        jobs.tick_bars(stream, "company_symbol", f"{tmp_path}/bars", f"{tmp_path}/cp")
     got = jobs.read_tick_bars(spark, f"{tmp_path}/bars", "company_symbol")
     assert rows(got) == rows(bar_ops.ohlcv(ticks, ["company_symbol"]))
     assert spark.read.parquet(f"{tmp_path}/bars").select("batch").distinct().count() >= 2
 
 
 def test_top_sector_follows_late_bars(spark, tmp_path):
-    def land(*bars, history=None):
+    def land(*bars):
         data = [(T0 + timedelta(minutes=m), s, 0.0, h, 0.0, 0.0) for m, s, h in bars]
         spark.createDataFrame(data, schemas.STOCK_SECTOR).write.mode("append").parquet(f"{tmp_path}/landed")
         stream = jobs.file_stream(spark, f"{tmp_path}/landed", schemas.STOCK_SECTOR)
-        jobs.follow_top_sector(stream, f"{tmp_path}/lead", f"{tmp_path}/cp", history)
+        jobs.follow_top_sector(stream, f"{tmp_path}/lead", f"{tmp_path}/cp")
         return tuple(jobs.read_top_sector(spark, f"{tmp_path}/lead").first())[1:4]
 
     assert land((0, "S", 10.0), (30, "S", 12.0), (0, "T", 10.0), (30, "T", 11.0)) == ("S", 12.0, 10.0)
@@ -96,9 +96,22 @@ def test_top_sector_follows_late_bars(spark, tmp_path):
     assert rows(jobs.read_top_sector(spark, f"{tmp_path}/lead")) == rows(
         marts.stock_top_sector(spark.read.schema(schemas.STOCK_SECTOR).parquet(f"{tmp_path}/landed"))
     )
-    # two days later only T has two bars in the last day
+    # two days later: the bar before S's newest is older than the last day, and still counts
     day2 = 2 * 24 * 60
-    assert land((day2, "S", 99.0), (day2, "T", 11.0), (day2 - 15, "T", 10.0), history="1 day") == (
-        "T", 11.0, 10.0,
-    )
+    assert land((day2, "S", 99.0), (day2, "T", 11.0), (day2 - 15, "T", 10.0)) == ("S", 99.0, 12.0)
     assert land((day2 + 15, "T", 1.0), (day2 + 15, "S", 9.9)) == ("S", 9.9, 99.0)
+
+
+def test_late_ticks_are_not_lost(spark, tmp_path):
+    def land(*ticks):
+        data = [("A", T0 + timedelta(minutes=m), p, n) for n, (m, p) in enumerate(ticks)]
+        frame = spark.createDataFrame(data, "company_symbol string, ts timestamp, price double, seq long")
+        frame.coalesce(1).write.mode("append").parquet(f"{tmp_path}/ticks")
+        stream = jobs.file_stream(spark, f"{tmp_path}/ticks", frame.schema)
+        jobs.tick_bars(stream, "company_symbol", f"{tmp_path}/bars", f"{tmp_path}/cp")
+        return rows(jobs.read_tick_bars(spark, f"{tmp_path}/bars", "company_symbol").select("datetime", "open", "close", "volume"))
+
+    noon = T0 + timedelta(minutes=120)
+    assert land((121, 5.0)) == [(noon, 5.0, 5.0, 1)]
+    # three hours late, and a tick before the first one of a window stored already
+    assert land((-60, 7.0), (120, 4.0)) == [(noon, 4.0, 5.0, 2), (T0 - timedelta(hours=1), 7.0, 7.0, 1)]
