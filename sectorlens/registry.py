@@ -28,6 +28,8 @@ SQL: dict[str, str] = {}
 # A run shortly after the newest bar of the test tables is complete.
 NOW = "2024-01-31 00:04:00"
 KEPT_UNTIL = "2024-01-16"
+# The newest day's slots are cleaned again.
+SLOTS_AGAIN_FROM = "2024-01-30"
 # Within the few days that the news of the test tables covers, so that a ledger holds some and lacks some.
 NEWS_KEPT_UNTIL = "2024-01-02 12:00:00"
 
@@ -1007,7 +1009,7 @@ def _(spark, folder):
 @_register(
     "cleaned_slots_roundtrip",
     f"""SELECT datetime, sector, open, high, low,
-    CASE WHEN datetime >= TIMESTAMP '{KEPT_UNTIL}' THEN close ELSE open END AS close,
+    CASE WHEN datetime >= TIMESTAMP '{SLOTS_AGAIN_FROM}' THEN close ELSE open END AS close,
     CAST(datetime AS DATE) AS date, strftime(datetime, '%H%M') AS slot
   FROM ({_sector_bars()})""",
 )
@@ -1016,7 +1018,7 @@ def _(spark, folder):
     path = session.scratch_dir(spark, "cleaned")
     bars = tables.stock_sector(spark, folder)
     sinks.save_cleaned(bars.withColumn("close", F.col("open")), path)
-    sinks.save_cleaned(bars.where(F.col("datetime") >= KEPT_UNTIL), path)
+    sinks.save_cleaned(bars.where(F.col("datetime") >= SLOTS_AGAIN_FROM), path)
     stored = sinks.with_slot(bars).schema
     return spark.read.schema(stored).parquet(path)
 
