@@ -1,12 +1,13 @@
 """Document fingerprints from closed syncmers, with DataFrame functions only.
 
-A text is the sequence of its words (a word longer than 16 characters counts as several). Six
+A text is the sequence of its words (a word longer than 16 characters counts as several). Five
 words in a row are a k-mer, two are an inner substring. A k-mer is an anchor if the
-smallest hash among its five inner substrings is that of the first or the last one: this
-depends on the k-mer alone, so equal passages have equal anchors wherever they stand. The
-fingerprint is the text's distinct anchors in order of first position, 8 hex digits each.
-A text of fewer than six words has its words as anchors. Likeness is the Dice share of
-common anchors; two empty fingerprints are alike (1).
+smallest hash among its four inner substrings is that of the first or the last one: this
+depends on the k-mer alone, so equal passages have equal anchors wherever they stand, and of
+three k-mers in a row at least one is an anchor. The fingerprint is the text's distinct
+anchors in order of first position, 8 hex digits each. A text of fewer than twelve words has
+its words as anchors, for it may have no k-mer anchor at all; only a text without words has an
+empty fingerprint. Likeness is the Dice share of common anchors; two empty fingerprints are alike (1).
 
 For the edited text a document needs its successor's text. Documents are put in ranges
 of (descending id, text hash) whose limits are found on these two narrow columns; the first
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from sectorlens.llm.common import whole_text
 
 PIECE = r"[^\x20\x09-\x0D]{1,16}"
-WORDS = 6
+WORDS, SHORT = 5, 12
 RANGE_BYTES = 4 * 1024 * 1024
 #: The limits of the ranges are a literal of the plan; more text makes larger ranges instead of more.
 MOST_RANGES = 8192
@@ -47,11 +48,11 @@ def anchors(text: Column) -> Column:
 
         def from_pairs(s: Column) -> Column:
             at = lambda i, d: F.get(s, i + d)
-            edge = lambda i: F.least(at(i, 0), at(i, 4)) <= F.least(at(i, 1), at(i, 2), at(i, 3))
+            edge = lambda i: F.least(at(i, 0), at(i, 3)) <= F.least(at(i, 1), at(i, 2))
             chosen = F.filter(F.sequence(F.lit(0), n - WORDS), edge)
-            return F.transform(chosen, lambda i: F.xxhash64(at(i, 0), at(i, 2), at(i, 4)).bitwiseAND(F.lit(_LOW)))
+            return F.transform(chosen, lambda i: F.xxhash64(at(i, 0), at(i, 2), at(i, 3)).bitwiseAND(F.lit(_LOW)))
 
-        return F.when(n >= WORDS, _let(pairs, from_pairs)).otherwise(F.transform(h, lambda x: x.bitwiseAND(F.lit(_LOW))))
+        return F.when(n >= SHORT, _let(pairs, from_pairs)).otherwise(F.transform(h, lambda x: x.bitwiseAND(F.lit(_LOW))))
 
     hashes = F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda w: F.xxhash64(w))
     return F.array_distinct(_let(hashes, from_hashes))

@@ -348,11 +348,11 @@ def plain_anchors(text):
         return seed - (1 << 64) if seed >> 63 else seed
 
     words = [h(w) for w in re.findall(r"[^\x20\x09-\x0D]{1,16}", text)]
-    if len(words) < 6:
+    if len(words) < 12:
         found = words
     else:
         s = [h(a, b) for a, b in zip(words, words[1:])]
-        found = [h(s[i], s[i + 2], s[i + 4]) for i in range(len(words) - 5) if min(s[i], s[i + 4]) <= min(s[i + 1 : i + 4])]
+        found = [h(s[i], s[i + 2], s[i + 3]) for i in range(len(words) - 4) if min(s[i], s[i + 3]) <= min(s[i + 1 : i + 3])]
     return list(dict.fromkeys(x & 0xFFFFFFFF for x in found))
 
 
@@ -371,6 +371,21 @@ def test_fingerprints(spark):
     assert [tuple(r) for r in got] == sorted(want, key=str)
 
 
+def test_only_texts_without_words_have_empty_fingerprints(spark):
+    pick = random.Random(8)
+    some = [(i, " ".join(pick.choices(["ab", "cd", "ef", "gh", "ij", "kl"], k=n)), None, None, 1) for i, n in enumerate([*range(30)] * 8)]
+    for r in syncmers.fingerprints(documents(spark, some=some)).collect():
+        assert (r["fingerprint"] == "") == (some[r["doc_id"]][1] == "")
+        assert some[r["doc_id"]][1] == "" or len(r["fingerprint"]) % 8 == 0
+
+
+def test_half_of_a_text_is_seen_at_any_length(spark):
+    pick = random.Random(9)
+    some = [(i, " ".join(f"w{pick.randrange(10**6)}" for _ in range(n)), None, None, 1) for i, n in enumerate([*range(4, 10), *range(30, 200, 10)])]
+    for r in syncmers.fingerprints(documents(spark, some=some)).collect():
+        assert r["near_edited"] > 0.1 and r["near_next"] == 0
+
+
 def test_ranges_do_not_matter(spark):
     docs = documents(spark)
     one = syncmers.with_next(docs, {}).select("doc_id", "text", "next_text")
