@@ -82,12 +82,28 @@ def save_cleaned(bars: DataFrame, path: str) -> int:
 
 
 def ensure_table(
-    spark: SparkSession, table: str, schema: T.StructType, location: str | None = None
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    location: str | None = None,
+    partition_cols: Sequence[str] = (),
 ) -> None:
     """Create the typed table unless it is there."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    split = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_cols)})" if partition_cols else ""
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{place}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{split}{place}")
+
+
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+
+
+def _reread_folders(spark: SparkSession, table: str) -> None:
+    """Let readers see the partition folders below the table's location."""
+    if _described(spark, table).get("Partition Provider") == "Catalog":
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
 
 
 def append_by_name(df: DataFrame, table: str) -> None:
@@ -127,29 +143,78 @@ def append_new(
     append_by_name(dedupe.drop_seen(_one_per_key(df, keys), near, keys), table)
 
 
-def full_refresh(df: DataFrame, table: str, folder: str) -> int:
+def full_refresh(df: DataFrame, table: str, folder: str, partition_cols: Sequence[str] = ()) -> int:
     """Replace all rows of a table; returns how many it has now.
 
     The new rows are written to a fresh folder below ``folder`` and only then is
     the table pointed at it. A failed write leaves the old rows in place, readers
-    never see half a table, and ``df`` may itself read the table.
+    never see half a table, and ``df`` may itself read the table. If its columns changed, or the
+    catalog lists its partitions, the table is dropped and created again over the written
+    folder; readers that come in between find no table, and a run that fails there is repeated.
     """
     if not folder:
         raise ValueError(f"no folder given to refresh {table} in")
     spark = df.sparkSession
     target = f"{folder.rstrip('/')}/{table.split('.')[-1]}-{uuid.uuid4().hex}"
-    loaded = write_dataset(df, target)
+    df = df.select(*[c for c in df.columns if c not in partition_cols], *partition_cols)
+    loaded = write_dataset(df, target, "overwrite", partition_cols)
     if spark.catalog.tableExists(table):
-        if spark.table(table).schema.simpleString() == df.schema.simpleString():
+        same = spark.table(table).schema.simpleString() == df.schema.simpleString()
+        if same and _described(spark, table).get("Partition Provider") != "Catalog":
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
             spark.catalog.refreshTable(table)
             return loaded
         spark.sql(f"DROP TABLE {table}")
-    ensure_table(spark, table, df.schema, target)
+    ensure_table(spark, table, df.schema, target, partition_cols)
+    if partition_cols:
+        _reread_folders(spark, table)
     return loaded
 
 
-def materialize(df: DataFrame, database: str, name: str, folder: str) -> int:
-    """Store a model as a table of its layer's database, rebuilt on each run."""
+def refresh_days(
+    df: DataFrame, table: str, folder: str, days: Sequence[str | None] | None = None, time: str = "datetime"
+) -> int:
+    """Keep a table by the UTC day of ``time``, and replace the rows of ``days`` only; returns how many were written.
+
+    Only rows of the span of these days are read (the filter is on ``time`` itself, so it reaches the
+    scan), and the folders of other days stay as they are. None among the days stands for rows without a
+    time. A day for which ``df`` has no rows keeps what it has. Without ``days``, or if there is
+    no such table yet, everything is replaced.
+    """
+    spark = df.sparkSession
+    dated = df.withColumn("date", times.utc_day(F.col(time)))
+    if (
+        days is None
+        or not spark.catalog.tableExists(table)
+        or spark.table(table).schema.simpleString() != dated.schema.simpleString()
+    ):
+        return full_refresh(dated, table, folder, ["date"])
+    known = sorted(day for day in days if day is not None)
+    touched = F.col("date").isNull() if None in days else F.lit(False)
+    if known:
+        start, end = (times.run_time(f"{day} 00:00:00") for day in (known[0], known[-1]))
+        span = (F.col(time) >= start) & (F.col(time) < end + F.expr("INTERVAL 24 HOURS"))
+        dated = dated.where(span | F.col(time).isNull())
+        touched = touched | F.col("date").isin(*[F.lit(day).cast("date") for day in known])
+    location = _described(spark, table)["Location"]
+    written = write_dataset(dated.where(touched), location, "overwrite_partitions", ["date"])
+    _reread_folders(spark, table)
+    return written
+
+
+def materialize(
+    df: DataFrame,
+    database: str,
+    name: str,
+    folder: str,
+    by_day: bool = False,
+    days: Sequence[str | None] | None = None,
+) -> int:
+    """Store a model as a table of its layer's database, rebuilt on each run.
+
+    Of a model kept ``by_day`` only ``days`` are rebuilt, if they are given.
+    """
     df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+    if by_day:
+        return refresh_days(df, f"{database}.{name}", folder, days)
     return full_refresh(df, f"{database}.{name}", folder)

@@ -272,11 +272,14 @@ def refresh(
     raw: Mapping[str, DataFrame],
     database: str,
     folder: str,
+    days: Sequence[str | None] | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuild the four stored models from the raw tables; returns what was stored.
 
     The top sector is determined once and pinned, so that all tables agree on it
-    even if bars are loaded meanwhile.
+    even if bars are loaded meanwhile. ``stock_with_industry`` is kept by UTC day. A run that
+    knows on which ``days`` bars were loaded since the last one rebuilds these days only;
+    after a change of the master data, run without ``days``.
     """
     companies, industries = raw["company_info"], raw["industry_info"]
     top = settled_top_sector(raw["stock_sector"])
@@ -286,11 +289,13 @@ def refresh(
         "top_sector_company_news": top_sector_company_news(
             raw["news"], companies, industries, top
         ),
-        "stock_with_industry": stock_with_industry(
-            raw["stock_company"], companies, industries, raw["sector_info"]
-        ),
     }
     spark = top.sparkSession
     for name, model in models.items():
         sinks.materialize(model, database, name, folder)
-    return {name: spark.table(f"{database}.{name}") for name in models}
+    bars = stock_with_industry(
+        raw["stock_company"], companies, industries, raw["sector_info"]
+    )
+    sinks.materialize(bars, database, "stock_with_industry", folder, True, days)
+    stored = {name: spark.table(f"{database}.{name}") for name in (*models, "stock_with_industry")}
+    return stored | {"stock_with_industry": stored["stock_with_industry"].drop("date")}

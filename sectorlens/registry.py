@@ -1174,6 +1174,36 @@ def _(spark, folder):
     return stored["top_sector_news"]
 
 
+@_register(
+    "stored_days_roundtrip",
+    f"""WITH bars AS ({_company_bars()}), newest AS (SELECT max(datetime::DATE) AS d FROM bars)
+  SELECT datetime, open, high, low, close,
+    CASE WHEN datetime::DATE = d THEN 2 * volume ELSE volume END AS volume,
+    company_name, industry_name, sector_key AS sector
+  FROM bars JOIN ({_DETAIL}) USING (company_symbol) CROSS JOIN newest""",
+)
+def _(spark, folder):
+    """Bars by industry stored for all days, then the newest day's rebuilt from changed bars."""
+    place = session.scratch_dir(spark, "by-day")
+    table = f"by_day_{place[-32:]}"
+    lookups = (
+        tables.company_info(spark, folder),
+        tables.industry_keys(spark, folder),
+        tables.sector_info(spark, folder),
+    )
+    bars = tables.stock_company(spark, folder)
+    twice = bars.withColumn("volume", 2 * F.col("volume"))
+    newest = bars.agg(F.max(times.utc_day(F.col("datetime"))).cast("string")).first()[0]
+    try:
+        for source, days in ((bars, None), (twice, [newest])):
+            model = marts.stock_with_industry(source, *lookups)
+            sinks.refresh_days(model, table, place, days)
+        stored = spark.table(table).inputFiles()
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return spark.read.option("basePath", stored[0].split("/date=")[0]).parquet(*stored).drop("date")
+
+
 # ---------------------------------------------------------------- streams
 
 

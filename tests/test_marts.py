@@ -201,6 +201,32 @@ def test_refresh_stores_all_models(spark, dims):
     assert [(r["table"], r["column"], r["failures"]) for r in failed] == [("top_sector_company_news", "pubdate", 1)]
 
 
+def test_days_not_named_keep_their_files(spark, dims):
+    companies, industries, sectors = dims
+    day = timedelta(days=1)
+    bar = lambda t, volume: (t, "A", 1.0, 2.0, 0.5, 1.5, volume)
+    raw = {
+        "company_info": companies, "industry_info": industries, "sector_info": sectors,
+        "stock_sector": sector_frame(spark, (T0, "S", 10.0), (T1, "S", 12.0)), "news": news_frame(spark, *NEWS),
+    }
+    folder = session.scratch_dir(spark, "days")
+
+    def refreshed(volume, days):
+        bars = [bar(T0, volume), bar(T0 + day, volume), bar(T0 + 2 * day, volume), bar(None, volume)]
+        bars = {"stock_company": spark.createDataFrame(bars, schemas.STOCK_COMPANY)}
+        stored = marts.refresh(raw | bars, "analytics_days", folder, days)["stock_with_industry"]
+        return [r["volume"] for r in stored.orderBy(F.col("datetime").asc_nulls_last()).collect()], set(stored.inputFiles())
+
+    assert refreshed(1, [str(T0.date())])[0] == [1, 1, 1, 1]  # no table yet: all days
+    _, before = refreshed(1, None)
+    volumes, after = refreshed(5, [str((T0 + day).date())])
+    assert volumes == [1, 5, 1, 1]
+    assert len(before & after) == 3 and len(after) == 4
+    assert refreshed(7, [None])[0] == [1, 5, 1, 7]
+    assert refreshed(8, [])[0] == [1, 5, 1, 7]
+    assert refreshed(9, None)[0] == [9, 9, 9, 9]
+
+
 def test_empty_tables_give_empty_models(spark):
     raw = {name: spark.createDataFrame([], schema) for name, schema in schemas.RAW_TABLES.items()}
     stored = marts.refresh(raw, "analytics_empty", session.scratch_dir(spark, "empty"))
