@@ -9,11 +9,16 @@ are outside by construction, which cuts the chain there. Neighbouring tokens sha
 chain potential; tokens that are equal, or alike (same letters and digits, same local
 part, same last digits), share a skip potential however far apart they stand (each
 occurrence is linked to the one before it, so links grow with the tokens). Weights are
-learnt by pseudo-likelihood from base spans of at most ``SAMPLE_DOCS`` documents; token shapes and
+learnt by pseudo-likelihood from base spans of at most ``SAMPLE_DOCS`` documents (and tokens there that
+are base spans when read alone, so that the patterns' failures are not learnt); token shapes and
 neighbours' labels are hidden at random while learning, so that neither stands in for the other. Skip weights have a Gaussian prior around ``SKIP_PRIOR``: where a
-sample repeats no token, there is nothing else to learn them from. Inference is damped loopy sum-product. A token
-that touches no base span, whose label is surer than ``SURE`` and that is linked, over any number of
-skip links, to a token under a base span of that kind becomes a span of its own.
+sample repeats no token, there is nothing else to learn them from. Inference is damped loopy sum-product.
+
+Tokens that touch no base span and whose label is surer than ``SURE`` can become spans. Neighbours of one
+label that pass their kind's pattern and check when read on their own are one span: a phone
+number and a card side by side, say, are one failing match to both patterns. Any other
+such token becomes a span if it is linked, over any number of skip links, to a token under a base
+span of its kind.
 
 A null text is empty and has no span. An empty table gives an empty result; null ids
 and repeated rows are kept; other columns are not read (or travel in a struct).
@@ -147,7 +152,8 @@ class Graph:
         self.spans, self.places, self.docs, self.gold = [], [], [], []
         self.chain, self.equal, self.alike = [], [], []
 
-    def add(self, doc: int, text: str, base: list[tuple[str, int, int]]) -> None:
+    def add(self, doc: int, text: str, base: list[tuple[str, int, int]], teach: bool = False) -> None:
+        """The tokens of one more document. To ``teach``, a token that is a base span when read alone is gold as well."""
         before, last = None, {}
         reached = 0
         taken = sorted((a, b, KINDS.index(k) + 1) for k, a, b in base)
@@ -157,6 +163,8 @@ class Graph:
             while reached < len(taken) and taken[reached][1] <= a:
                 reached += 1
             label = next((k for x, y, k in taken[reached : reached + 4] if x < b and a < y), 0)
+            if teach and not label:
+                label = next((KINDS.index(k) + 1 for k, x, y in base_spans(token) if (x, y) == (0, b - a)), 0)
             self.spans.append((a, b))
             self.places.append(shape(token) + [FEATURES - 1] * (text[max(0, a - 1) : a] == "("))
             self.docs.append(doc)
@@ -258,6 +266,23 @@ def marginals(graph: Graph, w: dict[str, np.ndarray], rounds: int = 12, damping:
     return p / p.sum(axis=1, keepdims=True)
 
 
+def passes(text: str, kind: str, a: int, b: int) -> bool:
+    """Whether the stretch, read on its own, is a base span of ``kind`` as a whole."""
+    return (kind, 0, b - a) in base_spans(text[a:b])
+
+
+def runs(text: str, graph: Graph, labels: np.ndarray, follows: dict[int, int], nodes: list[int]) -> Iterator[list[int]]:
+    """``nodes`` (ascending, of one document) in runs of neighbours with one label; a plus sign begins a run of its own."""
+    run: list[int] = []
+    for i in nodes:
+        if run and (follows.get(run[-1]) != i or labels[i] != labels[run[-1]] or text[graph.spans[i][0]] == "+"):
+            yield run
+            run = []
+        run.append(i)
+    if run:
+        yield run
+
+
 def find_spans(texts: list[str], w: dict[str, np.ndarray]) -> list[tuple[list, list]]:
     """For each text its base spans, and all spans."""
     base = [base_spans(t) for t in texts]
@@ -273,10 +298,20 @@ def find_spans(texts: list[str], w: dict[str, np.ndarray]) -> list[tuple[list, l
         group = forest(len(gold), links[:, 0], links[:, 1])
         proof = set(zip(group[gold > 0].tolist(), gold[gold > 0].tolist()))
         # a token under a base span is settled; only others can become spans
-        for i in np.flatnonzero((best > 0) & (gold == 0) & (p.max(axis=1) > SURE)):
-            if (int(group[i]), int(best[i])) not in proof:
-                continue
-            added[graph.docs[i]].append((KINDS[best[i] - 1], *graph.spans[i]))
+        free = defaultdict(list)
+        for i in np.flatnonzero((best > 0) & (gold == 0) & (p.max(axis=1) > SURE)).tolist():
+            free[graph.docs[i]].append(i)
+        follows = dict(graph.chain)
+        for doc, nodes in free.items():
+            text = texts[doc]
+            for run in runs(text, graph, best, follows, nodes):
+                kind, (a, b) = KINDS[best[run[0]] - 1], (graph.spans[run[0]][0], graph.spans[run[-1]][1])
+                if passes(text, kind, a, b):
+                    added[doc].append((kind, a, b))
+                    continue
+                for i in run:
+                    if (int(group[i]), int(best[i])) in proof or passes(text, kind, *graph.spans[i]):
+                        added[doc].append((kind, *graph.spans[i]))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     return [(b, sorted([*b, *added[i]], key=order)) for i, b in enumerate(base)]
 
@@ -292,7 +327,7 @@ def fit(docs: DataFrame) -> dict[str, np.ndarray]:
         graph, n = Graph(), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                graph.add(n, text, base_spans(text))
+                graph.add(n, text, base_spans(text), teach=True)
                 n += 1
         w = learn(graph)
         flat = np.concatenate([w["unary"].ravel(), w["chain"].ravel(), w["skip"]])
