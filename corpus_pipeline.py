@@ -35,8 +35,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Adds the piece ids of each text; they decode to the text."""
-    rows = spm.encode(docs, tokenizer_path("piece_bpe_32k.model"))
+    """Adds the piece ids of each text; they decode to the text. Columns that have these names already are replaced."""
+    rows = spm.encode(docs.drop("piece_ids", "n_pieces"), tokenizer_path("piece_bpe_32k.model"))
     return rows.selectExpr("row.*", "ids AS piece_ids", "size(ids) AS n_pieces")
 
 

@@ -9,6 +9,7 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from sectorlens.llm import mixing, pii, queries, spm
 from tests.helpers import TINY
+from tests.llm.fixtures import documents
 from tests.llm.test_operators import plain_components, plain_fingerprint, plain_spans
 from tests.oracle import compare
 
@@ -76,3 +77,10 @@ def test_pipeline_by_hand(spark):
 def test_span_text_matches_the_contract(spark):
     df = spark.createDataFrame([([("ip", 3, 9), ("card", 12, 30)],)], f"base {pii.SPAN}")
     assert df.select(queries._spans_text(F.col("base")).alias("t")).first()["t"] == "ip:3:9,card:12:30"
+
+
+def test_last_stage_replaces_its_own_columns(spark):
+    docs = documents(spark, clashing=True).selectExpr("*", "1 AS n_pieces", "'x' AS piece_ids")
+    got = corpus_pipeline.encoded(spark, docs, TINY)
+    assert got.columns == [*docs.columns[:-2], "piece_ids", "n_pieces"]
+    assert all(len(r["piece_ids"]) == r["n_pieces"] for r in got.collect())
