@@ -9,6 +9,10 @@ anchors in order of first position, 8 hex digits each. A text of fewer than twel
 its words as anchors, for it may have no k-mer anchor at all; only a text without words has an
 empty fingerprint. Likeness is the Dice share of common anchors; two empty fingerprints are alike (1).
 
+Twelve words are a switch: texts on either side of it share no anchor. The dense anchors have none. They
+are the words and the closed syncmers of three words (inner substrings of one word; of two in a
+row at least one is an anchor), at every length, so any two texts that share a word share an anchor.
+
 For the edited text a document needs its successor's text. Documents are put in ranges
 of (descending id, text hash) whose limits are found on these two narrow columns; the first
 document of each range is sent to the range before as well, so one shuffle of the texts
@@ -39,8 +43,12 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def anchors(text: Column) -> Column:
-    """Distinct 32-bit hashes of the text's anchors, in order of first position."""
+def _hashes(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda w: F.xxhash64(w))
+
+
+def _sparse(hashes: Column) -> Column:
+    """Distinct 32-bit hashes of the anchors, in order of first position."""
 
     def from_hashes(h: Column) -> Column:
         n = F.size(h)
@@ -54,10 +62,28 @@ def anchors(text: Column) -> Column:
 
         return F.when(n >= SHORT, _let(pairs, from_pairs)).otherwise(F.transform(h, lambda x: x.bitwiseAND(F.lit(_LOW))))
 
-    hashes = F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda w: F.xxhash64(w))
     return F.array_distinct(_let(hashes, from_hashes))
 
 
+def _dense(hashes: Column) -> Column:
+    """Distinct 32-bit hashes of the dense anchors: words first, then three-word syncmers, each in order of first position."""
+
+    def from_hashes(h: Column) -> Column:
+        at = lambda i, d: F.get(h, i + d)
+        whole = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: i < F.size(h) - 2)
+        chosen = F.filter(whole, lambda i: F.least(at(i, 0), at(i, 2)) <= at(i, 1))
+        triples = F.transform(chosen, lambda i: F.xxhash64(at(i, 0), at(i, 1), at(i, 2)))
+        every = F.when(F.size(h) > 2, F.concat(h, triples)).otherwise(h)
+        return F.transform(every, lambda x: x.bitwiseAND(F.lit(_LOW)))
+
+    return F.array_distinct(_let(hashes, from_hashes))
+
+
+def both(text: Column) -> Column:
+    """The sparse and the dense anchors of a text, from one pass over its words."""
+    return _let(_hashes(text), lambda h: F.struct(_sparse(h).alias("sparse"), _dense(h).alias("dense")))
+
+
 def as_text(marks: Column) -> Column:
     return F.array_join(F.transform(marks, lambda a: F.lower(F.lpad(F.hex(a), 8, "0"))), "")
 
@@ -106,16 +132,27 @@ def with_next(docs: DataFrame, columns: dict[str, Column], range_bytes: int = RA
     return following.filter(~F.col("guest")).drop("key", "to", "guest")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+def compared(docs: DataFrame) -> DataFrame:
+    """The columns of ``fingerprints``, and the same of the dense anchors: anchors, edited_anchors, alike_edited, alike_next."""
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    found = with_next(docs, {"marks": anchors(F.col("text"))})
+    found = with_next(docs, {})
     found = found.withColumn("edited", F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 2) as int))"), F.substring("next_text", F.lit(1), half)))
-    found = found.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "marks", "next_marks", anchors(F.col("edited")).alias("edited_marks"))
+    found = found.select(
+        "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        both(F.col("text")).alias("own"), both(F.col("edited")).alias("changed"), both(F.col("next_text")).alias("next"),
+    )
     return found.select(
-        "doc_id", "n_chars", "edited_sha256", as_text(F.col("marks")).alias("fingerprint"),
-        as_text(F.col("edited_marks")).alias("edited_fingerprint"),
-        likeness(F.col("marks"), F.col("edited_marks")).alias("near_edited"),
-        likeness(F.col("marks"), F.col("next_marks")).alias("near_next"),
+        "doc_id", "n_chars", "edited_sha256", as_text(F.col("own.sparse")).alias("fingerprint"),
+        as_text(F.col("changed.sparse")).alias("edited_fingerprint"),
+        likeness(F.col("own.sparse"), F.col("changed.sparse")).alias("near_edited"),
+        likeness(F.col("own.sparse"), F.col("next.sparse")).alias("near_next"),
+        as_text(F.col("own.dense")).alias("anchors"), as_text(F.col("changed.dense")).alias("edited_anchors"),
+        likeness(F.col("own.dense"), F.col("changed.dense")).alias("alike_edited"),
+        likeness(F.col("own.dense"), F.col("next.dense")).alias("alike_next"),
     )
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    return compared(docs).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")

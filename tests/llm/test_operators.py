@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from sectorlens.llm import langid, mixing, neighbours, pii, queries, sharding, simhash, spm, syncmers, tokenids, topk
 from tests.llm.fixtures import as_rows, documents, empty, rows, sentences
@@ -386,6 +387,24 @@ def test_half_of_a_text_is_seen_at_any_length(spark):
         assert r["near_edited"] > 0.1 and r["near_next"] == 0
 
 
+def test_dense_anchors_are_shared_at_every_length(spark):
+    pick = random.Random(10)
+    word = lambda: f"w{pick.randrange(10**11, 10**12)}"
+    some = [(i, " ".join(word() for _ in range(n)), None, None, 1) for i, n in enumerate([*range(2, 61)] * 4)]
+    for r in syncmers.compared(documents(spark, some=some)).collect():
+        assert r["alike_edited"] > 0.1 and r["alike_next"] == 0
+    pairs = []
+    for n in range(1, 61):
+        words = [word() for _ in range(n + 1)]
+        gone = pick.randrange(n + 1)
+        pairs.append((" ".join(words), " ".join(words[:gone] + words[gone + 1 :])))
+    dense = lambda c: syncmers.both(F.col(c))["dense"]
+    got = spark.createDataFrame(pairs, "a string, b string").select(syncmers.likeness(dense("a"), dense("b")).alias("x"), syncmers.likeness(dense("a"), dense("a")).alias("same"))
+    assert all(r["x"] >= 0.3 and r["same"] == 1.0 for r in got.collect())
+    plain = spark.createDataFrame([("",), ("a",), ("a b",), ("a b c a b c",)], "t string").select(F.size(dense("t")).alias("n")).collect()
+    assert [r["n"] for r in plain[:3]] == [0, 1, 2] and plain[3]["n"] > 3
+
+
 def test_ranges_do_not_matter(spark):
     docs = documents(spark)
     one = syncmers.with_next(docs, {}).select("doc_id", "text", "next_text")
