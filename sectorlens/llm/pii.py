@@ -317,11 +317,11 @@ def find_spans(texts: list[str], w: dict[str, np.ndarray]) -> list[tuple[list, l
 
 
 def fit(docs: DataFrame) -> dict[str, np.ndarray]:
-    """Weights learnt in one task from a bounded sample of documents that hold a digit or an at sign."""
-    rows = docs.count()
-    at = F.pmod(F.xxhash64(F.lit(41), "doc_id"), F.lit(1_000_003))
-    thin = docs.select("text", at.alias("at")).filter((F.col("at") < min(1.0, 4 * SAMPLE_DOCS / max(1, rows)) * 1_000_003))
-    thin = thin.filter(F.col("text").rlike("[0-9@]")).orderBy("at").limit(SAMPLE_DOCS).select("text")
+    """Weights learnt in one task from ``SAMPLE_DOCS`` documents that hold a digit or an at sign (all, if there are fewer)."""
+    active = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64(F.lit(41), "doc_id", "text").alias("at"))
+    # the greatest hash of the sample is found on the narrow column, so that few texts are sorted
+    last = active.select("at").orderBy("at").limit(SAMPLE_DOCS).agg(F.coalesce(F.max("at"), F.lit(0))).first()[0]
+    thin = active.filter(F.col("at") <= F.lit(last).cast("long")).orderBy("at").limit(SAMPLE_DOCS).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph, n = Graph(), 0
@@ -333,7 +333,10 @@ def fit(docs: DataFrame) -> dict[str, np.ndarray]:
         flat = np.concatenate([w["unary"].ravel(), w["chain"].ravel(), w["skip"]])
         yield pa.RecordBatch.from_pydict({"w": pa.array([flat], pa.list_(pa.float64()))})
 
-    flat = np.array(thin.coalesce(1).mapInArrow(run, "w array<double>").first()[0])
+    found = thin.coalesce(1).mapInArrow(run, "w array<double>").first()
+    if found is None:  # no such document, and so no task
+        return learn(Graph())
+    flat = np.array(found[0])
     a, b = FEATURES * LABELS, FEATURES * LABELS + LABELS * LABELS
     return {"unary": flat[:a].reshape(FEATURES, LABELS), "chain": flat[a:b].reshape(LABELS, LABELS), "skip": flat[b:]}
 

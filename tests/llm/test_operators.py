@@ -473,6 +473,17 @@ def test_masking(spark):
     assert text.startswith("mail <EMAIL> or <IP> or <PHONE> or <CARD>")
 
 
+def test_rare_active_documents_teach_the_field(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE_DOCS", 5)
+    plain = [(i, sentences(i, 3), None, None, 1) for i in range(3000)]
+    rare = [(i, f"call +1 ({200 + i % 700}) 555-{1000 + i % 9000} today", None, None, 1) for i in range(5000, 5010)]
+    unknown = [(None, f"mail ann{i}@x.org now", None, None, 1) for i in range(10)]
+    for some in (plain + rare, plain + unknown):
+        w = pii.fit(documents(spark, some=some))
+        assert np.count_nonzero(w["unary"][:, 1:])
+    assert not np.count_nonzero(pii.fit(documents(spark, some=plain[:20]))["unary"][:, 1:])
+
+
 def skip_chain_model():
     texts = [f"write ann{i}.b@mail{i % 7}.org or call +1 ({200 + i}) 555-{1000 + i} today, {i} times" for i in range(150)]
     texts += [f"again jo{i}@mail{i % 5}.net and then jo{i}@mail{i % 5}.net, page {i} of 12.5" for i in range(80)]
