@@ -16,7 +16,8 @@ sample repeats no token, there is nothing else to learn them from. Inference is
 
 Tokens that touch no base span and whose label is surer than ``SURE`` can become spans. Neighbours of one
 label that pass their kind's pattern and check when read on their own are one span: a phone
-number and a card side by side, say, are one failing match to both patterns. Any other
+number and a card side by side, say, are one failing match to both patterns. A run that fails as a whole
+is read from left to right, and the longest stretch of its tokens that passes from a token on is a span. Any other
 such token becomes a span if it is linked, over any number of skip links, to a token under a base
 span of its kind.
 
@@ -283,6 +284,26 @@ def runs(text: str, graph: Graph, labels: np.ndarray, follows: dict[int, int], n
         yield run
 
 
+#: No card and no phone has more digits.
+MOST_DIGITS = 19
+
+
+def parts(text: str, graph: Graph, kind: str, run: list[int]) -> Iterator[list[int]]:
+    """``run`` cut from left to right into the longest stretches that pass; tokens in none stand alone."""
+    digits = [max(1, sum("0" <= c <= "9" for c in text[a:b])) for a, b in (graph.spans[i] for i in run)]
+    at = 0
+    while at < len(run):
+        end, total = at + 1, digits[at]
+        # an address has no white space, so it is one token
+        while kind in ("card", "phone") and end < len(run) and total + digits[end] <= MOST_DIGITS:
+            total += digits[end]
+            end += 1
+        while end > at + 1 and not passes(text, kind, graph.spans[run[at]][0], graph.spans[run[end - 1]][1]):
+            end -= 1
+        yield run[at:end]
+        at = end
+
+
 def find_spans(texts: list[str], w: dict[str, np.ndarray]) -> list[tuple[list, list]]:
     """For each text its base spans, and all spans."""
     base = [base_spans(t) for t in texts]
@@ -309,9 +330,10 @@ def find_spans(texts: list[str], w: dict[str, np.ndarray]) -> list[tuple[list, l
                 if passes(text, kind, a, b):
                     added[doc].append((kind, a, b))
                     continue
-                for i in run:
-                    if (int(group[i]), int(best[i])) in proof or passes(text, kind, *graph.spans[i]):
-                        added[doc].append((kind, *graph.spans[i]))
+                for part in parts(text, graph, kind, run):
+                    i, (a, b) = part[0], (graph.spans[part[0]][0], graph.spans[part[-1]][1])
+                    if len(part) > 1 or (int(group[i]), int(best[i])) in proof or passes(text, kind, a, b):
+                        added[doc].append((kind, a, b))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     return [(b, sorted([*b, *added[i]], key=order)) for i, b in enumerate(base)]
 

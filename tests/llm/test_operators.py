@@ -526,6 +526,23 @@ def test_neighbours_that_spoil_each_other_are_both_found():
     assert pii.masked(text, spans) == "or <PHONE> <CARD> and <PHONE> 4012888888881882"
 
 
+def test_grouped_cards_side_by_side_are_both_found():
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881", "3782 8224 6310 005"]
+    graph = pii.Graph()
+    for i in range(120):
+        t = f"page {i} of 12.5, paid by {cards[i % 4]} in full" if i % 2 else f"call +1 ({200 + i}) 555-{1000 + i} today, {i} times"
+        graph.add(i, t, pii.base_spans(t))
+    w = pii.learn(graph)
+    pair, three = f"paid by {cards[0]} {cards[1]} now", f"paid by {cards[0]} {cards[1]} {cards[2]} now"
+    further, none = f"paid by {cards[0]} 2024 1111 now", "paid by 4111 1111 1111 1112 5500 0000 0000 0005 now"
+    found = pii.find_spans([pair, three, further, none], w)
+    assert all(base == [] for base, _ in found)
+    assert [spans for _, spans in found] == [
+        [("card", 8, 27), ("card", 28, 47)], [("card", 8, 27), ("card", 28, 47), ("card", 48, 67)], [("card", 8, 27)], [],
+    ]
+    assert pii.masked(pair, found[0][1]) == "paid by <CARD> <CARD> now"
+
+
 def test_messages_on_a_tree_are_exact():
     w = {"unary": np.random.default_rng(1).standard_normal((pii.FEATURES, pii.LABELS)), "chain": np.random.default_rng(2).standard_normal((pii.LABELS, pii.LABELS)), "skip": np.array([0.7, 0.3])}
     graph = pii.Graph()
