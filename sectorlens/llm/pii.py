@@ -12,7 +12,8 @@ occurrence is linked to the one before it, so links grow with the tokens). Weigh
 learnt by pseudo-likelihood from base spans of at most ``SAMPLE_DOCS`` documents (and tokens there that
 are base spans when read alone, so that the patterns' failures are not learnt); token shapes and
 neighbours' labels are hidden at random while learning, so that neither stands in for the other. Skip weights have a Gaussian prior around ``SKIP_PRIOR``: where a
-sample repeats no token, there is nothing else to learn them from. Inference is damped loopy sum-product.
+sample repeats no token, there is nothing else to learn them from. Inference is damped loopy sum-product, until the messages settle;
+the labels of tokens under base spans are given.
 
 Tokens that touch no base span and whose label is surer than ``SURE`` can become spans. Neighbours of one
 label that pass their kind's pattern and check when read on their own are one span: a phone
@@ -155,7 +156,7 @@ class Graph:
 
     def add(self, doc: int, text: str, base: list[tuple[str, int, int]], teach: bool = False) -> None:
         """The tokens of one more document. To ``teach``, a token that is a base span when read alone is gold as well."""
-        before, last = None, {}
+        before, first = None, {}
         reached = 0
         taken = sorted((a, b, KINDS.index(k) + 1) for k, a, b in base)
         for a, b in tokens(text):
@@ -172,13 +173,11 @@ class Graph:
             self.gold.append(label)
             if before is not None and a - before[1] <= 3 and text[before[1] : a].strip(" ()-,.;:") == "":
                 self.chain.append((before[0], node))
-            if (at := last.get("=" + token)) is not None:
+            if (at := first.setdefault("=" + token, node)) != node:
                 self.equal.append((at, node))
             for key in similar_keys(token):
-                if (other := last.get(key)) is not None and other != at:
+                if (other := first.setdefault(key, node)) not in (at, node):
                     self.alike.append((other, node))
-                last[key] = node
-            last["=" + token] = node
             before = (node, b)
 
     def features(self) -> np.ndarray:
@@ -192,6 +191,8 @@ class Graph:
 
 
 LABELS = len(KINDS) + 1
+#: What speaks against any other label where a label is given: more than all messages together.
+GIVEN = 1e9
 
 
 def learn(graph: Graph, rounds: int = 300, rate: float = 0.5, l2: float = 1e-3) -> dict[str, np.ndarray]:
@@ -233,9 +234,16 @@ def learn(graph: Graph, rounds: int = 300, rate: float = 0.5, l2: float = 1e-3)
     return w
 
 
-def marginals(graph: Graph, w: dict[str, np.ndarray], rounds: int = 12, damping: float = 0.3) -> np.ndarray:
-    """Label probabilities of every token: damped loopy sum-product over chain and skip links."""
+def marginals(graph: Graph, w: dict[str, np.ndarray], rounds: int = 500, damping: float = 0.3, settled: float = 1e-6) -> np.ndarray:
+    """Label probabilities of every token: damped loopy sum-product over chain and skip links.
+
+    Gold labels are given. Rounds end when no message changes by more than ``settled``; messages on
+    loops need not settle, so there are ``rounds`` at most.
+    """
     unary = graph.features() @ w["unary"]
+    known, gold = np.flatnonzero(graph.gold), np.array(graph.gold, np.int64)
+    unary[known] = -GIVEN
+    unary[known, gold[known]] = 0
     links = [graph.links(k) for k in ("chain", "equal", "alike")]
     tables = [w["chain"], np.eye(LABELS) * w["skip"][0], np.eye(LABELS) * w["skip"][1]]
     source = np.concatenate([x for l in links for x in (l[:, 0], l[:, 1])])
@@ -261,7 +269,10 @@ def marginals(graph: Graph, w: dict[str, np.ndarray], rounds: int = 12, damping:
             top = both.max(axis=1)
             fresh[part] = top + np.log(np.exp(both - top[:, None, :]).sum(axis=1))
         fresh -= fresh.max(axis=1, keepdims=True)
+        change = np.abs(fresh - message).max()
         message = damping * message + (1 - damping) * fresh
+        if change <= settled:
+            break
     b = beliefs()
     p = np.exp(b - b.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)

@@ -507,6 +507,26 @@ def test_skip_links_carry_labels_to_distant_tokens():
     assert phone(text) > phone(alone)
 
 
+def test_repeats_of_a_base_span_are_found_however_many():
+    w = skip_chain_model()
+    w["unary"][:, 0] += 1.5  # by its shape alone the token is outside
+    again = "word " * 9 + "or 555-2485 "
+    text = "call +1 (555) 555-2485 now " + again * 60
+    (base, spans), (_, alone) = pii.find_spans([text, again * 60], w)
+    assert len(base) == 1 and alone == []
+    assert len(spans) == 61 and {(k, text[a:b]) for k, a, b in spans[1:]} == {("phone", "555-2485")}
+
+
+def test_labels_under_base_spans_are_given():
+    w = {"unary": np.zeros((pii.FEATURES, pii.LABELS)), "chain": np.zeros((pii.LABELS, pii.LABELS)), "skip": np.array([3.0, 2.0])}
+    w["unary"][0, 0] = 9.0
+    graph = pii.Graph()
+    text = "of 10.0.0.1 and 4.5"
+    graph.add(0, text, pii.base_spans(text))
+    p = pii.marginals(graph, w)
+    assert p[0, 2] > 0.999 and p[1, 0] > 0.99
+
+
 def test_neighbours_that_spoil_each_other_are_both_found():
     texts = [f"call +1 ({200 + i}) 555-{1000 + i} today, {i} times" for i in range(100)]
     texts += [f"page {i} of 12.5, paid by {c} in full" for i, c in enumerate(["4111111111111111", "4012888888881881"] * 40)]
