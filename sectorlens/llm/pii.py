@@ -8,9 +8,9 @@ The field labels the tokens of a document that hold a digit or an at sign; all o
 are outside by construction, which cuts the chain there. Neighbouring tokens share a
 chain potential; tokens that are equal, or alike (same letters and digits, same local
 part, same last digits), share a skip potential however far apart they stand (each
-occurrence is linked to the one before it, so links grow with the tokens). Weights are
-learnt by pseudo-likelihood from base spans of at most ``SAMPLE_DOCS`` documents (and tokens there that
-are base spans when read alone, so that the patterns' failures are not learnt); token shapes and
+occurrence is linked to the first one, so links grow with the tokens and any two occurrences are two links apart). Weights are
+learnt by pseudo-likelihood from base spans of at most ``SAMPLE_DOCS`` documents (and tokens and stretches of
+tokens there that are base spans when read alone, so that the patterns' failures are not learnt); token shapes and
 neighbours' labels are hidden at random while learning, so that neither stands in for the other. Skip weights have a Gaussian prior around ``SKIP_PRIOR``: where a
 sample repeats no token, there is nothing else to learn them from. Inference is damped loopy sum-product, until the messages settle;
 the labels of tokens under base spans are given.
@@ -155,9 +155,9 @@ class Graph:
         self.chain, self.equal, self.alike = [], [], []
 
     def add(self, doc: int, text: str, base: list[tuple[str, int, int]], teach: bool = False) -> None:
-        """The tokens of one more document. To ``teach``, a token that is a base span when read alone is gold as well."""
+        """The tokens of one more document. To ``teach``, tokens that are base spans when read alone are gold as well."""
         before, first = None, {}
-        reached = 0
+        reached, start, linked = 0, len(self.spans), len(self.chain)
         taken = sorted((a, b, KINDS.index(k) + 1) for k, a, b in base)
         for a, b in tokens(text):
             node = len(self.spans)
@@ -179,6 +179,22 @@ class Graph:
                 if (other := first.setdefault(key, node)) not in (at, node):
                     self.alike.append((other, node))
             before = (node, b)
+        if teach:
+            self.teach_parts(text, start, dict(self.chain[linked:]))
+
+    def teach_parts(self, text: str, start: int, follows: dict[int, int]) -> None:
+        """Stretches of unlabelled neighbours from node ``start`` on that pass when read alone are gold."""
+        run: list[int] = []
+        for i in [*range(start, len(self.spans)), -1]:
+            if run and (i < 0 or self.gold[i] or follows.get(run[-1]) != i or text[self.spans[i][0]] == "+"):
+                kind = "phone" if text[self.spans[run[0]][0]] == "+" else "card"
+                for part in parts(text, self, kind, run):
+                    if len(part) > 1:
+                        for j in part:
+                            self.gold[j] = KINDS.index(kind) + 1
+                run = []
+            if i >= 0 and not self.gold[i]:
+                run.append(i)
 
     def features(self) -> np.ndarray:
         out = np.zeros((len(self.places), FEATURES))

@@ -484,6 +484,12 @@ def test_rare_active_documents_teach_the_field(spark, monkeypatch):
     assert not np.count_nonzero(pii.fit(documents(spark, some=plain[:20]))["unary"][:, 1:])
 
 
+def test_stretches_that_pass_alone_are_taught():
+    graph = pii.Graph()
+    graph.add(0, "page 3 or +1 (269) 555-3296 4012888888881881, paid 4111 1111 1111 1111 5500 0000 0000 0004", [], teach=True)
+    assert graph.gold == [0, *[4] * 3, *[3] * 9]
+
+
 def skip_chain_model():
     texts = [f"write ann{i}.b@mail{i % 7}.org or call +1 ({200 + i}) 555-{1000 + i} today, {i} times" for i in range(150)]
     texts += [f"again jo{i}@mail{i % 5}.net and then jo{i}@mail{i % 5}.net, page {i} of 12.5" for i in range(80)]
