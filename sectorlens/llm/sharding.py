@@ -10,8 +10,9 @@ most and a bucket goes to one file or two.
 The bucket order inside a task and the order inside a bucket before the shuffle are
 fixed by a sort and the number of partitions is fixed, so a lost task writes the same rows again.
 Nulls: a null text is no bytes; null ids hash like any value. Copies with ids of
-their own spread over all buckets; rows equal in id and text are interchangeable
-and share one. An empty table gives an empty result; any other columns travel
+their own spread over all buckets. Rows equal in id and text share one, unless they are ``HEAVY`` (their hash has
+more than that share of a bucket): then equal records are counted before they are moved, each copy gets a number,
+and the whole record and the number are hashed, so that copies spread as well and a rerun places them alike. An empty table gives an empty result; any other columns travel
 along inside the struct ``record``, so that no name can clash.
 """
 
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorlens.llm.common import whole_text
@@ -27,6 +28,36 @@ from sectorlens.operators.lookup import lookup_join
 from sectorlens.session import pinned
 
 BUCKET_BYTES = 4 * 1024 * 1024
+HEAVY = 0.25
+#: Copies of one record that one row stands for, so that a crowd is not one task's work.
+COPIES_A_ROW = 10_000
+
+
+def _hashable(docs: DataFrame) -> list[Column]:
+    """The columns; those that hold a map, which has no hash, as JSON."""
+    return [F.to_json(F.col(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
+
+
+def numbered(docs: DataFrame, order: Column, seed: int, heavy_bytes: float) -> DataFrame:
+    """order and record of every row; ``order`` differs between the copies of heavy rows.
+
+    The heavy hashes are broadcast: they are one per ``heavy_bytes`` of input at most.
+    """
+    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record")
+    given = docs.select(order.alias("order"), record, F.xxhash64(F.lit(seed), *_hashable(docs)).alias("own"))
+    size = (F.octet_length(whole_text()) + 1).cast("long")
+    heavy = docs.select(order.alias("heavy"), size.alias("size")).groupBy("heavy").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+    heavy = pinned(heavy.filter((F.col("bytes") > heavy_bytes) & (F.col("rows") > 1)).select("heavy"))
+    if heavy.isEmpty():
+        return given.select("order", "record")
+    light = given.join(F.broadcast(heavy), F.col("order") == F.col("heavy"), "left_anti").select("order", "record")
+    crowd = given.join(F.broadcast(heavy), F.col("order") == F.col("heavy"), "left_semi")
+    counted = crowd.groupBy("record", "own").agg(F.count("*").alias("n"))
+    tens = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES_A_ROW).cast("long")))
+    blocks = counted.select("record", "own", "n", tens.alias("ten")).repartition("own", "ten")
+    upto = F.least(F.col("n"), (F.col("ten") + 1) * COPIES_A_ROW) - 1
+    copies = blocks.select("record", "own", F.explode(F.sequence(F.col("ten") * COPIES_A_ROW, upto)).alias("copy"))
+    return light.unionAll(copies.select(F.xxhash64(F.lit(seed), "own", "copy").alias("order"), "record"))
 
 
 def shuffled(docs: DataFrame, shards: int, seed: int = 23, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -35,10 +66,8 @@ def shuffled(docs: DataFrame, shards: int, seed: int = 23, bucket_bytes: int = B
     total = docs.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
     buckets = max(1, math.ceil(total / bucket_bytes))
     order = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
-    scattered = docs.select(
-        F.pmod(order, F.lit(buckets)).cast("int").alias("bucket"),
-        order.alias("order"),
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"),
+    scattered = numbered(docs, order, seed, HEAVY * bucket_bytes).select(
+        F.pmod("order", F.lit(buckets)).cast("int").alias("bucket"), "order", "record"
     )
     counts = scattered.groupBy("bucket").agg(F.count("*").alias("n"))
     earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -301,6 +301,28 @@ def test_order_is_shuffled(spark):
     assert sharding.shuffled(empty(spark), 8).count() == 0
 
 
+def test_copies_equal_in_id_and_text_spread(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES_A_ROW", 7)
+    some = [(None, "the same text", "aa", "src0", 13)] * 600 + [(None, "the same text", "bb", None, i % 200) for i in range(300)] + rows()
+    docs = documents(spark, some=some).withColumn("tags", F.create_map(F.lit("k"), F.col("lang")))
+    sharded = sharding.shuffled(docs, 4, bucket_bytes=1000)
+    got = sharded.collect()
+    whole = lambda r: str((r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"], r["tags"]))
+    assert Counter(whole(r["record"]) for r in got) == Counter(whole(r) for r in docs.collect())
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) == 4
+    # a copy stands beside others and not in one block of copies: a bucket holds few of them
+    order = [r["record"]["text"] == "the same text" for r in sorted(got, key=lambda r: (r["shard"], r["slot"]))]
+    assert sum(order) == 900 and min(sum(order[i::4]) for i in range(4)) > 0
+    spread = sharding.numbered(docs, F.xxhash64(F.lit(23), "doc_id", "text"), 23, 250.0)
+    spread = spread.filter("record.text = 'the same text'").groupBy(F.pmod("order", F.lit(10)).alias("b")).count().collect()
+    assert len(spread) == 10 and max(r["count"] for r in spread) < 150
+    place = lambda rs: Counter((whole(r["record"]), r["shard"], r["slot"]) for r in rs)
+    assert place(got) == place(sharding.shuffled(docs.repartition(3), 4, bucket_bytes=1000).collect())
+
+
 # ---------------------------------------------------------------- 7 top-k
 
 
