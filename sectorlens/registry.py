@@ -28,7 +28,7 @@ SQL: dict[str, str] = {}
 # A run shortly after the newest bar of the test tables is complete.
 NOW = "2024-01-31 00:04:00"
 KEPT_UNTIL = "2024-01-16"
-# The newest day's slots are cleaned again.
+# From this day on, slots that are cleaned again have their own close.
 SLOTS_AGAIN_FROM = "2024-01-30"
 # Within the few days that the news of the test tables covers, so that a ledger holds some and lacks some.
 NEWS_KEPT_UNTIL = "2024-01-02 12:00:00"
@@ -1017,8 +1017,11 @@ def _(spark, folder):
     """Cleaned sector bars by day and slot; slots that come again are replaced."""
     path = session.scratch_dir(spark, "cleaned")
     bars = tables.stock_sector(spark, folder)
-    sinks.save_cleaned(bars.withColumn("close", F.col("open")), path)
-    sinks.save_cleaned(bars.where(F.col("datetime") >= SLOTS_AGAIN_FROM), path)
+    opened, newest = F.col("open"), F.col("datetime") >= SLOTS_AGAIN_FROM
+    again = F.col("datetime") >= KEPT_UNTIL
+    sinks.save_cleaned(bars.withColumn("close", F.when(again, F.col("high") + 1).otherwise(opened)), path)
+    # the slots of all days from KEPT_UNTIL on come again; a slot that is not replaced keeps a wrong close
+    sinks.save_cleaned(bars.where(again).withColumn("close", F.when(newest, F.col("close")).otherwise(opened)), path)
     stored = sinks.with_slot(bars).schema
     return spark.read.schema(stored).parquet(path)
 

@@ -389,3 +389,18 @@ def test_scratch_folder_must_be_shared_on_a_cluster():
 
     with pytest.raises(ValueError):
         session.scratch_dir(Session, "x")
+
+
+def test_slots_of_several_days_come_again(spark, monkeypatch):
+    from sectorlens import registry
+    from tests.helpers import TINY
+
+    days = []
+
+    def save(bars, path):
+        days.append(bars.select(F.to_date("datetime")).distinct().count())
+        registry.sinks.with_slot(bars).limit(0).write.mode("overwrite").parquet(path)
+
+    monkeypatch.setattr(registry.sinks, "save_cleaned", save)
+    registry.QUERIES["cleaned_slots_roundtrip"](spark, TINY)
+    assert days[0] > days[1] > 10
