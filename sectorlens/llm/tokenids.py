@@ -164,7 +164,10 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def train_dictionary(docs: DataFrame, path: str, width: int, end_id: int) -> bytes:
-    """A dictionary from a bounded sample of whole documents, trained in one task; empty if there are too few."""
+    """A dictionary from a bounded sample, trained in one task; empty if there are too few.
+
+    Texts of more than ``DICTIONARY_DOC_BYTES`` characters are left out, and the ids of others are cut to so many bytes.
+    """
     rows = docs.count()
     share = min(1.0, 3 * DICTIONARY_DOCS / max(1, rows))
     at = F.xxhash64(F.lit(7), "doc_id")
