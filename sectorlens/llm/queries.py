@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Callable
 
@@ -11,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sectorlens import session
-from sectorlens.llm import langid, mixing, neighbours, pii, sharding, simhash, spm, syncmers, tokenids, topk
-from sectorlens.llm.common import table
+from sectorlens.llm import anchors, langid, mixing, neighbours, pii, runs, sharding, simhash, spelling, spm, syncmers, tokenids, topk
+from sectorlens.llm.common import WORD, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,6 +123,63 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the words under 35-word windows that start anywhere else too."""
+    found = anchors.without_repeats(table(spark, folder, "documents"), 35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in the documents that their id's checksum chooses, a tail of the words is repeated."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    given = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    given = given.withColumn("words", words).withColumn("n_words", F.size("words"))
+    chosen = (F.col("h") % 10 == 0) & (F.col("n_words") > 0)
+    a = F.col("g") % F.col("n_words")
+    given = given.withColumn("a", F.when(chosen, a).cast("int"))
+    period = F.lit(1) + F.floor((F.col("n_words") - F.col("a")) / (3 + F.col("g") % 8))
+    given = given.withColumn("p", period.cast("int"))
+    tail = F.transform(F.sequence("a", F.col("n_words") - 1), lambda i: F.get("words", F.col("a") + F.pmod(i - F.col("a"), F.col("p"))))
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return given.select("doc_id", F.when(chosen, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document: their number, the strongest, and digests of all and of the collapsed text."""
+    found = runs.periodic_runs(with_planted_runs(table(spark, folder, "documents")), 24, 3)
+    line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
+    lines = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(F.lit("")))
+
+    def stronger(best: Column, r: Column) -> Column:
+        # exact comparison of length / period; runs come by start, then period, so the first of equals stays
+        more = best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+        return F.when(more, r).otherwise(best)
+
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:long,length:long,period:long>"), stronger)
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def worn_words(docs: DataFrame) -> DataFrame:
+    """Lower-cased (A-Z alone) runs of at least seven Latin letters; those that a checksum chooses lose a letter."""
+    found = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z\u00C0-\u00FF]{7,}"), F.lit(0))).alias("run"))
+    found = found.withColumn("run", F.translate("run", string.ascii_uppercase, string.ascii_lowercase))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")))
+    found = found.select("run", h.alias("h"))
+    at = (F.col("h") % F.char_length("run")).cast("int")
+    worn = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
+    return found.select(F.when(F.col("h") % 31 == 0, worn).otherwise(F.col("run")).alias("word"))
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Near words, form and root of every word of seven or more letters that occurs twice or more."""
+    return spelling.variants(spelling.word_counts(worn_words(table(spark, folder, "documents")), 7, 2), 10)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -133,7 +191,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mixing, op2_token_ids, op3_language, op4_sentencepiece, op5_quality, op6_sharding, op7_topk,
-        op8_fingerprints, op9_pii, op10_simhash, pipeline,
+        op8_fingerprints, op9_pii, op10_simhash, op11_substring_dedup, op12_periodic_runs, op13_spelling, pipeline,
     )
 }
 

@@ -1,0 +1,378 @@
+"""Substring dedup, periodic runs and spelling variants against plain versions."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from sectorlens.llm import anchors, queries, runs, spelling, wordlists
+from tests.helpers import TINY
+from tests.llm.fixtures import DOCS, as_rows, documents, empty, rows, sentences
+
+LETTERS = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") | {chr(c) for c in range(0xC0, 0x100)}
+
+
+def words_of(text):
+    return (text or "").encode().split()  # bytes split at the white space of the contract alone
+
+
+def sha(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
+# --- words -----------------------------------------------------------------------------------------------------------
+
+
+def test_words_are_those_of_the_contract():
+    texts = ["", " ", "a", "  a  b\tc\r\n", "\x1ca\x1fb\x85c d", "x\x0by\x0cz", None, "é ü"]
+    starts, words = wordlists.split(pa.array(texts))
+    got = words.to_pylist()
+    assert [got[a:b] for a, b in zip(starts, starts[1:])] == [[w.decode() for w in words_of(t)] for t in texts]
+    kept = np.ones(len(got), bool)
+    assert wordlists.joined(words, starts, kept).to_pylist() == [b" ".join(words_of(t)).decode() for t in texts]
+
+
+def test_rolling_hash_is_that_of_the_window():
+    pick = random.Random(4)
+    x = np.array([pick.getrandbits(64) for _ in range(50)] * 3, np.uint64)
+    found = wordlists.rolling(x, 20)
+    assert len(found) == 131 and (found[:81] == found[50:]).all() and len(set(found[:50].tolist())) == 50
+    assert len(wordlists.rolling(x[:5], 20)) == 0
+
+
+# --- substring dedup ---------------------------------------------------------------------------------------------------
+
+
+def plain_removed(texts, window=35):
+    every = [words_of(t) for t in texts]
+    seen = Counter(tuple(w[i : i + window]) for w in every for i in range(len(w) - window + 1))
+    out = []
+    for w in every:
+        hit = set()
+        for i in range(len(w) - window + 1):
+            if seen[tuple(w[i : i + window])] > 1:
+                hit.update(range(i, i + window))
+        out.append((len(w), len(hit), b" ".join(x for k, x in enumerate(w) if k not in hit)))
+    return out
+
+
+def dedup_rows(got):
+    return sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got.collect()), key=str)
+
+
+def expected_rows(table, window=35):
+    plain = plain_removed([r[1] for r in table], window)
+    return sorted(((r[0], n, gone, kept.decode()) for r, (n, gone, kept) in zip(table, plain)), key=str)
+
+
+def test_difference_cover_reaches_every_pair():
+    for a in range(anchors.PERIOD):
+        for b in range(anchors.PERIOD):
+            assert any((a + d) % 21 in anchors.COVER and (b + d) % 21 in anchors.COVER for d in range(21))
+
+
+def planted_texts(seed, n, sizes):
+    """Texts with shared passages of ``sizes`` words at random places."""
+    pick = random.Random(seed)
+    passages = [sentences(seed * 100 + k, size).split() for k, size in enumerate(sizes)]
+    out = []
+    for i in range(n):
+        words = sentences(seed * 1000 + 7 * i, pick.randint(0, 90), "qua wer tyu iop asd fgh jkl zxc vbn").split()
+        for _ in range(pick.randint(0, 3)):
+            at = pick.randint(0, len(words))
+            words[at:at] = pick.choice(passages)
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_dedup_equals_plain(spark, seed):
+    texts = planted_texts(seed, 60, [33, 34, 35, 36, 37, 45, 55, 56, 90]) + ["a b " * 60, "same " * 35, "same " * 34]
+    table = [(i, t, "aa", "s", 1) for i, t in enumerate(texts)]
+    assert dedup_rows(anchors.without_repeats(documents(spark, some=table))) == expected_rows(table)
+
+
+def test_dedup_of_awkward_tables(spark):
+    base = rows()
+    for clashing in (False, True):
+        assert dedup_rows(anchors.without_repeats(documents(spark, clashing))) == expected_rows(base)
+    assert anchors.without_repeats(empty(spark)).count() == 0
+    assert dedup_rows(anchors.without_repeats(documents(spark), 21)) == expected_rows(base, 21)
+    with pytest.raises(ValueError):
+        anchors.repeated_spans(documents(spark), 20)
+
+
+def test_dedup_of_copies_and_many_near_copies(spark):
+    body = sentences(50, 120).split()
+    table = [(None, " ".join(body), "aa", "s", 1)] * 5 + [(1, " ".join(body), "aa", "s", 1)]
+    for i in range(200):
+        words = list(body)
+        words[(i * 7) % 120] = f"w{i}"
+        table.append((10 + i, " ".join(words), "aa", "s", 1))
+    assert dedup_rows(anchors.without_repeats(documents(spark, some=table))) == expected_rows(table)
+
+
+def test_dedup_without_copied_lookups(spark, monkeypatch):
+    """Beyond the limits of size, joins shuffle; the rows are the same."""
+    table = [(i, t, "aa", "s", 1) for i, t in enumerate(planted_texts(9, 40, [35, 40, 80]))]
+    join = anchors.lookup_join
+    monkeypatch.setattr(anchors, "lookup_join", lambda fact, lookup, on, how="inner", limit=0: join(fact, lookup, on, how, 0))
+    assert dedup_rows(anchors.without_repeats(documents(spark, some=table))) == expected_rows(table)
+
+
+def test_dedup_query(spark):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text").collect()
+    want = {r["doc_id"]: (n, gone, sha(kept)) for r, (n, gone, kept) in zip(docs, plain_removed([r["text"] for r in docs]))}
+    got = queries.op11_substring_dedup(spark, TINY).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == want and len(got) == len(docs)
+    assert sum(r["n_removed"] for r in got) > 0
+
+
+# --- periodic runs -----------------------------------------------------------------------------------------------------
+
+
+def plain_runs(c, least=24, power=3):
+    """Every maximal stretch by every period; of equal stretches the one of the smallest period."""
+    n, best = len(c), {}
+    for q in range(1, n // power + 1):
+        i = 0
+        while i + q < n:
+            if c[i] != c[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and c[j] == c[j + q]:
+                j += 1
+            if j + q - i >= max(least, power * q):
+                best.setdefault((i, j + q - i), q)
+            i = j
+    return sorted((s, length, q) for (s, length), q in best.items())
+
+
+def collapsed(c, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return [x for i, x in enumerate(c) if i not in gone]
+
+
+def periodic(pick):
+    out = []
+    for _ in range(pick.randint(1, 4)):
+        unit = [pick.randint(0, 3) for _ in range(pick.choice([1, 1, 2, 3, 5, 8, 9, 12, 20]))]
+        out += unit * pick.randint(1, 12) + unit[: pick.randint(0, len(unit))]
+        out += [pick.randint(0, 5) for _ in range(pick.randint(0, 12))]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_runs_equal_plain(seed):
+    pick = random.Random(seed)
+    hits = 0
+    for _ in range(120):
+        c = periodic(pick)
+        want = plain_runs(c)
+        hits += bool(want)
+        assert runs.word_runs(np.array(c)) == want
+        assert runs.word_runs(np.array(c), 6, 2) == plain_runs(c, 6, 2)
+        if want:
+            assert len(runs._repetitive(np.array([0, len(c)]), np.array(c), runs.least_common(24, 3)))
+    assert hits > 40
+
+
+def test_runs_of_nested_and_structured_texts():
+    fib = [[0], [0, 1]]
+    while len(fib[-1]) < 400:
+        fib.append(fib[-1] + fib[-2])
+    thue = [bin(i).count("1") % 2 for i in range(1024)]
+    nested = ([1] * 30 + [2]) * 4
+    for c in (fib[-1], thue, nested, [7] * 500, [1, 2] * 300, nested * 3 + [9], [0] * 24, [0] * 23):
+        assert runs.word_runs(np.array(c)) == plain_runs(c)
+        assert runs.word_runs(np.array(c), 4, 2) == plain_runs(c, 4, 2)
+
+
+def test_smallest_common_prefix_of_a_run():
+    assert runs.least_common(24, 3) == 16
+    for least, power in ((24, 3), (10, 2), (30, 4), (1, 2)):
+        every = [max(least, power * q) - q for q in range(1, 200)]
+        assert runs.least_common(least, power) == min(every)
+
+
+def test_runs_of_awkward_tables(spark):
+    base = rows() + [(200, "la " * 40 + "end", "aa", "s", 1), (201, ("ta ti tu " * 9).strip(), None, None, None)]
+    want = []
+    for r in base:
+        c = words_of(r[1])
+        found = plain_runs(c)
+        want.append((r[0], found, b" ".join(collapsed(c, found)).decode()))
+    for clashing in (False, True):
+        got = runs.periodic_runs(documents(spark, clashing, base)).collect()
+        got = [(r["doc_id"], [tuple(x) for x in r["runs"]], r["collapsed"]) for r in got]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert runs.periodic_runs(empty(spark)).count() == 0
+
+
+def planted(doc_id, text):
+    c = words_of(text)
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    g = h // 10
+    if h % 10 == 0 and c:
+        a = g % len(c)
+        p = 1 + (len(c) - a) // (3 + g % 8)
+        c = [c[i] if i < a else c[a + (i - a) % p] for i in range(len(c))]
+    return c
+
+
+def plain_run_row(doc_id, text):
+    c = planted(doc_id, text)
+    found = plain_runs(c)
+    best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    digest = sha("".join(f"{s},{n},{q}\n" for s, n, q in found).encode())
+    top = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    return (doc_id, len(found), *top, digest, sha(b" ".join(collapsed(c, found))))
+
+
+def test_runs_query(spark, tmp_path):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text").collect()
+    docs = [tuple(r) for r in docs if len(r["text"] or "") < 6000] + [tuple(r[:2]) for r in rows()]
+    docs += [(i, sentences(i, 60 + i % 50)) for i in range(5000, 5200)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op12_periodic_runs(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert as_rows(got) == sorted((plain_run_row(*d) for d in docs), key=str)
+    assert got.filter("n_runs > 0").count() > 20
+
+
+# --- spelling ----------------------------------------------------------------------------------------------------------
+
+
+def near(u, v):
+    if len(u) == len(v):
+        return sum(a != b for a, b in zip(u, v)) == 1
+    u, v = sorted((u, v), key=len)
+    return len(v) == len(u) + 1 and any(v[:i] + v[i + 1 :] == u for i in range(len(v)))
+
+
+def plain_variants(counts, ratio=10):
+    forms, rows = {}, {}
+    for w, n in counts.items():
+        close = [v for v in counts if near(w, v)]
+        best = min(close, key=lambda v: (-counts[v], v), default=None)
+        forms[w] = best if best is not None and counts[best] >= ratio * n else None
+        rows[w] = (n, len(close))
+    out = []
+    for w, (n, k) in rows.items():
+        root = w
+        while forms[root]:
+            root = forms[root]
+        out.append((w, forms[w], root, n, k, counts[forms[w]] if forms[w] else None))
+    return sorted(out, key=str)
+
+
+def alike_words(seed, n, letters="abc", size=(1, 6)):
+    pick = random.Random(seed)
+    out = {"".join(pick.choices(letters, k=pick.randint(*size))): 0 for _ in range(n)}
+    return {w: int(10 ** pick.uniform(0, 4)) + 1 for w in out}
+
+
+@pytest.mark.parametrize("seed,letters,size,range_rows", [
+    (1, "ab", (1, 7), 200_000), (2, "abc", (1, 6), 7), (3, "aàÿz", (2, 5), 1), (4, "abcdefgh", (3, 4), 20), (5, "a𝔘語", (1, 5), 3), (6, "a", (1, 40), 4),
+])
+def test_variants_equal_plain(spark, seed, letters, size, range_rows):
+    counts = alike_words(seed, 150, letters, size)
+    df = spark.createDataFrame(sorted(counts.items()), "word string, n long").repartition(4)
+    got = spelling.variants(df, 10, range_rows)
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert as_rows(got) == plain_variants(counts)
+
+
+def test_trie_numbers_are_those_of_prefixes(spark):
+    words = sorted(alike_words(8, 200, "abc", (1, 8)))
+    df = spark.createDataFrame([(w,) for w in words], "word string").repartition(3)
+    for rows_a_range in (1, 13, 1000):
+        found = {r["word"]: r["nodes"] for r in spelling.numbered(df, df["word"], "nodes", rows_a_range).collect()}
+        by_prefix, by_number = {}, {}
+        for w, nodes in found.items():
+            assert len(nodes) == len(w) + 1
+            for i, k in enumerate(nodes):
+                assert by_prefix.setdefault(w[:i], k) == k and by_number.setdefault(k, w[:i]) == w[:i]
+        assert set(found) == set(words)
+        ends = [found[w][-1] for w in words]
+        assert ends == sorted(ends)
+
+
+def test_long_chains_of_forms(spark):
+    counts = {"abcdefg" + "x" * i: 3 * 10**i for i in range(9)}
+    df = spark.createDataFrame(sorted(counts.items()), "word string, n long")
+    got = {r["word"]: r["root"] for r in spelling.variants(df).collect()}
+    assert got == {w: "abcdefgxxxxxxxx" for w in counts}
+
+
+def test_no_words_no_rows(spark):
+    none = spark.createDataFrame([], "word string, n long")
+    assert spelling.variants(none).count() == 0
+    some = spark.createDataFrame([(None,), ("",), ("abcdefg",), ("abcdefg",), ("abcdefgh",)], "word string")
+    assert as_rows(spelling.word_counts(some)) == [("abcdefg", 2)]
+
+
+def plain_worn(docs):
+    counts = Counter()
+    for doc_id, text in docs:
+        run = ""
+        for ch in (text or "") + " ":
+            if ch in LETTERS:
+                run += ch.lower() if "A" <= ch <= "Z" else ch
+                continue
+            if run:
+                h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+                if h % 31 == 0:
+                    k = h % len(run)
+                    run = run[:k] + run[k + 1 :]
+                counts[run] += 1
+            run = ""
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def fast_variants(counts, ratio=10):
+    """As plain_variants, by the words' deletions."""
+    by_cut = defaultdict(set)
+    for w in counts:
+        by_cut[w].add(w)
+        for i in range(len(w)):
+            by_cut[w[:i] + w[i + 1 :]].add(w)
+    close = defaultdict(set)
+    for group in by_cut.values():
+        for u in group:
+            close[u] |= {v for v in group if v not in close[u] and near(u, v)}
+    forms = {}
+    for w, n in counts.items():
+        best = min(close[w], key=lambda v: (-counts[v], v), default=None)
+        forms[w] = best if best is not None and counts[best] >= ratio * n else None
+    out = []
+    for w, n in counts.items():
+        root = w
+        while forms[root]:
+            root = forms[root]
+        out.append((w, forms[w], root, n, len(close[w]), counts[forms[w]] if forms[w] else None))
+    return sorted(out, key=str)
+
+
+def test_spelling_query(spark, tmp_path):
+    docs = [tuple(r) for r in spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text").collect()]
+    docs += [tuple(r[:2]) for r in rows()] + [(7, "Straßenbahn STRASSENBAHN ÀÉÎÕÜabc àéîõüabc ×÷letters×÷more"), (8, "z" * 3000 + " " + "z" * 3000)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    counts = plain_worn(docs)
+    assert as_rows(queries.worn_words(spark.createDataFrame(docs, "doc_id long, text string")).filter("char_length(word) >= 7").groupBy("word").count().filter("count > 1")) == sorted(counts.items(), key=str)
+    assert as_rows(queries.op13_spelling(spark, str(tmp_path))) == fast_variants(counts)
+    some = dict(list(counts.items())[:300])
+    assert fast_variants(some) == plain_variants(some)
+
+
+def test_spelling_query_with_clashing_columns(spark, tmp_path):
+    documents(spark, True).write.parquet(f"{tmp_path}/a/documents.parquet")
+    documents(spark).select(*[c.split()[0] for c in DOCS.split(", ")]).write.parquet(f"{tmp_path}/b/documents.parquet")
+    for query in (queries.op11_substring_dedup, queries.op12_periodic_runs, queries.op13_spelling):
+        assert as_rows(query(spark, f"{tmp_path}/a")) == as_rows(query(spark, f"{tmp_path}/b"))
