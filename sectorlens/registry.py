@@ -1289,3 +1289,14 @@ def _(spark, folder):
     landed = jobs.file_stream(spark, f"{path}/landed", schemas.STOCK_SECTOR, files_per_batch=2)
     jobs.follow_top_sector(landed, f"{path}/lead", f"{path}/checkpoint")
     return jobs.read_top_sector(spark, f"{path}/lead")
+
+
+@_register("stream_sector_change", _CHANGE)
+def _(spark, folder):
+    """Sector bars in four batches, each with bars of all times, and the job started twice; the last correction of each bar."""
+    path = session.scratch_dir(spark, "stream")
+    tables.stock_sector(spark, folder).repartition(4).write.parquet(f"{path}/landed")
+    for _ in range(2):
+        landed = jobs.file_stream(spark, f"{path}/landed", schemas.STOCK_SECTOR, files_per_batch=1)
+        jobs.follow_sector_changes(landed, f"{path}/changes", f"{path}/checkpoint")
+    return jobs.read_sector_changes(spark, f"{path}/changes")

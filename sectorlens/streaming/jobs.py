@@ -14,8 +14,8 @@ from sectorlens import schemas
 from sectorlens.functions import columns, times
 from sectorlens.operators import bars as bar_ops
 from sectorlens.operators import dedupe
-from sectorlens.plans import marts
 from sectorlens.sources import landing
+from sectorlens.streaming import previous
 
 
 def file_stream(
@@ -150,26 +150,89 @@ def read_tick_bars(spark: SparkSession, path: str, key: str) -> DataFrame:
     return bar_ops.widen(spark.read.parquet(path), [key])
 
 
+def _changes(stock_sector: DataFrame, keep: str | None) -> DataFrame:
+    _keep_state_on_disk(stock_sector.sparkSession)
+    return previous.stream_previous(stock_sector, "sector", "datetime", "high", "prev_high", keep)
+
+
+def follow_sector_changes(
+    stock_sector: DataFrame, path: str, checkpoint: str, keep: str | None = None
+) -> None:
+    """Store each sector bar with the high before it, corrected when bars come late.
+
+    The previous bar is state of the stream: a batch reads its own bars and the state of their
+    days, never the stored history. A late bar adds a row for itself and a corrected one for
+    its successor. ``keep`` bounds the state; see :func:`previous.stream_previous`.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    (
+        _changes(stock_sector, keep)
+        .writeStream.outputMode("update" if keep is None else "append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(write)
+        .start()
+        .awaitTermination()
+    )
+
+
+def _moved(rows: DataFrame) -> DataFrame:
+    latest = previous.latest_rows(rows, "sector", "datetime", "high", "prev_high")
+    return latest.where(F.col("prev_high").isNotNull())
+
+
+def read_sector_changes(spark: SparkSession, path: str) -> DataFrame:
+    """The last correction of each bar, as :func:`marts.sector_change` has it."""
+    return _moved(spark.read.parquet(path)).select(
+        "datetime",
+        "sector",
+        "high",
+        "prev_high",
+        times.relative_change(F.col("high"), F.col("prev_high")).alias("diff_percent"),
+    )
+
+
 def follow_top_sector(
-    stock_sector: DataFrame, path: str, checkpoint: str
+    stock_sector: DataFrame, path: str, checkpoint: str, keep: str | None = None
 ) -> None:
     """After each batch of new sector bars, store which sector leads.
 
-    ``lead``/``lag`` over a stream is not supported, and late bars may change an
-    earlier bar's predecessor. So each batch adds its bars below ``path/bars`` and
-    asks the question of the stored bars, reading only as far back as the answer
-    needs; the answer is kept per batch.
+    Previous bars are stream state, as in :func:`follow_sector_changes`. Besides the answer, each batch
+    keeps the changes at the newest time (a row a sector); the next batch needs only these and
+    its own corrections. Should a late bar without a high leave no change at that time, the stored
+    corrections are asked once for the newest time before it.
     """
     spark = stock_sector.sparkSession
 
     def answer(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/bars/batch={batch_id}")
-        stored = spark.read.schema(schemas.STOCK_SECTOR).parquet(f"{path}/bars")
-        top = marts.settled_top_sector(stored)
+        batch.write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
+        own = spark.read.schema(batch.schema).parquet(f"{path}/changes/batch={batch_id}")
+        schema = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
+        leads = landing.read_or_empty(spark, f"{path}/lead", schema).where(F.col("batch") < batch_id)
+        newest = leads.agg(F.max("batch")).first()[0]
+        before = leads.where(F.col("batch") == newest).drop("batch")
+        micros = F.unix_micros("datetime")
+        led, changed = before.agg(F.max(micros)).first()[0], _moved(before.unionByName(own))
+        at = changed.agg(F.max(micros)).first()[0]
+        if led is not None and (at is None or at < led):
+            stored = spark.read.schema(schema).parquet(f"{path}/changes")
+            changed = _moved(stored.where(F.col("batch") <= batch_id).drop("batch"))
+            at = changed.agg(F.max(micros)).first()[0]
+        lead = changed.where(micros == F.lit(at)).select(*batch.columns)
+        lead.write.mode("overwrite").parquet(f"{path}/lead/batch={batch_id}")
+        rise = times.relative_change(F.col("high"), F.col("prev_high")).alias("diff_percent")
+        kept = spark.read.schema(batch.schema).parquet(f"{path}/lead/batch={batch_id}")
+        top = kept.select("datetime", "sector", "high", "prev_high", rise)
+        top = top.orderBy(F.col("diff_percent").desc_nulls_last(), "sector").limit(1)
         top.write.mode("overwrite").parquet(f"{path}/top/batch={batch_id}")
 
     (
-        stock_sector.writeStream.option("checkpointLocation", checkpoint)
+        _changes(stock_sector, keep)
+        .writeStream.outputMode("update" if keep is None else "append")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(answer)
         .start()
