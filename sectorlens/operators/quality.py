@@ -94,16 +94,14 @@ def short_gaps(
     key: str = "sector",
     time: str = "datetime",
     minutes: int = times.BAR_GAP_MINUTES,
-    bucket: str = "hour",
 ) -> DataFrame:
     """Bars that follow the bar before them in less than ``minutes``.
 
     ``n_rows`` tells how many bars a row stands for: copies of one time have a
-    gap of zero to each other and are reported together. ``bucket`` is the piece
-    of time one task orders; take a finer one for series denser than bars.
+    gap of zero to each other and are reported together.
     """
     series = bars.select(key, F.col(time).alias("curr"))
-    paired = with_previous(series, [key], "curr", "curr", "prev", bucket)
+    paired = with_previous(series, [key], "curr", "curr", "prev")
     gap = times.minute_gap(F.col("prev"), F.col("curr"))
     first = F.struct("prev", "curr", gap.alias("diff"), F.lit(1).cast("long").alias("n_rows"))
     copies = F.struct(

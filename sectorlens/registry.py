@@ -935,7 +935,7 @@ def _(spark, folder):
     sector_of = detail.select("company_symbol", F.col("sector_key").alias("sector")).dropna()
     ticks = tables.ticks(spark, folder)
     series = lookup.lookup_join(ticks, sector_of, "company_symbol").select("sector", "ts")
-    return quality.short_gaps(series, "sector", "ts", bucket="minute")
+    return quality.short_gaps(series, "sector", "ts")
 
 
 @_register(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sectorlens.operators import bars as bar_ops
 from sectorlens.operators import dedupe, lookup, quality, topk
+from sectorlens.operators import previous
 from sectorlens.operators.previous import with_previous
 from tests.helpers import at, plan_of, rows
 
@@ -124,8 +125,8 @@ def test_last_bar_and_freshness(spark):
     bar_ops.require_fresh(stale.where("false"), "company_symbol")
 
 
-@pytest.mark.parametrize("bucket", ["minute", "hour", "day"])
-def test_with_previous_equals_one_window(spark, bucket):
+@pytest.mark.parametrize("range_rows", [1, 7, 50, 100_000])
+def test_with_previous_equals_one_window(spark, range_rows):
     rng = random.Random(5)
     data = [
         (
@@ -137,7 +138,7 @@ def test_with_previous_equals_one_window(spark, bucket):
     ]
     data += [("a", NOON, 7.0)] * 300  # copies of one row
     df = spark.createDataFrame(data, "k string, t timestamp, v double").repartition(6)
-    got = with_previous(df, ["k"], "t", "v", "prev", bucket)
+    got = with_previous(df, ["k"], "t", "v", "prev", range_rows)
     one = (
         df.where("t is not null")
         .groupBy("k", "t")
@@ -149,16 +150,37 @@ def test_with_previous_equals_one_window(spark, bucket):
     )
 
 
-def test_no_task_orders_all_rows_of_a_key(spark):
-    df = spark.range(100).select(
-        F.lit("a").alias("k"), F.timestamp_seconds(F.col("id") * 60).alias("t"), F.col("id").alias("v")
-    ).where("rand() >= 0")
-    plan = plan_of(with_previous(df, ["k"], "t", "v", "prev"))
+def test_previous_time_and_several_keys(spark):
+    rng = random.Random(9)
+    data = [(rng.choice("ab"), rng.choice([1, 2, None]), NOON + timedelta(microseconds=rng.randrange(10**9))) for _ in range(400)]
+    df = spark.createDataFrame(data, "k string, n int, t timestamp").repartition(5)
+    got = with_previous(df, ["k", "n"], "t", "t", "prev", 9)
+    one = df.groupBy("k", "n", "t").agg(F.count(F.lit(1)).alias("copies"))
+    one = one.withColumn("prev", F.lag("t", 1).over(Window.partitionBy("k", "n").orderBy("t")))
+    assert rows(got.select("k", "n", "t", "copies", "prev")) == rows(one.select("k", "n", "t", "copies", "prev"))
+
+
+def test_half_of_all_rows_within_a_minute_spread_over_ranges(spark):
+    """One key has half of all rows within one minute; its ranges are as small as the others."""
+    n = 40_000
+    dense = spark.range(n // 2).select(F.lit("hot").alias("k"), F.timestamp_micros(F.col("id") * 2500).alias("t"), F.col("id").cast("double").alias("v"))
+    wide = spark.range(n // 2).select(
+        F.concat(F.lit("k"), F.col("id") % 10).alias("k"), F.timestamp_seconds(F.col("id") * 60).alias("t"), F.col("id").cast("double").alias("v")
+    )
+    df = dense.unionByName(wide)
+    got = with_previous(df, ["k"], "t", "v", "prev", 1000)
+    plan = plan_of(got)
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 2
-    # rows by key and bucket, and one carried value per bucket by key
-    assert "__time" in windows[0] and "__bucket" in windows[0].split("ASC")[0]
-    assert "__time" not in windows[1]
+    assert len(windows) == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning(k" not in plan  # dealt by range, never by key
+    wrong = got.where("k = 'hot' AND NOT coalesce(prev = v - 1, v = 0)").count()
+    wrong += got.where("k <> 'hot' AND NOT coalesce(prev = v - 10, v < 10)").count()
+    assert wrong == 0 and got.count() == n
+    merged = df.select("k", F.unix_micros("t").alias("__time"))
+    place = F.struct("k", "__time")
+    limits = previous._limits(merged, place, 1000)
+    sizes = merged.groupBy(previous._search(limits, place).alias("range")).count().toPandas()["count"]
+    assert len(sizes) >= 35 and sizes.max() < 4000
 
 
 def test_newest_per_cuts_before_the_shuffle(spark):
