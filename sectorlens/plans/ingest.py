@@ -12,6 +12,7 @@ from sectorlens import schemas
 from sectorlens.functions import columns, times
 from sectorlens.operators import bars as bar_ops
 from sectorlens.operators import dedupe, sinks
+from sectorlens.operators.ledger import KeyLedger
 from sectorlens.sources import landing, masterdata
 from sectorlens.sources import news as news_source
 
@@ -28,6 +29,7 @@ def ingest_news(
     path: str,
     since: date | str | None = None,
     quarantine: str | None = None,
+    ledger: KeyLedger | None = None,
 ) -> int:
     """Append news that the store does not have yet, in folders by day.
 
@@ -35,6 +37,8 @@ def ingest_news(
     from a separate list that a failed run could leave ahead of the data. News
     without a readable time lands in the default partition. ``since`` compares
     with the stored days from then on only; use it if the vendor repeats nothing older.
+    With a ``ledger`` the store is not read: the ledger enters the files added since its last
+    run, and is asked for the batch's keys alone, however old they are.
 
     Payload lines that cannot be read are kept below ``quarantine``, each once. Without
     such a folder they are an error, and nothing is stored.
@@ -47,13 +51,16 @@ def ingest_news(
         sinks.write_dataset(new_lines, quarantine, "append")
     elif not unreadable.isEmpty():
         raise ValueError("there are payloads that cannot be read, and no folder to keep them in")
-    stored = landing.read_or_empty(spark, path, schemas.NEWS_LANDING)
-    if since is not None:
-        recent = F.col("date") >= F.lit(since).cast("date")
-        stored = stored.where(recent | F.col("date").isNull())
-    fresh = dedupe.new_unique(
-        news_rows(payloads), stored.select(*schemas.NEWS_KEYS), schemas.NEWS_KEYS, "pubdate"
-    )
+    rows = news_rows(payloads)
+    if ledger is not None:
+        ledger.follow(path, schemas.NEWS_LANDING)
+        seen = ledger.seen(rows)
+    else:
+        seen = landing.read_or_empty(spark, path, schemas.NEWS_LANDING)
+        if since is not None:
+            recent = F.col("date") >= F.lit(since).cast("date")
+            seen = seen.where(recent | F.col("date").isNull())
+    fresh = dedupe.new_unique(rows, seen.select(*schemas.NEWS_KEYS), schemas.NEWS_KEYS, "pubdate")
     return sinks.write_dataset(fresh, path, "append", ["date"])
 
 

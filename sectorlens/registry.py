@@ -15,6 +15,7 @@ from sectorlens import schemas, session
 from sectorlens.functions import columns, times
 from sectorlens.operators import bars as bar_ops
 from sectorlens.operators import dedupe, lookup, quality, sinks
+from sectorlens.operators.ledger import KeyLedger
 from sectorlens.plans import ingest, marts
 from sectorlens.sources import landing, masterdata, panels
 from sectorlens.sources import testtables as tables
@@ -972,6 +973,25 @@ def _(spark, folder):
     return landing.read_news(spark, path)
 
 
+@_register(
+    "partitioned_roundtrip_ledger",
+    f"""SELECT * REPLACE (date_trunc('second', pubdate) AS pubdate),
+    CAST(pubdate AS DATE) AS date FROM ({_NEWS}) WHERE company_key IS NOT NULL""",
+)
+def _(spark, folder):
+    """Three loads that overlap; stored keys come from a bucketed ledger that follows the store's files."""
+    path = session.scratch_dir(spark, "news")
+    news = tables.news(spark, folder)
+    table = f"news_keys_{path[-32:]}"
+    ledger = KeyLedger(spark, table, f"{path}-keys", schemas.NEWS_KEYS, 16)
+    try:
+        for part in (news.where(F.col("pubdate") < NEWS_KEPT_UNTIL), news, news):
+            ingest.ingest_news(_payloads(part), path, ledger=ledger)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return landing.read_news(spark, path)
+
+
 @_register(
     "overwrite_partitions_roundtrip",
     f"""SELECT datetime, company_symbol, open, high, low,
@@ -1256,6 +1276,23 @@ def _(spark, folder):
     return spark.read.parquet(f"{path}/news").drop("batch")
 
 
+@_register("stream_news_ledger", f"SELECT DISTINCT content_id, company_key FROM ({_MENTIONS})")
+def _(spark, folder):
+    """Mentions in four batches, started twice; each batch asks a bucketed ledger for its own keys only."""
+    path = session.scratch_dir(spark, "stream")
+    mentions = _mentions(tables.table(spark, folder, "events"))
+    mentions.repartition(4).write.parquet(f"{path}/landed")
+    table = f"mention_keys_{path[-32:]}"
+    ledger = KeyLedger(spark, table, f"{path}/keys", schemas.NEWS_KEYS, 16)
+    try:
+        for _ in range(2):
+            landed = jobs.file_stream(spark, f"{path}/landed", mentions.schema, files_per_batch=1)
+            jobs.ingest_new_news(landed, f"{path}/news", f"{path}/checkpoint", ledger)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return spark.read.parquet(f"{path}/news").select(*schemas.NEWS_KEYS)
+
+
 @_register("stream_bars_15m", _company_bars())
 def _(spark, folder):
     path = session.scratch_dir(spark, "stream")

@@ -14,6 +14,7 @@ from sectorlens import schemas
 from sectorlens.functions import columns, times
 from sectorlens.operators import bars as bar_ops
 from sectorlens.operators import dedupe
+from sectorlens.operators.ledger import KeyLedger
 from sectorlens.sources import landing
 from sectorlens.streaming import previous
 
@@ -93,20 +94,29 @@ def append_new_news(news: DataFrame, path: str, checkpoint: str, delay: str = "2
     _append(once_per_part.drop(part).dropDuplicatesWithinWatermark(keys), path, checkpoint)
 
 
-def ingest_new_news(news: DataFrame, path: str, checkpoint: str) -> None:
+def ingest_new_news(
+    news: DataFrame, path: str, checkpoint: str, ledger: KeyLedger | None = None
+) -> None:
     """Append news whose key is not stored yet, whenever it was published.
 
     Each batch is reduced to one row per key (map-side first) and compared with
-    the keys of all earlier batches. A repeated batch replaces its own folder.
+    the keys of all earlier batches. A repeated batch replaces its own folder. With a ``ledger``
+    no earlier batch is read: their keys are entered under their numbers, and only the buckets that
+    the batch has keys of are scanned.
     """
     spark = news.sparkSession
     stored_schema = T.StructType([*news.schema.fields, T.StructField("batch", T.LongType())])
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        stored = landing.read_or_empty(spark, f"{path}", stored_schema)
-        seen = stored.where(F.col("batch") < batch_id).select(*schemas.NEWS_KEYS)
+        if ledger is not None:
+            seen = ledger.seen(batch, before=batch_id)
+        else:
+            stored = landing.read_or_empty(spark, f"{path}", stored_schema)
+            seen = stored.where(F.col("batch") < batch_id).select(*schemas.NEWS_KEYS)
         fresh = dedupe.new_unique(batch, seen, schemas.NEWS_KEYS, "pubdate")
         fresh.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if ledger is not None:
+            ledger.add(spark.read.schema(batch.schema).parquet(f"{path}/batch={batch_id}"), batch_id)
 
     (
         news.writeStream.option("checkpointLocation", checkpoint)

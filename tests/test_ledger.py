@@ -1,0 +1,154 @@
+import glob
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from sectorlens import schemas
+from sectorlens.operators import dedupe
+from sectorlens.operators.ledger import KeyLedger
+from sectorlens.plans import ingest
+from sectorlens.sources import landing
+from sectorlens.streaming import jobs
+from tests.helpers import plan_of, rows
+from tests.test_streaming import hot_batches
+
+KEYS = ["a", "b"]
+
+
+@pytest.fixture
+def ledger(spark, tmp_path, request):
+    table = re.sub(r"\W", "_", f"ledger_{request.node.name}").lower()
+    yield KeyLedger(spark, table, f"{tmp_path}/ledger", KEYS, 8)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def pairs(spark, *items):
+    return spark.createDataFrame(list(items), "a string, b string")
+
+
+def test_keys_that_look_alike_stay_apart(spark, ledger):
+    stored = [("a", "bc"), (None, "x"), ("x", None), (None, None), ("~", "~"), ("", "")]
+    asked = [*stored, ("ab", "c"), ("~", None), (None, "~"), ("", None), (None, ""), ("1:x", ""), ("2:", "x")]
+    ledger.add(pairs(spark, *stored))
+    ledger.add(pairs(spark, *stored[:2]))
+    for limit in (0, 10**9):
+        assert rows(ledger.seen(pairs(spark, *asked, *asked), limit=limit).distinct()) == sorted(stored, key=str)
+    assert rows(dedupe.drop_seen(pairs(spark, *asked), ledger.seen(pairs(spark, *asked)), KEYS)) == sorted(asked[6:], key=str)
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_the_ledger_is_not_shuffled(spark, ledger, limit):
+    ledger.add(spark.range(500).selectExpr("cast(id as string) a", "cast(id % 3 as string) b"))
+    seen = ledger.seen(spark.range(490, 510).selectExpr("cast(id as string) a", "cast(id % 3 as string) b"), limit=limit)
+    assert seen.count() == 10
+    plan = plan_of(seen).split("Initial Plan")[-1]
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-"))
+
+    # the nodes above the scan of the ledger, up to the join
+    above, at = [], depth(lines[scan])
+    for line in reversed(lines[:scan]):
+        if depth(line) < at:
+            at = depth(line)
+            above.append(line)
+    assert any("Join" in line for line in above) and not any("Exchange" in line for line in above)
+    assert limit or "Bucketed: true" in lines[scan]
+
+
+def test_only_buckets_of_the_batch_are_read(spark, ledger, tmp_path):
+    ledger.add(spark.range(400).selectExpr("cast(id as string) a", "'x' b"))
+    batch = pairs(spark, ("7", "x"), ("nobody", "x"))
+    hit = {r[0] for r in batch.select(ledger.key().alias("key")).select(ledger._bucket()).collect()}
+    for file in glob.glob(f"{tmp_path}/ledger/keys/*.parquet"):
+        if int(re.search(r"_(\d+)\.c", file)[1]) not in hit:
+            open(file, "wb").write(b"not to be read")
+    for limit in (0, 10**9):
+        assert rows(ledger.seen(batch, limit=limit)) == [("7", "x")]
+
+
+def test_compact_leaves_one_file_a_bucket(spark, ledger, tmp_path):
+    for n in range(5):
+        ledger.add(spark.range(n * 50, n * 50 + 100).selectExpr("cast(id as string) a", "'x' b"), load=n)
+    batch = spark.range(0, 400).selectExpr("cast(id as string) a", "'x' b")
+    before = rows(ledger.seen(batch, before=3).distinct())
+    ledger.compact()
+    assert ledger.entries().count() == 300
+    assert len(glob.glob(f"{tmp_path}/ledger/keys-*/*.parquet")) <= 8
+    assert rows(ledger.seen(batch, before=3)) == before and len(before) == 200
+    ledger.add(pairs(spark, ("399", "x")))
+    assert ledger.seen(batch).count() == 301
+
+
+def test_ledger_is_found_again_by_another_session(spark, ledger, tmp_path):
+    ledger.add(pairs(spark, ("1", "x")))
+    spark.sql(f"DROP TABLE {ledger.table}")
+    again = KeyLedger(spark, ledger.table, f"{tmp_path}/ledger", KEYS, 8)
+    assert rows(again.seen(pairs(spark, ("1", "x"), ("2", "x")))) == [("1", "x")]
+
+
+def payload(*items):
+    return '{"%s": [%s]}' % (items[0][1], ", ".join('{"content": {"id": "%s", "title": "t", "pubDate": "%s"}}' % (i, d) for i, _, d in items))
+
+
+def test_ingest_follows_the_store(spark, tmp_path):
+    """Keys of a load whose keys were never entered, and of a file put into an old folder, are known to the next one."""
+    path = f"{tmp_path}/news"
+    ledger = KeyLedger(spark, "ledger_follow", f"{tmp_path}/ledger", schemas.NEWS_KEYS, 4)
+    try:
+
+        def load(*items, **options):
+            text = spark.createDataFrame([(payload(*items),)], "payload string")
+            return ingest.ingest_news(text, path, **options)
+
+        one, two, three = ("1", "A", "2025-01-01T10:00:00Z"), ("2", "A", "2025-01-02T10:00:00Z"), ("3", "A", "2025-01-01T11:00:00Z")
+        assert load(one, ledger=ledger) == 1
+        assert load(two) == 1  # a load without the ledger: its file is found later
+        assert load(one, two, ledger=ledger) == 0
+        assert load(three) == 1  # into the folder of a day that is entered already
+        assert load(one, two, three, ("4", "A", "2024-12-01T00:00:00Z"), ledger=ledger) == 1
+        entered = ledger.entries().count()
+        ledger.follow(path, schemas.NEWS_LANDING)
+        ledger.follow(path, schemas.NEWS_LANDING)
+        assert ledger.entries().count() == entered + 1 == 4
+        stored = landing.read_news(spark, path)
+        assert sorted(r["content_id"] for r in stored.collect()) == ["1", "2", "3", "4"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS ledger_follow")
+
+
+def test_stream_with_a_ledger_reads_no_earlier_batch(spark, tmp_path):
+    path, first, second, drain = hot_batches(spark, tmp_path)
+    ledger = KeyLedger(spark, "ledger_stream", f"{tmp_path}/ledger", schemas.NEWS_KEYS, 4)
+    try:
+
+        def job(news, out, checkpoint):
+            jobs.ingest_new_news(news, out, checkpoint, ledger)
+
+        first.repartition(4).write.mode("append").parquet(path)
+        drain(job)
+        for file in glob.glob(f"{tmp_path}/out/batch=0/*.parquet"):
+            open(file, "wb").write(b"not to be read")
+        for batch in (second, second):
+            batch.repartition(4).write.mode("append").parquet(path)
+            drain(job)
+        later = spark.read.parquet(f"{tmp_path}/out/batch=1", f"{tmp_path}/out/batch=2").select("content_id", "company_key")
+        assert rows(later) == [("hot", "B"), ("y", "A")]
+        # a batch that is repeated asks for the loads before its own
+        assert rows(ledger.seen(second, before=1).distinct()) == [("hot", "A")]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS ledger_stream")
+
+
+def test_many_random_keys(spark, ledger):
+    pick = random.Random(3)
+    word = lambda: pick.choice([None, "", "~", "1:", "a", "b", "ab"])
+    stored, asked = ([(word(), word()) for _ in range(n)] for n in (15, 60))
+    ledger.add(pairs(spark, *stored))
+    want = sorted({x for x in asked if x in stored}, key=str)
+    assert rows(ledger.seen(pairs(spark, *asked)).distinct()) == want
+    assert ledger.entries().where(F.col("key").isNull()).isEmpty()
