@@ -10,13 +10,15 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sectorlens import schemas, session
 from sectorlens.functions import times
 from sectorlens.operators import lookup, sinks, topk
 from sectorlens.operators.previous import with_previous
+from sectorlens.operators.toplist import BUCKETS, TopList
 
 NEWS_LIMIT = 5
 # Newest first; equal times are ordered by these, so every run ranks alike.
@@ -223,6 +225,20 @@ def top_sector_company_news(
     )
 
 
+def newest_company_news(
+    spark: SparkSession, folder: str, k: int = NEWS_LIMIT, buckets: int = BUCKETS
+) -> TopList:
+    """The ``k`` newest news rows of each company, kept up to date by loads.
+
+    Its rows stand for all news in :func:`top_sector_news` (without ``distinct_articles``),
+    :func:`top_sector_company_news` and :func:`refresh`: no ranking needs more than ``k`` rows of a
+    company, whichever sector it belongs to by then.
+    """
+    columns = [*schemas.NEWS_KEYS, "title", "summary", "pubdate"]
+    schema = T.StructType([f for f in schemas.NEWS if f.name in columns])
+    return TopList(spark, folder, schema, ["company_key"], k, ties=NEWS_TIES, buckets=buckets)
+
+
 def stock_with_industry(
     stock_company: DataFrame,
     companies: DataFrame,
@@ -279,7 +295,8 @@ def refresh(
     The top sector is determined once and pinned, so that all tables agree on it
     even if bars are loaded meanwhile. ``stock_with_industry`` is kept by UTC day. A run that
     knows on which ``days`` bars were loaded since the last one rebuilds these days only;
-    after a change of the master data, run without ``days``.
+    after a change of the master data, run without ``days``. ``raw["news"]`` may be all news or the rows of
+    :func:`newest_company_news`.
     """
     companies, industries = raw["company_info"], raw["industry_info"]
     top = settled_top_sector(raw["stock_sector"])

@@ -435,6 +435,42 @@ def _(spark, folder):
     return marts.top_sector_company_news(*_news_inputs(spark, folder), limit=0)
 
 
+# Every tenth company moves to the next industry after two loads of news.
+_MOVED_MEMBERS = f"""SELECT CAST(c_custkey AS VARCHAR) AS company_symbol, c_name AS company_name,
+    CAST(n_nationkey AS VARCHAR) AS industry_key, sector
+  FROM customer JOIN nation
+      ON n_nationkey = CASE WHEN c_custkey % 10 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END
+    JOIN ({_top()}) ON CAST(n_regionkey AS VARCHAR) = sector"""
+
+
+def _merged_news(spark, folder):
+    """News in four loads, one of them run twice, and the master data after companies have moved."""
+    store = marts.newest_company_news(spark, session.scratch_dir(spark, "newest"), buckets=8)
+    news = tables.news(spark, folder)
+    part = F.pmod(F.hash("content_id"), F.lit(4))
+    for load, number in ((0, 0), (1, 1), (1, 1), (2, 2), (3, 3)):
+        store.load(news.where(part == number), load)
+    moved = (F.col("industry_key").cast("int") + 1) % 25
+    companies = tables.company_info(spark, folder).withColumn(
+        "industry_key",
+        F.when(F.col("company_symbol").cast("long") % 10 == 0, moved.cast("string")).otherwise(
+            F.col("industry_key")
+        ),
+    )
+    return store.read(), companies, tables.industry_keys(spark, folder), _top_of(spark, folder)
+
+
+@_register("top_sector_company_news_merged", _COMPANY_NEWS.replace(_MEMBERS, _MOVED_MEMBERS))
+def _(spark, folder):
+    """From the five newest rows kept per company; companies count in the sector they are in now."""
+    return marts.top_sector_company_news(*_merged_news(spark, folder))
+
+
+@_register("top_sector_news_merged", _TOP_NEWS.replace(_MEMBERS, _MOVED_MEMBERS))
+def _(spark, folder):
+    return marts.top_sector_news(*_merged_news(spark, folder))
+
+
 @_register(
     "stock_with_industry",
     f"""SELECT datetime, open, high, low, close, volume, company_name, industry_name,

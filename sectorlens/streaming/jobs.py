@@ -15,6 +15,7 @@ from sectorlens.functions import columns, times
 from sectorlens.operators import bars as bar_ops
 from sectorlens.operators import dedupe
 from sectorlens.operators.ledger import KeyLedger
+from sectorlens.operators.toplist import TopList
 from sectorlens.sources import landing
 from sectorlens.streaming import previous
 
@@ -127,6 +128,17 @@ def ingest_new_news(
     )
 
 
+def keep_newest_news(news: DataFrame, store: TopList, checkpoint: str) -> None:
+    """Merge each batch of news into the newest rows per company; a repeated batch changes nothing."""
+    (
+        news.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(lambda batch, batch_id: store.load(batch, batch_id) and None)
+        .start()
+        .awaitTermination()
+    )
+
+
 def tick_bars(
     ticks: DataFrame,
     key: str,

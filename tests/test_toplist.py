@@ -1,0 +1,102 @@
+import glob
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import types as T
+
+from sectorlens.operators import topk
+from sectorlens.operators.toplist import TopList
+from sectorlens.plans import marts
+from sectorlens.streaming import jobs
+from tests.helpers import at, rows
+
+NOON = at("2025-01-02 12:00:00")
+SCHEMA = T.StructType().add("company_key", T.StringType()).add("content_id", T.StringType()).add("pubdate", T.TimestampType())
+
+
+def some_news(seed, n):
+    pick = random.Random(seed)
+    return [
+        (pick.choice(["hot", "hot", "hot", "a", "b", "c", None]), f"{seed}-{i}", NOON + timedelta(minutes=pick.randint(0, 500)) if pick.random() < 0.9 else None)
+        for i in range(n)
+    ]
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return TopList(spark, f"{tmp_path}/newest", SCHEMA, ["company_key"], 3, ties=["content_id"], buckets=4)
+
+
+def ranked(spark, loads):
+    every = spark.createDataFrame([r for load in loads for r in load], SCHEMA)
+    return rows(topk.newest_per(every, ["company_key"], 3, ties=["content_id"]).drop("rn"))
+
+
+def test_loads_add_up_to_the_whole_ranking(spark, store):
+    assert store.read().count() == 0
+    done = []
+    for n in range(5):
+        load = some_news(n, 60 if n != 2 else 0)
+        done.append(load)
+        assert store.load(spark.createDataFrame(load, SCHEMA).repartition(3), n)
+        assert rows(store.read()) == ranked(spark, done)
+    # late news and a second run of a load
+    assert not store.load(spark.createDataFrame(some_news(3, 60), SCHEMA), 3)
+    assert rows(store.read()) == ranked(spark, done)
+
+
+def test_only_hit_buckets_are_read_and_written(spark, store, tmp_path):
+    store.load(spark.createDataFrame([(f"k{i}", str(i), NOON) for i in range(40)], SCHEMA), 0)
+    first = {f for f in glob.glob(f"{tmp_path}/newest/load=0/*/*.parquet")}
+    hit = store._manifest()[1]
+    store.load(spark.createDataFrame([("k1", "new", NOON + timedelta(1))], SCHEMA), 1)
+    moved = [b for b, n in store._manifest()[1].items() if n == 1]
+    assert len(moved) == 1 and len(hit) == 4
+    # another load may not open the buckets it has no group of, nor files that were replaced
+    for file in first:
+        if f"bucket={moved[0]}" in file:
+            open(file, "wb").write(b"replaced")
+    assert store.read().count() == 41
+    for file in first:
+        open(file, "wb").write(b"not to be read")
+    store.load(spark.createDataFrame([("k1", "newer", NOON + timedelta(2))], SCHEMA), 2)
+    assert {b for b, n in store._manifest()[1].items() if n == 2} == set(moved)
+
+
+def test_a_load_that_failed_is_run_again(spark, store, tmp_path):
+    one, two = some_news(1, 30), some_news(2, 30)
+    store.load(spark.createDataFrame(one, SCHEMA), 0)
+    # rows written, manifest not: the state is that of the load before
+    spark.createDataFrame(two, SCHEMA).selectExpr("*", "0 as bucket").write.partitionBy("bucket").parquet(f"{tmp_path}/newest/load=1")
+    assert rows(store.read()) == ranked(spark, [one])
+    assert store.load(spark.createDataFrame(two, SCHEMA), 1)
+    assert rows(store.read()) == ranked(spark, [one, two])
+
+
+def test_stream_merges_each_batch_once(spark, store, tmp_path):
+    loads = [some_news(n, 25) for n in range(3)]
+    for load in loads:
+        spark.createDataFrame(load, SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/landed")
+        stream = jobs.file_stream(spark, f"{tmp_path}/landed", SCHEMA)
+        jobs.keep_newest_news(stream, store, f"{tmp_path}/cp")
+    assert rows(store.read()) == ranked(spark, loads)
+
+
+def test_moved_company_counts_in_its_new_sector(spark, tmp_path):
+    store = marts.newest_company_news(spark, f"{tmp_path}/newest", 2, 2)
+    news = spark.createDataFrame(
+        [(f"{c}{i}", f"title {i}", "s", c, NOON + timedelta(minutes=i)) for c in "AB" for i in range(4)],
+        "content_id string, title string, summary string, company_key string, pubdate timestamp",
+    )
+    store.load(news, 0)
+    industries = spark.createDataFrame([("i", "S"), ("j", "T")], "industry_key string, sector_key string")
+    top = spark.createDataFrame([("S",)], "sector string")
+
+    def titles(industry_of_b):
+        companies = spark.createDataFrame([("A", "A", "i"), ("B", "B", industry_of_b)], "company_symbol string, company_name string, industry_key string")
+        found = marts.top_sector_company_news(store.read(), companies, industries, top, 2)
+        return sorted((r["company_name"], r["title"]) for r in found.collect())
+
+    assert titles("j") == [("A", "title 2"), ("A", "title 3")]
+    assert titles("i") == [("A", "title 2"), ("A", "title 3"), ("B", "title 2"), ("B", "title 3")]
