@@ -95,8 +95,8 @@ def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    """Syncmer fingerprints of every text and its edited text, sparse and dense."""
-    return syncmers.compared(table(spark, folder, "documents"))
+    """Syncmer fingerprints of every text and its edited text, and their positional likeness."""
+    return syncmers.fingerprints(table(spark, folder, "documents"))
 
 
 def _spans_text(spans: Column) -> Column:

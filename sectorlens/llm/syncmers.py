@@ -1,22 +1,26 @@
-"""Document fingerprints from closed syncmers, with DataFrame functions only.
+"""Document fingerprints from closed syncmers with their positions, with DataFrame functions only.
 
-A text is the sequence of its words (a word longer than 16 characters counts as several). Five
-words in a row are a k-mer, two are an inner substring. A k-mer is an anchor if the
-smallest hash among its four inner substrings is that of the first or the last one: this
-depends on the k-mer alone, so equal passages have equal anchors wherever they stand, and of
-three k-mers in a row at least one is an anchor. The fingerprint is the text's distinct
-anchors in order of first position, 8 hex digits each. A text of fewer than twelve words has
-its words as anchors, for it may have no k-mer anchor at all; only a text without words has an
-empty fingerprint. Likeness is the Dice share of common anchors; two empty fingerprints are alike (1).
+A text is the sequence of its words (a word longer than 16 characters counts as several). A
+k-mer of words is an anchor if the smallest hash among its inner substrings of one word lies at one
+of its edges: this depends on the k-mer alone, so equal passages have equal anchors wherever they
+stand. There is one scheme for all lengths: k-mers of one word, each of which is an anchor by that rule, and k-mers of
+three words, of any two of which in a row at least one is. So texts that share a word share an anchor, and
+texts that share a passage share its three-word anchors too. Only a text without words has an empty fingerprint.
 
-Twelve words are a switch: texts on either side of it share no anchor. The dense anchors have none. They
-are the words and the closed syncmers of three words (inner substrings of one word; of two in a
-row at least one is an anchor), at every length, so any two texts that share a word share an anchor.
+Each anchor has its position, the number of its first word. The fingerprint is the hashes of all words in order
+(8 hex digits each, so the position is the place), and the three-word anchors as ``position:hash``.
+
+Likeness is positional: two texts are laid over each other, an anchor matches if the other text has it in the same
+cell of ``CELL`` = 32 positions, and the likeness is the Dice share of matched (anchor, cell) pairs. Texts are
+laid start on start, and, if they have a three-word anchor in common, once more so that the common anchor of
+smallest hash lies on itself; the better of the two counts. So a text behind another beginning is
+recognised, a passage repeated many times is unlike the passage once, and swapped halves are like by
+half. Two empty fingerprints are alike (1).
 
 For the edited text a document needs its successor's text. Documents are put in ranges
 of (descending id, text hash) whose limits are found on these two narrow columns; the first
 document of each range is sent to the range before as well, so one shuffle of the texts
-suffices. Null ids come last; a null text is empty; documents equal in id are
+suffices; a document's anchors are found once and handed to its predecessor. Null ids come last; a null text is empty; documents equal in id are
 ordered by text hash. The successor of a single document is itself. An empty table gives an
 empty result; other columns are not read.
 """
@@ -31,11 +35,14 @@ from pyspark.sql import functions as F
 from sectorlens.llm.common import whole_text
 
 PIECE = r"[^\x20\x09-\x0D]{1,16}"
-WORDS, SHORT = 5, 12
+#: Words of the longer anchors, and positions of a cell (a power of two).
+WORDS, CELL = 3, 32
 RANGE_BYTES = 4 * 1024 * 1024
 #: The limits of the ranges are a literal of the plan; more text makes larger ranges instead of more.
 MOST_RANGES = 8192
 _LOW = (1 << 32) - 1
+#: Keeps positions positive when a text is moved against another.
+_BASE = 1 << 29
 
 
 def _let(value: Column, use) -> Column:
@@ -43,54 +50,60 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _hashes(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda w: F.xxhash64(w))
+def _cells(words: Column, mers: Column, places: Column, moved: Column | int = 0) -> Column:
+    """Distinct (anchor, cell) pairs as longs: the anchor's 32 bits above the number of its cell."""
+    bits = CELL.bit_length() - 1
+    cell = lambda x, i: F.shiftleft(x, 31).bitwiseOR(F.shiftright(i + moved + _BASE, bits).cast("long"))
+    return F.array_distinct(F.concat(F.transform(words, cell), F.zip_with(mers, places, cell)))
 
 
-def _sparse(hashes: Column) -> Column:
-    """Distinct 32-bit hashes of the anchors, in order of first position."""
+def anchors(text: Column) -> Column:
+    """words (hash of each), mers and places (hash and position of the three-word anchors), cells."""
 
     def from_hashes(h: Column) -> Column:
-        n = F.size(h)
-        pairs = F.zip_with(F.slice(h, 1, n - 1), F.slice(h, 2, n - 1), lambda a, b: F.xxhash64(a, b))
+        at = lambda i, d: F.get(h, i + d)
+        inside = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: i < F.size(h) - (WORDS - 1))
+        chosen = F.filter(inside, lambda i: F.least(at(i, 0), at(i, 2)) <= at(i, 1))
 
-        def from_pairs(s: Column) -> Column:
-            at = lambda i, d: F.get(s, i + d)
-            edge = lambda i: F.least(at(i, 0), at(i, 3)) <= F.least(at(i, 1), at(i, 2))
-            chosen = F.filter(F.sequence(F.lit(0), n - WORDS), edge)
-            return F.transform(chosen, lambda i: F.xxhash64(at(i, 0), at(i, 2), at(i, 3)).bitwiseAND(F.lit(_LOW)))
+        def with_places(places: Column) -> Column:
+            mers = F.transform(places, lambda i: F.xxhash64(at(i, 0), at(i, 1), at(i, 2)).bitwiseAND(F.lit(_LOW)))
+            words = F.transform(h, lambda x: x.bitwiseAND(F.lit(_LOW)))
+            found = F.struct(words.alias("words"), mers.alias("mers"), places.alias("places"))
+            return _let(found, lambda f: F.struct(
+                f["words"].alias("words"), f["mers"].alias("mers"), f["places"].alias("places"),
+                _cells(f["words"], f["mers"], f["places"]).alias("cells"),
+            ))
 
-        return F.when(n >= SHORT, _let(pairs, from_pairs)).otherwise(F.transform(h, lambda x: x.bitwiseAND(F.lit(_LOW))))
+        return _let(chosen, with_places)
 
-    return F.array_distinct(_let(hashes, from_hashes))
+    return _let(F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda w: F.xxhash64(w)), from_hashes)
 
 
-def _dense(hashes: Column) -> Column:
-    """Distinct 32-bit hashes of the dense anchors: words first, then three-word syncmers, each in order of first position."""
+def as_text(found: Column) -> Column:
+    digits = lambda a: F.lower(F.lpad(F.hex(a), 8, "0"))
+    mers = F.zip_with(found["mers"], found["places"], lambda a, i: F.concat(i.cast("string"), F.lit(":"), digits(a)))
+    words = F.array_join(F.transform(found["words"], digits), "")
+    return F.concat(words, F.when(F.size(mers) > 0, F.lit("/")).otherwise(F.lit("")), F.array_join(mers, ","))
 
-    def from_hashes(h: Column) -> Column:
-        at = lambda i, d: F.get(h, i + d)
-        whole = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: i < F.size(h) - 2)
-        chosen = F.filter(whole, lambda i: F.least(at(i, 0), at(i, 2)) <= at(i, 1))
-        triples = F.transform(chosen, lambda i: F.xxhash64(at(i, 0), at(i, 1), at(i, 2)))
-        every = F.when(F.size(h) > 2, F.concat(h, triples)).otherwise(h)
-        return F.transform(every, lambda x: x.bitwiseAND(F.lit(_LOW)))
 
-    return F.array_distinct(_let(hashes, from_hashes))
+def _dice(a: Column, b: Column) -> Column:
+    total = F.size(a) + F.size(b)
+    return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(a, b)) / total)
 
 
-def both(text: Column) -> Column:
-    """The sparse and the dense anchors of a text, from one pass over its words."""
-    return _let(_hashes(text), lambda h: F.struct(_sparse(h).alias("sparse"), _dense(h).alias("dense")))
+def likeness(a: Column, b: Column) -> Column:
+    """Share of anchors that two texts (as ``anchors`` has them) have at the same place, 0 to 1."""
+    place = lambda x, mer: F.get(x["places"], (F.array_position(x["mers"], mer) - 1).cast("int"))
 
+    def better(mer: Column) -> Column:
+        def laid(moved: Column) -> Column:
+            start = _dice(a["cells"], b["cells"])
+            again = _dice(a["cells"], _cells(b["words"], b["mers"], b["places"], moved))
+            return F.when(F.coalesce(moved, F.lit(0)) == 0, start).otherwise(F.greatest(start, again))
 
-def as_text(marks: Column) -> Column:
-    return F.array_join(F.transform(marks, lambda a: F.lower(F.lpad(F.hex(a), 8, "0"))), "")
+        return _let(place(a, mer) - place(b, mer), laid)
 
-
-def likeness(a: Column, b: Column) -> Column:
-    total = F.size(a) + F.size(b)
-    return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(a, b)) / total)
+    return _let(F.array_min(F.array_intersect(a["mers"], b["mers"])), better)
 
 
 def with_next(docs: DataFrame, columns: dict[str, Column], range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -132,27 +145,18 @@ def with_next(docs: DataFrame, columns: dict[str, Column], range_bytes: int = RA
     return following.filter(~F.col("guest")).drop("key", "to", "guest")
 
 
-def compared(docs: DataFrame) -> DataFrame:
-    """The columns of ``fingerprints``, and the same of the dense anchors: anchors, edited_anchors, alike_edited, alike_next."""
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    found = with_next(docs, {})
+    found = with_next(docs, {"own": anchors(F.col("text"))})
     found = found.withColumn("edited", F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 2) as int))"), F.substring("next_text", F.lit(1), half)))
     found = found.select(
         "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        both(F.col("text")).alias("own"), both(F.col("edited")).alias("changed"), both(F.col("next_text")).alias("next"),
+        "own", anchors(F.col("edited")).alias("changed"), F.col("next_own").alias("next"),
     )
+    own, changed = F.col("own"), F.col("changed")
     return found.select(
-        "doc_id", "n_chars", "edited_sha256", as_text(F.col("own.sparse")).alias("fingerprint"),
-        as_text(F.col("changed.sparse")).alias("edited_fingerprint"),
-        likeness(F.col("own.sparse"), F.col("changed.sparse")).alias("near_edited"),
-        likeness(F.col("own.sparse"), F.col("next.sparse")).alias("near_next"),
-        as_text(F.col("own.dense")).alias("anchors"), as_text(F.col("changed.dense")).alias("edited_anchors"),
-        likeness(F.col("own.dense"), F.col("changed.dense")).alias("alike_edited"),
-        likeness(F.col("own.dense"), F.col("next.dense")).alias("alike_next"),
+        "doc_id", "n_chars", "edited_sha256", as_text(own).alias("fingerprint"), as_text(changed).alias("edited_fingerprint"),
+        likeness(own, changed).alias("near_edited"), likeness(own, F.col("next")).alias("near_next"),
     )
-
-
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    return compared(docs).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")

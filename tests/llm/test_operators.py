@@ -363,6 +363,8 @@ def test_top_k_of_little(spark):
 
 
 def plain_anchors(text):
+    """Word hashes, and (position, hash) of the three-word anchors."""
+
     def h(*xs):
         seed = 42
         for x in xs:
@@ -370,13 +372,37 @@ def plain_anchors(text):
             seed = xxhash.xxh64_intdigest(data, seed)
         return seed - (1 << 64) if seed >> 63 else seed
 
-    words = [h(w) for w in re.findall(r"[^\x20\x09-\x0D]{1,16}", text)]
-    if len(words) < 12:
-        found = words
-    else:
-        s = [h(a, b) for a, b in zip(words, words[1:])]
-        found = [h(s[i], s[i + 2], s[i + 3]) for i in range(len(words) - 4) if min(s[i], s[i + 3]) <= min(s[i + 1 : i + 3])]
-    return list(dict.fromkeys(x & 0xFFFFFFFF for x in found))
+    w = [h(x) for x in re.findall(r"[^\x20\x09-\x0D]{1,16}", text)]
+    mers = [(i, h(*w[i : i + 3]) & 0xFFFFFFFF) for i in range(len(w) - 2) if min(w[i], w[i + 2]) <= w[i + 1]]
+    return [x & 0xFFFFFFFF for x in w], mers
+
+
+def plain_text(found):
+    words, mers = found
+    return "".join(f"{x:08x}" for x in words) + ("/" if mers else "") + ",".join(f"{i}:{x:08x}" for i, x in mers)
+
+
+def plain_likeness(a, b):
+    def cells(found, moved=0):
+        words, mers = found
+        return {(x, (i + moved) // 32) for i, x in [*enumerate(words), *mers]}
+
+    def dice(x, y):
+        return 1.0 if not x and not y else 2 * len(x & y) / (len(x) + len(y))
+
+    best = dice(cells(a), cells(b))
+    common = {x for _, x in a[1]} & {x for _, x in b[1]}
+    if common:
+        first = lambda found: next(i for i, x in found[1] if x == min(common))
+        best = max(best, dice(cells(a), cells(b, first(a) - first(b))))
+    return best
+
+
+def likeness_of(spark, pairs):
+    found = spark.createDataFrame(pairs, "a string, b string").withColumn("n", F.monotonically_increasing_id())
+    x, y = syncmers.anchors(F.col("a")), syncmers.anchors(F.col("b"))
+    found = found.select("n", x.alias("x"), y.alias("y"))
+    return [r["like"] for r in found.select("n", syncmers.likeness(F.col("x"), F.col("y")).alias("like")).orderBy("n").collect()]
 
 
 def test_fingerprints(spark):
@@ -388,9 +414,7 @@ def test_fingerprints(spark):
         half = len(t) // 2
         edited = t[: len(t) - half] + nxt[:half]
         a, b, c = plain_anchors(t), plain_anchors(edited), plain_anchors(nxt)
-        dice = lambda x, y: 1.0 if not x and not y else 2 * len(set(x) & set(y)) / (len(x) + len(y))
-        hexed = lambda x: "".join(f"{v:08x}" for v in x)
-        want.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), hexed(a), hexed(b), dice(a, b), dice(a, c)))
+        want.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), plain_text(a), plain_text(b), plain_likeness(a, b), plain_likeness(a, c)))
     assert [tuple(r) for r in got] == sorted(want, key=str)
 
 
@@ -398,33 +422,55 @@ def test_only_texts_without_words_have_empty_fingerprints(spark):
     pick = random.Random(8)
     some = [(i, " ".join(pick.choices(["ab", "cd", "ef", "gh", "ij", "kl"], k=n)), None, None, 1) for i, n in enumerate([*range(30)] * 8)]
     for r in syncmers.fingerprints(documents(spark, some=some)).collect():
-        assert (r["fingerprint"] == "") == (some[r["doc_id"]][1] == "")
-        assert some[r["doc_id"]][1] == "" or len(r["fingerprint"]) % 8 == 0
+        words = some[r["doc_id"]][1].split()
+        assert (r["fingerprint"] == "") == (not words) and len(r["fingerprint"].split("/")[0]) == 8 * len(words)
 
 
 def test_half_of_a_text_is_seen_at_any_length(spark):
     pick = random.Random(9)
-    some = [(i, " ".join(f"w{pick.randrange(10**6)}" for _ in range(n)), None, None, 1) for i, n in enumerate([*range(4, 10), *range(30, 200, 10)])]
+    word = lambda: f"w{pick.randrange(10**11, 10**12)}"
+    some = [(i, " ".join(word() for _ in range(n)), None, None, 1) for i, n in enumerate([*range(2, 61)] * 4)]
     for r in syncmers.fingerprints(documents(spark, some=some)).collect():
         assert r["near_edited"] > 0.1 and r["near_next"] == 0
 
 
-def test_dense_anchors_are_shared_at_every_length(spark):
+def test_a_word_less_is_alike_at_every_length(spark):
     pick = random.Random(10)
     word = lambda: f"w{pick.randrange(10**11, 10**12)}"
-    some = [(i, " ".join(word() for _ in range(n)), None, None, 1) for i, n in enumerate([*range(2, 61)] * 4)]
-    for r in syncmers.compared(documents(spark, some=some)).collect():
-        assert r["alike_edited"] > 0.1 and r["alike_next"] == 0
-    pairs = []
+    pairs, plain = [], []
     for n in range(1, 61):
-        words = [word() for _ in range(n + 1)]
-        gone = pick.randrange(n + 1)
-        pairs.append((" ".join(words), " ".join(words[:gone] + words[gone + 1 :])))
-    dense = lambda c: syncmers.both(F.col(c))["dense"]
-    got = spark.createDataFrame(pairs, "a string, b string").select(syncmers.likeness(dense("a"), dense("b")).alias("x"), syncmers.likeness(dense("a"), dense("a")).alias("same"))
-    assert all(r["x"] >= 0.3 and r["same"] == 1.0 for r in got.collect())
-    plain = spark.createDataFrame([("",), ("a",), ("a b",), ("a b c a b c",)], "t string").select(F.size(dense("t")).alias("n")).collect()
-    assert [r["n"] for r in plain[:3]] == [0, 1, 2] and plain[3]["n"] > 3
+        for _ in range(6):
+            words = [word() for _ in range(n)]
+            gone = pick.randrange(n)
+            pairs.append((" ".join(words), " ".join(words[:gone] + words[gone + 1 :])))
+            plain.append((n, plain_likeness(plain_anchors(pairs[-1][0]), plain_anchors(pairs[-1][1]))))
+    got = likeness_of(spark, pairs)
+    assert got == [x for _, x in plain]
+    for (n, _), x in zip(plain, got):
+        assert x > 0.8 if n >= 12 else x >= 0.3 or n == 1
+    assert likeness_of(spark, [(a, a) for a, _ in pairs]) == [1.0] * len(pairs)
+
+
+def test_likeness_is_positional(spark):
+    pick = random.Random(11)
+    text = lambda n: [f"w{pick.randrange(10**8)}" for _ in range(n)]
+    passage, head, left, right = text(12), text(200), text(150), text(150)
+    pairs = [
+        (passage, passage * 500), (left + right, right + left), (left + right, head + left + right), (left, right),
+        (left + right, left + head[:1] + right), ([], []), ([], left), (["a"], ["a"]), (["a"], ["b"]),
+    ]
+    pairs = [(" ".join(a), " ".join(b)) for a, b in pairs]
+    got = likeness_of(spark, pairs)
+    assert got == [plain_likeness(plain_anchors(a), plain_anchors(b)) for a, b in pairs]
+    repeated, swapped, behind, other, inserted, none, empty_, same, different = got
+    assert repeated < 0.05 and 0.3 < swapped < 0.7 and behind > 0.75 and other == 0 and inserted > 0.9
+    assert (none, empty_, same, different) == (1.0, 0.0, 1.0, 0.0)
+
+
+def test_two_fingerprints_a_document(spark):
+    """A document's own anchors are handed to its predecessor; only the edited text's are found besides."""
+    plan = syncmers.fingerprints(documents(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 2
 
 
 def test_ranges_do_not_matter(spark):
