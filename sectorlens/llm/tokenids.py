@@ -34,8 +34,8 @@ MAGIC = b"TIDSEG1\n"
 HEAD = struct.Struct("<8sII32s")
 #: Serialized ids of one segment, before compression.
 SEGMENT_BYTES = 8 * 1024 * 1024
-#: The dictionary is trained on at most so many documents of at most so many bytes of ids each.
-DICTIONARY_DOCS, DICTIONARY_DOC_BYTES, DICTIONARY_BYTES = 1500, 16 * 1024, 64 * 1024
+#: The dictionary is trained on one piece of at most so many documents, of at most so many characters (and bytes of ids).
+DICTIONARY_DOCS, DICTIONARY_PIECE, DICTIONARY_BYTES = 1500, 16 * 1024, 64 * 1024
 
 
 #: White space of the pre-tokenizer other than the space itself.
@@ -54,7 +54,7 @@ class Encoder:
 
     The pre-tokenizer never joins a space to what stands before it unless that is
     white space as well, so a text whose spaces all stand alone is its first word and then,
-    for each further word, a space and the word. Any other text is encoded whole. A word of Latin
+    for each further word, a space and the word. Any other text, and one that holds an added token, is encoded whole. A word of Latin
     letters is one piece of the pre-tokenizer, and a single mark after it is another; such
     words go straight to the library's model.
     """
@@ -66,7 +66,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Spelled out in a text, these are tokens of their own; the library finds them before it splits words.
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind, self.letters = np.dtype(f"<u{width}"), _printable_bytes()
         self.feed = self.whole(["\n"])[0]
         self.marks = dict(zip(".,;:!?", self.whole(list(".,;:!?"))))
@@ -101,7 +102,8 @@ class Encoder:
         out: list[bytes] = [b""] * len(texts)
         easy, whole = [], []
         for i, text in enumerate(texts):
-            (easy if _single_spaced(text) else whole).append(i)
+            plain = _single_spaced(text) and not any(token in text for token in self.added)
+            (easy if plain else whole).append(i)
         split = [texts[i].partition(" ") for i in easy]
         firsts = self.whole([x[0] for x in split])
         # a line feed between words is a piece of its own, so the word after it can stand apart
@@ -166,21 +168,24 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 def train_dictionary(docs: DataFrame, path: str, width: int, end_id: int) -> bytes:
     """A dictionary from a bounded sample, trained in one task; empty if there are too few.
 
-    Texts of more than ``DICTIONARY_DOC_BYTES`` characters are left out, and the ids of others are cut to so many bytes.
+    Documents of every length are drawn by a hash of id and text; one longer than ``DICTIONARY_PIECE``
+    characters gives a piece of that length from a hashed place.
     """
     rows = docs.count()
     share = min(1.0, 3 * DICTIONARY_DOCS / max(1, rows))
-    at = F.xxhash64(F.lit(7), "doc_id")
-    sample = docs.select(whole_text().alias("text"), F.pmod(at, F.lit(1_000_003)).alias("at"))
-    sample = sample.filter((F.col("at") < share * 1_000_003) & (F.length("text") <= DICTIONARY_DOC_BYTES))
-    sample = sample.orderBy("at").limit(DICTIONARY_DOCS).select("text")
+    text, spread = whole_text(), F.lit(1_000_003)
+    at = F.pmod(F.xxhash64(F.lit(7), "doc_id", text), spread)
+    places = F.greatest(F.length(text) - DICTIONARY_PIECE, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64(F.lit(8), "doc_id", text), places) + 1).cast("int")
+    sample = docs.select(at.alias("at"), F.substring(text, start, F.lit(DICTIONARY_PIECE)).alias("text"))
+    sample = sample.filter(F.col("at") < share * 1_000_003).orderBy("at", F.xxhash64("text")).limit(DICTIONARY_DOCS).select("text")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = []
         for batch in batches:
             ids += encode_texts(batch.column(0).to_pylist(), path, width)
         end = np.array([end_id], f"<u{width}").tobytes()
-        samples = [(x + end)[:DICTIONARY_DOC_BYTES] for x in ids]
+        samples = [(x + end)[:DICTIONARY_PIECE] for x in ids]
         try:
             data = zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=256, d=8).as_bytes()
         except zstandard.ZstdError:
