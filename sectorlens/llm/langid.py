@@ -2,7 +2,9 @@
 
 Features are hashed 1- to 3-grams of the whole text's letters (case folded, all else
 one space). Document frequencies come from all rows that may be learnt from; the
-weights from at most ``SAMPLE_PER_CLASS`` of them per language. Training is
+weights from a sample of at most ``SAMPLE_PER_CLASS`` of them per language and ``SAMPLE_ROWS`` together. The sample
+is drawn by a hash of id and text, and each language's smallest hash is always in it, so no language
+with a learnable row is without one, whatever its ids are. Training is
 follow-the-regularised-leader with an L1 and an L2 penalty; a fifth of the sample is kept
 for the temperature that calibrates the probabilities.
 
@@ -24,9 +26,10 @@ from sectorlens.llm.common import fold, held_out
 from sectorlens.llm.features import document_counts, folded, gram_counts, inverse_frequency, per_text, tf_idf
 
 BITS = 13
-SAMPLE_PER_CLASS = 600
-#: More languages than this are refused, so that the sample stays bounded.
-MOST_CLASSES = 400
+#: Rows that the weights are learnt from: so many of a language, so many together, but one of each language at least.
+SAMPLE_PER_CLASS, SAMPLE_ROWS = 600, 12_000
+#: Weights are learnt for so many languages, the most frequent ones; each takes a column of 2**BITS weights.
+MOST_CLASSES = 2000
 UNKNOWN = "und"
 
 
@@ -84,18 +87,22 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 def fit(docs: DataFrame) -> LanguageModel | None:
     """Learns from rows whose id falls in fold 0 or 2 and whose language and text are given."""
     given = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 1))
-    sizes = {r["lang"]: r["n"] for r in given.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_CLASSES + 1).collect()}
+    # a number of 63 bits; rows equal in id and text are drawn together
+    at = F.shiftrightunsigned(F.xxhash64(F.lit(29), "doc_id", "text"), 1)
+    given = given.withColumn("at", at)
+    sizes = given.groupBy("lang").agg(F.count("*").alias("n"), F.min("at").alias("first")).orderBy(F.desc("n"), "lang").limit(MOST_CLASSES).collect()
     if not sizes:
         return None
-    if len(sizes) > MOST_CLASSES:
-        raise ValueError(f"more than {MOST_CLASSES} languages")
     rows, frequency = document_counts(given.select("text"), text_counts, 1 << BITS)
     idf = inverse_frequency(rows, frequency)
-    share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, 3.0 * SAMPLE_PER_CLASS / n)]), F.col("lang"))
-    at = F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(1_000_003))
-    thin = given.filter(at < share * 1_000_003).withColumn("at", at)
+    per = max(1, min(SAMPLE_PER_CLASS, SAMPLE_ROWS // len(sizes)))
+    top = (1 << 63) - 1
+    limits = [(r["lang"], max(r["first"], min(top, 3 * per * top // r["n"]))) for r in sizes]
+    # one row a language, MOST_CLASSES at most
+    bounds = docs.sparkSession.createDataFrame(limits, "lang string, most long")
+    thin = given.join(F.broadcast(bounds), "lang").filter(F.col("at") <= F.col("most"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id", F.xxhash64("text")))
-    sample = thin.withColumn("nth", nth).filter(F.col("nth") <= SAMPLE_PER_CLASS)
+    sample = thin.withColumn("nth", nth).filter(F.col("nth") <= per)
 
     def vectors(texts):
         found = [tf_idf(text_counts(t), idf) for t in texts]
@@ -105,7 +112,7 @@ def fit(docs: DataFrame) -> LanguageModel | None:
     schema = "lang string, nth int, at array<int>, value array<float>"
     rows = per_text(sample, [F.col("lang"), F.col("nth")], vectors, schema, ["at", "value"]).toPandas()
     rows = rows.sort_values(["lang", "nth"], ignore_index=True)
-    languages = sorted(sizes)
+    languages = sorted(r["lang"] for r in sizes)
     labels = rows["lang"].map({k: i for i, k in enumerate(languages)}).to_numpy()
     kept = (rows["nth"] % 5 == 0).to_numpy()
     sparse = [(np.asarray(a, np.int64), np.asarray(v, float)) for a, v in zip(rows["at"], rows["value"])]
