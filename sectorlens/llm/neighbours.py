@@ -18,6 +18,7 @@ empty table gives an empty result; null ids are kept; other columns are not read
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -86,8 +87,14 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality") -> Voters |
         return None
     rows, frequency = document_counts(docs.select("text"), text_counts, _SIZE)
     idf = inverse_frequency(rows, frequency)
-    nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(F.lit(31), "doc_id"), "doc_id"))
-    chosen = marked.withColumn("nth", nth).filter(F.col("nth") <= SAMPLE_PER_LABEL)
+    # ids are unique here, so a threshold on their hash leaves about three times the sample, whatever the table's size
+    top, hashed = (1 << 63) - 1, F.shiftrightunsigned(F.xxhash64(F.lit(31), "doc_id"), 1)
+    drawn = [
+        marked.filter((F.col("label") == label) & (hashed <= min(top, 3 * SAMPLE_PER_LABEL * top // n)))
+        .withColumn("nth", hashed).orderBy("nth", "doc_id").limit(SAMPLE_PER_LABEL)
+        for label, n in sorted(sizes.items())
+    ]
+    chosen = reduce(DataFrame.unionByName, drawn)
     # 2 x SAMPLE_PER_LABEL ids at most
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter(F.col("text").isNotNull())
     tie = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
@@ -99,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality") -> Voters |
         return [pa.array(at, pa.list_(pa.int32())), pa.array([v[i] for v, i in zip(got, at)], pa.list_(pa.float32()))]
 
     kept = [F.col("label"), F.col("nth")]
-    sample = per_text(found, kept, vectors, "label int, nth int, at array<int>, value array<float>", ["at", "value"]).toPandas()
+    sample = per_text(found, kept, vectors, "label int, nth long, at array<int>, value array<float>", ["at", "value"]).toPandas()
     if not len(sample):
         return None
     sample = sample.sort_values(["label", "nth"], ignore_index=True)
