@@ -27,19 +27,30 @@ def from_utc_clock(clock: Column) -> Column:
     return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), clock))
 
 
+def _parse_any(text: Column) -> Column:
+    # a bare time of day would be read as today's
+    plain = F.when(text.rlike(r"^\s*[+-]?\d{4}"), text)
+    return F.coalesce(
+        F.concat(plain, F.lit("Z")).try_cast("timestamp"),
+        F.concat(plain, F.lit("T00:00:00Z")).try_cast("timestamp"),
+        plain.try_cast("timestamp"),
+    )
+
+
 def parse_instant(text: Column) -> Column:
     """Text or timestamp to an instant; what cannot be parsed becomes null.
 
-    Text without a zone means UTC, whatever the session's zone: it is read with a
-    ``Z`` behind it first, which text with a zone of its own does not allow.
+    Text without a zone means UTC, whatever the session's zone. Text with a date and a time is parsed
+    once: anything but digits, colons and a point behind the first colon is a zone of its
+    own, otherwise a ``Z`` is put behind it. Only text of another form, or without a meaning, is tried in several ways.
     """
-    # a bare time of day would be read as today's
-    plain = F.when(text.cast("string").rlike(r"^\s*[+-]?\d{4}"), text.cast("string"))
-    read = F.coalesce(
-        F.try_to_timestamp(F.concat(plain, F.lit("Z"))),
-        F.try_to_timestamp(F.concat(plain, F.lit("T00:00:00Z"))),
-        F.try_to_timestamp(plain),
-    )
+    plain = text.cast("string")
+    colon = F.instr(plain, ":")
+    rest = F.translate(F.substring(plain, colon, F.length(plain)), "0123456789:. \t\r\n", "")
+    # a date of eight characters at least and an hour stand before the colon
+    dated = (colon >= 11) & F.substring(plain, 1, 1).between("0", "9")
+    once = F.when(rest == "", F.concat(plain, F.lit("Z"))).otherwise(plain).try_cast("timestamp")
+    read = F.coalesce(F.when(dated, once), _parse_any(plain))
     return F.when(F.typeof(text) == "timestamp", text.try_cast("timestamp")).otherwise(read)
 
 

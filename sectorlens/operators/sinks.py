@@ -64,16 +64,24 @@ def land_bars(bars: DataFrame, path: str) -> int:
     """
     keys = ["datetime", *[k for k in schemas.BAR_KEY.values() if k in bars.columns]]
     dated = _one_per_key(bars, keys).withColumn("date", times.utc_day(F.col("datetime")))
-    first, last = dated.agg(F.min("date"), F.max("date")).first()
+    day = times.utc_day(F.col("datetime"))
+    first, last = bars.agg(F.min(day), F.max(day)).first()
     stored = landing.read_or_empty(bars.sparkSession, path, dated.schema)
     near = stored.where(F.col("date").between(F.lit(first), F.lit(last)) | F.col("date").isNull())
     return write_dataset(dedupe.drop_seen(dated, near, keys), path, "append", ["date"])
 
 
 def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Copies of a key reduced to the smallest remaining row, so that reruns agree."""
+    """One row per key, of copies that differ the one with the smallest hash, so that reruns agree.
+
+    The fields of a bar have a fixed width, so they are hash-aggregated one by one, map-side first; a
+    minimum of whole rows would sort all of them.
+    """
     rest = [c for c in df.columns if c not in keys]
-    return dedupe.keep_first(df, keys, rest) if rest else df.distinct()
+    if not rest:
+        return df.distinct()
+    placed = df.withColumn("__place", F.xxhash64(*rest))
+    return placed.groupBy(*keys).agg(*[F.min_by(c, "__place").alias(c) for c in rest]).select(*df.columns)
 
 
 def save_cleaned(bars: DataFrame, path: str) -> int:

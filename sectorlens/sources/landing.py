@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
 from datetime import date, datetime
+from functools import reduce
 from urllib.parse import quote
 
 import pandas as pd
@@ -57,10 +59,13 @@ def in_kind_folder(path: str, kind: str) -> Column:
     none of them belong to whoever reads ``path``.
     """
     root = quote(path.split("://", 1)[-1].rstrip("/") + "/", safe="/=:,@+-_.~!*'()&$;")
+    # asked of each file when files are listed, and of each row again; most paths need no pattern for that
+    whole = F.lower(F.col("_metadata.file_path"))
+    mentioned = reduce(operator.or_, [whole.contains(f"{name}/") for name in schemas.BAR_KEY])
     below = F.lower(F.substring_index(F.col("_metadata.file_path"), root, -1))
     names = "|".join(schemas.BAR_KEY)
     named = F.regexp_extract(F.concat(F.lit("/"), below), rf".*/(?:\w+=)?({names})/", 1)
-    return named.isin("", schemas.bar_kind(kind))
+    return F.when(mentioned, named.isin("", schemas.bar_kind(kind))).otherwise(F.lit(True))
 
 
 def read_landed_bars(
