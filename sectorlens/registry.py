@@ -8,6 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -1121,6 +1126,26 @@ def _(spark, folder):
     return spark.read.schema(schemas.STOCK_SECTOR).parquet(location)
 
 
+def _foreign_files(path):
+    """Writes bars as another tool would: a batch with gaps has its volume as a float, times are nanoseconds or not."""
+
+    def write(batches):
+        for n, rows in enumerate(batches):
+            part = TaskContext.get().partitionId()
+            none = rows["Company_symbol"].astype("int64") % 5 == 0
+            kinds = [("gaps", rows[none].assign(Volume=float("nan")), "ns"), ("whole", rows[~none], ("ns", "us")[(n + part) % 2])]
+            for name, some, unit in kinds:
+                table = pa.Table.from_pandas(some, preserve_index=False)
+                at = table.schema.get_field_index("Datetime")
+                table = table.set_column(at, "Datetime", table["Datetime"].cast(pa.timestamp(unit, "UTC")))
+                filesystem, place = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+                filesystem.create_dir(place, recursive=True)
+                pq.write_table(table, f"{place}/{part}-{n}-{name}.parquet", filesystem=filesystem, version="2.6")
+            yield pd.DataFrame({"files": [len(kinds)]})
+
+    return write
+
+
 @_register(
     "foreign_bars_roundtrip",
     f"""SELECT datetime, company_symbol, open, high, low, close,
@@ -1128,14 +1153,12 @@ def _(spark, folder):
   FROM ({_company_bars()})""",
 )
 def _(spark, folder):
-    """Files with volume as a number that may be none, and without the columns the table does not need."""
+    """Files of another tool: nanosecond or microsecond times, volume whole or a number that may be none, columns absent."""
     path = session.scratch_dir(spark, "foreign")
-    none = F.when(F.col("company_symbol").cast("long") % 5 == 0, F.lit(float("nan")))
-    bars = tables.stock_company(spark, folder).withColumn(
-        "volume", F.coalesce(none, F.col("volume").cast("double"))
-    )
     vendor = {ours: theirs for theirs, ours in schemas.LANDING_FIELDS.items()}
-    sinks.write_dataset(columns.rename_columns(bars, vendor), path)
+    bars = columns.rename_columns(tables.stock_company(spark, folder), vendor)
+    # every task writes its own files, under names that a repeated task uses again
+    bars.mapInPandas(_foreign_files(path), "files int").agg(F.sum("files")).first()
     return landing.read_foreign_bars(spark, path, "company")
 
 

@@ -10,14 +10,12 @@ from urllib.parse import quote
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from sectorlens import schemas
 from sectorlens.functions import times
@@ -150,51 +148,100 @@ def bootstrap_start(now: datetime | str | Column) -> Column:
     return times.from_utc_clock(times.utc_clock(times.run_time(now)) - F.expr("INTERVAL 1 MONTH"))
 
 
-def _row_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path in batch["path"]:
-            filesystem, place = pafs.FileSystem.from_uri(path)
-            groups = pq.read_metadata(place, filesystem=filesystem).num_row_groups
-            yield pd.DataFrame({"path": path, "row_group": range(groups)})
+#: Parquet types by their Arrow names, as Spark reads them.
+_KINDS = {
+    "double": "double",
+    "float": "float",
+    "int64": "bigint",
+    "int32": "int",
+    "int16": "smallint",
+    "string": "string",
+    "large_string": "string",
+}
 
 
-def _typed(rows: pa.RecordBatch, field: pa.Field) -> pa.Array:
-    """A column in its wanted type: absent means null, and a number that is none means null where whole numbers go."""
-    if field.name not in rows.schema.names:
-        return pa.nulls(rows.num_rows, field.type)
-    column = rows.column(field.name)
-    if pa.types.is_floating(column.type) and pa.types.is_integer(field.type):
-        column = pc.if_else(pc.is_nan(column), pa.scalar(None, column.type), column)
-    # times only are cast unsafely: nanoseconds are cut to microseconds
-    return column.cast(field.type, safe=not pa.types.is_timestamp(field.type))
+def _kind(kind: pa.DataType) -> str | None:
+    """How Spark reads a column of this type; None for one that holds nulls only."""
+    if pa.types.is_null(kind):
+        return None
+    if pa.types.is_timestamp(kind):
+        if kind.unit == "ns":
+            return "bigint /* ns */"
+        return "timestamp" if kind.tz else "timestamp_ntz"
+    return _KINDS.get(str(kind), str(kind))
 
 
-def _typed_reader(schema: T.StructType):
-    wanted = to_arrow_schema(schema)
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _footers(wanted: list[str]):
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for piece in batch.to_pylist():
-                filesystem, place = pafs.FileSystem.from_uri(piece["path"])
-                with pq.ParquetFile(place, filesystem=filesystem) as file:
-                    there = [name for name in wanted.names if name in file.schema_arrow.names]
-                    for rows in file.iter_batches(row_groups=[piece["row_group"]], columns=there):
-                        columns_ = [_typed(rows, field) for field in wanted]
-                        yield pa.RecordBatch.from_arrays(columns_, schema=wanted)
+            kinds = []
+            for path in batch["path"]:
+                filesystem, place = pafs.FileSystem.from_uri(path)
+                there = pq.read_schema(place, filesystem=filesystem)
+                found = {name: _kind(there.field(name).type) for name in wanted if name in there.names}
+                kinds.append(", ".join(f"`{name}` {kind}" for name, kind in found.items() if kind))
+            yield pd.DataFrame({"kinds": kinds, "path": batch["path"]})
 
     return read
 
 
-def read_foreign_bars(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def _one_kind(
+    spark: SparkSession, schema: T.StructType, kinds: str, paths: list[str], since: Column | None
+) -> DataFrame:
+    """The files of one set of column types, read by Spark and cast to ``schema``."""
+    if " /* ns */" in kinds:
+        # Spark reads nanoseconds as plain numbers if its session says so; this one is for these scans only
+        spark = spark.newSession()
+        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    typed = {part.split("` ")[0][1:]: part.split("` ")[1] for part in kinds.split(", ") if part}
+    plain = ", ".join(f"`{name}` {kind.split()[0]}" for name, kind in typed.items())
+    rows = spark.read.schema(plain).option("pathGlobFilter", PARQUET_FILES).option("recursiveFileLookup", "true").parquet(*paths)
+
+    def cast(field: T.StructField) -> Column:
+        kind, column = typed.get(field.name), F.col(f"`{field.name}`")
+        if kind is None:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        if kind == "bigint /* ns */":
+            whole = F.expr(f"(`{field.name}` - pmod(`{field.name}`, 1000L)) div 1000")
+            column = F.timestamp_micros(whole)
+        elif kind == "timestamp_ntz":
+            column = times.from_utc_clock(column)
+        elif kind in ("double", "float") and field.dataType == T.LongType():
+            column = F.when(~F.isnan(column), column)
+        elif field.dataType == T.TimestampType():
+            column = times.parse_instant(column)
+        return column.cast(field.dataType).alias(field.name)
+
+    if since is not None and (kind := typed.get("Datetime")):
+        # on the stored type, so that it reaches the scan
+        bound = {"bigint /* ns */": F.unix_micros(since) * 1000, "timestamp_ntz": times.utc_clock(since), "timestamp": since}
+        if kind in bound:
+            rows = rows.where(F.col("Datetime") >= bound[kind])
+    return rows.select(*[cast(field) for field in schema])
+
+
+def read_foreign_bars(
+    spark: SparkSession, path: str, kind: str, since: datetime | str | None = None
+) -> DataFrame:
     """Landed bars written by other tools, cleaned to one typed frame.
 
-    Such files may hold nanosecond times, which Spark's reader refuses, and a
-    batch with a gap has its volume as a float, which it cannot merge. They are
-    read with Arrow inside tasks, one row group at a time, and cast to the schema;
-    a file that is much larger than the others is read by many tasks.
+    Such files may hold nanosecond times, which Spark's reader refuses unless it is told to take them for
+    numbers, a batch with a gap has its volume as a float, which cannot be merged with whole numbers, and columns may be
+    absent. So footers are read first, one per file and inside tasks; the files of each set of column types are one scan of
+    Spark's own reader (column pruning, split files), cast to the schema and united by name. Nanoseconds are cut to
+    microseconds, and a time without a zone is UTC. ``since`` leaves older bars out and is pushed into
+    each scan whose times are not text. The driver holds the paths, as it does for any listing.
     """
     schema = landing_schema(kind)
     files = landed_files(spark, path).where(F.col("path").endswith(".parquet"))
-    pieces = files.mapInPandas(_row_groups, "path string, row_group int")
-    spread = pieces.repartition(spark.sparkContext.defaultParallelism, "path", "row_group")
-    return clean_bars(spread.mapInArrow(_typed_reader(schema), schema), kind)
+    spread = files.repartition(spark.sparkContext.defaultParallelism, "path")
+    found = spread.mapInPandas(_footers(schema.names), "kinds string, path string")
+    groups = found.groupBy("kinds").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("kinds").collect()
+    bound = None if since is None else times.run_time(since)
+    # no rows, and no part of the plan either; makes this session the one that runs it
+    nulls = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
+    rows = spark.sql(f"SELECT {', '.join(nulls)} WHERE false")
+    for group in groups:
+        paths = [path] if len(groups) == 1 else group["paths"]
+        rows = rows.unionByName(_one_kind(spark, schema, group["kinds"], paths, bound))
+    return clean_bars(rows if since is None else rows.where(F.col("Datetime") >= bound), kind)

@@ -379,6 +379,46 @@ def test_foreign_reader_takes_gaps_and_absent_columns(spark, tmp_path):
     assert rows(got.select("volume")) == [(7,), (None,)]
 
 
+def odd_file(path, name, stamps, **columns):
+    n = len(stamps)
+    prices = {c: pa.array([1.0] * n) for c in ("Open", "High", "Low", "Close")}
+    table = pa.table({"Datetime": stamps, **prices, "Company_symbol": pa.array([name] * n), **columns})
+    path.mkdir(parents=True, exist_ok=True)
+    pq.write_table(table, path / f"{name}.parquet", version="2.6")
+
+
+def test_foreign_files_of_many_types_are_scans_of_spark(spark, tmp_path):
+    """Before 1970, without a zone, as text, volume small, a float, absent or nothing but null; the filter reaches each scan."""
+    old, late = at("1969-12-31 23:59:59.999999"), T0 + timedelta(minutes=30)
+    utc = lambda *ts, unit="us", zone="UTC": pa.array([t.replace(tzinfo=None) for t in ts], pa.timestamp(unit, zone))
+    root = tmp_path / "odd"
+    odd_file(root / "a", "ns", pa.array([-1, 1_735_828_200_123_456_789], pa.timestamp("ns", "UTC")), Volume=pa.array([1, None], pa.int32()))
+    odd_file(root / "b", "clock", utc(old, late, zone=None), Volume=pa.array([1.5, float("nan")], pa.float32()))
+    odd_file(root / "c", "instant", utc(T0, late, unit="ms"))
+    odd_file(root / "d", "text", pa.array(["2025-01-02T10:00:00-05:00", "no time"]), Volume=pa.nulls(2))
+    got = landing.read_foreign_bars(spark, str(root), "company")
+    assert rows(got.select("company_symbol", "datetime", "volume")) == sorted([
+        ("ns", old, 1), ("ns", at("2025-01-02 14:30:00.123456"), None),
+        ("clock", old, 1), ("clock", late, None),
+        ("instant", T0, None), ("instant", late, None),
+        ("text", at("2025-01-02 15:00:00"), None), ("text", None, None),
+    ], key=str)
+    plan = plan_of(got)
+    assert plan.count("FileScan parquet") == 4 and "Python" not in plan and "Arrow" not in plan and "Dividends" not in plan
+    later = landing.read_foreign_bars(spark, str(root), "company", since="2025-01-02 14:45:00")
+    assert rows(later.select("company_symbol", "datetime")) == sorted([("clock", late), ("instant", late), ("text", at("2025-01-02 15:00:00"))], key=str)
+    pushed = [line for line in plan_of(later).splitlines() if "FileScan" in line]
+    assert sum("GreaterThanOrEqual(Datetime" in line for line in pushed) == 3
+
+
+def test_foreign_files_of_one_type_are_read_by_folder(spark, tmp_path):
+    for name in "AB":
+        odd_file(tmp_path / name, name, pa.array([0], pa.timestamp("ns", "UTC")), Volume=pa.array([2]))
+    got = landing.read_foreign_bars(spark, str(tmp_path), "company")
+    assert rows(got.select("company_symbol", "volume")) == [("A", 2), ("B", 2)]
+    assert "InMemoryFileIndex(1 paths)" in plan_of(got)
+
+
 def test_scratch_folder_must_be_shared_on_a_cluster():
     class Session:
         class conf:
