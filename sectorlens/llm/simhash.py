@@ -2,11 +2,13 @@
 
 A fingerprint's 64 bits are 32 segments of two; their bit counts are its place in
 a grid. The Manhattan distance of two places is at most the Hamming distance of
-the fingerprints. Fingerprints within ``most`` = 4 bits therefore agree in the counts of
-at least two of six groups of segments, so each distinct fingerprint goes into 15
-cells (pairs of groups with their counts). Inside a cell, fingerprints are sorted
-by their whole bit count, which again differs by no more than the distance: only those
-in range are compared, exactly. A cell with more than ``CELL_ROWS`` rows is cut
+the fingerprints. Each group of segments whose counts differ adds at least one to it, so
+fingerprints within ``most`` bits agree in all but ``most`` of any number of groups:
+each distinct fingerprint goes into one cell for every choice of that many groups (their
+counts make the cell). More groups make more cells and far fewer meetings in each, so their number
+is chosen from the number of fingerprints (``groups_for``). Inside a cell, fingerprints are sorted
+by their whole bit count, which again differs by no more than the distance: those
+in range are compared by the Manhattan distance of their counts, and those that pass it exactly. A cell with more than ``CELL_ROWS`` rows is cut
 into chunks, and every two chunks meet in a block of their own.
 
 No pairs leave a task: it emits a spanning forest of the links it found. Forests
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import accumulate, combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +36,27 @@ from sectorlens.operators.lookup import lookup_join
 from sectorlens.session import pinned
 
 CELL_ROWS = 2048
-#: First bit and width of the six groups of two-bit segments.
-GROUPS = [(0, 10), (10, 10), (20, 10), (30, 10), (40, 12), (52, 12)]
+SEGMENTS = 32
+_ODD = 0x5555555555555555
+
+
+def groups_for(rows: int, most: int) -> int:
+    """The number of groups with the least work: one row a cell, and the pairs that random fingerprints make in cells.
+
+    Two random segments of two bits have equal counts three times in eight. Real ones are more alike, so a pair counts as a fiftieth of a row.
+    """
+
+    def work(groups: int) -> float:
+        cells = comb(groups, most)
+        return rows * cells + rows * rows / 100 * cells * (3 / 8) ** (SEGMENTS * (groups - most) / groups)
+
+    return min(range(most + 1, min(most + 7, SEGMENTS + 1)), key=work)
+
+
+def _counts(fp: np.ndarray) -> np.ndarray:
+    """The segments' counts in unary (0, 01, 11): two places differ by as many bits as their Manhattan distance."""
+    odd = np.uint64(_ODD)
+    return (((fp & (fp >> np.uint64(1))) & odd) << np.uint64(1)) | ((fp | (fp >> np.uint64(1))) & odd)
 
 
 def fingerprint(data: bytes, words: int = 4, seed: int = 42) -> int:
@@ -72,18 +94,27 @@ def with_fingerprint(docs: DataFrame, keys: list[Column], words: int = 4, seed:
     return given.mapInArrow(run, ", ".join([*names, "fp long"]))
 
 
-def _cells(prints: DataFrame) -> DataFrame:
-    """cell, fp and the fingerprint's bit count, 15 rows for each distinct fingerprint."""
-    odd = F.lit(0x5555555555555555)
-    low, high = F.col("fp").bitwiseAND(odd), F.shiftrightunsigned("fp", 1).bitwiseAND(odd)
-    counts = low.bitwiseXOR(high).bitwiseOR(F.shiftleft(low.bitwiseAND(high), 1))  # each pair of bits is its own sum
-    with_counts = prints.select("fp", counts.alias("counts"))
-    groups = [F.shiftrightunsigned("counts", at).bitwiseAND(F.lit((1 << w) - 1)) for at, w in GROUPS]
+def _cells(prints: DataFrame, most: int, groups: int) -> DataFrame:
+    """cell, fp and the fingerprint's bit count; a row for each choice of ``groups`` less ``most`` groups.
+
+    A cell's number is a hash of the choice and its counts; where two cells share one, more is compared, nothing is missed.
+    """
+    odd = F.lit(_ODD)
+    above = F.shiftrightunsigned("fp", 1)
+    both, any_ = F.col("fp").bitwiseAND(above).bitwiseAND(odd), F.col("fp").bitwiseOR(above).bitwiseAND(odd)
+    with_counts = prints.select("fp", F.shiftleft(both, 1).bitwiseOR(any_).alias("counts"))
+    ends = [SEGMENTS * i // groups for i in range(groups + 1)]
+    # shifted up first, so that what stands above a group falls off
+    parts = [
+        F.shiftrightunsigned(F.shiftleft("counts", 64 - 2 * high), 64 - 2 * (high - low))
+        for low, high in zip(ends, ends[1:])
+    ]
+    grouped = with_counts.select("fp", *[part.alias(f"g{i}") for i, part in enumerate(parts)])
     cells = [
-        F.lit(k << 24) + groups[a] * F.lit(1 << 12) + groups[b]
-        for k, (a, b) in enumerate(combinations(range(len(GROUPS)), 2))
+        F.xxhash64(F.lit(k), *[f"g{i}" for i in chosen])
+        for k, chosen in enumerate(combinations(range(groups), groups - most))
     ]
-    return with_counts.select("fp", F.bit_count("fp").cast("int").alias("ones"), F.explode(F.array(*cells)).alias("cell"))
+    return grouped.select("fp", F.bit_count("fp").cast("int").alias("ones"), F.explode(F.array(*cells)).alias("cell"))
 
 
 def _blocks(cells: DataFrame, cell_rows: int) -> DataFrame:
@@ -104,15 +135,17 @@ def _blocks(cells: DataFrame, cell_rows: int) -> DataFrame:
 def _linked(key: np.ndarray, ones: np.ndarray, fp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links among rows sorted by cell and bit count."""
     found_a, found_b, held = [], [], 0
-    n = len(fp)
+    n, counts = len(fp), _counts(fp)
     at, step = np.arange(max(0, n - 1)), 1
     while at.size:
         to = at + step
         near = (key[at] == key[to]) & (ones[to] - ones[at] <= most)
         at, to = at[near], to[near]
-        hit = np.bitwise_count(fp[at] ^ fp[to]) <= most
-        found_a.append(at[hit])
-        found_b.append(to[hit])
+        close = np.bitwise_count(counts[at] ^ counts[to]) <= most
+        here, there = at[close], to[close]
+        hit = np.bitwise_count(fp[here] ^ fp[there]) <= most
+        found_a.append(here[hit])
+        found_b.append(there[hit])
         held += int(hit.sum())
         if held > 2_000_000:  # no more than a forest is kept of what was found so far
             label = forest(n, np.concatenate(found_a), np.concatenate(found_b))
@@ -127,10 +160,11 @@ def _linked(key: np.ndarray, ones: np.ndarray, fp: np.ndarray, most: int) -> tup
     return fp[kept], fp[label[kept]]
 
 
-def links(prints: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS) -> DataFrame:
+def links(prints: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS, groups: int | None = None) -> DataFrame:
     """a, b: links among distinct fingerprints (column ``fp``) that connect all within ``most`` bits."""
-    if most != 4:
-        raise ValueError("the grid is laid out for a distance of 4 bits")
+    groups = groups or groups_for(prints.count(), most)
+    if not most < groups <= SEGMENTS:
+        raise ValueError(f"{most} bits need more than {most} groups and at most {SEGMENTS}")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -155,7 +189,7 @@ def links(prints: DataFrame, most: int = 4, cell_rows: int = CELL_ROWS) -> DataF
         if rest is not None and len(rest):
             yield solve(np.ascontiguousarray(rest))
 
-    blocks = _blocks(_cells(prints), cell_rows)
+    blocks = _blocks(_cells(prints, most, groups), cell_rows)
     sorted_ = blocks.repartition("cell", "block").sortWithinPartitions("cell", "block", "ones", "fp")
     return sorted_.mapInArrow(compare, "a long, b long").distinct()
 
@@ -203,10 +237,14 @@ def one_of_each(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame:
     id_, mark = F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.lit(5), "text").alias("mark")
     prints = pinned(with_fingerprint(docs, [id_, mark], words))
     classes = pinned(near_classes(prints, most))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
-    keep = prints.join(classes, "fp").groupBy("root").agg(F.min(order).alias("row")).select("row.doc_id", "row.mark")
-    keep = keep.select(F.col("doc_id").alias("id_"), F.col("mark").alias("mark_")).distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id_"), "mark")
+    # rows that are equal in id and text are counted, so that only these need to be told apart
+    counted = prints.groupBy("fp", order.alias("row")).agg(F.count("*").alias("times"))
+    first = F.min(F.struct("row", "times")).alias("first")
+    keep = pinned(counted.join(classes, "fp").groupBy("root").agg(first).select("first.row.*", "first.times"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark, row)
-    same = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_"))
-    return given.join(keep, same, "left_semi").dropDuplicates(["doc_id", "mark"]).select("row.*")
+    whole = docs.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id_"), mark, row)
+    key = ["no_id", "id_", "mark"]
+    single = lookup_join(whole, keep.filter("times = 1").select(*key), key, "left_semi")
+    equal = lookup_join(whole, keep.filter("times > 1").select(*key), key, "left_semi").dropDuplicates(key)
+    return single.unionByName(equal).select("row.*")

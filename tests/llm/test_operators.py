@@ -865,6 +865,61 @@ def test_every_link_is_found(spark, cell_rows):
     assert got == {signed(p): lowest[r] for p, r in zip(prints, roots)}
 
 
+@pytest.mark.parametrize("most", [0, 1, 2, 3, 4, 5, 6])
+def test_every_link_is_found_at_any_distance(spark, most):
+    pick = random.Random(most)
+    prints = {pick.getrandbits(64) for _ in range(60)}
+    for p in list(prints):
+        for _ in range(3):
+            q = p
+            for b in pick.sample(range(64), pick.randint(1, 8)):
+                q ^= 1 << b
+            prints.add(q)
+    prints |= {0, 2**64 - 1, 3, 0x5555555555555555, 0xAAAAAAAAAAAAAAAA}
+    prints = sorted(prints)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    table = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
+    roots = plain_components(prints, most)
+    for groups in (None, most + 2, most + 4):
+        found = simhash.links(table, most, 16, groups).collect()
+        place = {signed(p): i for i, p in enumerate(prints)}
+        assert all((prints[place[r["a"]]] ^ prints[place[r["b"]]]).bit_count() <= most for r in found) or most > 0
+        label = list(range(len(prints)))
+        for _ in range(len(prints)):
+            before = list(label)
+            for r in found:
+                a, b = place[r["a"]], place[r["b"]]
+                label[a] = label[b] = min(label[a], label[b])
+            if label == before:
+                break
+        assert [label[i] == label[j] for i in range(len(prints)) for j in range(i)] == [roots[i] == roots[j] for i in range(len(prints)) for j in range(i)]
+
+
+def test_counts_bound_the_distance():
+    pick = random.Random(2)
+    prints = np.array([pick.getrandbits(64) for _ in range(400)], np.uint64)
+    counts = simhash._counts(prints)
+    for i in range(0, 398, 2):
+        places = [[(int(p) >> 2 * k & 3).bit_count() for k in range(32)] for p in prints[i : i + 2]]
+        manhattan = sum(abs(a - b) for a, b in zip(*places))
+        assert int(np.bitwise_count(counts[i] ^ counts[i + 1])) == manhattan <= (int(prints[i]) ^ int(prints[i + 1])).bit_count()
+
+
+def test_more_fingerprints_get_more_groups(spark):
+    """Candidates of a fingerprint fall with the number of groups; the chosen number grows with the table."""
+    sizes = [simhash.groups_for(n, 4) for n in (1000, 250_000, 10**7, 10**9)]
+    assert sizes == sorted(sizes) and sizes[0] < sizes[1] < sizes[-1]
+    with pytest.raises(ValueError):
+        simhash.links(spark.createDataFrame([(1,)], "fp long"), 4, groups=4)
+    pick = random.Random(7)
+    table = spark.createDataFrame([(pick.getrandbits(63),) for _ in range(4000)], "fp long")
+    met = []
+    for groups in (5, 6, 7, 8):
+        rows_ = simhash._cells(table, 4, groups).groupBy("cell").count()
+        met.append(rows_.selectExpr("sum(count * (count - 1)) / 4000 AS candidates").first()[0])
+    assert met[0] > 2 * met[1] > 4 * met[2] > 8 * met[3]
+
+
 def test_one_document_of_each_group_stays(spark):
     docs = documents(spark, clashing=True)
     kept = simhash.one_of_each(docs)
