@@ -43,14 +43,15 @@ _ODD = 0x5555555555555555
 def groups_for(rows: int, most: int) -> int:
     """The number of groups with the least work: one row a cell, and the pairs that random fingerprints make in cells.
 
-    Two random segments of two bits have equal counts three times in eight. Real ones are more alike, so a pair counts as a fiftieth of a row.
+    Two groups at least make a cell: one alone is too coarse for texts that are alike. Two random segments of two
+    bits have equal counts three times in eight. Real ones are more alike, so a pair counts as a fiftieth of a row.
     """
 
     def work(groups: int) -> float:
         cells = comb(groups, most)
         return rows * cells + rows * rows / 100 * cells * (3 / 8) ** (SEGMENTS * (groups - most) / groups)
 
-    return min(range(most + 1, min(most + 7, SEGMENTS + 1)), key=work)
+    return min(range(most + 2, min(most + 8, SEGMENTS + 1)), key=work)
 
 
 def _counts(fp: np.ndarray) -> np.ndarray:
