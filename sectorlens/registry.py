@@ -7,6 +7,7 @@ tables. The SQL is written independently, for another engine, over the same file
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -20,8 +21,9 @@ from sectorlens import schemas, session
 from sectorlens.functions import columns, times
 from sectorlens.operators import bars as bar_ops
 from sectorlens.operators import dedupe, lookup, quality, sinks
+from sectorlens.operators.checkstate import CheckState
 from sectorlens.operators.ledger import KeyLedger
-from sectorlens.plans import ingest, marts
+from sectorlens.plans import ingest, leader, marts
 from sectorlens.sources import landing, masterdata, panels
 from sectorlens.sources import testtables as tables
 from sectorlens.streaming import jobs
@@ -323,6 +325,21 @@ def _(spark, folder):
     return marts.settled_top_sector(tables.stock_sector(spark, folder))
 
 
+@_register("top_sector_now_from_days", _top())
+def _(spark, folder):
+    """From one row a sector and day: first the early days with a third of their bars missing, then half of all days again, then the rest."""
+    path = session.scratch_dir(spark, "leads")
+    bars = session.pinned(tables.stock_sector(spark, folder))
+    day = times.utc_day(F.col("datetime"))
+    early = bars.where((F.col("datetime") < KEPT_UNTIL) & (F.pmod(F.hash("sector", "datetime"), F.lit(3)) > 0))
+    leader.refresh_day_leads(early, path)
+    # late bars of the earlier days, and the days that were not there yet
+    days = sorted(r[0] for r in bars.select(day.cast("string")).distinct().collect())
+    for touched in (days[: len(days) // 2], days[len(days) // 2 :]):
+        leader.refresh_day_leads(bars, path, touched)
+    return leader.top_sector_of(leader.read_day_leads(spark, path))
+
+
 @_register("top_sector_now_either_direction", _top("abs(diff_percent)"))
 def _(spark, folder):
     return _top_of(spark, folder, direction="abs")
@@ -904,6 +921,41 @@ def _(spark, folder):
     return quality.check_tables({"company_info": customer.select(symbol.alias("company_symbol"))})
 
 
+# Mentions of which every seventh id is missing.
+_MENTIONS_KEYED = """SELECT CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 7 > 0
+    THEN json_extract_string(props, '$.k') END AS content_id, CAST(user_id AS VARCHAR) AS company_key FROM events"""
+
+
+@_register(
+    "dq_merged",
+    f"""{SQL["dq_declared_failing"]}
+  UNION ALL SELECT 'news', 'content_id', 'not_null', count(*) - count(content_id) FROM ({_MENTIONS_KEYED})
+  UNION ALL SELECT 'news', 'company_key', 'not_null', count(*) - count(company_key) FROM ({_MENTIONS_KEYED})
+  UNION ALL SELECT 'news', 'company_key, content_id', 'unique', count(*) FROM (
+    SELECT 1 FROM ({_MENTIONS_KEYED}) WHERE content_id IS NOT NULL AND company_key IS NOT NULL
+    GROUP BY company_key, content_id HAVING count(*) > 1)""",
+)
+def _(spark, folder):
+    """Checks after three loads, one of them run twice: partial results by load (customers) and by day (mentions) that merge."""
+    path = session.scratch_dir(spark, "checks")
+    customer = tables.table(spark, folder, "customer")
+    symbol = F.when(F.col("c_custkey") % 10 > 0, F.floor(F.col("c_custkey") / 2).cast("string"))
+    rows = customer.select(symbol.alias("company_symbol"), F.pmod(F.hash("c_custkey"), F.lit(3)).alias("load"))
+    companies = CheckState(spark, f"{path}/company_info", *quality.DECLARED["company_info"])
+    for load in (0, 1, 1, 2):
+        companies.update(rows.where(F.col("load") == load), "load")
+    mentions = _mentions(tables.table(spark, folder, "events"))
+    keyless = F.when(F.col("content_id").cast("long") % 7 > 0, F.col("content_id"))
+    mentions = mentions.withColumn("content_id", keyless).withColumn("date", times.utc_day(F.col("pubdate")))
+    news = CheckState(spark, f"{path}/news", quality.DECLARED["news"][0], [("company_key", "content_id")])
+    for days in (F.col("date") < KEPT_UNTIL, F.col("date") >= KEPT_UNTIL, F.col("date") < "2024-01-05"):
+        news.update(mentions.where(days | F.col("date").isNull()), "date")
+    return reduce(
+        DataFrame.unionByName,
+        [state.result().select(F.lit(name).alias("table"), "*") for name, state in (("company_info", companies), ("news", news))],
+    )
+
+
 @_register(
     "dq_not_null",
     """SELECT 'content_id' AS "column", count(*) - count(content_id) AS failures FROM (%s)
