@@ -96,17 +96,28 @@ def slot_bars(
     return found.where(F.col("datetime") == start)
 
 
-def widen(bars: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Merge bars with ``first_at``/``last_at`` into bars per ``keys``."""
+def _merged(bars: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
     return bars.groupBy("datetime", *keys).agg(
         F.min_by("open", "first_at").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         F.max_by("close", "last_at").alias("close"),
         F.sum("volume").alias("volume"),
+        *more,
     )
 
 
+def widen(bars: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merge bars with ``first_at``/``last_at`` into bars per ``keys``."""
+    return _merged(bars, keys)
+
+
+def merge_partial(bars: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merge bars of the same window into one that can be merged further."""
+    ends = (F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
+    return _merged(bars, keys, *ends)
+
+
 def sector_bars(
     ticks: DataFrame,
     companies: DataFrame,

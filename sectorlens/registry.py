@@ -23,7 +23,7 @@ from sectorlens.operators import bars as bar_ops
 from sectorlens.operators import dedupe, lookup, quality, sinks
 from sectorlens.operators.checkstate import CheckState
 from sectorlens.operators.ledger import KeyLedger
-from sectorlens.plans import ingest, leader, marts
+from sectorlens.plans import ingest, leader, marts, propagate
 from sectorlens.sources import landing, masterdata, panels
 from sectorlens.sources import testtables as tables
 from sectorlens.streaming import jobs
@@ -1299,6 +1299,50 @@ def _(spark, folder):
     return found.select(F.substring_index("prefix", f"{path.rsplit('/', 1)[-1]}/", -1).alias("prefix"))
 
 
+@_register(
+    "landed_folders_followed",
+    f"""SELECT 'date=' || strftime(datetime, '%Y-%m-%d') || '/' AS prefix, min(CASE
+      WHEN datetime >= TIMESTAMP '{KEPT_UNTIL}' OR date_part('day', datetime) % 5 = 0 THEN 1 ELSE 0 END) AS run
+  FROM ({_company_bars("1 day")}) GROUP BY 1""",
+)
+def _(spark, folder):
+    """Day folders and the run that found them: late days among the earlier ones are found by the second run alone."""
+    path, inventory = session.scratch_dir(spark, "stock"), session.scratch_dir(spark, "inventory")
+    bars = tables.stock_company(spark, folder, "1 day").withColumn("date", times.utc_day(F.col("datetime")))
+    late = (F.col("datetime") >= KEPT_UNTIL) | (F.dayofmonth("date") % 5 == 0)
+    for part in (~late, late):
+        sinks.write_dataset(bars.where(part), path, "append", ["date"])
+        found = jobs.follow_files(spark, path, inventory)
+    found = jobs.follow_files(spark, path, inventory)
+    prefix = F.concat(F.regexp_extract("path", r"(date=[^/]*)/[^/]*$", 1), F.lit("/"))
+    return found.groupBy(prefix.alias("prefix")).agg(F.min("batch").cast("int").alias("run"))
+
+
+@_register(
+    "stock_with_industry_after_move",
+    f"""SELECT datetime, open, high, low, close, volume, c_name AS company_name, n_name AS industry_name,
+    CAST(n_regionkey AS VARCHAR) AS sector
+  FROM ({_company_bars()}) JOIN customer ON company_symbol = CAST(c_custkey AS VARCHAR)
+    LEFT JOIN nation ON n_nationkey = CASE WHEN c_custkey % 10 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END""",
+)
+def _(spark, folder):
+    """Stored by day, then companies move to other industries: the days they have bars on are rebuilt, no day is named."""
+    place = session.scratch_dir(spark, "moved")
+    database = f"moved_{place[-32:]}"
+    raw = {
+        "stock_company": tables.stock_company(spark, folder),
+        "company_info": tables.company_info(spark, folder),
+        "industry_info": tables.industry_keys(spark, folder),
+        "sector_info": tables.sector_info(spark, folder),
+    }
+    propagate.refresh_stock_with_industry(raw, database, place)
+    moved = (F.col("industry_key").cast("int") + 1) % 25
+    of_ten = F.col("company_symbol").cast("long") % 10 == 0
+    companies = raw["company_info"].withColumn("industry_key", F.when(of_ten, moved.cast("string")).otherwise(F.col("industry_key")))
+    propagate.refresh_stock_with_industry(raw | {"company_info": companies}, database, place)
+    return spark.table(f"{database}.stock_with_industry").drop("date")
+
+
 @_register("stored_top_sector_news", _TOP_NEWS)
 def _(spark, folder):
     """All four models rebuilt and stored, and one of them read from its table."""

@@ -15,6 +15,7 @@ from sectorlens.functions import columns, times
 from sectorlens.operators import bars as bar_ops
 from sectorlens.operators import dedupe
 from sectorlens.operators.ledger import KeyLedger
+from sectorlens.operators.tiers import Tiers
 from sectorlens.operators.toplist import TopList
 from sectorlens.sources import landing
 from sectorlens.streaming import previous
@@ -43,6 +44,30 @@ def file_stream(
     return stream if kind is None else stream.where(landing.in_kind_folder(path, kind))
 
 
+def follow_files(spark: SparkSession, path: str, inventory: str, files: str = landing.PARQUET_FILES) -> DataFrame:
+    """Names of all files landed below ``path`` so far, kept below ``inventory``: ``path, modified, batch``.
+
+    A stream over names keeps what it has seen. A call adds the files that are new, late ones in old folders as well, opens none of
+    them, and readers of the inventory list nothing below ``path``. ``batch`` tells what a call has added.
+    """
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", files)
+    names = reader.load(path).select("path", F.col("modificationTime").alias("modified"))
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{inventory}/names/batch={batch_id}")
+
+    (
+        names.writeStream.option("checkpointLocation", f"{inventory}/seen")
+        .trigger(availableNow=True)
+        .foreachBatch(keep)
+        .start()
+        .awaitTermination()
+    )
+    kept = T.StructType.fromDDL("path string, modified timestamp, batch long")
+    return landing.read_or_empty(spark, f"{inventory}/names", kept)
+
+
 def _keep_state_on_disk(spark: SparkSession) -> None:
     """Hold streaming state in RocksDB instead of the executors' heap.
 
@@ -151,12 +176,15 @@ def tick_bars(
     Every batch writes the partial bars of its own ticks to its own folder, so a batch
     that is repeated after a failure replaces itself. :func:`read_tick_bars` merges the
     parts of each bar. A tick may come as late as it likes: there is no watermark behind
-    which ticks are dropped, and no state that grows with the number of windows.
+    which ticks are dropped, and no state that grows with the number of windows. Batches are merged in
+    size tiers, so that a reader opens a number of folders that grows with the logarithm of theirs.
     """
+    parts_of = _bar_tiers(ticks.sparkSession, path, key)
 
     def write_parts(batch: DataFrame, batch_id: int) -> None:
         parts = bar_ops.partial_bars(batch, [key], width)
         parts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        parts_of.add(batch_id, f"{path}/batch={batch_id}")
 
     (
         ticks.writeStream.option("checkpointLocation", checkpoint)
@@ -167,9 +195,13 @@ def tick_bars(
     )
 
 
+def _bar_tiers(spark: SparkSession, path: str, key: str) -> Tiers:
+    return Tiers(spark, path, lambda parts: bar_ops.merge_partial(parts, [key]))
+
+
 def read_tick_bars(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Each bar of all its ticks so far, merged from the parts of the batches."""
-    return bar_ops.widen(spark.read.parquet(path), [key])
+    return bar_ops.widen(_bar_tiers(spark, path, key).read(), [key])
 
 
 def _changes(stock_sector: DataFrame, keep: str | None) -> DataFrame:

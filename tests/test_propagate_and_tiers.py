@@ -1,0 +1,140 @@
+"""What a change of the master data rebuilds, folders merged in tiers, and file names followed by a stream."""
+
+import glob
+import math
+import random
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from sectorlens import schemas
+from sectorlens.operators import bars as bar_ops
+from sectorlens.operators.tiers import Tiers
+from sectorlens.plans import marts, propagate
+from sectorlens.streaming import jobs
+from tests.helpers import at, rows
+
+DAY0 = at("2025-01-01 10:00:00")
+
+
+def master(spark, **industry_of):
+    return {
+        "company_info": spark.createDataFrame([(c, f"name {c}", i) for c, i in industry_of.items()], "company_symbol string, company_name string, industry_key string"),
+        "industry_info": spark.createDataFrame([("i", "I", "^i", 1.0, "s"), ("j", "J", "^j", 1.0, "t")], schemas.RAW_TABLES["industry_info"]),
+        "sector_info": spark.createDataFrame([("s", "S", "^s"), ("t", "T", "^t")], schemas.RAW_TABLES["sector_info"]),
+    }
+
+
+def bars_of(spark, *items):
+    data = [(None if d is None else DAY0 + timedelta(days=d), c, 1.0, 1.0, 1.0, p, 1) for c, d, p in items]
+    return spark.createDataFrame(data, schemas.STOCK_COMPANY)
+
+
+@pytest.fixture
+def place(spark, tmp_path, request):
+    name = f"propagate_{abs(hash(request.node.name))}"
+    yield name, f"{tmp_path}/models"
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def files_of(spark, name):
+    return {f.split("/date=")[1][:10]: f for f in spark.table(f"{name}.stock_with_industry").inputFiles()}
+
+
+def test_a_moved_company_changes_its_days_and_no_other_file(spark, place):
+    name, folder = place
+    bars = bars_of(spark, ("A", 0, 1.0), ("A", 3, 1.0), ("B", 0, 2.0), ("B", 1, 2.0), ("C", 2, 3.0), ("B", None, 4.0))
+    raw = {"stock_company": bars} | master(spark, A="i", B="i", C="i")
+    assert propagate.refresh_stock_with_industry(raw, name, folder) is None
+    before = files_of(spark, name)
+    assert propagate.refresh_stock_with_industry(raw, name, folder) == []
+    assert files_of(spark, name) == before
+
+    moved = raw | master(spark, A="j", B="i", C="i")
+    assert propagate.refresh_stock_with_industry(moved, name, folder) == ["2025-01-01", "2025-01-04"]
+    after = files_of(spark, name)
+    assert {d for d in before if before[d] != after[d]} == {"2025-01-01", "2025-01-04"}
+    want = marts.stock_with_industry(bars, *[moved[t] for t in ("company_info", "industry_info", "sector_info")])
+    stored = lambda: rows(spark.table(f"{name}.stock_with_industry").drop("date"))
+    assert stored() == rows(want)
+
+    # a company with a bar without a time, and one that was unknown until now
+    more = raw | master(spark, A="j", B="j", C="i", D="i")
+    assert propagate.refresh_stock_with_industry(more, name, folder) == [None, "2025-01-01", "2025-01-02"]
+    loaded = bars.unionByName(bars_of(spark, ("D", 5, 9.0)))
+    again = more | {"stock_company": loaded}
+    assert propagate.refresh_stock_with_industry(again, name, folder, ["2025-01-06"]) == ["2025-01-06"]
+    assert stored() == rows(marts.stock_with_industry(loaded, *[again[t] for t in ("company_info", "industry_info", "sector_info")]))
+    # the index knows the day that was loaded
+    assert propagate.refresh_stock_with_industry(again | master(spark, A="j", B="j", C="i", D="j"), name, folder) == ["2025-01-06"]
+
+
+def test_changed_symbols(spark):
+    detail = "company_symbol string, company_name string, industry_name string, sector_key string"
+    one = spark.createDataFrame([("A", "a", "I", "s"), ("B", "b", None, None), ("C", "c", "I", "s"), (None, "x", "I", "s"), ("E", "e", "I", "s"), ("E", "e", "J", "s")], detail)
+    two = spark.createDataFrame([("A", "a", "I", "s"), ("B", "b", None, "s"), ("D", "c", "I", "s"), ("E", "e", "J", "s"), ("E", "e", "I", "s")], detail)
+    assert rows(propagate.changed_symbols(one, two)) == [("B",), ("C",), ("D",)]
+
+
+def test_folders_stay_logarithmic(spark, tmp_path):
+    folder = f"{tmp_path}/t"
+    tiers = Tiers(spark, folder, lambda df: df.groupBy("k").agg(F.sum("n").alias("n")))
+    assert tiers.entries() == []
+    for batch in range(21):
+        spark.createDataFrame([("a", batch), (f"k{batch % 3}", 1)], "k string, n long").write.parquet(f"{folder}/batch={batch}")
+        tiers.add(batch, f"{folder}/batch={batch}")
+        entries = tiers.entries()
+        assert sum(n for _, n, _ in entries) == batch + 1 and len(entries) <= math.log2(batch + 1) + 1
+        assert all(a[1] > b[1] for a, b in zip(entries, entries[1:]))
+    got = rows(tiers.read().groupBy("k").agg(F.sum("n").alias("n")))
+    assert got == [("a", 210), ("k0", 7), ("k1", 7), ("k2", 7)]
+    # no folder holds a row per batch any more, but for the newest
+    assert tiers.read().count() <= 4 * len(tiers.entries())
+
+
+def test_a_repeated_batch_and_a_reader(spark, tmp_path):
+    folder = f"{tmp_path}/t"
+    tiers = Tiers(spark, folder, lambda df: df.groupBy("k").agg(F.sum("n").alias("n")))
+    for batch in range(3):
+        spark.createDataFrame([("a", 1)], "k string, n long").write.parquet(f"{folder}/batch={batch}")
+        tiers.add(batch, f"{folder}/batch={batch}")
+    reader = tiers.read()
+    spark.createDataFrame([("a", 1)], "k string, n long").write.parquet(f"{folder}/batch=3")
+    tiers.add(3, f"{folder}/batch=3")
+    tiers.add(3, f"{folder}/batch=3")  # the batch comes again
+    assert tiers.read().agg(F.sum("n")).first()[0] == 4 and len(tiers.entries()) == 1
+    assert reader.agg(F.sum("n")).first()[0] == 3
+
+
+def test_tick_bars_of_many_batches_open_few_folders(spark, tmp_path):
+    pick = random.Random(1)
+    data = [("AB"[n % 2], DAY0 + timedelta(minutes=pick.randrange(300)), float(pick.randrange(50)), n) for n in range(400)]
+    ticks = spark.createDataFrame(data, "company_symbol string, ts timestamp, price double, seq long")
+    ticks.repartition(9, "seq").write.parquet(f"{tmp_path}/ticks")
+    stream = jobs.file_stream(spark, f"{tmp_path}/ticks", ticks.schema, files_per_batch=1)
+    jobs.tick_bars(stream, "company_symbol", f"{tmp_path}/bars", f"{tmp_path}/cp")
+    read = jobs.read_tick_bars(spark, f"{tmp_path}/bars", "company_symbol")
+    batches = len(glob.glob(f"{tmp_path}/bars/batch=*"))
+    folders = {f.rsplit("/", 1)[0] for f in read.inputFiles()}
+    assert batches == 9 and len(folders) == 2
+    assert rows(read) == rows(bar_ops.ohlcv(ticks, ["company_symbol"]))
+
+
+def test_followed_names_open_no_file(spark, tmp_path):
+    def land(place):
+        (tmp_path / "in" / place).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / place).write_text("not Parquet")
+
+    def names():
+        found = jobs.follow_files(spark, f"{tmp_path}/in", f"{tmp_path}/inventory")
+        return sorted((r["path"].split("/in/")[1], r["batch"]) for r in found.collect())
+
+    land("2025-01-01/a.parquet")
+    land("2025-01-02/notes.txt")
+    assert names() == [("2025-01-01/a.parquet", 0)] == names()
+    land("2025-01-01/late.parquet")
+    land("2025-01-03/b.parquet")
+    both = [("2025-01-01/a.parquet", 0), ("2025-01-01/late.parquet", 1), ("2025-01-03/b.parquet", 1)]
+    assert names() == both == names()
+    assert len(glob.glob(f"{tmp_path}/inventory/names/batch=*")) == 2
