@@ -152,7 +152,8 @@ def _member_news(
     """News of the top sector's companies, at least the ``k`` newest of each (all without ``cut``).
 
     The companies of all sectors are measured, which bounds those of the top one
-    without finding it first. If they are too many, news is first cut to ``k`` rows per company;
+    without finding it first. If they are too many, those of the top sector are measured, and news of other
+    sectors is neither ranked nor moved if they fit. Otherwise news is first cut to ``k`` rows per company;
     no later ranking can need more, and no company's news is moved as a whole.
     """
     columns = [*schemas.NEWS_KEYS, "title", "summary", "pubdate"]
@@ -161,7 +162,7 @@ def _member_news(
     )
     articles = news.select(*columns)
     everyone = companies.join(industries.select("industry_key", "sector_key"), "industry_key")
-    if lookup.fits_broadcast(everyone, limit):
+    if lookup.fits_broadcast(everyone, limit) or lookup.fits_broadcast(members, limit):
         return articles.join(F.broadcast(members), "company_key")
     if not cut:
         return articles.join(members, "company_key")

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sectorlens import schemas, session
@@ -293,6 +293,26 @@ def _(spark, folder):
     return panels.panel_to_long(panel, _PANEL_FIELDS, "industry_key")
 
 
+@_register(
+    "tagged_vendor_bars",
+    f"""SELECT strftime(datetime, '%Y-%m-%dT%H:%M:%S+00:00') AS "Datetime", close AS "Close", 'R' || sector AS sector_key
+  FROM ({_sector_bars()}) WHERE sector IN ('0', '3') AND NOT open < 1""",
+)
+def _(spark, folder):
+    """Bars of two sectors as fetched: wanted columns only, and each row marked with the key it was fetched for."""
+    landed = _landed(spark, folder, "sector")
+    fetched = [
+        landed.where(F.col("Sector") == key)
+        .transform(columns.select_columns, ["Datetime", "Close", "Volume", "Sector"])
+        .transform(columns.drop_columns, ["Volume", "Sector", "Dividends"])
+        .transform(columns.tag, "sector_key", f"R{key}")
+        for key in ("0", "3")
+    ]
+    readable = fetched[0].unionByName(fetched[1])
+    clock = times.iso_offset(times.parse_instant(F.col("Datetime")))
+    return readable.where(clock.isNotNull()).withColumn("Datetime", clock)
+
+
 # ---------------------------------------------------------------- models
 
 
@@ -363,6 +383,22 @@ def top_sector(spark, folder):
     return marts.top_sector(tables.industry_info(spark, folder), _top_of(spark, folder))
 
 
+@_register(
+    "top_sector_in_order",
+    f"""SELECT industry_key, market_weight, rank() OVER (ORDER BY market_weight DESC NULLS LAST) AS place
+  FROM ({SQL["top_sector"]})""",
+)
+def _(spark, folder):
+    """The stored model as it is read: heaviest industry first; equal weights share the first of their places."""
+    industries = marts.top_sector(tables.industry_info(spark, folder), _top_of(spark, folder))
+    read = marts.in_read_order(industries, "top_sector").select("industry_key", "market_weight")
+    # one sector's industries, a short list that stays in its order
+    listed = read.agg(F.collect_list(F.struct("industry_key", "market_weight")).alias("rows"))
+    numbered = listed.select(F.posexplode("rows").alias("at", "row")).select("row.*", "at")
+    first = F.min("at").over(Window.partitionBy("market_weight"))
+    return numbered.select("industry_key", "market_weight", (first + 1).cast("long").alias("place"))
+
+
 _TOP_NEWS = f"""SELECT pubdate, title, summary, company_name, sector
   FROM (SELECT *, row_number() OVER (PARTITION BY sector ORDER BY {_NEWEST}) AS rn
     FROM ({_NEWS}) JOIN ({_MEMBERS}) ON company_key = company_symbol)
@@ -1139,6 +1175,21 @@ def _(spark, folder):
     return spark.read.schema(stored).parquet(path)
 
 
+@_register("cleaned_days_roundtrip", SQL["cleaned_slots_roundtrip"])
+def _(spark, folder):
+    """The same with one folder a day: in three loads, the slots of the early days, a third of the later ones' with wrong closes, and all of these."""
+    path = session.scratch_dir(spark, "cleaned-days")
+    bars = tables.stock_sector(spark, folder)
+    newest, again = F.col("datetime") >= SLOTS_AGAIN_FROM, F.col("datetime") >= KEPT_UNTIL
+    final = bars.withColumn("close", F.when(newest, F.col("close")).otherwise(F.col("open")))
+    third = F.pmod(F.hash("datetime"), F.lit(3)) == 0
+    sinks.save_cleaned_days(final.where(~again), path)
+    sinks.save_cleaned_days(bars.where(again & third).withColumn("close", F.col("high") + 1), path)
+    sinks.save_cleaned_days(final.where(again & ~third), path)
+    sinks.save_cleaned_days(final.where(again & third), path)
+    return spark.read.schema(sinks.with_slot(bars).schema).parquet(path)
+
+
 @_register("load_bars_roundtrip", _company_bars())
 def _(spark, folder):
     """Landed bars appended by name, twice; the second load finds nothing new."""

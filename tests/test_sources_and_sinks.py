@@ -264,6 +264,28 @@ def test_land_and_save_cleaned(spark, tmp_path):
     assert (tmp_path / "cleaned" / "date=2025-01-02" / "slot=1430").is_dir()
 
 
+def test_slots_in_day_folders(spark, tmp_path):
+    path = str(tmp_path / "days")
+    day = timedelta(days=1)
+
+    def stored():
+        found = spark.read.schema(sinks.with_slot(bars_frame(spark, T0)).schema).parquet(path)
+        return rows(found.select("datetime", "slot", "close"))
+
+    sinks.save_cleaned_days(bars_frame(spark, T0, T0 + timedelta(minutes=15), T0 + day, None, close=1.0), path)
+    other = (tmp_path / "days" / "date=2025-01-03")
+    before = sorted(other.glob("*.parquet"))
+    assert before and not list(tmp_path.glob("days/*/slot=*"))
+    # one slot again, a new one, and bars without a time; the other slot of the day stays, other days are not touched
+    assert sinks.save_cleaned_days(bars_frame(spark, T0, T0 + timedelta(minutes=30), None, close=2.0), path) == 4
+    assert stored() == sorted([
+        (T0, "1430", 2.0), (T0 + timedelta(minutes=15), "1445", 1.0), (T0 + timedelta(minutes=30), "1500", 2.0),
+        (T0 + day, "1430", 1.0), (None, None, 2.0),
+    ], key=str)
+    assert sorted(other.glob("*.parquet")) == before
+    assert sinks.save_cleaned_days(bars_frame(spark, T0).where("false"), path) == 0
+
+
 def test_append_by_name(spark, tmp_path):
     sinks.ensure_table(spark, "by_name", schemas.STOCK_COMPANY, str(tmp_path / "t"))
     sinks.ensure_table(spark, "by_name", schemas.STOCK_COMPANY)
