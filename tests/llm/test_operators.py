@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from sectorlens.llm import langid, mixing, neighbours, pii, queries, sharding, simhash, spm, syncmers, tokenids, topk
-from tests.llm.fixtures import as_rows, documents, empty, rows, sentences
+from tests.llm.fixtures import DOCS, as_rows, documents, empty, rows, sentences
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BYTE_BPE, PIECES = queries.tokenizer_path("byte_bpe_50k.json"), queries.tokenizer_path("piece_bpe_32k.model")
@@ -448,6 +448,74 @@ def test_shards_are_whole_even_and_gapless(spark, tmp_path):
     assert place(got) != place(other)
 
 
+DOCS_NAMES = [c.split()[0] for c in DOCS.split(", ")]
+
+
+class Mersenne:
+    """The generator behind Spark's ``shuffle`` (MT19937, seeded by an array), and its bounded draws."""
+
+    def __init__(self, seed):
+        self.bits = np.random.MT19937()
+        self.bits._legacy_seeding(np.array([seed >> 32, seed & 0xFFFFFFFF], np.uint32))
+
+    def below(self, n):
+        while True:
+            drawn = int(self.bits.random_raw()) >> 1
+            if n & (n - 1) == 0:
+                return n * drawn >> 31
+            value = drawn % n
+            if drawn - value + n - 1 < 1 << 31:
+                return value
+
+
+def fisher_yates(n, generator):
+    """Inside out: where each place's record comes from."""
+    taken = [0] * n
+    for i in range(n):
+        j = generator.below(i + 1)
+        taken[i] = taken[j]
+        taken[j] = i
+    return taken
+
+
+@pytest.mark.parametrize("bucket_bytes", [10**9, 900])
+def test_two_passes_by_hand(spark, bucket_bytes):
+    """Scatter by hash, order inside the bucket, Fisher-Yates with the task's generator, cut into shards."""
+    some = [(i % 190, sentences(i % 170, 6), "aa", f"s{i}", i) for i in range(200)]
+    docs = documents(spark, some=some)
+    total = sum(len((t or "").encode()) + 1 for _, t, *_ in some)
+    buckets = max(1, math.ceil(total / bucket_bytes))
+    keyed = docs.withColumn("order", F.xxhash64(F.lit(23), "doc_id", "text")).withColumn("own", F.xxhash64(F.lit(23), *DOCS_NAMES))
+    keyed = keyed.withColumn("bucket", F.pmod("order", F.lit(buckets)).cast("int")).withColumn("task", F.pmod(F.hash("bucket"), F.lit(buckets)))
+    tasks = defaultdict(lambda: defaultdict(list))
+    for r in keyed.collect():
+        tasks[r["task"]][r["bucket"]].append((r["order"], r["own"], r["n_chars"]))
+    laid = {}
+    for task, held in tasks.items():
+        generator = Mersenne(23 + task)
+        for bucket in sorted(held):
+            ordered = [n for *_, n in sorted(held[bucket])]
+            laid[bucket] = [ordered[i] for i in fisher_yates(len(ordered), generator)]
+    line = [n for bucket in sorted(laid) for n in laid[bucket]]
+    cuts = [k * len(line) // 8 for k in range(9)]
+    want = {n: (k, i - cuts[k]) for k in range(8) for i, n in enumerate(line) if cuts[k] <= i < cuts[k + 1]}
+    got = {r["record"]["n_chars"]: (r["shard"], r["slot"]) for r in sharding.shuffled(docs, 8, bucket_bytes=bucket_bytes).collect()}
+    assert got == want
+
+
+def test_rows_that_differ_in_other_columns_keep_their_order(spark):
+    some = [(1, "same", "aa", f"s{i}", i) for i in range(60)]
+    place = lambda df: {r["record"]["n_chars"]: r["slot"] for r in sharding.shuffled(df, 2, bucket_bytes=10**6).collect()}
+    one = place(documents(spark, some=some))
+    assert one == place(documents(spark, some=some[::-1]).repartition(3)) and len(one) == 60
+
+
+def test_buckets_grow_beyond_a_number_of_them(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "MOST_BUCKETS", 3)
+    plan = sharding.shuffled(documents(spark), 4, bucket_bytes=10)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(bucket" in plan and ", 3), REPARTITION_BY_NUM" in plan
+
+
 def test_order_is_shuffled(spark):
     docs = documents(spark, some=[(i, "t", None, None, 1) for i in range(4000)])
     got = sharding.shuffled(docs, 1, bucket_bytes=1000).select("record.doc_id", "slot").collect()
