@@ -1,14 +1,17 @@
 """Exact top-k inner products from an impact-ordered index, a score level at a time.
 
 Vectors are whole numbers (floor of ``scale`` times each component). They are dealt into
-blocks by a hash of id and vector. A block's index holds posting segments: for each level of
-quantised impact, from the highest down, the (vector, dimension, sign) entries of that
-level. A query adds up whole segments in that order. What is not yet seen of a vector, and what
+blocks by a hash of id and vector, once, and stay where they are. A block's index holds posting segments: by falling
+level of quantised impact, the (vector, dimension, sign) entries of one or more levels, and for each segment how long
+what is left out of each vector still is; it is built once and asked by all queries. A query adds up whole
+segments in that order. What is not yet seen of a vector, and what
 quantisation hides of the seen part, is a remainder of known length, so by Cauchy-Schwarz
-each score is known up to remainder length x query length. Processing stops once
-that proves all but a few vectors out of the first k (or when all segments are done); the
-possible members are scored exactly. Query blocks meet index blocks; only k rows per query
-and block leave a task.
+each score is known up to remainder length x query length. A query stops once
+that proves all but a few vectors out of its first k (or when all segments are done); the
+possible members are scored exactly. Only k rows per query and block leave a task.
+
+Queries come in packs of at most ``PACK_BYTES``, which are copied to the tasks, one pack at a time: the index is shuffled
+once, whatever the number of queries.
 
 Vectors that are null, hold a null or a component that is not finite take no part; shorter vectors
 are filled up with zeros. A query's own row is left out once, so that its copies stay candidates; equal
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,8 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sectorlens.session import pinned
+
 BLOCK_ROWS, QUERY_ROWS, LEVEL = 4096, 512, 8
-#: Processing stops when this many possible members per wanted row are left on average.
+#: Queries of one pack, as bytes of their vectors; a pack passes through the driver.
+PACK_BYTES = 32 * 1024 * 1024
+#: Levels are put together until a segment holds this share of a block's entries.
+SEGMENT_SHARE = 0.2
+#: A query stops when this many possible members per wanted row are left.
 _FEW = 4
 _NO_ID = np.iinfo(np.int64).max
 
@@ -62,65 +72,104 @@ def _packed(groups: DataFrame, by: str, width: int) -> DataFrame:
     return named.groupBy(by).applyInPandas(pack, f"{by} long, ids binary, matrix binary{extra}")
 
 
-def impact_segments(rows: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(level, row, dimension, quantised impact with sign) of every entry but zeros, highest level first."""
+def impact_segments(rows: np.ndarray, share: float = SEGMENT_SHARE) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(lowest level, row, dimension, quantised impact with sign) of every entry but zeros, highest levels first."""
     levels = (np.abs(rows) + LEVEL - 1) // LEVEL
     row, dim = np.nonzero(levels)
     level = levels[row, dim]
     order = np.argsort(-level, kind="stable")
     row, dim, level = row[order], dim[order], level[order]
     impact = np.sign(rows[row, dim]) * (level * LEVEL - LEVEL / 2)
-    cuts = np.flatnonzero(np.diff(level)) + 1
-    parts = zip(np.split(level, cuts), np.split(row, cuts), np.split(dim, cuts), np.split(impact, cuts))
-    return [(int(l[0]), r, d, v) for l, r, d, v in parts if len(l)]
+    ends, least, begun = [], max(1, int(share * len(level))), 0
+    for end in [*(np.flatnonzero(np.diff(level)) + 1).tolist(), len(level)]:
+        if end - begun >= least or end == len(level) > begun:
+            ends.append(end)
+            begun = end
+    return [(int(level[z - 1]), row[y:z], dim[y:z], impact[y:z]) for y, z in zip([0, *ends], ends)]
+
+
+class BlockIndex:
+    """Segments of one block, and the length of what each vector lacks after each of them."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray):
+        self.rows, self.ids, self.segments = rows, ids, impact_segments(rows)
+        self.left, rest = [], rows.astype(float)
+        for _, row, dim, impact in self.segments:
+            rest[row, dim] -= impact
+            self.left.append(np.linalg.norm(rest, axis=1))
+
+    def own(self, queries: np.ndarray, query_ids: np.ndarray) -> np.ndarray:
+        """Place of each query's own row in this block, -1 without one."""
+        where: dict[int, list[int]] = {}
+        for i in np.flatnonzero(np.isin(self.ids, query_ids)).tolist():
+            where.setdefault(int(self.ids[i]), []).append(i)
+        same = lambda i, j: np.array_equal(self.rows[j], queries[i])
+        return np.array([next((j for j in where.get(q, ()) if same(i, j)), -1) for i, q in enumerate(query_ids.tolist())], int)
+
+    def possible(self, queries: np.ndarray, k: int) -> np.ndarray:
+        """Which rows may be among the k best of which query, its own row apart (rows x queries)."""
+        n, q = len(self.rows), len(queries)
+        kept = min(k + 1, n)  # one more, for a query's own row
+        found = np.ones((n, q), bool)
+        if n <= kept:
+            return found
+        weights = queries.astype(float)
+        length = np.linalg.norm(weights, axis=1)
+        active, scores = np.arange(q), np.zeros((n, q))
+        for (_, row, dim, impact), left in zip(self.segments, self.left):
+            posting = np.zeros(self.rows.shape)
+            posting[row, dim] = impact
+            scores += posting @ weights[active].T
+            # a little more than the proof needs, for rounding
+            bound = left[:, None] * length[active] * (1 + 1e-9) + 1e-6
+            least = np.partition(scores - bound, n - kept, axis=0)[n - kept]
+            may = scores + bound >= least
+            found[:, active] = may
+            more = may.sum(axis=0) > _FEW * k
+            active, scores = active[more], scores[:, more]
+            if not len(active):
+                break
+        return found
 
 
-def search(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int):
+def search(index: BlockIndex, queries: np.ndarray, query_ids: np.ndarray, k: int):
     """(query position, id, score) of each query's k best rows, its own row left out once."""
-    n, q = len(rows), len(queries)
-    own = np.full(q, -1)
-    where: dict[int, list[int]] = {}
-    wanted = set(query_ids.tolist())
-    for i in np.flatnonzero(np.isin(ids, query_ids)) if wanted else []:
-        where.setdefault(int(ids[i]), []).append(int(i))
-    for i, qid in enumerate(query_ids.tolist()):
-        own[i] = next((j for j in where.get(qid, ()) if np.array_equal(rows[j], queries[i])), -1)
+    own, possible = index.own(queries, query_ids), index.possible(queries, k)
     mine = own >= 0
-    scores = np.zeros((n, q))
-    rest = rows.astype(float)  # what the scores so far leave out
-    weights = queries.astype(float)
-    length = np.linalg.norm(weights, axis=1)
-    kept = min(k + 1, n)  # one more, for a query's own row
-    segments = impact_segments(rows)
-    possible = np.ones((n, q), bool)
-    for step, (_, row, dim, impact) in enumerate(segments):
-        posting = np.zeros(rows.shape)
-        posting[row, dim] = impact
-        scores += posting @ weights.T
-        rest[row, dim] -= impact
-        last = step == len(segments) - 1
-        if not last and step % 2 == 0:
-            continue
-        # a little more than the proof needs, for rounding
-        bound = np.linalg.norm(rest, axis=1)[:, None] * length[None, :] * (1 + 1e-9) + 1e-6
-        if n > kept:
-            least = np.partition(scores - bound, n - kept, axis=0)[n - kept]
-            possible = scores + bound >= least
-        if last or possible.sum() <= _FEW * k * q:
-            break
     possible[own[mine], np.flatnonzero(mine)] = False
     at_query, at_row = np.nonzero(possible.T)
     out = []
     for a in range(0, len(at_query), 200_000):
         p, r = at_query[a : a + 200_000], at_row[a : a + 200_000]
-        out.append(np.einsum("ij,ij->i", rows[r], queries[p]))
+        out.append(np.einsum("ij,ij->i", index.rows[r], queries[p]))
     exact = np.concatenate(out) if out else np.empty(0, np.int64)
-    order = np.lexsort((ids[at_row], -exact, at_query))
+    order = np.lexsort((index.ids[at_row], -exact, at_query))
     at_query, at_row, exact = at_query[order], at_row[order], exact[order]
-    first = np.searchsorted(at_query, np.arange(q))
+    first = np.searchsorted(at_query, np.arange(len(queries)))
     place = np.arange(len(at_query)) - first[at_query] if len(at_query) else at_query
     best = place < k
-    return at_query[best], ids[at_row[best]], exact[best]
+    return at_query[best], index.ids[at_row[best]], exact[best]
+
+
+def _ask(index: DataFrame, pack: int, query_ids: np.ndarray, queries: np.ndarray, copies: np.ndarray, k: int) -> DataFrame:
+    """The k best rows of each block for each query of a pack."""
+    width = queries.shape[1]
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["pack", "place", "query_id", "copies", "vec_id", "score"]
+        for batch in batches:
+            for ids, matrix in zip(*(c.to_pylist() for c in batch.columns)):
+                block = BlockIndex(np.frombuffer(matrix, np.int64).reshape(-1, width), np.frombuffer(ids, np.int64))
+                for a in range(0, len(queries), QUERY_ROWS):
+                    z = a + QUERY_ROWS
+                    at, found, score = search(block, queries[a:z], query_ids[a:z], k)
+                    at = at + a
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), pack)), pa.array(at), pa.array(query_ids[at]), pa.array(copies[at]), pa.array(found), pa.array(score)], names
+                    )
+
+    schema = "pack long, place long, query_id long, copies long, vec_id long, score long"
+    return index.select("ids", "matrix").mapInArrow(answer, schema)
 
 
 def top_k(table: DataFrame, k: int, every: int, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = 256) -> DataFrame:
@@ -132,28 +181,22 @@ def top_k(table: DataFrame, k: int, every: int, id_column: str = "vec_id", vecto
         F.count(F.when(F.col("id") % every == 0, 1)).alias("q"),
     ).first()
     width = max(1, facts["width"])
-    blocks, packs = max(1, math.ceil(facts["n"] / BLOCK_ROWS)), max(1, math.ceil(facts["q"] / QUERY_ROWS))
-    index = _packed(vectors.withColumn("block", F.pmod(mark, F.lit(blocks))), "block", width)
+    blocks, packs = max(1, math.ceil(facts["n"] / BLOCK_ROWS)), max(1, math.ceil(8 * width * facts["q"] / PACK_BYTES))
+    dealt = vectors.withColumn("block", F.pmod(mark, F.lit(blocks))).repartition(blocks, "block")
+    index = pinned(_packed(dealt, "block", width))
     asked = vectors.filter(F.col("id") % every == 0).groupBy("id", "vector").agg(F.count("*").alias("copies"))
-    asked = _packed(asked.withColumn("pack", F.pmod(F.xxhash64(F.lit(9), "id", "vector"), F.lit(packs))), "pack", width)
-    asked = asked.select("pack", F.col("ids").alias("query_ids"), F.col("matrix").alias("queries"), "copies")
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    index = index.withColumn("pack", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(packs - 1).cast("long"))))
-    met = index.join(asked, ["block", "pack"]).select("ids", "matrix", "query_ids", "queries", "copies", "pack")
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["pack", "place", "query_id", "copies", "vec_id", "score"]
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids, rows, query_ids, queries, copies = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in range(5))
-                pack = batch.column(5)[i].as_py()
-                at, found, score = search(rows.reshape(-1, width), ids, queries.reshape(-1, width), query_ids, k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), pack)), pa.array(at), pa.array(query_ids[at]), pa.array(copies[at]), pa.array(found), pa.array(score)], names
-                )
-
-    spread = met.repartition(F.xxhash64("ids", "pack"))
-    best = spread.mapInArrow(answer, "pack long, place long, query_id long, copies long, vec_id long, score long")
+    asked = pinned(asked.withColumn("pack", F.pmod(F.xxhash64(F.lit(9), "id", "vector"), F.lit(packs))))
+    found = []
+    for pack in range(packs):
+        # bounded by PACK_BYTES, about
+        rows = asked.filter(F.col("pack") == pack).orderBy("id", "vector").toArrow()
+        queries = np.zeros((rows.num_rows, width), np.int64)
+        for i, v in enumerate(rows["vector"].to_pylist()):
+            queries[i, : len(v)] = v
+        numbers = [rows[c].to_numpy().astype(np.int64) for c in ("id", "copies")]
+        best = _ask(index, pack, numbers[0], queries, numbers[1], k)
+        found.append(best if packs == 1 else pinned(best))
+    best = reduce(DataFrame.unionAll, found)
     order = Window.partitionBy("pack", "place").orderBy(F.col("score").desc(), F.col("vec_id"))
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     ranked = ranked.withColumn("vec_id", F.when(F.col("vec_id") < _NO_ID, F.col("vec_id")))

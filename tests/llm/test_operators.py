@@ -560,6 +560,42 @@ def plain_top(vectors, k, every):
     return sorted(out, key=str)
 
 
+def test_segments_fall_in_impact_and_bound_the_rest():
+    pick = np.random.default_rng(4)
+    rows_ = np.floor(pick.normal(0, 60, (50, 9))).astype(np.int64)
+    for share in (0.0, 0.2, 1.0):
+        segments = topk.impact_segments(rows_, share)
+        levels = [(abs(int(x)) + topk.LEVEL - 1) // topk.LEVEL for _, r, d, _ in segments for x in rows_[r, d]]
+        assert levels == sorted(levels, reverse=True) and len(levels) == np.count_nonzero(rows_)
+        assert all((np.abs(rows_[r, d] - v) <= topk.LEVEL / 2).all() for _, r, d, v in segments)
+    assert len(topk.impact_segments(rows_, 1.0)) == 1 < len(topk.impact_segments(rows_, 0.2)) <= 5
+    assert topk.impact_segments(np.zeros((3, 2), np.int64)) == []
+    index = topk.BlockIndex(rows_, np.arange(50))
+    assert len(index.left) == len(index.segments) and (index.left[-1] <= topk.LEVEL / 2 * 3).all()
+    queries = rows_[:10]
+    for k in (1, 5, 60):
+        possible = index.possible(queries, k)
+        scores = rows_ @ queries.T
+        for q in range(10):
+            best = np.argsort(-scores[:, q], kind="stable")[: k + 1]
+            assert possible[best, q].all()
+
+
+def test_index_is_shuffled_once_for_all_packs(spark, monkeypatch):
+    """Many packs of queries ask the same index; none of them moves it."""
+    pick = random.Random(3)
+    vectors = [(i, [pick.gauss(0, 0.2) for _ in range(6)]) for i in range(120)]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(topk, "PACK_BYTES", 6 * 8 * 7)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 30)
+    built = []
+    packed = topk._packed
+    monkeypatch.setattr(topk, "_packed", lambda *a: built.append(1) or packed(*a))
+    exact = [(i, [float(np.float32(x)) for x in v]) for i, v in vectors]
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(table, 5, 2).collect()]
+    assert sorted(got, key=str) == plain_top(exact, 5, 2) and len(built) == 1
+
+
 @pytest.mark.parametrize("block", [7, 4096])
 def test_top_k_is_exact(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "BLOCK_ROWS", block)
