@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from sectorlens.session import pinned
 
-BLOCK_ROWS, QUERY_ROWS, LEVEL = 4096, 512, 8
+BLOCK_ROWS, QUERY_ROWS, LEVEL = 4096, 128, 8
 #: Queries of one pack, as bytes of their vectors; a pack passes through the driver.
 PACK_BYTES = 32 * 1024 * 1024
 #: Levels are put together until a segment holds this share of a block's entries.
@@ -107,26 +107,29 @@ class BlockIndex:
         return np.array([next((j for j in where.get(q, ()) if same(i, j)), -1) for i, q in enumerate(query_ids.tolist())], int)
 
     def possible(self, queries: np.ndarray, k: int) -> np.ndarray:
-        """Which rows may be among the k best of which query, its own row apart (rows x queries)."""
+        """Which rows may be among the k best of which query, its own row apart (queries x rows)."""
         n, q = len(self.rows), len(queries)
         kept = min(k + 1, n)  # one more, for a query's own row
-        found = np.ones((n, q), bool)
+        found = np.ones((q, n), bool)
         if n <= kept:
             return found
         weights = queries.astype(float)
         length = np.linalg.norm(weights, axis=1)
-        active, scores = np.arange(q), np.zeros((n, q))
+        active, scores = np.arange(q), np.zeros((q, n))
+        posting = np.zeros(self.rows.shape)
         for (_, row, dim, impact), left in zip(self.segments, self.left):
-            posting = np.zeros(self.rows.shape)
             posting[row, dim] = impact
-            scores += posting @ weights[active].T
+            scores += weights[active] @ posting.T
+            posting[row, dim] = 0
             # a little more than the proof needs, for rounding
-            bound = left[:, None] * length[active] * (1 + 1e-9) + 1e-6
-            least = np.partition(scores - bound, n - kept, axis=0)[n - kept]
-            may = scores + bound >= least
-            found[:, active] = may
-            more = may.sum(axis=0) > _FEW * k
-            active, scores = active[more], scores[:, more]
+            bound = np.outer(length[active] * (1 + 1e-9), left) + 1e-6
+            low = scores - bound
+            low.partition(n - kept, axis=1)
+            bound += scores
+            may = bound >= low[:, n - kept, None]
+            found[active] = may
+            more = may.sum(axis=1) > _FEW * k
+            active, scores = active[more], scores[more]
             if not len(active):
                 break
         return found
@@ -136,8 +139,8 @@ def search(index: BlockIndex, queries: np.ndarray, query_ids: np.ndarray, k: int
     """(query position, id, score) of each query's k best rows, its own row left out once."""
     own, possible = index.own(queries, query_ids), index.possible(queries, k)
     mine = own >= 0
-    possible[own[mine], np.flatnonzero(mine)] = False
-    at_query, at_row = np.nonzero(possible.T)
+    possible[np.flatnonzero(mine), own[mine]] = False
+    at_query, at_row = np.nonzero(possible)
     out = []
     for a in range(0, len(at_query), 200_000):
         p, r = at_query[a : a + 200_000], at_row[a : a + 200_000]

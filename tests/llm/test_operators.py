@@ -578,7 +578,7 @@ def test_segments_fall_in_impact_and_bound_the_rest():
         scores = rows_ @ queries.T
         for q in range(10):
             best = np.argsort(-scores[:, q], kind="stable")[: k + 1]
-            assert possible[best, q].all()
+            assert possible[q, best].all()
 
 
 def test_index_is_shuffled_once_for_all_packs(spark, monkeypatch):
