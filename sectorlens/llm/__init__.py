@@ -1 +1 @@
-"""Operators of a training-data pipeline: ten operators, their queries and SQL."""
+"""Operators that prepare training data: thirteen operators, their queries and SQL."""

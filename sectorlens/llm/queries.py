@@ -181,7 +181,7 @@ def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    """All stages of the corpus pipeline."""
+    """All stages of the corpus, from raw documents to token ids."""
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, folder)

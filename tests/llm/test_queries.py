@@ -1,4 +1,4 @@
-"""The registered queries on the test tables, and the pipeline stage by stage."""
+"""The registered queries on the test tables, and the corpus stage by stage."""
 
 from collections import Counter
 
@@ -35,7 +35,7 @@ def test_native_plans_have_no_python(spark):
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
-def test_pipeline_by_hand(spark):
+def test_corpus_stages_by_hand(spark):
     docs = spark.read.parquet(f"{TINY}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
     columns = docs.columns
