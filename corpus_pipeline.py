@@ -55,7 +55,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     for name, stage in STAGES:
-        path = session.scratch_dir(spark, f"pipeline-{name}")
+        path = session.scratch_dir(spark, f"corpus-{name}")
         stage(spark, docs, folder).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
