@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
+from time import time as clock
 from typing import Literal
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -200,6 +202,32 @@ def full_refresh(df: DataFrame, table: str, folder: str, partition_cols: Sequenc
     return loaded
 
 
+def expire_folders(spark: SparkSession, table: str, folder: str, hours: float = 24) -> list[str]:
+    """Remove folders that :func:`full_refresh` wrote for ``table`` and that it no longer points to; returns their names.
+
+    A folder younger than ``hours`` stays, for readers that started before the table was repointed and for a
+    refresh that is still writing. Nothing else below ``folder`` is touched. A table that is not there keeps its folders.
+    """
+    if not spark.catalog.tableExists(table):
+        return []
+    current = _described(spark, table)["Location"].rstrip("/").split("/")[-1]
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(context._jsc.hadoopConfiguration())
+    limit = clock() * 1000 - hours * 3_600_000
+    name = re.compile(re.escape(table.split(".")[-1]) + "-[0-9a-f]{32}")
+    old = [
+        entry.getPath()
+        for entry in files.listStatus(root)
+        if name.fullmatch(entry.getPath().getName())
+        and entry.getPath().getName() != current
+        and entry.getModificationTime() <= limit
+    ]
+    for path in old:
+        files.delete(path, True)
+    return sorted(path.getName() for path in old)
+
+
 def refresh_days(
     df: DataFrame, table: str, folder: str, days: Sequence[str | None] | None = None, time: str = "datetime"
 ) -> int:

@@ -847,16 +847,8 @@ def _(spark, folder):
     return masterdata.industries(masterdata.industry_rows(_sector_records(spark, folder)))
 
 
-@_register(
-    "master_companies",
-    """SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN 'M' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END
-      AS company_symbol, c_name AS company_name, CAST(c_nationkey AS VARCHAR) AS industry_key
-  FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey
-      ORDER BY c_acctbal NULLS FIRST, c_custkey) AS rn FROM customer)
-  WHERE rn <= 5""",
-)
-def _(spark, folder):
-    """Industry records that list one company more than is taken."""
+def _industry_records(spark, folder):
+    """Each industry lists its companies, one more than is taken."""
     symbol = F.when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("M"), "c_custkey"))
     rows = tables.table(spark, folder, "customer").select(
         F.col("c_nationkey").alias("industry_pos"),
@@ -879,7 +871,55 @@ def _(spark, folder):
             "companies"
         )
     )
-    return masterdata.companies(masterdata.company_rows(records))
+    return records
+
+
+@_register(
+    "master_companies",
+    """SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN 'M' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END
+      AS company_symbol, c_name AS company_name, CAST(c_nationkey AS VARCHAR) AS industry_key
+  FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey
+      ORDER BY c_acctbal NULLS FIRST, c_custkey) AS rn FROM customer)
+  WHERE rn <= 5""",
+)
+def _(spark, folder):
+    """Industry records that list one company more than is taken."""
+    return masterdata.companies(masterdata.company_rows(_industry_records(spark, folder)))
+
+
+_MASTER = {
+    "sector_info": ("sector_key", "sector_name", "NULL", _RAW["sector_info"][1]),
+    "industry_info": ("industry_key", "industry_name", "sector_key", SQL["master_industries"]),
+    "company_info": ("company_symbol", "company_name", "industry_key", SQL["master_companies"]),
+}
+
+
+@_register(
+    "master_refresh_roundtrip",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", {key} AS key, {title} AS title, CAST({parent} AS VARCHAR) AS parent,"
+        f" (SELECT count(*) FROM ({sql})) AS loaded FROM ({sql})"
+        for name, (key, title, parent, sql) in _MASTER.items()
+    ),
+)
+def _(spark, folder):
+    """All three master tables replaced from nested records, twice, the first time with other ones."""
+    place = session.scratch_dir(spark, "master")
+    database = f"master_{place[-32:]}"
+    sectors, industries = _sector_records(spark, folder), _industry_records(spark, folder)
+    ingest.refresh_master(spark, sectors.limit(2), industries.limit(3), database, place)
+    sizes = ingest.refresh_master(spark, sectors.unionByName(sectors), industries, database, place)
+    stored = [
+        spark.table(f"{database}.{name}").select(
+            F.lit(name).alias("table"),
+            F.col(key).alias("key"),
+            F.col(title).alias("title"),
+            (F.lit(None) if parent == "NULL" else F.col(parent)).cast("string").alias("parent"),
+            F.lit(sizes[name]).cast("long").alias("loaded"),
+        )
+        for name, (key, title, parent, _) in _MASTER.items()
+    ]
+    return reduce(DataFrame.unionByName, stored)
 
 
 # ---------------------------------------------------------------- data checks

@@ -466,3 +466,22 @@ def test_slots_of_several_days_come_again(spark, monkeypatch):
     monkeypatch.setattr(registry.sinks, "save_cleaned", save)
     registry.QUERIES["cleaned_slots_roundtrip"](spark, TINY)
     assert days[0] > days[1] > 10
+
+
+def test_old_folders_of_a_table_expire(spark, tmp_path):
+    place = tmp_path / "refreshed"
+    try:
+        for n in range(3):
+            sinks.full_refresh(spark.range(n + 1), "expiring", str(place))
+        sinks.full_refresh(spark.range(9), "expiring_too", str(place))
+        (place / "expiring-notes").mkdir()
+        (place / "other").mkdir()
+        assert sinks.expire_folders(spark, "expiring", str(place), hours=1) == []
+        gone = sinks.expire_folders(spark, "expiring", str(place), hours=0)
+        assert len(gone) == 2 and not any((place / name).exists() for name in gone)
+        assert spark.table("expiring").count() == 3 and spark.table("expiring_too").count() == 9
+        assert sorted(p.name.split("-")[0] for p in place.iterdir()) == ["expiring", "expiring", "expiring_too", "other"]
+        assert sinks.expire_folders(spark, "not_there", str(place), hours=0) == []
+    finally:
+        for table in ("expiring", "expiring_too"):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
