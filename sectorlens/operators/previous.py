@@ -5,53 +5,36 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sectorlens import session
 
-#: Distinct rows that one task orders, about.
+#: Distinct rows that one range of time holds, about.
 RANGE_ROWS = 100_000
-#: The limits of the ranges are a literal of the plan; more rows make larger ranges instead of more.
+#: The limits of the ranges are a parameter of the plan; more rows make larger ranges instead of more.
 MOST_RANGES = 4096
-#: Places sampled for each range.
-SAMPLED = 8
 
 
-def _limits(merged: DataFrame, place: Column, range_rows: int) -> Column | None:
-    """First places of the ranges after the first one, as a literal array: about every ``range_rows``-th place.
-
-    They are sampled evenly, by the smallest hashes, so any key or stretch of time gets as many
-    limits as it has rows. None if one range will do.
-    """
+def time_limits(merged: DataFrame, range_rows: int) -> list[float]:
+    """Times (microseconds) that cut the rows into ranges of about ``range_rows`` each: quantiles of the rows themselves."""
     ranges = min(MOST_RANGES, math.ceil(merged.count() / range_rows))
     if ranges < 2:
-        return None
-    placed = merged.select(place.alias("place"))
-    few = placed.orderBy(F.xxhash64("place"), "place").limit(ranges * SAMPLED)
-    # a bounded number of places: at most MOST_RANGES * SAMPLED
-    places = few.agg(F.sort_array(F.collect_list("place"))).first()[0][SAMPLED // 2 :: SAMPLED]
-    kinds = merged.select(place.alias("place")).schema["place"].dataType.fields
-    columns = [
-        F.lit([p[i] for p in places]).cast(f"array<{field.dataType.simpleString()}>").alias(field.name)
-        for i, field in enumerate(kinds)
-    ]
-    return F.arrays_zip(*columns)
-
+        return []
+    shares = [i / ranges for i in range(1, ranges)]
+    found = merged.agg(F.percentile_approx("__time", shares, 10 * ranges).alias("times")).first()[0]
+    return [float(t) for t in sorted(set(found))]
 
-def _search(limits: Column, place: Column) -> Column:
-    """How many of the ordered ``limits`` are not after ``place``."""
 
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.floor((span["low"] + span["high"] + 1) / 2).cast("int")
-        below = F.get(limits, middle - 1) <= place
-        low = F.when(below, middle).otherwise(span["low"])
-        high = F.when(below, span["high"]).otherwise(middle - 1)
-        return F.when(span["low"] >= span["high"], span).otherwise(F.struct(low.alias("low"), high.alias("high")))
-
-    steps = F.sequence(F.lit(1), F.lit(math.ceil(math.log2(MOST_RANGES)) + 1))
-    start = F.struct(F.lit(0).alias("low"), F.size(limits).alias("high"))
-    return F.aggregate(steps, start, halve, lambda span: span["low"])
+def in_ranges(merged: DataFrame, limits: Sequence[float]) -> DataFrame:
+    """Adds ``__range``, the number of the range that ``__time`` lies in: a binary search in the JVM."""
+    if not limits:
+        return merged.withColumn("__range", F.lit(0.0))
+    # microseconds are whole numbers below 2**53 until the year 2255, so a double holds them exactly
+    at = merged.withColumn("__at", F.col("__time").cast("double"))
+    splits = [float("-inf"), *limits, float("inf")]
+    return Bucketizer(splits=splits, inputCol="__at", outputCol="__range").transform(at).drop("__at")
 
 
 def with_previous(
@@ -70,37 +53,29 @@ def with_previous(
     left out.
 
     A plain window would put the whole history of a key into one task, and there
-    are only a handful of sectors. Here the merged rows are cut into ranges of
-    (keys, time) of about ``range_rows`` rows, whose limits come from a sample of the rows
-    themselves: a key with half of all rows within one minute is cut within that minute. Each limit is
-    a row; it goes to its own range, as predecessor of the next one, and as a guest to the end of the range before,
-    where its own predecessor is. So nothing has to be carried over afterwards.
+    are only a handful of sectors. Here a task gets one key and one range of time, of about ``range_rows``
+    rows of all keys at most: the limits are quantiles of the rows, so a key with half of all rows
+    within one minute is cut within that minute. The last value of the key's range before is added as a
+    carried row, so that the first row of a range has its predecessor as well. Only one row
+    per key and range is ever ordered per key.
     """
-    stamp, same = F.unix_micros(time), value == time
+    same, held = value == time, "__time" if value == time else "__value"
     parts = rows.where(F.col(time).isNotNull()).select(
-        *keys, stamp.alias("__time"), *([] if same else [F.col(value).alias("__value")])
+        *keys, F.unix_micros(time).alias("__time"), *([] if same else [F.col(value).alias("__value")])
     )
     greatest = [] if same else [F.max("__value").alias("__value")]
     # fixed-width values are hash-aggregated; the rows are kept, since limits and ranges both read them
     merged = session.pinned(parts.groupBy(*keys, "__time").agg(*greatest, F.count(F.lit(1)).alias("copies")))
-    place = F.struct(*keys, "__time")
-    limits = _limits(merged, place, range_rows)
-    if limits is None:
-        sent = merged.withColumn("__sent", F.struct(F.lit(0).alias("range"), F.lit(False).alias("silent")))
-    else:
-        found = merged.withColumn("__range", _search(limits, place))
-        first = F.coalesce(F.get(limits, F.col("__range") - 1) == place, F.lit(False))
-        # in its own range a limit only serves as predecessor
-        own = F.struct(F.col("__range").alias("range"), first.alias("silent"))
-        guest = F.struct((F.col("__range") - 1).alias("range"), F.lit(False).alias("silent"))
-        sent = found.withColumn("__sent", F.explode(F.when(first, F.array(own, guest)).otherwise(F.array(own))))
-
-    in_range = Window.partitionBy("__sent.range").orderBy(*keys, "__time")
-    before = F.lag(F.struct(F.struct(*keys).alias("key"), F.col("__time" if same else "__value").alias("value")))
-    paired = sent.withColumn("__before", before.over(in_range)).where(~F.col("__sent.silent"))
-    of_key = F.col("__before.key").eqNullSafe(F.struct(*keys))
-    previous = F.when(of_key, F.col("__before.value"))
+    cut = in_ranges(merged, time_limits(merged, range_rows)).withColumn("__held", F.col(held))
+    last = F.max("__time") if same else F.max_by("__value", "__time")
+    tails = cut.groupBy(*keys, "__range").agg(last.alias("__held"))
+    over_ranges = Window.partitionBy(*keys).orderBy("__range")
+    carried = tails.select(*keys, "__range", F.lag("__held", 1).over(over_ranges).alias("__held"))
+    stacked = cut.unionByName(carried, allowMissingColumns=True)
+    # carried rows have no time and sort first
+    in_range = Window.partitionBy(*keys, "__range").orderBy(F.asc_nulls_first("__time"))
+    paired = stacked.withColumn("__before", F.lag("__held", 1).over(in_range)).where(F.col("__time").isNotNull())
     moment = F.timestamp_micros("__time").alias(time)
     if same:
-        return paired.select(*keys, moment, "copies", F.timestamp_micros(previous).alias(out))
-    return paired.select(*keys, moment, "copies", previous.alias(out), F.col("__value").alias(value))
+        return paired.select(*keys, moment, "copies", F.timestamp_micros("__before").alias(out))
+    return paired.select(*keys, moment, "copies", F.col("__before").alias(out), F.col("__value").alias(value))

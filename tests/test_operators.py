@@ -169,18 +169,16 @@ def test_half_of_all_rows_within_a_minute_spread_over_ranges(spark):
     )
     df = dense.unionByName(wide)
     got = with_previous(df, ["k"], "t", "v", "prev", 1000)
-    plan = plan_of(got)
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 1 and plan.count("Exchange hashpartitioning") == 1
-    assert "Exchange hashpartitioning(k" not in plan  # dealt by range, never by key
+    windows = [line for line in plan_of(got).splitlines() if "Window [" in line]
+    # rows by key and range, and one carried value a range by key
+    assert len(windows) == 2 and "__range" in windows[0].split("ASC")[0] and "__time" not in windows[1]
     wrong = got.where("k = 'hot' AND NOT coalesce(prev = v - 1, v = 0)").count()
     wrong += got.where("k <> 'hot' AND NOT coalesce(prev = v - 10, v < 10)").count()
     assert wrong == 0 and got.count() == n
     merged = df.select("k", F.unix_micros("t").alias("__time"))
-    place = F.struct("k", "__time")
-    limits = previous._limits(merged, place, 1000)
-    sizes = merged.groupBy(previous._search(limits, place).alias("range")).count().toPandas()["count"]
-    assert len(sizes) >= 35 and sizes.max() < 4000
+    cut = previous.in_ranges(merged, previous.time_limits(merged, 1000))
+    sizes = cut.groupBy("k", "__range").count().toPandas()["count"]
+    assert cut.select("__range").distinct().count() >= 35 and sizes.max() < 2000
 
 
 def test_newest_per_cuts_before_the_shuffle(spark):
