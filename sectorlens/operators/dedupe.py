@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,14 +33,42 @@ def new_unique(
     are no repeats of each other unless they are equal throughout. The batch is
     reduced before it meets the stored keys, which are never sorted with it.
     """
+    apart, rest = _apart(batch, keys, newest)
+    rows = batch.select(*keys, apart, F.struct(*rest).alias("row"))
+    single = rows.groupBy(*keys, "__apart").agg(F.max("row").alias("row"))
+    return drop_seen(single.select(*keys, "row.*").select(*batch.columns), seen, keys)
+
+
+def _apart(batch: DataFrame, keys: Sequence[str], newest: str) -> tuple[Column, list[str]]:
+    """What tells rows without a full key apart (null for others), and the columns that are no keys, ``newest`` first."""
     rest = [newest, *[c for c in batch.columns if c not in (*keys, newest)]]
     keyless = F.lit(False)
     for key in keys:
         keyless = keyless | F.col(key).isNull()
-    apart = F.when(keyless, F.xxhash64(*rest)).alias("__apart")
-    rows = batch.select(*keys, apart, F.struct(*rest).alias("row"))
-    single = rows.groupBy(*keys, "__apart").agg(F.max("row").alias("row"))
-    return drop_seen(single.select(*keys, "row.*").select(*batch.columns), seen, keys)
+    return F.when(keyless, F.xxhash64(*rest)).alias("__apart"), rest
+
+
+def heads(batch: DataFrame, keys: Sequence[str], newest: str) -> DataFrame:
+    """The rows that :func:`new_unique` keeps of a batch, as ``keys``, ``__apart`` and ``newest`` alone.
+
+    For batches of wide rows: what is stored already is found with these columns, and :func:`rows_of`
+    gets the rest of the rows that are left.
+    """
+    apart, _ = _apart(batch, keys, newest)
+    return batch.select(*keys, apart, newest).groupBy(*keys, "__apart").agg(F.max(newest).alias(newest))
+
+
+def rows_of(batch: DataFrame, kept: DataFrame, keys: Sequence[str], newest: str) -> DataFrame:
+    """The whole rows of ``batch`` that ``kept``, some of its :func:`heads`, stand for.
+
+    Both sides meet in one aggregate, combined map-side: a row is moved once, and copies of it not at all.
+    """
+    apart, (_, *rest) = _apart(batch, keys, newest)
+    at = [*keys, "__apart", newest]
+    whole = batch.select(*keys, apart, newest, F.struct(*rest).alias("row"), F.lit(False).alias("__kept"))
+    asked = kept.select(*at, F.lit(None).cast(whole.schema["row"].dataType).alias("row"), F.lit(True).alias("__kept"))
+    met = whole.unionByName(asked).groupBy(*at).agg(F.max("row").alias("row"), F.max("__kept").alias("__kept"))
+    return met.where(F.col("__kept") & F.col("row").isNotNull()).select(*keys, newest, "row.*").select(*batch.columns)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

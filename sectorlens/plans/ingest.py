@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sectorlens import schemas
+from sectorlens import schemas, session
 from sectorlens.functions import columns, times
 from sectorlens.operators import bars as bar_ops
-from sectorlens.operators import dedupe, sinks
+from sectorlens.operators import dedupe, lookup, sinks
 from sectorlens.operators.ledger import KeyLedger
 from sectorlens.sources import landing, masterdata
 from sectorlens.sources import news as news_source
@@ -19,9 +19,19 @@ from sectorlens.sources import news as news_source
 
 def news_rows(payloads: DataFrame) -> DataFrame:
     """News payloads to landing rows, with the UTC day of publication."""
-    rows = columns.news_columns(news_source.news_items(payloads))
-    dated = rows.transform(columns.set_date, "pubdate")
-    return dated.withColumn("date", F.col("date").cast("date"))
+    return _dated(columns.news_columns(news_source.news_items(payloads)))
+
+
+def _dated(rows: DataFrame) -> DataFrame:
+    return columns.set_date(rows, "pubdate").withColumn("date", F.col("date").cast("date"))
+
+
+def _on_days_of(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of the days that ``kept`` has rows of, found without moving any."""
+    days = _dated(kept).select(F.col("date").alias("__day")).distinct()
+    if not lookup.fits_broadcast(days):
+        return rows
+    return rows.join(F.broadcast(days), F.col("date").eqNullSafe(F.col("__day")), "left_semi")
 
 
 def ingest_news(
@@ -40,27 +50,33 @@ def ingest_news(
     With a ``ledger`` the store is not read: the ledger enters the files added since its last
     run, and is asked for the batch's keys alone, however old they are.
 
+    The payloads are read twice: for the keys, which tell what is new, and for the texts of the days that have
+    something new. Payloads that cost more than a scan should be stored first.
+
     Payload lines that cannot be read are kept below ``quarantine``, each once. Without
     such a folder they are an error, and nothing is stored.
     """
     spark = payloads.sparkSession
-    unreadable = news_source.unreadable_payloads(payloads)
     if quarantine is not None:
+        unreadable = news_source.unreadable_payloads(payloads)
         kept = landing.read_or_empty(spark, quarantine, unreadable.schema)
         new_lines = dedupe.drop_seen(unreadable.distinct(), kept, ["payload"])
         sinks.write_dataset(new_lines, quarantine, "append")
-    elif not unreadable.isEmpty():
+    checked = Observation()
+    read = payloads.observe(checked, F.count_if(news_source.is_unreadable()).alias("n_unreadable"))
+    heads = session.pinned(dedupe.heads(news_rows(read), schemas.NEWS_KEYS, "pubdate"))
+    if quarantine is None and checked.get["n_unreadable"]:
         raise ValueError("there are payloads that cannot be read, and no folder to keep them in")
-    rows = news_rows(payloads)
     if ledger is not None:
         ledger.follow(path, schemas.NEWS_LANDING)
-        seen = ledger.seen(rows)
+        seen = ledger.seen(heads)
     else:
         seen = landing.read_or_empty(spark, path, schemas.NEWS_LANDING)
         if since is not None:
             recent = F.col("date") >= F.lit(since).cast("date")
             seen = seen.where(recent | F.col("date").isNull())
-    fresh = dedupe.new_unique(rows, seen.select(*schemas.NEWS_KEYS), schemas.NEWS_KEYS, "pubdate")
+    new = session.pinned(dedupe.drop_seen(heads, seen.select(*schemas.NEWS_KEYS), schemas.NEWS_KEYS))
+    fresh = dedupe.rows_of(_on_days_of(news_rows(payloads), new), new, schemas.NEWS_KEYS, "pubdate")
     return sinks.write_dataset(fresh, path, "append", ["date"])
 
 

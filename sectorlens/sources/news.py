@@ -20,8 +20,11 @@ def _by_ticker() -> Column:
 
 def unreadable_payloads(payloads: DataFrame) -> DataFrame:
     """The lines that are no JSON object of items by ticker. Blank lines are no payloads."""
-    written = F.trim("payload") != ""
-    return payloads.select("payload").where(written & _by_ticker().isNull())
+    return payloads.select("payload").where(is_unreadable())
+
+
+def is_unreadable() -> Column:
+    return (F.trim("payload") != "") & _by_ticker().isNull()
 
 
 def news_items(payloads: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from sectorlens import schemas
+from sectorlens import registry, schemas
 from sectorlens.operators import dedupe
 from sectorlens.operators.ledger import KeyLedger
 from sectorlens.plans import ingest
@@ -121,6 +121,60 @@ def test_ingest_follows_the_store(spark, tmp_path):
         spark.sql("DROP TABLE IF EXISTS ledger_follow")
 
 
+def counted(spark, frame):
+    """``frame``, and how often a row of it was computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    return frame.mapInPandas(count, frame.schema), seen
+
+
+@pytest.mark.parametrize("kept", [False, True])
+def test_a_load_reads_its_payloads_twice(spark, tmp_path, monkeypatch, kept):
+    """Once for the keys and once for the texts, of which only those on days with something new are moved."""
+    path, moved = f"{tmp_path}/news", []
+    whole = dedupe.rows_of
+
+    def rows_of(batch, *rest):
+        moved.append(batch.count())
+        return whole(batch, *rest)
+
+    ledger = KeyLedger(spark, f"ledger_twice_{kept}", f"{tmp_path}/ledger", schemas.NEWS_KEYS, 4) if kept else None
+    try:
+
+        def load(*items):
+            frame, seen = counted(spark, spark.createDataFrame([(payload(i),) for i in items], "payload string").coalesce(1))
+            return ingest.ingest_news(frame, path, ledger=ledger), seen.value / len(items)
+
+        first = [(str(n), "A", "2025-01-01T10:00:00Z") for n in range(5)]
+        more = [("x", "A", "2025-01-02T10:00:00Z"), ("0", "A", "2025-01-02T11:00:00Z"), ("y", "A", "oops")]
+        assert load(*first) == (5, 2)
+        monkeypatch.setattr(dedupe, "rows_of", rows_of)
+        assert load(*first, *more)[0] == 2
+        assert load(*first, *more)[0] == 0
+        # "0" is stored, but lies on a day that has something new
+        assert moved == [3, 0]
+        stored = landing.read_news(spark, path)
+        assert sorted(r["content_id"] for r in stored.collect()) == [*"01234", "x", "y"]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS ledger_twice_{kept}")
+
+
+@pytest.mark.parametrize("name", ["partitioned_roundtrip_ledger"])
+def test_the_loads_join_their_news_once(spark, tmp_path, monkeypatch, name):
+    days = [f"2024-01-0{1 + n % 3} 10:00:00" for n in range(9)]
+    made = spark.createDataFrame([(str(n), "t", "s", "u", "A", day) for n, day in enumerate(days)], schemas.NEWS.names)
+    news, seen = counted(spark, made.withColumn("pubdate", F.col("pubdate").cast("timestamp")).coalesce(1))
+    monkeypatch.setattr(registry.tables, "news", lambda *_: news)
+    stored = registry.QUERIES[name](spark, str(tmp_path))
+    assert sorted(r["content_id"] for r in stored.collect()) == [*"012345678"]
+    assert seen.value == 9
+
+
 def test_stream_with_a_ledger_reads_no_earlier_batch(spark, tmp_path):
     path, first, second, drain = hot_batches(spark, tmp_path)
     ledger = KeyLedger(spark, "ledger_stream", f"{tmp_path}/ledger", schemas.NEWS_KEYS, 4)

@@ -234,6 +234,19 @@ def test_new_unique_keeps_the_newest_copy(spark):
     assert dedupe.new_unique(other, pair_frame(spark, (None, "A")), keys, "pubdate").count() == 0
 
 
+def test_whole_rows_of_the_heads_are_the_unique_rows(spark):
+    keys = ["content_id", "company_key"]
+    pick = random.Random(5)
+    some = [tuple(pick.choice(values) for values in ([None, "x", "y", "z"], [None, "A", "B"], [None, 1, 2], [None, "s", "t"], [None, "u"])) for _ in range(300)]
+    news = spark.createDataFrame(some, "content_id string, company_key string, pubdate int, title string, url string").repartition(5)
+    seen = pair_frame(spark, ("x", "A"), (None, "B"), ("q", "Q"))
+    want = rows(dedupe.new_unique(news, seen, keys, "pubdate"))
+    new = dedupe.drop_seen(dedupe.heads(news, keys, "pubdate"), seen, keys)
+    assert new.columns == [*keys, "__apart", "pubdate"]
+    assert rows(dedupe.rows_of(news, new, keys, "pubdate")) == want and len(want) > 20
+    assert dedupe.rows_of(news, new.where("false"), keys, "pubdate").isEmpty()
+
+
 def test_keep_first(spark):
     df = spark.createDataFrame(
         [("a", 2, "late"), ("a", 1, "first"), (None, 4, "n2"), (None, 3, "n1")],

@@ -352,6 +352,14 @@ def test_unreadable_payloads(spark, tmp_path):
     assert rows(spark.read.parquet(kept)) == [('{"A": [',)]
 
 
+def test_a_load_of_nothing_readable_is_an_error(spark, tmp_path):
+    cut = spark.createDataFrame([('{"A": [',)] * 9, "payload string")
+    for payloads in (cut, cut.repartition(4), cut.limit(1)):
+        with pytest.raises(ValueError):
+            ingest.ingest_news(payloads, f"{tmp_path}/news")
+    assert ingest.ingest_news(cut.where("payload = ''"), f"{tmp_path}/news") == 0
+
+
 def test_bars_of_missed_runs_are_fetched(spark):
     bars = spark.createDataFrame(
         [(T0 + timedelta(minutes=15 * i), s, 1.0, 1.0, 1.0, 1.0, 1) for i in range(5) for s in ("A", "B")],
