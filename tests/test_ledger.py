@@ -164,7 +164,7 @@ def test_a_load_reads_its_payloads_twice(spark, tmp_path, monkeypatch, kept):
         spark.sql(f"DROP TABLE IF EXISTS ledger_twice_{kept}")
 
 
-@pytest.mark.parametrize("name", ["partitioned_roundtrip_ledger"])
+@pytest.mark.parametrize("name", ["partitioned_roundtrip", "partitioned_roundtrip_ledger"])
 def test_the_loads_join_their_news_once(spark, tmp_path, monkeypatch, name):
     days = [f"2024-01-0{1 + n % 3} 10:00:00" for n in range(9)]
     made = spark.createDataFrame([(str(n), "t", "s", "u", "A", day) for n, day in enumerate(days)], schemas.NEWS.names)
