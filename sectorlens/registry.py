@@ -596,7 +596,9 @@ def _payloads(news):
         F.struct("url").alias("canonicalUrl"),
     )
     items = F.array(F.struct(content.alias("content")))
-    return news.select(F.to_json(F.create_map("company_key", items)).alias("payload"))
+    # over a plain scan Spark may build the map before it has left out rows without a ticker
+    ticker = F.coalesce("company_key", F.lit(""))
+    return news.select(F.to_json(F.create_map(ticker, items)).alias("payload"))
 
 
 @_register(

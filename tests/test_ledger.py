@@ -168,11 +168,12 @@ def test_a_load_reads_its_payloads_twice(spark, tmp_path, monkeypatch, kept):
 def test_the_loads_join_their_news_once(spark, tmp_path, monkeypatch, name):
     days = [f"2024-01-0{1 + n % 3} 10:00:00" for n in range(9)]
     made = spark.createDataFrame([(str(n), "t", "s", "u", "A", day) for n, day in enumerate(days)], schemas.NEWS.names)
+    made = made.unionByName(made.limit(1).withColumn("company_key", F.lit(None)))
     news, seen = counted(spark, made.withColumn("pubdate", F.col("pubdate").cast("timestamp")).coalesce(1))
     monkeypatch.setattr(registry.tables, "news", lambda *_: news)
     stored = registry.QUERIES[name](spark, str(tmp_path))
     assert sorted(r["content_id"] for r in stored.collect()) == [*"012345678"]
-    assert seen.value == 9
+    assert seen.value == 10
 
 
 def test_stream_with_a_ledger_reads_no_earlier_batch(spark, tmp_path):
